@@ -77,6 +77,8 @@ UTILITY_IDS = [
 ]
 YEARS = [2018, 2019, 2020, 2021, 2022, 2023]
 
+AMOUNT_SCALE = 100  # filed amounts are whole cents
+
 SECTORS = ["residential", "commercial", "industrial"]
 COST_DRIVERS = ["customers_total", "sales_mwh_total", "rate_base"]
 SUMMARY_METRICS = ["om_total", "om_per_customer", "om_per_mwh", "rate_base"]

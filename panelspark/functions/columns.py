@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.config import CATEGORY_RANGES, DEFAULTS, OTHER_CATEGORY, Assumptions
+from panelspark.config import (
+    AMOUNT_SCALE,
+    CATEGORY_RANGES,
+    DEFAULTS,
+    OTHER_CATEGORY,
+    Assumptions,
+)
 
 
 def require_columns(df: DataFrame, columns) -> None:
@@ -30,6 +36,19 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in floats})
 
 
+def sum_amount(amount: Column, scale: int | None = AMOUNT_SCALE) -> Column:
+    """Sum of filed dollar amounts, 0 over nothing but nulls.
+
+    Filings carry whole cents, so the sum runs over 64-bit cents: exact, the same in any order or
+    after a retry, and cheaper than decimals. `scale=None` sums the values as they are.
+    """
+    if scale is None:
+        total = F.sum(amount).cast("double")
+    else:
+        total = F.sum(F.rint(amount * scale).cast("long")) / float(scale)
+    return F.coalesce(total, F.lit(0.0))
+
+
 def safe_div(numerator: Column, denominator: Column) -> Column:
     """NULL where the denominator is 0 (a bare division raises under ANSI)."""
     return F.when(denominator != 0, numerator / denominator)

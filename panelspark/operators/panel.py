@@ -14,6 +14,7 @@ from panelspark.functions.columns import (
     require_columns,
     rows_of,
     safe_div,
+    sum_amount,
 )
 from panelspark.schemas import PANEL_COLUMNS
 from panelspark.sources.tables import KEYS
@@ -35,10 +36,7 @@ def roll_up_duplicates(df: DataFrame, keys=SALES_KEYS, ordinal="row_ordinal") ->
         if field.name in (*keys, ordinal):
             continue
         if isinstance(field.dataType, T.NumericType):
-            total = F.sum(c)
-            if isinstance(field.dataType, T.DecimalType):
-                total = total.cast("double")
-            aggregates.append(F.coalesce(total, F.lit(0)).alias(field.name))
+            aggregates.append(F.coalesce(F.sum(c), F.lit(0)).alias(field.name))
         else:
             first = F.min_by(c, F.when(c.isNotNull(), F.col(ordinal)))
             aggregates.append(first.alias(field.name))
@@ -54,7 +52,7 @@ def category_sums(df: DataFrame) -> DataFrame:
 
     Partial sums collapse a hot entity to at most one row per task, year and category.
     """
-    amount = F.coalesce(F.sum("dollar_value").cast("double"), F.lit(0.0))
+    amount = sum_amount(F.col("dollar_value"))
     return _keyed(df, KEYS).groupBy(*KEYS, "category").agg(amount.alias("amount"))
 
 
@@ -254,7 +252,7 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 def top_accounts(df: DataFrame, n: int = 20) -> DataFrame:
     """The n accounts with the largest summed amount; ties by account code."""
-    amount = F.coalesce(F.sum("dollar_value").cast("double"), F.lit(0.0))
+    amount = sum_amount(F.col("dollar_value"))
     return (
         df.where(F.col("ferc_account").isNotNull())
         .groupBy("ferc_account")

@@ -9,7 +9,6 @@ FIXTURES.md section 4 has the same rules as SQL.
 from __future__ import annotations
 
 import datetime
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +23,7 @@ from panelspark.config import (
     SECTORS,
     TARGET_STATE,
 )
+from panelspark.functions.columns import sum_amount
 from panelspark.operators.panel import build_panel
 from panelspark.sources import tables
 
@@ -42,11 +42,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def money(column: str) -> Column:
-    """Exact sums, the same in any order."""
-    return F.col(column).cast("decimal(18,2)")
-
-
 def in_years(df: DataFrame, column: str, years) -> DataFrame:
     """Year filter as a date range as well: the range reaches the parquet reader."""
     if years is None:
@@ -72,7 +67,7 @@ def expenses(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
         F.col("l_suppkey").alias("utility_id_ferc1"),
         F.year("l_shipdate").alias("report_year"),
         account.alias("ferc_account"),
-        money("l_extendedprice").alias("dollar_value"),
+        F.col("l_extendedprice").alias("dollar_value"),
         reported.alias("row_type_xbrl"),
     )
 
@@ -94,7 +89,7 @@ def plant(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
             asset.alias("utility_plant_asset_type"),
             F.lit(CALCULATED).alias("row_type_xbrl"),
         )
-        .agg(F.sum(money("o_totalprice")).cast("double").alias("ending_balance"))
+        .agg(sum_amount(F.col("o_totalprice")).alias("ending_balance"))
     )
 
 
@@ -106,7 +101,7 @@ def income(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
         _utility_type().alias("utility_type"),
         account.alias("ferc_account"),
         F.col("o_orderpriority").alias("income_type"),
-        money("o_totalprice").alias("dollar_value"),
+        F.col("o_totalprice").alias("dollar_value"),
     )
 
 
@@ -122,7 +117,7 @@ def sales(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
         "o_orderstatus",
         F.year("o_orderdate").alias("report_year"),
         F.dayofmonth("o_orderdate").cast("double").alias("mwh"),
-        money("o_totalprice").alias("price"),
+        F.col("o_totalprice").alias("price"),
         F.coalesce(*[
             F.when(F.col("o_orderpriority") == p, s) for p, s in SECTOR_OF_PRIORITY.items()
         ]).alias("sector"),
@@ -130,9 +125,9 @@ def sales(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
     measures = []
     for s in [*SECTORS, "total"]:
         hit = F.lit(True) if s == "total" else F.coalesce(F.col("sector") == s, F.lit(False))
-        thousands = F.sum(F.when(hit, F.col("price"))) * F.lit(Decimal("0.001"))
+        dollars = sum_amount(F.when(hit, F.col("price")))
         measures += [
-            F.coalesce(thousands, F.lit(0).cast("decimal(32,5)")).alias(f"revenue_{s}_k"),
+            (dollars / 1000.0).alias(f"revenue_{s}_k"),
             F.sum(F.when(hit, F.col("mwh")).otherwise(0.0)).alias(f"sales_mwh_{s}"),
             F.count_if(hit).alias(f"customers_{s}"),
         ]

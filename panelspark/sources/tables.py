@@ -22,7 +22,7 @@ from panelspark.config import (
     REVENUE_ACCOUNT,
     UTILITY_IDS,
 )
-from panelspark.functions.columns import existing, nan_to_null, require_columns
+from panelspark.functions.columns import existing, nan_to_null, require_columns, sum_amount
 from panelspark.schemas import ID_MAP
 
 KEYS = ["utility_id_ferc1", "report_year"]
@@ -85,7 +85,7 @@ def income(df: DataFrame, ids=None, years=None) -> DataFrame:
 def operating_revenue(df: DataFrame, ids=None, years=None) -> DataFrame:
     """Sum of the revenue account per entity and year."""
     rows = income(df, ids, years).where(F.col("ferc_account") == REVENUE_ACCOUNT)
-    total = F.coalesce(F.sum("dollar_value").cast("double"), F.lit(0.0))
+    total = sum_amount(F.col("dollar_value"))
     return (
         rows.where(F.col(KEYS[0]).isNotNull() & F.col(KEYS[1]).isNotNull())
         .groupBy(*KEYS)
