@@ -175,11 +175,11 @@ def residential_bill(
 
 
 def format_billions(amount: Column) -> Column:
-    return F.format_string("$%.1fB", amount / 1e9)
+    return F.when(amount.isNotNull(), F.format_string("$%.1fB", amount / 1e9))
 
 
 def format_millions(amount: Column) -> Column:
-    return F.format_string("$%.0fM", amount / 1e6)
+    return F.when(amount.isNotNull(), F.format_string("$%.0fM", amount / 1e6))
 
 
 def rows_of(**columns) -> Column:

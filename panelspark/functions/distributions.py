@@ -1,6 +1,6 @@
-"""Tail probabilities Spark has no built-in for, as Arrow-batched functions.
+"""Tail probabilities Spark has no built-in for, as Arrow-batched column functions.
 
-They only ever see grouped rows (one per entity or per regression term).
+They only ever see grouped rows: one per entity, or one per fit.
 """
 
 from __future__ import annotations
@@ -9,94 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-_LANCZOS = (  # fixed values, g = 7
-    0.99999999999980993,
-    676.5203681218851,
-    -1259.1392167224028,
-    771.32342877765313,
-    -176.61502916214059,
-    12.507343278686905,
-    -0.13857109526572012,
-    9.9843695780195716e-6,
-    1.5056327351493116e-7,
-)
-
-
-def log_gamma(x):
-    z = np.asarray(x, dtype=float) - 1.0
-    series = np.full(z.shape, _LANCZOS[0])
-    for i, c in enumerate(_LANCZOS[1:], start=1):
-        series = series + c / (z + i)
-    t = z + 7.5
-    return 0.5 * np.log(2 * np.pi) + (z + 0.5) * np.log(t) - t + np.log(series)
-
-
-def _beta_fraction(a, b, x, steps=10000, tol=1e-15):
-    """Continued fraction of the incomplete beta function, modified Lentz evaluation."""
-    tiny = 1e-300
-
-    def away(v):
-        return np.where(np.abs(v) < tiny, tiny, v)
-
-    c = np.ones_like(x)
-    d = 1.0 / away(1.0 - (a + b) * x / (a + 1.0))
-    total = d.copy()
-    for m in range(1, steps):
-        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
-        d = 1.0 / away(1.0 + even * d)
-        c = away(1.0 + even / c)
-        total = total * d * c
-        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
-        d = 1.0 / away(1.0 + odd * d)
-        c = away(1.0 + odd / c)
-        step = d * c
-        total = total * step
-        if np.all(np.abs(step - 1.0) < tol):
-            break
-    return total
-
-
-def incomplete_beta(a, b, x):
-    """Regularised incomplete beta I_x(a, b), elementwise."""
-    a, b, x = np.broadcast_arrays(*(np.asarray(v, dtype=float) for v in (a, b, x)))
-    inside = np.clip(x, 1e-320, 1.0 - 1e-16)
-    front = np.exp(
-        log_gamma(a + b) - log_gamma(a) - log_gamma(b)
-        + a * np.log(inside) + b * np.log1p(-inside)
-    )
-    swap = inside > (a + 1.0) / (a + b + 2.0)
-    p, q = np.where(swap, b, a), np.where(swap, a, b)
-    value = front * _beta_fraction(p, q, np.where(swap, 1.0 - inside, inside)) / p
-    value = np.where(swap, 1.0 - value, value)
-    return np.where(x <= 0, 0.0, np.where(x >= 1, 1.0, value))
-
-
-def t_two_sided(t, df):
-    """P(|T| >= |t|) for Student's t."""
-    t, df = np.asarray(t, dtype=float), np.asarray(df, dtype=float)
-    with np.errstate(all="ignore"):
-        x = df / (df + t * t)
-        p = incomplete_beta(df / 2.0, 0.5, np.where(np.isfinite(x), x, 0.0))
-    return np.where(np.isnan(t) | ~(df > 0), np.nan, p)
-
-
-def f_upper(f, df1, df2):
-    """P(F >= f)."""
-    f = np.asarray(f, dtype=float)
-    return incomplete_beta(np.asarray(df2) / 2.0, np.asarray(df1) / 2.0, df2 / (df2 + df1 * f))
-
-
-def t_critical(df, level=0.95):
-    """Two-sided critical value by bisection on the tail probability."""
-    df = np.asarray(df, dtype=float)
-    lo, hi = np.zeros_like(df), np.full_like(df, 1.0)
-    for _ in range(60):
-        hi = np.where(t_two_sided(hi, df) > 1 - level, hi * 2, hi)
-    for _ in range(200):
-        mid = (lo + hi) / 2
-        above = t_two_sided(mid, df) > 1 - level
-        lo, hi = np.where(above, mid, lo), np.where(above, hi, mid)
-    return (lo + hi) / 2
+from panelspark.functions.tails import f_upper, t_two_sided
 
 
 @F.pandas_udf("double")
@@ -104,3 +17,9 @@ def t_pvalue(t: pd.Series, df: pd.Series) -> pd.Series:
     """Two-sided p-value of a t statistic; NULL where t or df is NULL or df < 1."""
     p = t_two_sided(t.to_numpy(dtype=float), df.to_numpy(dtype=float))
     return pd.Series(p).astype("Float64").mask(np.isnan(p))
+
+
+@F.pandas_udf("double")
+def f_pvalue(f: pd.Series, df1: pd.Series, df2: pd.Series) -> pd.Series:
+    """Upper-tail p-value of an F statistic."""
+    return pd.Series(f_upper(f.to_numpy(), df1.to_numpy(), df2.to_numpy()))

@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.config import COST_DRIVERS
-from panelspark.functions import distributions as dist
 from panelspark.functions.columns import explode_rows, require_columns, rows_of
+from panelspark.functions.distributions import f_pvalue
+from panelspark.functions.tails import t_critical, t_two_sided
 from panelspark.operators.ordering import squared_steps
 
 OUTCOME = "om_total"
@@ -118,7 +119,7 @@ def _fit_frame(row: dict, xs: list[str], least: int, group_by: list[str]) -> pd.
     with np.errstate(all="ignore"):
         t = fit["coef"] / fit["std_err"]
         margin = fit["std_err"] * (
-            dist.t_critical(float(fit["dof"])) if fit["dof"] > 0 else np.nan
+            t_critical(float(fit["dof"])) if fit["dof"] > 0 else np.nan
         )
     frame = pd.DataFrame({
         **keys,
@@ -126,7 +127,7 @@ def _fit_frame(row: dict, xs: list[str], least: int, group_by: list[str]) -> pd.
         "coef": fit["coef"],
         "std_err": fit["std_err"],
         "t_value": t,
-        "p_value": dist.t_two_sided(t, float(fit["dof"])),
+        "p_value": t_two_sided(t, float(fit["dof"])),
         "ci_low": fit["coef"] - margin,
         "ci_high": fit["coef"] + margin,
         "n_obs": n,
@@ -208,7 +209,7 @@ def diagnostics(
         "prob_omnibus": F.exp(-omnibus / 2),
         "df_model": F.lit(float(k)),
         "df_residual": dof,
-    }).withColumn("prob_f", _f_pvalue(F.col("f_statistic"), F.lit(float(k)), dof))
+    }).withColumn("prob_f", f_pvalue(F.col("f_statistic"), F.lit(float(k)), dof))
     named = [c for c in f_stats.columns if c != "ssr"]
     renamed = {"n": "n_obs", "skew": "skew", "kurt": "kurtosis"}
     return explode_rows(f_stats, [], [
@@ -216,11 +217,6 @@ def diagnostics(
     ])
 
 
-@F.pandas_udf("double")
-def _f_pvalue(f: pd.Series, df1: pd.Series, df2: pd.Series) -> pd.Series:
-    return pd.Series(dist.f_upper(f.to_numpy(), df1.to_numpy(), df2.to_numpy()))
-
-
 def _skew_z(skew: Column, n: Column) -> Column:
     """Normal score of the sample skewness (D'Agostino)."""
     y = skew * F.sqrt((n + 1) * (n + 3) / (6.0 * (n - 2)))

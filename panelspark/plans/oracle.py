@@ -40,6 +40,10 @@ def rnd(digits: int, *columns: str) -> str:
     return ", ".join(f"round({c}, {digits}) AS {c}" for c in columns)
 
 
+def plain(*columns: str) -> str:
+    return ", ".join(columns)
+
+
 ACCOUNT = """CASE WHEN l_linenumber = 7 THEN 'n/a'
     WHEN l_linenumber % 2 = 0
       THEN CAST(500 + l_partkey % 440 AS VARCHAR) || '.' || CAST(l_linenumber AS VARCHAR)
@@ -110,7 +114,10 @@ CATEGORY = """CASE WHEN account_no BETWEEN 500 AND 557 THEN 'production'
 
 
 def rolled_up(source: str) -> str:
-    sums = ", ".join(f"COALESCE(SUM({m}), 0) AS {m}" for m in SALES_MEASURES)
+    sums = ", ".join(
+        f"CAST(COALESCE(SUM({m}), 0) AS {'BIGINT' if m in CUSTOMERS else 'DOUBLE'}) AS {m}"
+        for m in SALES_MEASURES
+    )
     firsts = ", ".join(
         f"arg_min({c}, row_ordinal) FILTER ({c} IS NOT NULL) AS {c}"
         for c in ["utility_name", "state", "ownership"]
@@ -176,8 +183,10 @@ ragged AS (
 panel AS (
   SELECT * FROM ragged WHERE utility_id_ferc1 IS NOT NULL AND utility_id_eia IS NOT NULL)"""
 
-PANEL_DOUBLES = [*OM, "om_total", "grc_om", "rate_base", "operating_revenues_ferc", *MWH,
-                 *REVENUE, *RATIOS]
+# Sums of a few landed doubles depend on their order in the last digit: rounded in both engines.
+ROUNDED = [*REVENUE, "revenue_per_customer"]
+EXACT = [*OM, "om_total", "grc_om", "rate_base", "operating_revenues_ferc", *MWH, *CUSTOMERS,
+         *RATIOS[:-1]]
 PANEL_KEYS = ["utility_id_ferc1", "utility_id_eia", "utility_name", "report_year"]
 KEYS = "utility_id_ferc1, utility_name, report_year"
 
@@ -248,13 +257,13 @@ GRC_DOUBLES = ["om_ag_allocated", "grc_depreciation", "grc_return_on_rate_base",
                "grc_revenue_requirement"]
 
 
-def panel_columns(digits=6, extra=()) -> str:
-    return ", ".join([*PANEL_KEYS, *CUSTOMERS, rnd(digits, *PANEL_DOUBLES, *extra)])
+def panel_columns(*extra: str) -> str:
+    return ", ".join([*PANEL_KEYS, *EXACT, *extra, rnd(6, *ROUNDED)])
 
 
 def _breakdown(other: str | None, flag: str) -> str:
     parts = rr("om_total", other, "rate_base")
-    shown = ", ".join(f"round({v}, 6) AS {k}" for k, v in parts.items())
+    shown = ", ".join(f"{v} AS {k}" for k, v in parts.items())
     return with_panel(f"""SELECT {KEYS}, {shown}, {d(0.035)} AS depreciation_rate,
   {d(0.075)} AS wacc, {d(0.27)} AS tax_rate, {flag} AS exclude_passthrough FROM panel""")
 
@@ -263,10 +272,10 @@ def _forecast() -> str:
     up, grow = d(1.0 + 0.03), d(1.0 + 0.04)
     then = rr(f"(om_total * {up})", "om_other", f"(rate_base * {grow})")["revenue_requirement"]
     return with_panel(f"""SELECT utility_id_ferc1, utility_name, {BASE_YEAR} AS base_year,
-  {BASE_YEAR + 1} AS forecast_year, {rnd(6, 'base_om', 'forecast_om', 'base_rate_base',
+  {BASE_YEAR + 1} AS forecast_year, {plain('base_om', 'forecast_om', 'base_rate_base',
   'forecast_rate_base', 'base_year_rr', 'forecast_year_rr')},
-  round(forecast_year_rr - base_year_rr, 6) AS rr_change,
-  round({div('(forecast_year_rr - base_year_rr)', 'base_year_rr')} * 100.0, 6) AS rr_change_pct,
+  forecast_year_rr - base_year_rr AS rr_change,
+  {div('(forecast_year_rr - base_year_rr)', 'base_year_rr')} * 100.0 AS rr_change_pct,
   {d(0.03)} AS om_escalation_rate, {d(0.04)} AS rate_base_growth_rate, {d(0.075)} AS wacc
 FROM (SELECT *, om_total AS base_om, om_total * {up} AS forecast_om, rate_base AS base_rate_base,
     rate_base * {grow} AS forecast_rate_base, {TOTAL['revenue_requirement']} AS base_year_rr,
@@ -285,10 +294,10 @@ def _forecast_grc() -> str:
                  ["om_distribution", "om_customer_service", "om_admin_general"]],
                f"(rate_base * {grow})")["grc_revenue_requirement"]
     return with_panel(f"""SELECT utility_id_ferc1, utility_name, {BASE_YEAR} AS base_year,
-  {BASE_YEAR + 1} AS forecast_year, {rnd(6, 'base_om_grc', 'forecast_om_grc', 'base_rate_base',
+  {BASE_YEAR + 1} AS forecast_year, {plain('base_om_grc', 'forecast_om_grc', 'base_rate_base',
   'forecast_rate_base', 'base_year_rr_grc', 'forecast_year_rr_grc')},
-  round(forecast_year_rr_grc - base_year_rr_grc, 6) AS rr_change,
-  round((forecast_year_rr_grc - base_year_rr_grc) / NULLIF(base_year_rr_grc, 0) * 100.0, 6)
+  forecast_year_rr_grc - base_year_rr_grc AS rr_change,
+  (forecast_year_rr_grc - base_year_rr_grc) / NULLIF(base_year_rr_grc, 0) * 100.0
     AS rr_change_pct,
   {d(0.03)} AS om_escalation_rate, {d(0.04)} AS rate_base_growth_rate, {d(0.075)} AS wacc
 FROM (SELECT *, {now['grc_om']} AS base_om_grc, {now['grc_om']} * {up} AS forecast_om_grc,
@@ -302,10 +311,10 @@ def _wacc_sensitivity() -> str:
     values = ", ".join(f"({d(w)})" for w in WACC_RANGE)
     now = rr("om_total", None, "rate_base", "wacc")["revenue_requirement"]
     base = rr("om_total", None, "rate_base", d(WACC_RANGE[0]))["revenue_requirement"]
-    return with_panel(f"""SELECT {KEYS}, wacc, round(wacc * 100.0, 6) AS wacc_pct,
-  round(now, 6) AS revenue_requirement, round(now - base, 6) AS change_from_base,
-  round(CASE WHEN base = 0 THEN 0.0 ELSE (now - base) / base * 100.0 END, 6) AS change_pct
-FROM (SELECT {KEYS}, round(wacc, 6) AS wacc, {now} AS now, {base} AS base
+    return with_panel(f"""SELECT {KEYS}, wacc, wacc * 100.0 AS wacc_pct,
+  now AS revenue_requirement, now - base AS change_from_base,
+  CASE WHEN base = 0 THEN 0.0 ELSE (now - base) / base * 100.0 END AS change_pct
+FROM (SELECT {KEYS}, wacc AS wacc, {now} AS now, {base} AS base
   FROM panel, (VALUES {values}) w(wacc)
   WHERE om_total IS NOT NULL AND rate_base IS NOT NULL)""")
 
@@ -355,11 +364,11 @@ CHANGE_PCT = """CASE WHEN current_monthly_bill = 0 THEN 0.0
 
 def _bill_impact() -> str:
     return with_panel(f"""SELECT utility_id_ferc1, utility_name, {BASE_YEAR} AS base_year,
-  {rnd(6, 'residential_share')}, round(residential_share * 100.0, 6) AS residential_share_pct,
-  {rnd(6, 'current_rr', 'proposed_rr', 'current_rate_per_kwh', 'proposed_rate_per_kwh',
+  {rnd(9, 'residential_share')}, round(residential_share * 100.0, 9) AS residential_share_pct,
+  current_rr, proposed_rr, {rnd(9, 'current_rate_per_kwh', 'proposed_rate_per_kwh',
        'current_monthly_bill', 'proposed_monthly_bill', 'monthly_change_dollars')},
-  round({CHANGE_PCT}, 6) AS monthly_change_pct,
-  round(monthly_change_dollars * 12.0, 6) AS annual_change_dollars,
+  round({CHANGE_PCT}, 9) AS monthly_change_pct,
+  round(monthly_change_dollars * 12.0, 9) AS annual_change_dollars,
   {d(500.0)} AS avg_monthly_kwh, {d(0.03)} AS om_escalation, {d(0.04)} AS rate_base_growth
 FROM bills""", BILL_ROWS, _bill_impact_cte())
 
@@ -370,8 +379,7 @@ def _bill_sensitivity() -> str:
     base = rr(f"(om_total * (1.0::DOUBLE + {d(0.03)}))", None,
               f"(rate_base * (1.0::DOUBLE + {d(0.04)}))")
     return with_panel(f"""SELECT utility_id_ferc1, utility_name, scenario,
-  round(e, 6) AS om_escalation, round(g, 6) AS rate_base_growth, round(w, 6) AS wacc,
-  round(need, 6) AS revenue_requirement, round(bill, 6) AS monthly_bill,
+  e AS om_escalation, g AS rate_base_growth, w AS wacc, need AS revenue_requirement, round(bill, 6) AS monthly_bill,
   round(bill - base_bill, 6) AS change_from_base,
   round(CASE WHEN base_bill = 0 THEN 0.0 ELSE (bill - base_bill) / base_bill * 100.0 END, 6)
     AS change_pct
@@ -430,7 +438,7 @@ def _trend() -> str:
   round({enough('slope')}, 4) AS slope, round({enough('intercept')}, 1) AS intercept,
   round({enough('r_squared')}, 6) AS r_squared,
   round({enough(cagr('first_y', 'last_y', 'n_years'))}, 6) AS cagr_percent,
-  round({enough('mean')}, 4) AS mean, round({enough('std')}, 4) AS std,
+  round({enough('mean')}, 5) AS mean, round({enough('std')}, 4) AS std,
   round({enough('CASE WHEN mean <> 0 THEN std / mean * 100.0 END')}, 6)
     AS coefficient_of_variation,
   {enough('n_years')} AS n_years, {STATUS} FROM trend""", _trend_cte("om_total"))
@@ -453,7 +461,7 @@ def _summary() -> str:
         growth = cagr(f"arg_min({m}, report_year) {known}", f"arg_max({m}, report_year) {known}",
                       "(MAX(report_year) - MIN(report_year))")
         one.append(f"""SELECT utility_id_ferc1,
-  arg_min(utility_name, report_year) AS utility_name, '{m}' AS metric, round(avg({m}), 4) AS mean,
+  arg_min(utility_name, report_year) AS utility_name, '{m}' AS metric, round(avg({m}), 5) AS mean,
   round(stddev_samp({m}), 4) AS std, round(MIN({m}), 4) AS min, round(MAX({m}), 4) AS max,
   round({growth}, 4) AS cagr_percent,
   CAST(MAX(report_year) - MIN(report_year) AS INTEGER) AS n_years
@@ -653,17 +661,16 @@ def _waterfall() -> str:
         start = f"({start} + {c})"
     rows.append(f"SELECT {KEYS}, 7, 'GRC Revenue Requirement', 0.0::DOUBLE, "
                 "grc_revenue_requirement FROM modelled")
-    return with_panel(f"""SELECT {KEYS}, step, component, round(start, 6) AS start,
-  round(height, 6) AS height, printf('$%.1fB', height / 1e9) AS label
+    return with_panel(f"""SELECT {KEYS}, step, component, start AS start,
+  height AS height, printf('$%.1fB', height / 1e9) AS label
 FROM ({' UNION ALL '.join(rows)})""".replace(
         "printf('$%.1fB', height / 1e9)",
-        "COALESCE(printf('$%.1fB', height / 1e9), '$nullB')"), MODELLED)
+        "CASE WHEN height IS NOT NULL THEN printf('$%.1fB', height / 1e9) END"), MODELLED)
 
 
 def _sales_columns(source: str, where: str = "") -> str:
-    doubles = rnd(6, *REVENUE, *MWH)
     return (f"SELECT report_year, utility_id_eia, utility_name, state, ownership, row_ordinal, "
-            f"{doubles}, {', '.join(CUSTOMERS)} FROM {source} {where}")
+            f"{plain(*SALES_MEASURES)} FROM {source} {where}")
 
 
 def _profile() -> str:
@@ -730,17 +737,17 @@ def oracle_sql() -> dict[str, str]:
             "SELECT ferc_account, category, COUNT(*) AS n FROM categorized GROUP BY ALL"),
         "dedupe_rollup": f"WITH {SOURCES.strip()}, rolled AS ({rolled_up('sales_rows')}) "
         f"SELECT utility_id_eia, report_year, utility_name, state, ownership, "
-        f"{rnd(6, *REVENUE, *MWH)}, {', '.join(f'CAST({c} AS BIGINT) AS {c}' for c in CUSTOMERS)}"
-        " FROM rolled",
+        f"{rnd(6, *REVENUE)}, {plain(*MWH, *CUSTOMERS)} FROM rolled",
         "expense_pivot": with_panel("SELECT * FROM expenses_wide"),
         "rate_base": with_panel(f"SELECT {plant}, rate_base FROM plant_base"),
         "panel_join": with_panel(
             f"""SELECT utility_id_ferc1, utility_id_eia, report_year, utility_name, state, ownership,
-  {rnd(6, *OM, 'om_total', 'rate_base', 'operating_revenues_ferc', *REVENUE, *MWH)},
-  {', '.join(f'CAST({c} AS BIGINT) AS {c}' for c in CUSTOMERS)} FROM joined"""),
+  {plain(*OM, 'om_total', 'rate_base', 'operating_revenues_ferc', *MWH)}, {rnd(6, *REVENUE)},
+  {plain(*CUSTOMERS)} FROM joined"""),
         "panel_final": with_panel(f"SELECT {panel_columns()} FROM ragged"),
         "derived_metrics": with_panel(
-            f"SELECT utility_id_ferc1, report_year, {rnd(6, 'grc_om', *RATIOS)} FROM panel"),
+            f"SELECT utility_id_ferc1, report_year, grc_om, {plain(*RATIOS[:-1])}, "
+            "round(revenue_per_customer, 6) AS revenue_per_customer FROM panel"),
         "validate_panel": _validate(),
         "null_profile": _profile(),
         "distinct_accounts": with_sources("SELECT DISTINCT ferc_account FROM expense_rows"),
@@ -752,84 +759,84 @@ def oracle_sql() -> dict[str, str]:
             "SELECT utility_id_ferc1, report_year, printf('$%.1fB', om_total / 1e9) "
             "AS om_billions, printf('$%.0fM', om_total / 1e6) AS om_millions FROM panel"),
         "om_ex_production": with_panel(
-            f"""SELECT {KEYS}, round({ex_prod}, 6) AS om_ex_production,
-  round({div('om_total', 'customers_total')}, 6) AS om_per_customer_total,
-  round({div(ex_prod, 'customers_total')}, 6) AS om_per_customer_ex_production FROM panel"""),
+            f"""SELECT {KEYS}, {ex_prod} AS om_ex_production,
+  {div('om_total', 'customers_total')} AS om_per_customer_total,
+  {div(ex_prod, 'customers_total')} AS om_per_customer_ex_production FROM panel"""),
         "kpi_formulas": with_panel(
             f"""SELECT {KEYS},
-  round({div('revenue_requirement', 'sales_mwh_total')}, 6) AS rr_per_mwh,
-  round({div('rate_base', 'customers_total')}, 6) AS rate_base_per_customer,
-  round(({div('revenue_requirement', 'customers_total')}) / 12, 6) AS monthly_bill_total,
-  round(({div('grc_revenue_requirement', 'customers_total')}) / 12, 6) AS monthly_bill_grc,
-  round((rate_base - before) / NULLIF(before, 0), 6) AS rate_base_growth
+  {div('revenue_requirement', 'sales_mwh_total')} AS rr_per_mwh,
+  {div('rate_base', 'customers_total')} AS rate_base_per_customer,
+  ({div('revenue_requirement', 'customers_total')}) / 12 AS monthly_bill_total,
+  ({div('grc_revenue_requirement', 'customers_total')}) / 12 AS monthly_bill_grc,
+  (rate_base - before) / NULLIF(before, 0) AS rate_base_growth
 FROM (SELECT *, lag(rate_base) OVER (PARTITION BY utility_id_ferc1 ORDER BY report_year) AS before
   FROM modelled)""", MODELLED),
         "wacc_from_capital": with_panel(
             f"""SELECT utility_id_ferc1, report_year,
-  round(rate_base / (rate_base + operating_revenues_ferc) * {d(0.10)}
-    + operating_revenues_ferc / (rate_base + operating_revenues_ferc) * {d(0.05)}, 9) AS wacc
+  rate_base / (rate_base + operating_revenues_ferc) * {d(0.10)}
+    + operating_revenues_ferc / (rate_base + operating_revenues_ferc) * {d(0.05)} AS wacc
 FROM panel WHERE rate_base > 0 AND operating_revenues_ferc > 0"""),
         "baseline_filter": with_panel(
-            f"SELECT utility_id_ferc1, report_year, {rnd(6, 'om_total', 'rate_base')} FROM kept",
+            f"SELECT utility_id_ferc1, report_year, {plain('om_total', 'rate_base')} FROM kept",
             KEPT),
         "revenue_requirement": _breakdown("om_other", "TRUE"),
         "revenue_requirement_with_passthrough": _breakdown(None, "FALSE"),
-        "revenue_gap": with_panel(f"SELECT {panel_columns(6, GAP_DOUBLES)} FROM gap", MODELLED),
+        "revenue_gap": with_panel(f"SELECT {panel_columns(*GAP_DOUBLES)} FROM gap", MODELLED),
         "grc_requirement": with_panel(
-            f"SELECT {panel_columns(6, [*GAP_DOUBLES, *GRC_DOUBLES])} FROM modelled", MODELLED),
+            f"SELECT {panel_columns(*GAP_DOUBLES, *GRC_DOUBLES)} FROM modelled", MODELLED),
         "grc_breakdown": with_panel(
-            f"""SELECT utility_id_ferc1, report_year, {rnd(6, 'om_distribution',
+            f"""SELECT utility_id_ferc1, report_year, {plain('om_distribution',
   'om_customer_service', 'om_production', 'om_transmission')},
-  round(om_admin_general, 6) AS om_ag_total,
-  round(om_admin_general * {d(0.7)}, 6) AS om_ag_electric, round({gas}, 6) AS om_ag_gas,
-  round({om_grc}, 6) AS om_grc,
-  round(om_production + om_transmission + om_other + {gas}, 6) AS om_excluded FROM panel"""),
+  om_admin_general AS om_ag_total,
+  om_admin_general * {d(0.7)} AS om_ag_electric, {gas} AS om_ag_gas,
+  {om_grc} AS om_grc,
+  om_production + om_transmission + om_other + {gas} AS om_excluded FROM panel"""),
         "grc_alt": with_panel(
-            f"""SELECT utility_id_ferc1, report_year, round({om_grc}, 6) AS om_grc,
-  round(om_admin_general * {d(0.7)}, 6) AS om_ag_electric,
-  round(om_production + om_transmission + om_other + {gas}, 6) AS om_excluded,
-  round(CASE WHEN rate_base <= 0 THEN 0.0 ELSE rate_base * {d(0.035)} END, 6) AS depreciation,
-  round(CASE WHEN rate_base <= 0 THEN 0.0 ELSE rate_base * {d(0.075)} END, 6)
+            f"""SELECT utility_id_ferc1, report_year, {om_grc} AS om_grc,
+  om_admin_general * {d(0.7)} AS om_ag_electric,
+  om_production + om_transmission + om_other + {gas} AS om_excluded,
+  CASE WHEN rate_base <= 0 THEN 0.0 ELSE rate_base * {d(0.035)} END AS depreciation,
+  CASE WHEN rate_base <= 0 THEN 0.0 ELSE rate_base * {d(0.075)} END
     AS return_on_rate_base,
-  round({grc()['grc_taxes']}, 6) AS taxes_grc,
-  round({grc()['grc_revenue_requirement']}, 6) AS revenue_requirement_grc,
-  round({div(f'({om_grc})', 'customers_total')}, 6) AS om_per_customer_grc,
-  round({div(f'({om_grc})', 'sales_mwh_total')}, 6) AS om_per_mwh_grc FROM panel"""),
+  {grc()['grc_taxes']} AS taxes_grc,
+  {grc()['grc_revenue_requirement']} AS revenue_requirement_grc,
+  {div(f'({om_grc})', 'customers_total')} AS om_per_customer_grc,
+  {div(f'({om_grc})', 'sales_mwh_total')} AS om_per_mwh_grc FROM panel"""),
         "test_year_forecast": _forecast(),
         "test_year_forecast_grc": _forecast_grc(),
         "wacc_sensitivity": _wacc_sensitivity(),
         "compare_methodologies": with_panel(
-            f"""SELECT utility_name, report_year AS year, round(om_total, 6) AS total_om,
-  {rnd(6, 'grc_om', 'om_production', 'om_transmission', 'om_distribution',
+            f"""SELECT utility_name, report_year AS year, om_total AS total_om,
+  {plain('grc_om', 'om_production', 'om_transmission', 'om_distribution',
        'om_customer_service', 'grc_revenue_requirement')},
-  round(om_production + om_transmission + om_admin_general * {d(0.3)}, 6) AS excluded_om,
-  round(om_admin_general, 6) AS om_ag_full,
-  round(om_admin_general * {d(0.7)}, 6) AS om_ag_allocated,
-  round(revenue_requirement, 6) AS total_revenue_requirement,
-  round(CASE WHEN revenue_requirement > 0
-    THEN grc_revenue_requirement / revenue_requirement * 100.0 END, 6) AS grc_share_of_total_pct
+  om_production + om_transmission + om_admin_general * {d(0.3)} AS excluded_om,
+  om_admin_general AS om_ag_full,
+  om_admin_general * {d(0.7)} AS om_ag_allocated,
+  revenue_requirement AS total_revenue_requirement,
+  CASE WHEN revenue_requirement > 0
+    THEN grc_revenue_requirement / revenue_requirement * 100.0 END AS grc_share_of_total_pct
 FROM modelled WHERE {base}""", MODELLED),
         "class_shares": with_panel(
             f"SELECT {KEYS}, {rnd(6, *REVENUE)}, " + ", ".join(
-                f"round({div(f'revenue_{s}_k', 'revenue_total_k')}, 6) AS {s}_share"
+                f"round({div(f'revenue_{s}_k', 'revenue_total_k')}, 9) AS {s}_share"
                 for s in SECTORS) + " FROM panel"),
         "residential_bill": _allocated_bills(),
         "bill_impact": _bill_impact(),
         "bill_sensitivity": _bill_sensitivity(),
         "ag_sensitivity": with_panel(
-            f"""SELECT {KEYS}, round(x, 6) AS ag_allocation,
-  round(om_distribution + om_customer_service + om_admin_general * x, 6) AS grc_om
+            f"""SELECT {KEYS}, x AS ag_allocation,
+  om_distribution + om_customer_service + om_admin_general * x AS grc_om
 FROM panel, (VALUES ({d(0.41)}), ({d(0.5)}), ({d(0.6)}), ({d(0.7)})) a(x)"""),
         "ag_backsolve": with_panel(
-            f"""SELECT {KEYS}, round(target, 6) AS target, round(needed, 6) AS ag_needed,
-  round({div('needed', 'om_admin_general')}, 6) AS ag_share_needed
+            f"""SELECT {KEYS}, target AS target, needed AS ag_needed,
+  {div('needed', 'om_admin_general')} AS ag_share_needed
 FROM (SELECT *, target - om_distribution - om_customer_service AS needed
   FROM (SELECT *, om_total * {d(0.25)} AS target FROM panel))"""),
         "residential_bill_methods": with_panel(
             f"""SELECT {KEYS}, customers_residential,
-  round(({div('(revenue_residential_k * 1000)', 'customers_residential')}) / 12, 6)
+  round(({div('(revenue_residential_k * 1000)', 'customers_residential')}) / 12, 9)
     AS monthly_bill_actual,
-  round({rate}, 6) AS rate_per_kwh, round(({rate}) * 500.0, 6) AS monthly_bill_usage
+  round({rate}, 9) AS rate_per_kwh, round(({rate}) * 500.0, 9) AS monthly_bill_usage
 FROM panel WHERE {base}"""),
         "revenue_reconcile": with_panel(
             f"""SELECT {KEYS}, round(operating_revenues_ferc, 6) AS ferc_revenue,
@@ -839,14 +846,14 @@ FROM panel WHERE {base}"""),
   round(grc_revenue_requirement / NULLIF(om_total * 0.5, 0) * 100.0 - 100.0, 6)
     AS authorised_difference_pct FROM modelled""", MODELLED),
         "rr_recompute_check": with_panel(
-            f"""SELECT {KEYS}, round(revenue_requirement, 6) AS stored_rr,
-  round({recheck}, 6) AS calculated_rr,
+            f"""SELECT {KEYS}, revenue_requirement AS stored_rr,
+  {recheck} AS calculated_rr,
   abs({recheck} - revenue_requirement) < 1000.0 AS matches FROM gap""", MODELLED),
         "cost_breakdown": with_panel(" UNION ALL ".join(
-            f"SELECT {KEYS}, {i} AS line, '{n}' AS category, round({c} / 1e6, 8) AS amount "
+            f"SELECT {KEYS}, {i} AS line, '{n}' AS category, {c} / 1e6 AS amount "
             f"FROM panel WHERE {base}" for i, (n, c) in enumerate(breakdown, start=1))),
         "summary_requirement": with_panel(
-            f"""SELECT utility_id_ferc1, utility_name, {rnd(6, 'revenue_requirement',
+            f"""SELECT utility_id_ferc1, utility_name, {plain('revenue_requirement',
   'grc_revenue_requirement', 'revenue_gap', 'revenue_gap_pct')}
 FROM modelled WHERE {base}""", MODELLED),
         "trend": _trend(),
@@ -870,18 +877,18 @@ FROM (SELECT utility_id_ferc1, arg_min(utility_name, report_year) AS utility_nam
     arg_max(grc_om, report_year) FILTER (grc_om IS NOT NULL) AS end_value
   FROM kept GROUP BY utility_id_ferc1)""", KEPT),
         "yoy_change": with_panel(
-            f"""SELECT {KEYS}, round(om_total, 6) AS metric_value,
-  round(CASE WHEN previous <> 0 THEN (om_total - previous) / abs(previous) * 100.0 END, 6)
+            f"""SELECT {KEYS}, om_total AS metric_value,
+  CASE WHEN previous <> 0 THEN (om_total - previous) / abs(previous) * 100.0 END
     AS yoy_pct_change
 FROM (SELECT *, lag(om_total) OVER (PARTITION BY utility_id_ferc1 ORDER BY report_year)
   AS previous FROM panel)"""),
         "yoy_matrix": with_panel(
             "SELECT utility_id_ferc1, utility_name, " + ", ".join(
-                f"round(MAX(om_yoy_pct) FILTER (report_year = {y}), 6) AS \"{y}\""
+                f"MAX(om_yoy_pct) FILTER (report_year = {y}) AS \"{y}\""
                 for y in YEARS[1:]) + " FROM yoy GROUP BY utility_id_ferc1, utility_name",
             YOY_CELLS.replace("{metric}", "om_total")),
         "yoy_matrix_flags": with_panel(
-            f"SELECT {KEYS}, round(om_yoy_pct, 6) AS om_yoy_pct, "
+            f"SELECT {KEYS}, om_yoy_pct AS om_yoy_pct, "
             "COALESCE(om_yoy_pct > 10 OR om_yoy_pct < -5, FALSE) AS is_flagged FROM yoy",
             YOY_CELLS.replace("{metric}", "rate_base")),
         "peer_benchmark": with_panel(
@@ -928,7 +935,7 @@ FROM (SELECT utility_id_ferc1, arg_min(utility_name, report_year) AS utility_nam
         "ols_diagnostics": _diagnostics(),
         "key_findings": _key_findings(),
         "chart_om_trend": with_panel(
-            f"""SELECT {KEYS}, round(om_total / 1e9, 8) AS om_billions,
+            f"""SELECT {KEYS}, om_total / 1e9 AS om_billions,
   round(growth, 8) AS cagr_percent,
   CASE WHEN growth IS NOT NULL THEN printf('%s: %+.1f%%', utility_name, growth) END AS cagr_label
 FROM (SELECT *, {cagr('first_om', 'last_om', 'periods')} AS growth
@@ -944,7 +951,7 @@ FROM (SELECT *, {cagr('first_om', 'last_om', 'periods')} AS growth
 FROM modelled WHERE {base}""", MODELLED),
         "chart_bill_impact": with_panel(
             f"""SELECT utility_id_ferc1, utility_name, 'Current' AS series,
-  round(current_monthly_bill, 6) AS monthly_bill, CAST(NULL AS DOUBLE) AS change_pct FROM bills
-UNION ALL SELECT utility_id_ferc1, utility_name, 'Proposed', round(proposed_monthly_bill, 6),
-  round({CHANGE_PCT}, 6) FROM bills""", BILL_ROWS, _bill_impact_cte()),
+  round(current_monthly_bill, 9) AS monthly_bill, CAST(NULL AS DOUBLE) AS change_pct FROM bills
+UNION ALL SELECT utility_id_ferc1, utility_name, 'Proposed', round(proposed_monthly_bill, 9),
+  round({CHANGE_PCT}, 9) FROM bills""", BILL_ROWS, _bill_impact_cte()),
     }

@@ -1,7 +1,8 @@
 """Every operator as a named query over the test tables: name -> (spark, sf_dir) -> DataFrame.
 
-Floating-point columns that pass through an engine's own mean, variance or power are rounded to
-a stated number of digits, the same in the SQL twin.
+Amounts are exact, so column arithmetic on them gives the same bits in any engine and is shown as
+is. Values whose last digits depend on summation order (means, variances, powers, sums of landed
+revenue) are rounded to a stated number of digits, the same in the SQL twin.
 """
 
 from __future__ import annotations
@@ -11,11 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.config import TARGET_STATE
+from panelspark.config import SECTORS, TARGET_STATE
 from panelspark.functions.columns import format_billions, format_millions
 from panelspark.operators import bills, charts, findings, models, panel, regression, stats
 from panelspark.plans import bindings as bind
 from panelspark.plans.jobs import run_models, summary_tables
+from panelspark.schemas import REVENUE_COLUMNS
 from panelspark.sources import sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +35,9 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in chosen})
 
 
+REVENUES = [*REVENUE_COLUMNS, "revenue_per_customer"]
+
+
 def clean(spark, sf, years=None) -> DataFrame:
     return bind.panel(spark, sf, years)
 
@@ -53,9 +58,7 @@ def modelled(spark, sf, years=None) -> DataFrame:
 def yearly_union(spark, sf):
     folder = sinks.stage_path(spark)
     sinks.write_table(bind.sales(spark, sf), folder, partition_by=["report_year"])
-    return rounded(
-        tables.read_yearly_sales(spark, folder + "/report_year={year}", bind.YEARS), 6
-    )
+    return tables.read_yearly_sales(spark, folder + "/report_year={year}", bind.YEARS)
 
 
 @query
@@ -89,7 +92,7 @@ def association_scan(spark, sf):
 @query
 def state_entity_filter(spark, sf):
     ids = bind.id_map(spark, sf).select("utility_id_eia")
-    return rounded(tables.state_entities(bind.sales(spark, sf), TARGET_STATE, ids), 6)
+    return tables.state_entities(bind.sales(spark, sf), TARGET_STATE, ids)
 
 
 # ---- panel ------------------------------------------------------------------------------
@@ -103,7 +106,7 @@ def account_category(spark, sf):
 
 @query
 def dedupe_rollup(spark, sf):
-    return rounded(panel.roll_up_duplicates(bind.sales(spark, sf)), 6)
+    return rounded(panel.roll_up_duplicates(bind.sales(spark, sf)), 6, *REVENUE_COLUMNS)
 
 
 @query
@@ -125,12 +128,12 @@ def panel_join(spark, sf):
         bind.id_map(spark, sf),
         tables.operating_revenue(bind.income(spark, sf)),
     )
-    return rounded(joined, 6)
+    return rounded(joined, 6, *REVENUE_COLUMNS)
 
 
 @query
 def panel_final(spark, sf):
-    return rounded(bind.panel(spark, sf, mapped_only=False), 6)
+    return rounded(bind.panel(spark, sf, mapped_only=False), 6, *REVENUES)
 
 
 @query
@@ -147,6 +150,7 @@ def derived_metrics(spark, sf):
             "revenue_per_customer",
         ),
         6,
+        "revenue_per_customer",
     )
 
 
@@ -190,12 +194,12 @@ def format_amounts(spark, sf):
 
 @query
 def om_ex_production(spark, sf):
-    return rounded(models.om_ex_production(clean(spark, sf)), 6)
+    return models.om_ex_production(clean(spark, sf))
 
 
 @query
 def kpi_formulas(spark, sf):
-    return rounded(models.kpi_formulas(modelled(spark, sf)), 6)
+    return models.kpi_formulas(modelled(spark, sf))
 
 
 @query
@@ -205,13 +209,13 @@ def wacc_from_capital(spark, sf):
     total = F.col("rate_base") + F.col("operating_revenues_ferc")
     equity, debt = F.col("rate_base") / total, F.col("operating_revenues_ferc") / total
     wacc = models.wacc_of(equity, F.lit(0.10), debt, F.lit(0.05))
-    return rounded(df.select("utility_id_ferc1", "report_year", wacc.alias("wacc")), 9)
+    return df.select("utility_id_ferc1", "report_year", wacc.alias("wacc"))
 
 
 @query
 def baseline_filter(spark, sf):
     kept = panel.start_from_baseline(clean(spark, sf), bind.baselines(spark, sf))
-    return rounded(kept.select("utility_id_ferc1", "report_year", "om_total", "rate_base"), 6)
+    return kept.select("utility_id_ferc1", "report_year", "om_total", "rate_base")
 
 
 # ---- models -----------------------------------------------------------------------------
@@ -219,30 +223,27 @@ def baseline_filter(spark, sf):
 
 @query
 def revenue_requirement(spark, sf):
-    return rounded(models.requirement_breakdown(clean(spark, sf)), 6)
+    return models.requirement_breakdown(clean(spark, sf))
 
 
 @query
 def revenue_requirement_with_passthrough(spark, sf):
-    return rounded(
-        models.requirement_breakdown(clean(spark, sf), exclude_passthrough=False), 6
-    )
+    return models.requirement_breakdown(clean(spark, sf), exclude_passthrough=False)
 
 
 @query
 def revenue_gap(spark, sf):
-    return rounded(models.add_requirement(clean(spark, sf)), 6)
+    return rounded(models.add_requirement(clean(spark, sf)), 6, *REVENUES)
 
 
 @query
 def grc_requirement(spark, sf):
-    return rounded(modelled(spark, sf), 6)
+    return rounded(modelled(spark, sf), 6, *REVENUES)
 
 
 @query
 def grc_breakdown(spark, sf):
-    return rounded(
-        models.add_grc_breakdown(clean(spark, sf)).select(
+    return models.add_grc_breakdown(clean(spark, sf)).select(
             "utility_id_ferc1",
             "report_year",
             "om_distribution",
@@ -254,15 +255,12 @@ def grc_breakdown(spark, sf):
             "om_excluded",
             "om_production",
             "om_transmission",
-        ),
-        6,
-    )
+        )
 
 
 @query
 def grc_alt(spark, sf):
-    return rounded(
-        models.add_grc_requirement_alt(clean(spark, sf)).select(
+    return models.add_grc_requirement_alt(clean(spark, sf)).select(
             "utility_id_ferc1",
             "report_year",
             "om_grc",
@@ -274,34 +272,33 @@ def grc_alt(spark, sf):
             "revenue_requirement_grc",
             "om_per_customer_grc",
             "om_per_mwh_grc",
-        ),
-        6,
-    )
+        )
 
 
 @query
 def test_year_forecast(spark, sf):
-    return rounded(models.forecast_test_year(clean(spark, sf, [BASE]), BASE), 6)
+    return models.forecast_test_year(clean(spark, sf, [BASE]), BASE)
 
 
 @query
 def test_year_forecast_grc(spark, sf):
-    return rounded(models.forecast_test_year_grc(clean(spark, sf, [BASE]), BASE), 6)
+    return models.forecast_test_year_grc(clean(spark, sf, [BASE]), BASE)
 
 
 @query
 def wacc_sensitivity(spark, sf):
-    return rounded(models.wacc_sensitivity(clean(spark, sf)), 6)
+    return models.wacc_sensitivity(clean(spark, sf))
 
 
 @query
 def compare_methodologies(spark, sf):
-    return rounded(models.compare_methodologies(modelled(spark, sf, [BASE]), BASE), 6)
+    return models.compare_methodologies(modelled(spark, sf, [BASE]), BASE)
 
 
 @query
 def class_shares(spark, sf):
-    return rounded(bills.class_shares(clean(spark, sf)), 6)
+    shares = rounded(bills.class_shares(clean(spark, sf)), 6, *REVENUE_COLUMNS)
+    return rounded(shares, 9, *[f"{s}_share" for s in SECTORS])
 
 
 @query
@@ -311,28 +308,35 @@ def residential_bill(spark, sf):
 
 @query
 def bill_impact(spark, sf):
-    return rounded(bills.bill_impact(clean(spark, sf, [BASE]), BASE), 6)
+    impact = bills.bill_impact(clean(spark, sf, [BASE]), BASE)
+    return rounded(impact, 9, *[
+        c
+        for c in impact.columns
+        if c.startswith(("residential_", "current_", "proposed_", "monthly_", "annual_"))
+        and not c.endswith("_rr")
+    ])
 
 
 @query
 def bill_sensitivity(spark, sf):
-    return rounded(bills.bill_sensitivity(clean(spark, sf, [BASE]), BASE), 6)
+    result = bills.bill_sensitivity(clean(spark, sf, [BASE]), BASE)
+    return rounded(result, 6, "monthly_bill", "change_from_base", "change_pct")
 
 
 @query
 def ag_sensitivity(spark, sf):
-    return rounded(models.ag_sensitivity(clean(spark, sf)), 6)
+    return models.ag_sensitivity(clean(spark, sf))
 
 
 @query
 def ag_backsolve(spark, sf):
     target = F.col("om_total") * 0.25
-    return rounded(models.ag_backsolve(clean(spark, sf), target), 6)
+    return models.ag_backsolve(clean(spark, sf), target)
 
 
 @query
 def residential_bill_methods(spark, sf):
-    return rounded(bills.residential_bill_methods(clean(spark, sf, [BASE]), BASE), 6)
+    return rounded(bills.residential_bill_methods(clean(spark, sf, [BASE]), BASE), 9)
 
 
 @query
@@ -344,23 +348,23 @@ def revenue_reconcile(spark, sf):
 @query
 def rr_recompute_check(spark, sf):
     stored = models.add_requirement(clean(spark, sf))
-    return rounded(models.requirement_check(stored), 6)
+    return models.requirement_check(stored)
 
 
 @query
 def cost_breakdown(spark, sf):
-    return rounded(models.cost_breakdown(clean(spark, sf, [BASE]), BASE, unit=1e6), 8)
+    return models.cost_breakdown(clean(spark, sf, [BASE]), BASE, unit=1e6)
 
 
 @query
 def summary_requirement(spark, sf):
     results = run_models(clean(spark, sf, [BASE]), BASE)
-    return rounded(summary_tables(results, BASE)["requirement"], 6)
+    return summary_tables(results, BASE)["requirement"]
 
 
 # ---- statistics -------------------------------------------------------------------------
 
-_TREND_DIGITS = {"slope": 4, "intercept": 1, "mean": 4, "std": 4}
+_TREND_DIGITS = {"slope": 4, "intercept": 1, "mean": 5, "std": 4}
 
 
 def _trend(df: DataFrame) -> DataFrame:
@@ -381,7 +385,8 @@ def trend_pvalue(spark, sf):
 
 @query
 def summary_by_entity(spark, sf):
-    return rounded(stats.summary_by_entity(clean(spark, sf)), 4)
+    result = rounded(stats.summary_by_entity(clean(spark, sf)), 5, "mean")
+    return rounded(result, 4, "std", "min", "max", "cagr_percent")
 
 
 @query
@@ -397,17 +402,17 @@ def cagr_baseline(spark, sf):
 
 @query
 def yoy_change(spark, sf):
-    return rounded(stats.yoy_change(clean(spark, sf), "om_total"), 6)
+    return stats.yoy_change(clean(spark, sf), "om_total")
 
 
 @query
 def yoy_matrix(spark, sf):
-    return rounded(stats.yoy_matrix(clean(spark, sf), "om_total", bind.YEARS), 6)
+    return stats.yoy_matrix(clean(spark, sf), "om_total", bind.YEARS)
 
 
 @query
 def yoy_matrix_flags(spark, sf):
-    return rounded(stats.yoy_cells(clean(spark, sf), "rate_base"), 6)
+    return stats.yoy_cells(clean(spark, sf), "rate_base")
 
 
 @query
@@ -420,7 +425,9 @@ def peer_benchmark(spark, sf):
 
 @query
 def outliers(spark, sf):
-    return rounded(stats.outliers(staged(spark, sf), "om_per_customer"), 6)
+    return rounded(
+        stats.outliers(staged(spark, sf), "om_per_customer"), 6, *REVENUES, "z_score"
+    )
 
 
 @query
@@ -497,12 +504,12 @@ def key_findings(spark, sf):
 
 @query
 def chart_om_trend(spark, sf):
-    return rounded(charts.om_trend(clean(spark, sf)), 8)
+    return rounded(charts.om_trend(clean(spark, sf)), 8, "cagr_percent")
 
 
 @query
 def rr_waterfall(spark, sf):
-    return rounded(charts.requirement_waterfall(modelled(spark, sf)), 6)
+    return charts.requirement_waterfall(modelled(spark, sf))
 
 
 @query
@@ -512,4 +519,4 @@ def chart_revenue_gap(spark, sf):
 
 @query
 def chart_bill_impact(spark, sf):
-    return rounded(charts.bill_impact(bills.bill_impact(clean(spark, sf, [BASE]), BASE)), 6)
+    return rounded(charts.bill_impact(bills.bill_impact(clean(spark, sf, [BASE]), BASE)), 9)
