@@ -1,8 +1,12 @@
-"""Column expressions shared by the operators. Everything here stays in the JVM."""
+"""SQL expressions shared by the operators, and helpers to apply them.
+
+Expressions are text: a model is then one `selectExpr` over named columns, whose plan Catalyst
+builds in one step. Everything here stays in the JVM.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.config import (
@@ -25,170 +29,198 @@ def existing(df: DataFrame, columns) -> list[str]:
     return [c for c in columns if c in df.columns]
 
 
-def col_or(df: DataFrame, name: str, fallback: Column) -> Column:
+def col_or(df: DataFrame, name: str, fallback: str) -> str:
     """The column if the frame has it, else the fallback expression."""
-    return F.col(name) if name in df.columns else fallback
+    return name if name in df.columns else fallback
+
+
+def named(expressions: dict[str, str]) -> list[str]:
+    return [f"{text} AS `{name}`" for name, text in expressions.items()]
+
+
+def add_columns(df: DataFrame, expressions: dict[str, str]) -> DataFrame:
+    """Add columns, or replace those that exist, in one projection."""
+    kept = [
+        f"{expressions[c]} AS `{c}`" if c in expressions else f"`{c}`" for c in df.columns
+    ]
+    new = {n: t for n, t in expressions.items() if n not in df.columns}
+    return df.selectExpr(*kept, *named(new))
+
+
+def aggregate(df: DataFrame, keys, expressions: dict[str, str]) -> DataFrame:
+    return df.groupBy(*keys).agg(*[F.expr(t).alias(n) for n, t in expressions.items()])
+
+
+def known(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows where all these columns have a value."""
+    return df.where(" AND ".join(f"{c} IS NOT NULL" for c in columns))
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Missing is NULL only: one NaN would poison every sum and mean downstream."""
     floats = [f.name for f in df.schema if f.dataType.typeName() in ("double", "float")]
-    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in floats})
+    return add_columns(df, {c: f"nanvl(`{c}`, NULL)" for c in floats}) if floats else df
+
+
+def number(x: float) -> str:
+    """Double literal."""
+    return f"{float(x)!r}D"
+
+
+def text(s: str) -> str:
+    """String literal."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def pct_of(part: str, whole: str) -> str:
+    return f"(try_divide({part}, {whole}) * 100D)"
 
 
-def sum_amount(amount: Column, scale: int | None = AMOUNT_SCALE) -> Column:
+def sum_amount(amount: str, scale: int | None = AMOUNT_SCALE) -> str:
     """Sum of filed dollar amounts, 0 over nothing but nulls.
 
     Filings carry whole cents, so the sum runs over 64-bit cents: exact, the same in any order or
     after a retry, and cheaper than decimals. `scale=None` sums the values as they are.
     """
     if scale is None:
-        total = F.sum(amount).cast("double")
-    else:
-        total = F.sum(F.rint(amount * scale).cast("long")) / float(scale)
-    return F.coalesce(total, F.lit(0.0))
+        return f"coalesce(CAST(sum({amount}) AS DOUBLE), 0D)"
+    cents = f"CAST(rint(({amount}) * {scale}) AS BIGINT)"
+    return f"coalesce(sum({cents}) / {number(scale)}, 0D)"
 
 
-def safe_div(numerator: Column, denominator: Column) -> Column:
-    """NULL where the denominator is 0 (a bare division raises under ANSI)."""
-    return F.when(denominator != 0, numerator / denominator)
-
-
-def pct_of(part: Column, whole: Column) -> Column:
-    return F.when(whole != 0, part / whole * 100.0)
-
-
-def account_number(code: Column) -> Column:
+def account_number(code: str) -> str:
     """Text code to number; NULL where it is not a plain decimal number.
 
     The last-character test rejects the d/f suffixes, 'inf' and 'nan' that the cast accepts;
     the x test rejects hexadecimal floats.
     """
-    tail = F.right(F.rtrim(code), F.lit(1))
-    plain = tail.between("0", "9") | (tail == ".")
-    return F.when(plain & (F.instr(F.lower(code), "x") == 0), code.try_cast("double"))
+    tail = f"right(rtrim({code}), 1)"
+    return (
+        f"CASE WHEN ({tail} BETWEEN '0' AND '9' OR {tail} = '.')"
+        f" AND instr(lower({code}), 'x') = 0 THEN try_cast({code} AS DOUBLE) END"
+    )
 
 
-def account_category(code: Column, ranges: dict | None = None) -> Column:
-    """Functional category of an account code.
+def category_of(number_column: str, ranges: dict | None = None) -> str:
+    """Functional category of an account number.
 
-    The ranges apply to the truncated number, which for positive bounds is lo <= x < hi + 1.
+    Ranges apply to the truncated number, which for positive bounds is lo <= x < hi + 1.
     """
-    number = account_number(code)
-    category = None
-    for name, (lo, hi) in (ranges or CATEGORY_RANGES).items():
-        hit = (number >= lo) & (number < hi + 1)
-        category = F.when(hit, name) if category is None else category.when(hit, name)
-    return category.otherwise(OTHER_CATEGORY)
+    cases = " ".join(
+        f"WHEN {number_column} >= {lo} AND {number_column} < {hi + 1} THEN '{name}'"
+        for name, (lo, hi) in (ranges or CATEGORY_RANGES).items()
+    )
+    return f"CASE {cases} ELSE '{OTHER_CATEGORY}' END"
 
 
-def cagr_pct(first: Column, last: Column, n_years: Column) -> Column:
+def cagr_pct(first: str, last: str, n_years: str) -> str:
     """Compound growth in percent; NULL for a non-positive start, no elapsed years or NaN."""
-    growth = (F.pow(last / first, 1.0 / n_years) - 1.0) * 100.0
-    value = F.when((first > 0) & (n_years > 0), growth)
-    return F.when(~F.isnan(value), value)
+    growth = f"(pow({last} / {first}, 1D / {n_years}) - 1D) * 100D"
+    return f"(CASE WHEN {first} > 0 AND {n_years} > 0 THEN nanvl({growth}, NULL) END)"
 
 
-def rate_base_return(rate_base: Column, rate) -> Column:
+def rate_base_return(rate_base: str, rate: str) -> str:
     """rate x rate base, 0 for a rate base of 0 or less."""
-    return F.when(rate_base <= 0, F.lit(0.0)).otherwise(rate_base * rate)
+    return f"(CASE WHEN {rate_base} <= 0 THEN 0D ELSE {rate_base} * {rate} END)"
+
+
+def _where_known(inputs, parts: dict[str, str]) -> dict[str, str]:
+    given = " AND ".join(f"{c} IS NOT NULL" for c in inputs)
+    return {name: f"(CASE WHEN {given} THEN {part} END)" for name, part in parts.items()}
 
 
 def requirement_parts(
-    om_total: Column,
-    om_other: Column | None,
-    rate_base: Column,
+    om_total: str,
+    om_other: str | None,
+    rate_base: str,
     a: Assumptions = DEFAULTS,
     exclude_passthrough: bool = True,
-    wacc: Column | None = None,
-) -> dict[str, Column]:
+    wacc: str | None = None,
+) -> dict[str, str]:
     """Total revenue requirement: cost + depreciation + return, grossed up for tax.
 
     `om_other` (pass-through cost) is left out of the expense when given and excluded.
     """
-    known = om_total.isNotNull() & rate_base.isNotNull()
-    passthrough = F.lit(0.0)
+    passthrough = "0D"
     if om_other is not None and exclude_passthrough:
-        passthrough = F.coalesce(om_other, F.lit(0.0))
-    expense = om_total - passthrough
-    depreciation = rate_base_return(rate_base, a.depreciation_rate)
-    return_on = rate_base_return(rate_base, F.lit(a.wacc) if wacc is None else wacc)
-    pre_tax = expense + depreciation + return_on
-    taxes = pre_tax * a.tax_rate / (1.0 - a.tax_rate)
-    parts = {
+        passthrough = f"coalesce({om_other}, 0D)"
+    expense = f"({om_total} - {passthrough})"
+    depreciation = rate_base_return(rate_base, number(a.depreciation_rate))
+    return_on = rate_base_return(rate_base, wacc or number(a.wacc))
+    pre_tax = f"({expense} + {depreciation} + {return_on})"
+    taxes = f"({pre_tax} * {number(a.tax_rate)} / {number(1.0 - a.tax_rate)})"
+    return _where_known([om_total, rate_base], {
         "om_expense": expense,
         "om_passthrough": passthrough,
         "depreciation": depreciation,
         "return_on_rate_base": return_on,
         "pre_tax_total": pre_tax,
         "taxes": taxes,
-        "revenue_requirement": pre_tax + taxes,
-    }
-    return {name: F.when(known, c) for name, c in parts.items()}
+        "revenue_requirement": f"({pre_tax} + {taxes})",
+    })
+
+
+def allocated_om(distribution: str, customer_service: str, admin_general: str, share) -> str:
+    return f"({distribution} + {customer_service} + {admin_general} * {share})"
 
 
 def grc_parts(
-    distribution: Column,
-    customer_service: Column,
-    admin_general: Column,
-    rate_base: Column,
+    distribution: str,
+    customer_service: str,
+    admin_general: str,
+    rate_base: str,
     a: Assumptions = DEFAULTS,
-) -> dict[str, Column]:
+) -> dict[str, str]:
     """Rate-case revenue requirement: allocated cost + depreciation + return, simple tax."""
-    inputs = [distribution, customer_service, admin_general, rate_base]
-    known = inputs[0].isNotNull()
-    for c in inputs[1:]:
-        known = known & c.isNotNull()
-    allocated = admin_general * a.ag_allocation
-    grc_om = distribution + customer_service + allocated
-    depreciation = rate_base_return(rate_base, a.depreciation_rate)
-    return_on = rate_base_return(rate_base, a.wacc)
-    pre_tax = grc_om + depreciation + return_on
-    taxes = pre_tax * a.grc_tax_rate
-    parts = {
+    share = number(a.ag_allocation)
+    grc_om = allocated_om(distribution, customer_service, admin_general, share)
+    depreciation = rate_base_return(rate_base, number(a.depreciation_rate))
+    return_on = rate_base_return(rate_base, number(a.wacc))
+    pre_tax = f"({grc_om} + {depreciation} + {return_on})"
+    taxes = f"({pre_tax} * {number(a.grc_tax_rate)})"
+    return _where_known([distribution, customer_service, admin_general, rate_base], {
         "grc_om": grc_om,
-        "om_ag_allocated": allocated,
+        "om_ag_allocated": f"({admin_general} * {share})",
         "depreciation": depreciation,
         "return_on_rate_base": return_on,
         "pre_tax_total": pre_tax,
         "taxes": taxes,
-        "grc_revenue_requirement": pre_tax + taxes,
-    }
-    return {name: F.when(known, c) for name, c in parts.items()}
+        "grc_revenue_requirement": f"({pre_tax} + {taxes})",
+    })
 
 
-def residential_bill(
-    requirement: Column, share: Column, sales_mwh: Column, kwh: float
-) -> dict[str, Column]:
+def residential_bill(requirement: str, share: str, sales_mwh: str, kwh: float) -> dict[str, str]:
     """Average residential bill from an allocated requirement; NULL for invalid inputs."""
-    valid = (sales_mwh > 0) & (share >= 0) & (share <= 1)
-    allocated = requirement * share
-    sales_kwh = sales_mwh * 1000.0
-    rate = F.when(sales_mwh > 0, allocated / sales_kwh)
+    allocated = f"({requirement} * {share})"
+    sales_kwh = f"({sales_mwh} * 1000D)"
+    rate = f"try_divide({allocated}, {sales_kwh})"
+    valid = f"{sales_mwh} > 0 AND {share} BETWEEN 0 AND 1"
     parts = {
         "residential_rr": allocated,
         "residential_sales_kwh": sales_kwh,
         "avg_rate_per_kwh": rate,
-        "monthly_bill": rate * kwh,
+        "monthly_bill": f"({rate} * {number(kwh)})",
     }
-    return {name: F.when(valid, c) for name, c in parts.items()}
+    return {name: f"(CASE WHEN {valid} THEN {part} END)" for name, part in parts.items()}
+
+
+def _format_dollars(pattern: str, amount: str) -> str:
+    return f"CASE WHEN {amount} IS NOT NULL THEN format_string('{pattern}', {amount}) END"
 
 
-def format_billions(amount: Column) -> Column:
-    return F.when(amount.isNotNull(), F.format_string("$%.1fB", amount / 1e9))
+def format_billions(amount: str) -> str:
+    return _format_dollars("$%.1fB", f"({amount} / 1e9D)")
 
 
-def format_millions(amount: Column) -> Column:
-    return F.when(amount.isNotNull(), F.format_string("$%.0fM", amount / 1e6))
+def format_millions(amount: str) -> str:
+    return _format_dollars("$%.0fM", f"({amount} / 1e6D)")
 
 
-def rows_of(**columns) -> Column:
-    """struct(...) with named fields, for building literal row arrays."""
-    return F.struct(*[
-        (c if isinstance(c, Column) else F.lit(c)).alias(name) for name, c in columns.items()
-    ])
+def row(**fields: str) -> str:
+    """One literal row for `explode_rows`, a field per SQL expression."""
+    return "named_struct(" + ", ".join(f"'{n}', {t}" for n, t in fields.items()) + ")"
 
 
-def explode_rows(df: DataFrame, keep, rows: list[Column]) -> DataFrame:
+def explode_rows(df: DataFrame, keep, rows: list[str]) -> DataFrame:
     """One output row per element of a literal row list: no join and no shuffle."""
-    return df.select(*keep, F.inline(F.array(*rows)))
+    return df.selectExpr(*keep, f"inline(array({', '.join(rows)}))")

@@ -3,24 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from panelspark.config import BILL_SCENARIOS, DEFAULTS, SECTORS, Assumptions
 from panelspark.functions.columns import (
+    add_columns,
     explode_rows,
+    known,
+    named,
+    number,
     pct_of,
     require_columns,
     requirement_parts,
     residential_bill,
-    rows_of,
-    safe_div,
+    row,
+    text,
 )
+from panelspark.operators.models import KEYS
 from panelspark.schemas import REVENUE_COLUMNS
 
 BILL_INPUTS = [
-    "utility_id_ferc1",
-    "utility_name",
-    "report_year",
+    *KEYS,
     "om_total",
     "rate_base",
     "revenue_residential_k",
@@ -30,91 +32,71 @@ BILL_INPUTS = [
 
 
 def class_shares(df: DataFrame) -> DataFrame:
-    keys = ["utility_id_ferc1", "utility_name", "report_year"]
-    require_columns(df, [*keys, *REVENUE_COLUMNS])
-    shares = {
-        f"{s}_share": safe_div(F.col(f"revenue_{s}_k"), F.col("revenue_total_k"))
-        for s in SECTORS
-    }
-    return df.select(*keys, *REVENUE_COLUMNS).withColumns(shares)
+    require_columns(df, [*KEYS, *REVENUE_COLUMNS])
+    shares = {f"{s}_share": f"try_divide(revenue_{s}_k, revenue_total_k)" for s in SECTORS}
+    return df.selectExpr(*KEYS, *REVENUE_COLUMNS, *named(shares))
 
 
 def bill_rows(df: DataFrame, base_year: int) -> DataFrame:
     """Base-year rows a bill can be computed for, with the residential share."""
     require_columns(df, BILL_INPUTS)
-    share = safe_div(F.col("revenue_residential_k"), F.col("revenue_total_k"))
-    zero_total = F.col("revenue_total_k") == 0
-    return df.where(
-        (F.col("report_year") == base_year)
-        & F.col("om_total").isNotNull()
-        & F.col("rate_base").isNotNull()
-        & (F.col("sales_mwh_residential") > 0)
-    ).withColumn("residential_share", F.when(zero_total, F.lit(0.0)).otherwise(share))
-
-
-def allocated_bills(
-    df: DataFrame, base_year: int, a: Assumptions = DEFAULTS
-) -> DataFrame:
+    rows = known(df.where(f"report_year = {base_year}"), "om_total", "rate_base").where(
+        "sales_mwh_residential > 0"
+    )
+    share = (
+        "CASE WHEN revenue_total_k = 0 THEN 0D"
+        " ELSE try_divide(revenue_residential_k, revenue_total_k) END"
+    )
+    return add_columns(rows, {"residential_share": share})
+
+
+def allocated_bills(df: DataFrame, base_year: int, a: Assumptions = DEFAULTS) -> DataFrame:
     """Residential bill from the residential share of the total requirement."""
     rows = bill_rows(df, base_year)
-    om_other = F.col("om_other") if "om_other" in df.columns else None
-    parts = requirement_parts(F.col("om_total"), om_other, F.col("rate_base"), a)
+    other = "om_other" if "om_other" in df.columns else None
+    requirement = requirement_parts("om_total", other, "rate_base", a)["revenue_requirement"]
     bill = residential_bill(
-        parts["revenue_requirement"],
-        F.col("residential_share"),
-        F.col("sales_mwh_residential"),
-        a.avg_monthly_kwh,
+        requirement, "residential_share", "sales_mwh_residential", a.avg_monthly_kwh
     )
-    return rows.select(
-        "utility_id_ferc1",
-        "utility_name",
-        "report_year",
-        *[c.alias(name) for name, c in bill.items()],
-        F.lit(a.avg_monthly_kwh).alias("avg_monthly_kwh"),
+    return rows.selectExpr(
+        *KEYS, *named({**bill, "avg_monthly_kwh": number(a.avg_monthly_kwh)})
     )
 
 
 def bill_impact(df: DataFrame, base_year: int, a: Assumptions = DEFAULTS) -> DataFrame:
     """Actual bill against the same bill scaled by forecast over current requirement."""
-    om, rate_base = F.col("om_total"), F.col("rate_base")
-    other = F.col("om_other") if "om_other" in df.columns else None
-    current = requirement_parts(om, other, rate_base, a)["revenue_requirement"]
-    proposed = requirement_parts(
-        om * (1.0 + a.om_escalation), other, rate_base * (1.0 + a.rate_base_growth), a
-    )["revenue_requirement"]
-    rate = F.col("revenue_residential_k") * 1000.0 / (F.col("sales_mwh_residential") * 1000.0)
-    rows = bill_rows(df, base_year).select(
-        "utility_id_ferc1",
-        "utility_name",
-        F.lit(base_year).alias("base_year"),
-        "residential_share",
-        (F.col("residential_share") * 100.0).alias("residential_share_pct"),
-        current.alias("current_rr"),
-        proposed.alias("proposed_rr"),
-        rate.alias("current_rate_per_kwh"),
-        safe_div(proposed, current).alias("factor"),
-    ).where(F.col("current_rr") != 0)
-    bill = F.col("current_rate_per_kwh") * a.avg_monthly_kwh
-    change = F.col("proposed_monthly_bill") - F.col("current_monthly_bill")
-    return (
-        rows.withColumn("proposed_rate_per_kwh", F.col("current_rate_per_kwh") * F.col("factor"))
-        .withColumn("current_monthly_bill", bill)
-        .withColumn("proposed_monthly_bill", F.col("current_monthly_bill") * F.col("factor"))
-        .withColumn("monthly_change_dollars", change)
-        .withColumn(
-            "monthly_change_pct",
-            F.when(F.col("current_monthly_bill") == 0, F.lit(0.0)).otherwise(
-                pct_of(F.col("monthly_change_dollars"), F.col("current_monthly_bill"))
-            ),
-        )
-        .withColumn("annual_change_dollars", F.col("monthly_change_dollars") * 12.0)
-        .withColumns({
-            "avg_monthly_kwh": F.lit(a.avg_monthly_kwh),
-            "om_escalation": F.lit(a.om_escalation),
-            "rate_base_growth": F.lit(a.rate_base_growth),
-        })
-        .drop("factor")
+    other = "om_other" if "om_other" in df.columns else None
+    up, grow = number(1.0 + a.om_escalation), number(1.0 + a.rate_base_growth)
+    current = requirement_parts("om_total", other, "rate_base", a)
+    proposed = requirement_parts(f"(om_total * {up})", other, f"(rate_base * {grow})", a)
+    rows = bill_rows(df, base_year).selectExpr("utility_id_ferc1", "utility_name", *named({
+        "base_year": str(base_year),
+        "residential_share": "residential_share",
+        "residential_share_pct": "residential_share * 100D",
+        "current_rr": current["revenue_requirement"],
+        "proposed_rr": proposed["revenue_requirement"],
+        "current_rate_per_kwh": "try_divide(revenue_residential_k * 1000D,"
+        " sales_mwh_residential * 1000D)",
+    })).where("current_rr <> 0")
+    rows = add_columns(rows, {
+        "factor": "proposed_rr / current_rr",
+        "current_monthly_bill": f"current_rate_per_kwh * {number(a.avg_monthly_kwh)}",
+    })
+    rows = add_columns(rows, {
+        "proposed_rate_per_kwh": "current_rate_per_kwh * factor",
+        "proposed_monthly_bill": "current_monthly_bill * factor",
+    })
+    rows = add_columns(
+        rows, {"monthly_change_dollars": "proposed_monthly_bill - current_monthly_bill"}
     )
+    change_pct = pct_of("monthly_change_dollars", "current_monthly_bill")
+    return add_columns(rows, {
+        "monthly_change_pct": f"CASE WHEN current_monthly_bill = 0 THEN 0D ELSE {change_pct} END",
+        "annual_change_dollars": "monthly_change_dollars * 12D",
+        "avg_monthly_kwh": number(a.avg_monthly_kwh),
+        "om_escalation": number(a.om_escalation),
+        "rate_base_growth": number(a.rate_base_growth),
+    }).drop("factor")
 
 
 def bill_sensitivity(
@@ -125,61 +107,49 @@ def bill_sensitivity(
     Scenarios are exploded from a literal list and the first bill is a column: the output grows
     by a fixed factor and nothing is shuffled. Pass-through cost is not excluded here.
     """
-    om, rate_base = F.col("om_total"), F.col("rate_base")
 
-    def requirement(escalation, growth, wacc):
-        return requirement_parts(
-            om * (1.0 + escalation), None, rate_base * (1.0 + growth), a, wacc=wacc
-        )["revenue_requirement"]
+    def requirement(escalation: str, growth: str, wacc: str) -> str:
+        om, rate_base = f"(om_total * (1D + {escalation}))", f"(rate_base * (1D + {growth}))"
+        return requirement_parts(om, None, rate_base, a, wacc=wacc)["revenue_requirement"]
 
-    def bill(rr):
+    def bill(rr: str) -> str:
         return residential_bill(
-            rr, F.col("residential_share"), F.col("sales_mwh_residential"), a.avg_monthly_kwh
+            rr, "residential_share", "sales_mwh_residential", a.avg_monthly_kwh
         )["monthly_bill"]
 
-    keep = ["utility_id_ferc1", "utility_name", om, rate_base]
-    keep += ["residential_share", "sales_mwh_residential"]
-    out = explode_rows(bill_rows(df, base_year), keep, [
-        rows_of(scenario=n, om_escalation=float(e), rate_base_growth=float(g), wacc=float(w))
+    assumed = ["om_escalation", "rate_base_growth", "wacc"]
+    shown = ["utility_id_ferc1", "utility_name", "scenario", *assumed]
+    inputs = ["om_total", "rate_base", "residential_share", "sales_mwh_residential"]
+    tried = explode_rows(bill_rows(df, base_year), [*shown[:2], *inputs], [
+        row(scenario=text(n), om_escalation=number(e), rate_base_growth=number(g), wacc=number(w))
         for n, e, g, w in scenarios
     ])
-    _, e0, g0, w0 = scenarios[0]
-    base = bill(requirement(F.lit(float(e0)), F.lit(float(g0)), F.lit(float(w0))))
-    rr = requirement(F.col("om_escalation"), F.col("rate_base_growth"), F.col("wacc"))
-    out = out.withColumns({
-        "revenue_requirement": rr,
-        "monthly_bill": bill(rr),
-        "base_bill": base,
-    })
-    change = F.col("monthly_bill") - F.col("base_bill")
-    return out.select(
-        "utility_id_ferc1",
-        "utility_name",
-        "scenario",
-        "om_escalation",
-        "rate_base_growth",
-        "wacc",
-        "revenue_requirement",
-        "monthly_bill",
-        change.alias("change_from_base"),
-        F.when((F.col("base_bill") == 0) & change.isNotNull(), F.lit(0.0))
-        .otherwise(pct_of(change, F.col("base_bill")))
-        .alias("change_pct"),
-    )
+    costed = tried.selectExpr(*shown, *inputs, *named({
+        "revenue_requirement": requirement(*assumed),
+        "base_requirement": requirement(*[number(x) for x in scenarios[0][1:]]),
+    }))
+    billed = costed.selectExpr(*shown, "revenue_requirement", *named({
+        "monthly_bill": bill("revenue_requirement"),
+        "base_bill": bill("base_requirement"),
+    }))
+    change = "(monthly_bill - base_bill)"
+    return billed.selectExpr(*shown, "revenue_requirement", "monthly_bill", *named({
+        "change_from_base": change,
+        "change_pct": f"CASE WHEN base_bill = 0 AND {change} IS NOT NULL THEN 0D"
+        f" ELSE {pct_of(change, 'base_bill')} END",
+    }))
 
 
 def residential_bill_methods(df: DataFrame, year: int, kwh: float = 500.0) -> DataFrame:
     """Bill per customer from revenue, and for a fixed use from the average rate."""
-    revenue = F.col("revenue_residential_k") * 1000
-    rate = safe_div(revenue, F.col("sales_mwh_residential") * 1000)
-    return df.where(F.col("report_year") == year).select(
-        "utility_id_ferc1",
-        "utility_name",
-        "report_year",
-        "customers_residential",
-        (safe_div(revenue, F.col("customers_residential")) / 12).alias("monthly_bill_actual"),
-        rate.alias("rate_per_kwh"),
-        (rate * kwh).alias("monthly_bill_usage"),
+    revenue = "revenue_residential_k * 1000"
+    rate = f"try_divide({revenue}, sales_mwh_residential * 1000)"
+    return df.where(f"report_year = {year}").selectExpr(
+        *KEYS, "customers_residential", *named({
+            "monthly_bill_actual": f"try_divide({revenue}, customers_residential) / 12",
+            "rate_per_kwh": rate,
+            "monthly_bill_usage": f"{rate} * {number(kwh)}",
+        })
     )
 
 

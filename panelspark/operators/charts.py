@@ -2,19 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from panelspark.config import DEFAULTS, Assumptions
 from panelspark.functions.columns import (
+    add_columns,
+    allocated_om,
     cagr_pct,
     col_or,
     explode_rows,
     format_billions,
-    rows_of,
-    safe_div,
+    named,
+    number,
+    row,
+)
+from panelspark.operators.stats import (
+    ENTITY,
+    KEYS,
+    YEAR,
+    peer_difference,
+    yoy_cells,
+    yoy_matrix,
 )
-from panelspark.operators.stats import ENTITY, YEAR, peer_difference, yoy_matrix
 
 
 def om_trend(df: DataFrame) -> DataFrame:
@@ -22,34 +31,28 @@ def om_trend(df: DataFrame) -> DataFrame:
 
     The period is the number of rows less one. One clustering by entity serves the window.
     """
-    window = Window.partitionBy(ENTITY)
-    growth = cagr_pct(
-        F.min_by("om_total", YEAR).over(window),
-        F.max_by("om_total", YEAR).over(window),
-        F.count(F.lit(1)).over(window) - 1,
-    )
-    label = F.format_string("%s: %+.1f%%", F.col("utility_name"), F.col("cagr_percent"))
-    return (
-        df.select(ENTITY, "utility_name", YEAR, "om_total")
-        .withColumn("cagr_percent", growth)
-        .withColumn("cagr_label", F.when(F.col("cagr_percent").isNotNull(), label))
-        .withColumn("om_billions", F.col("om_total") / 1e9)
-        .drop("om_total")
-    )
+    entity = f"OVER (PARTITION BY {ENTITY})"
+    ends = df.selectExpr(*KEYS, "om_total", *named({
+        "first_om": f"min_by(om_total, {YEAR}) {entity}",
+        "last_om": f"max_by(om_total, {YEAR}) {entity}",
+        "periods": f"count(1) {entity} - 1",
+    }))
+    growth = {"cagr_percent": cagr_pct("first_om", "last_om", "periods")}
+    label = "format_string('%s: %+.1f%%', utility_name, cagr_percent)"
+    return add_columns(ends, growth).selectExpr(*KEYS, "cagr_percent", *named({
+        "om_billions": "om_total / 1e9D",
+        "cagr_label": f"CASE WHEN cagr_percent IS NOT NULL THEN {label} END",
+    }))
 
 
 def peer_comparison(df: DataFrame, year: int, a: Assumptions = DEFAULTS) -> DataFrame:
     """Allocated cost per customer against the peer average; computed if the column is absent."""
-    fallback = safe_div(
-        F.col("om_distribution")
-        + F.col("om_customer_service")
-        + F.col("om_admin_general") * a.ag_allocation,
-        F.col("customers_total"),
-    )
-    metric = col_or(df, "grc_om_per_customer", fallback)
-    return peer_difference(
-        df.withColumn("grc_om_per_customer", metric), year, "grc_om_per_customer"
+    cost = allocated_om(
+        "om_distribution", "om_customer_service", "om_admin_general", number(a.ag_allocation)
     )
+    metric = "grc_om_per_customer"
+    value = col_or(df, metric, f"try_divide({cost}, customers_total)")
+    return peer_difference(add_columns(df, {metric: value}), year, metric)
 
 
 def requirement_waterfall(df: DataFrame, a: Assumptions = DEFAULTS) -> DataFrame:
@@ -57,56 +60,55 @@ def requirement_waterfall(df: DataFrame, a: Assumptions = DEFAULTS) -> DataFrame
 
     Starts are sums of the columns before, so the running total needs no window.
     """
+    allocated = f"om_admin_general * {number(a.ag_allocation)}"
     components = {
-        "Distribution O&M": F.col("om_distribution"),
-        "Customer Service": F.col("om_customer_service"),
-        "A&G (70%)": col_or(
-            df, "om_ag_allocated", F.col("om_admin_general") * a.ag_allocation
-        ),
-        "Depreciation": col_or(df, "grc_depreciation", F.col("depreciation")),
-        "Return on Rate Base": col_or(
-            df, "grc_return_on_rate_base", F.col("return_on_rate_base")
-        ),
-        "Taxes (15%)": col_or(df, "grc_taxes", F.col("taxes")),
+        "Distribution O&M": "om_distribution",
+        "Customer Service": "om_customer_service",
+        "A&G (70%)": col_or(df, "om_ag_allocated", allocated),
+        "Depreciation": col_or(df, "grc_depreciation", "depreciation"),
+        "Return on Rate Base": col_or(df, "grc_return_on_rate_base", "return_on_rate_base"),
+        "Taxes (15%)": col_or(df, "grc_taxes", "taxes"),
     }
-    total = col_or(df, "grc_revenue_requirement", F.col("revenue_requirement"))
-    start, rows = F.lit(0.0), []
+    total = col_or(df, "grc_revenue_requirement", "revenue_requirement")
+    start, rows = "0D", []
     for i, (name, height) in enumerate(components.items(), start=1):
-        rows.append(rows_of(step=i, component=name, start=start, height=height))
-        start = start + height
+        rows.append(row(step=str(i), component=f"'{name}'", start=start, height=height))
+        start = f"({start} + {height})"
     rows.append(
-        rows_of(step=len(rows) + 1, component="GRC Revenue Requirement", start=0.0, height=total)
+        row(
+            step=str(len(rows) + 1),
+            component="'GRC Revenue Requirement'",
+            start="0D",
+            height=total,
+        )
     )
-    bars = explode_rows(df, [ENTITY, "utility_name", YEAR], rows)
-    return bars.withColumn("label", format_billions(F.col("height")))
+    return add_columns(explode_rows(df, KEYS, rows), {"label": format_billions("height")})
 
 
 def revenue_gap(df: DataFrame, year: int) -> DataFrame:
     """Gap in billions with its sign class."""
-    gap = F.col("revenue_gap")
-    side = F.when(gap < 0, "over-collecting").when(gap >= 0, "under-collecting")
-    return df.where(F.col(YEAR) == year).select(
-        ENTITY,
-        "utility_name",
-        YEAR,
-        (gap / 1e9).alias("gap_billions"),
-        "revenue_gap_pct",
-        side.alias("collection"),
+    side = (
+        "CASE WHEN revenue_gap < 0 THEN 'over-collecting'"
+        " WHEN revenue_gap >= 0 THEN 'under-collecting' END"
     )
+    return df.where(f"{YEAR} = {year}").selectExpr(*KEYS, "revenue_gap_pct", *named({
+        "gap_billions": "revenue_gap / 1e9D",
+        "collection": side,
+    }))
 
 
 def bill_impact(bills: DataFrame) -> DataFrame:
     """Current and proposed bill as rows, with the percent change on the proposed one."""
     return explode_rows(bills, [ENTITY, "utility_name"], [
-        rows_of(
-            series="Current",
-            monthly_bill=F.col("current_monthly_bill"),
-            change_pct=F.lit(None).cast("double"),
+        row(
+            series="'Current'",
+            monthly_bill="current_monthly_bill",
+            change_pct="CAST(NULL AS DOUBLE)",
         ),
-        rows_of(
-            series="Proposed",
-            monthly_bill=F.col("proposed_monthly_bill"),
-            change_pct=F.col("monthly_change_pct"),
+        row(
+            series="'Proposed'",
+            monthly_bill="proposed_monthly_bill",
+            change_pct="monthly_change_pct",
         ),
     ])
 
@@ -117,8 +119,9 @@ def all_charts(
     return {
         "om_trend": om_trend(panel),
         "peer_comparison": peer_comparison(panel, year),
-        "rr_waterfall": requirement_waterfall(requirement.where(F.col(YEAR) == year)),
+        "rr_waterfall": requirement_waterfall(requirement.where(f"{YEAR} = {year}")),
         "revenue_gap": revenue_gap(requirement, year),
         "bill_impact": bill_impact(bills),
         "yoy_heatmap": yoy_matrix(panel, "om_total", years),
+        "yoy_cells": yoy_cells(panel, "om_total"),
     }

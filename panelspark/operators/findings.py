@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelspark.functions.columns import aggregate
 from panelspark.operators import regression, stats
 from panelspark.operators.stats import ENTITY, YEAR
 
@@ -30,49 +31,33 @@ def run_analysis(panel: DataFrame) -> dict[str, DataFrame]:
 
 def key_findings(panel: DataFrame) -> DataFrame:
     """(ordinal, finding, subject, value) rows. Pass a staged panel."""
-    latest = panel.where(F.col(YEAR) == stats.latest_year(panel))
-    growth = stats.trend(panel, COST_METRIC, p_values=False).where(F.col("status") == "ok")
+    latest = panel.where(f"{YEAR} = {stats.latest_year(panel)}")
+    growth = stats.trend(panel, COST_METRIC, p_values=False).where("status = 'ok'")
     terms = regression.significant_terms(regression.fit_terms(panel))
     collinear = regression.high_vif(regression.vif(panel))
     flagged = stats.outliers(panel, PEER_METRIC)
     shown = flagged.orderBy("utility_id_eia", YEAR).limit(SHOWN_OUTLIERS)
-    named = F.concat_ws(" ", F.col("utility_name"), F.col(YEAR).cast("string"))
+    counted = aggregate(flagged, [], {"n": "CAST(count(1) AS DOUBLE)"})
     found = [
-        _finding(
-            1,
-            "highest cost per customer",
-            _largest(latest, PEER_METRIC, ENTITY),
-        ),
-        _finding(2, "fastest cost growth", _largest(growth, "cagr_percent", "utility_id")),
-        _finding(3, "significant driver", _lines(terms, F.col("term"), F.col("p_value"))),
-        _finding(4, "collinear driver", _lines(collinear, F.col("variable"), F.col("vif"))),
-        _finding(
-            5,
-            "outlier count",
-            flagged.agg(
-                F.lit("all").alias("subject"),
-                F.count(F.lit(1)).cast("double").alias("value"),
-            ),
-        ),
-        _finding(6, "outlier", _lines(shown, named, F.col("z_score"))),
+        _lines(1, "highest cost per customer", _largest(latest, PEER_METRIC, ENTITY),
+               "utility_name", PEER_METRIC),
+        _lines(2, "fastest cost growth", _largest(growth, "cagr_percent", "utility_id"),
+               "utility_name", "cagr_percent"),
+        _lines(3, "significant driver", terms, "term", "p_value"),
+        _lines(4, "collinear driver", collinear, "variable", "vif"),
+        _lines(5, "outlier count", counted, "'all'", "n"),
+        _lines(6, "outlier", shown, f"concat_ws(' ', utility_name, {YEAR})", "z_score"),
     ]
     return reduce(DataFrame.unionByName, found)
 
 
-def _finding(ordinal: int, name: str, lines: DataFrame) -> DataFrame:
-    return lines.select(
-        F.lit(ordinal).alias("ordinal"), F.lit(name).alias("finding"), "subject", "value"
+def _lines(ordinal: int, name: str, df: DataFrame, subject: str, value: str) -> DataFrame:
+    return df.selectExpr(
+        f"{ordinal} AS ordinal", f"'{name}' AS finding", f"{subject} AS subject",
+        f"{value} AS value",
     )
 
 
-def _lines(df: DataFrame, subject: Column, value: Column) -> DataFrame:
-    return df.select(subject.alias("subject"), value.alias("value"))
-
-
 def _largest(df: DataFrame, metric: str, tie_breaker: str) -> DataFrame:
-    """Name and value of the largest metric; nulls lose, ties go to the lowest id."""
-    return (
-        df.orderBy(F.desc_nulls_last(metric), tie_breaker)
-        .limit(1)
-        .select(F.col("utility_name").alias("subject"), F.col(metric).alias("value"))
-    )
+    """The row with the largest metric; nulls lose, ties go to the lowest id."""
+    return df.orderBy(F.desc_nulls_last(metric), tie_breaker).limit(1)

@@ -7,9 +7,11 @@ task sees the same ranges. Rows are only ever ordered inside a range.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelspark.functions.columns import aggregate, known
+
 MAX_BUCKETS = 1000
 
 
@@ -38,36 +40,33 @@ def value_counts_in_order(df: DataFrame, column: str) -> tuple[DataFrame, int]:
 
     Grouping first makes a value that fills a third of the rows one row.
     """
-    known = df.where(F.col(column).isNotNull())
-    cuts = cut_points(known, column, bucket_count(df))
-    counts = known.groupBy(column).agg(F.count(F.lit(1)).alias("n")).withColumn(
+    values = known(df.select(column), column)
+    cuts = cut_points(values, column, bucket_count(df))
+    counts = aggregate(values, [column], {"n": "count(1)"}).withColumn(
         "bucket", bucket_of(F.col(column), cuts)
     )
-    totals = dict(
-        counts.groupBy("bucket").agg(F.sum("n").alias("n")).collect()  # one row per range
-    )
+    totals = dict(aggregate(counts, ["bucket"], {"n": "sum(n)"}).collect())  # one per range
     before, rows = [], 0
     for b in range(len(cuts) + 1):
         before.append(rows)
         rows += totals.get(b, 0)
-    start = F.array(*[F.lit(b).cast("long") for b in before])
-    in_bucket = Window.partitionBy("bucket").orderBy(column)
-    below = F.coalesce(
-        F.sum("n").over(in_bucket.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    start = f"array({', '.join(f'{b}L' for b in before)})[bucket]"
+    below = (
+        f"coalesce(sum(n) OVER (PARTITION BY bucket ORDER BY {column}"
+        " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L)"
     )
-    ordered = counts.withColumn("n_below", start[F.col("bucket")] + below)
-    return ordered.drop("bucket"), rows
+    ordered = counts.selectExpr(column, "n", f"{start} + {below} AS n_below")
+    return ordered, rows
 
 
 def ranked(df: DataFrame, column: str) -> DataFrame:
     """Adds `rank` (1 = highest, ties share the lowest) and `percentile` (ascending average
     rank over the non-null count, 0-100). NULL where the value is NULL."""
     counts, rows = value_counts_in_order(df, column)
-    average = F.col("n_below") + (F.col("n") + 1) / 2.0
-    placed = counts.select(
-        F.col(column).alias("ranked_value"),
-        (average / float(max(rows, 1)) * 100.0).alias("percentile"),
-        (F.lit(rows) - F.col("n_below") - F.col("n") + 1).cast("long").alias("rank"),
+    placed = counts.selectExpr(
+        f"{column} AS ranked_value",
+        f"(n_below + (n + 1) / 2D) / {max(rows, 1)}D * 100D AS percentile",
+        f"{rows} - n_below - n + 1 AS rank",
     )
     return df.join(placed, F.col(column) == F.col("ranked_value"), "left").drop("ranked_value")
 
@@ -80,21 +79,15 @@ def squared_steps(df: DataFrame, order: list[str], value: str) -> float:
     """
     key = order[0]
     cuts = cut_points(df, key, bucket_count(df))
-    position = F.struct(*order)
-    window = Window.partitionBy("bucket").orderBy(*order)
-    step = F.col(value) - F.lag(value).over(window)
-    ranges = (
-        df.select(*order, value)
-        .withColumn("bucket", bucket_of(F.col(key), cuts))
-        .withColumn("step", step)
-        .groupBy("bucket")
-        .agg(
-            F.sum(F.col("step") * F.col("step")).alias("inside"),
-            F.min_by(value, position).alias("head"),
-            F.max_by(value, position).alias("tail"),
-        )
-        .collect()  # one row per range
-    )
+    position = f"struct({', '.join(order)})"
+    window = f"OVER (PARTITION BY bucket ORDER BY {', '.join(order)})"
+    bucketed = df.select(*order, value).withColumn("bucket", bucket_of(F.col(key), cuts))
+    stepped = bucketed.selectExpr("*", f"{value} - lag({value}) {window} AS step")
+    ranges = aggregate(stepped, ["bucket"], {
+        "inside": "sum(step * step)",
+        "head": f"min_by({value}, {position})",
+        "tail": f"max_by({value}, {position})",
+    }).collect()  # one row per range
     total, last = 0.0, None
     for r in sorted(ranges, key=lambda r: r["bucket"]):
         total += r["inside"] or 0.0

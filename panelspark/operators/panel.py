@@ -8,12 +8,17 @@ from pyspark.sql import types as T
 
 from panelspark.config import CATEGORIES, DEFAULTS, OM_COLUMNS, Assumptions
 from panelspark.functions.columns import (
-    account_category,
+    account_number,
+    add_columns,
+    aggregate,
+    allocated_om,
+    category_of,
     existing,
     explode_rows,
+    known,
+    number,
     require_columns,
-    rows_of,
-    safe_div,
+    row,
     sum_amount,
 )
 from panelspark.schemas import PANEL_COLUMNS
@@ -22,29 +27,23 @@ from panelspark.sources.tables import KEYS
 SALES_KEYS = ["utility_id_eia", "report_year"]
 
 
-def _keyed(df: DataFrame, keys) -> DataFrame:
-    for k in keys:
-        df = df.where(F.col(k).isNotNull())
-    return df
-
-
 def roll_up_duplicates(df: DataFrame, keys=SALES_KEYS, ordinal="row_ordinal") -> DataFrame:
     """Sum numbers and keep the first non-null text per key, first by `ordinal`."""
-    aggregates = []
+    rolled = {}
     for field in df.schema:
-        c = F.col(field.name)
-        if field.name in (*keys, ordinal):
+        name = field.name
+        if name in (*keys, ordinal):
             continue
         if isinstance(field.dataType, T.NumericType):
-            aggregates.append(F.coalesce(F.sum(c), F.lit(0)).alias(field.name))
+            rolled[name] = f"coalesce(sum({name}), 0)"
         else:
-            first = F.min_by(c, F.when(c.isNotNull(), F.col(ordinal)))
-            aggregates.append(first.alias(field.name))
-    return _keyed(df, keys).groupBy(*keys).agg(*aggregates)
+            rolled[name] = f"min_by({name}, CASE WHEN {name} IS NOT NULL THEN {ordinal} END)"
+    return aggregate(known(df, *keys), keys, rolled)
 
 
 def categorize(df: DataFrame) -> DataFrame:
-    return df.withColumn("category", account_category(F.col("ferc_account")))
+    numbered = df.selectExpr("*", f"{account_number('ferc_account')} AS account_number")
+    return numbered.selectExpr(*df.columns, f"{category_of('account_number')} AS category")
 
 
 def category_sums(df: DataFrame) -> DataFrame:
@@ -52,30 +51,23 @@ def category_sums(df: DataFrame) -> DataFrame:
 
     Partial sums collapse a hot entity to at most one row per task, year and category.
     """
-    amount = sum_amount(F.col("dollar_value"))
-    return _keyed(df, KEYS).groupBy(*KEYS, "category").agg(amount.alias("amount"))
+    total = {"amount": sum_amount("dollar_value")}
+    return aggregate(known(df, *KEYS), [*KEYS, "category"], total)
 
 
 def pivot_expenses(df: DataFrame) -> DataFrame:
     """Categories as columns, 0 where a category is absent, and their total."""
     sums = df if "amount" in df.columns else category_sums(df)
-    wide = sums.groupBy(*KEYS).agg(*[
-        F.coalesce(F.max(F.when(F.col("category") == c, F.col("amount"))), F.lit(0.0)).alias(
-            f"om_{c}"
-        )
+    wide = aggregate(sums, KEYS, {
+        f"om_{c}": f"coalesce(max(CASE WHEN category = '{c}' THEN amount END), 0D)"
         for c in CATEGORIES
-    ])
-    total = F.col(OM_COLUMNS[0])
-    for name in OM_COLUMNS[1:]:
-        total = total + F.col(name)
-    return wide.withColumn("om_total", total)
+    })
+    return wide.selectExpr("*", f"{' + '.join(OM_COLUMNS)} AS om_total")
 
 
 def with_rate_base(df: DataFrame) -> DataFrame:
-    return df.withColumn(
-        "rate_base",
-        F.col("utility_plant_in_service") - F.col("accumulated_provision_for_depreciation"),
-    )
+    balance = "utility_plant_in_service - accumulated_provision_for_depreciation"
+    return add_columns(df, {"rate_base": balance})
 
 
 def join_panel(
@@ -96,21 +88,20 @@ def join_panel(
         combined = combined.join(
             revenues.select(*KEYS, "operating_revenues_ferc"), on=KEYS, how="left"
         )
-    names = id_map.select(
-        "utility_id_ferc1", "utility_id_eia", F.col("utility_name").alias("map_name")
+    names = id_map.selectExpr(
+        "utility_id_ferc1", "utility_id_eia", "utility_name AS map_name"
     )
     combined = combined.join(
         names, on="utility_id_ferc1", how="inner" if mapped_only else "left"
     )
     sold = sales.drop("row_ordinal").withColumnRenamed("utility_name", "sales_name")
     if mapped_only:
-        with_id = combined.where(F.col("utility_id_eia").isNotNull())
+        with_id = known(combined, "utility_id_eia")
         joined = with_id.join(sold, on=SALES_KEYS, how="left")
     else:
         joined = _full_join_on_nullable_id(combined, sold)
-    return joined.withColumn("utility_name", F.coalesce("map_name", "sales_name")).drop(
-        "map_name", "sales_name"
-    )
+    name = "coalesce(map_name, sales_name) AS utility_name"
+    return joined.selectExpr("*", name).drop("map_name", "sales_name")
 
 
 def _full_join_on_nullable_id(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -119,36 +110,29 @@ def _full_join_on_nullable_id(left: DataFrame, right: DataFrame) -> DataFrame:
     NULL keys never match, but they all hash alike: every unmapped row of a year would land in
     one task. They join on their own entity id under a flag the right side never has.
     """
-    unmapped = F.col("utility_id_eia").isNull()
-    left = left.withColumns({
-        "unmapped": unmapped,
-        "join_id": F.coalesce("utility_id_eia", "utility_id_ferc1").cast("long"),
-    }).drop("utility_id_eia")
-    right = right.withColumns({
-        "unmapped": F.lit(False),
-        "join_id": F.col("utility_id_eia").cast("long"),
-    }).drop("utility_id_eia")
+    id_columns = ("utility_id_eia IS NULL AS unmapped",
+                  "CAST(coalesce(utility_id_eia, utility_id_ferc1) AS BIGINT) AS join_id")
+    left = left.selectExpr("*", *id_columns).drop("utility_id_eia")
+    right = right.selectExpr(
+        "*", "false AS unmapped", "CAST(utility_id_eia AS BIGINT) AS join_id"
+    ).drop("utility_id_eia")
     joined = left.join(right, on=["unmapped", "join_id", "report_year"], how="full")
-    return joined.withColumn(
-        "utility_id_eia", F.when(~F.col("unmapped"), F.col("join_id"))
-    ).drop("unmapped", "join_id")
+    eia_id = "CASE WHEN NOT unmapped THEN join_id END AS utility_id_eia"
+    return joined.selectExpr("*", eia_id).drop("unmapped", "join_id")
 
 
 def derive_metrics(df: DataFrame, a: Assumptions = DEFAULTS) -> DataFrame:
     """Allocated cost and per-customer / per-unit ratios, NULL for a zero denominator."""
-    customers, mwh = F.col("customers_total"), F.col("sales_mwh_total")
-    grc_om = (
-        F.col("om_distribution")
-        + F.col("om_customer_service")
-        + F.col("om_admin_general") * a.ag_allocation
+    grc_om = allocated_om(
+        "om_distribution", "om_customer_service", "om_admin_general", number(a.ag_allocation)
     )
-    return df.withColumns({
+    return add_columns(df, {
         "grc_om": grc_om,
-        "om_per_customer": safe_div(F.col("om_total"), customers),
-        "grc_om_per_customer": safe_div(grc_om, customers),
-        "om_per_mwh": safe_div(F.col("om_total"), mwh),
-        "rate_base_per_customer": safe_div(F.col("rate_base"), customers),
-        "revenue_per_customer": safe_div(F.col("revenue_total_k") * 1000, customers),
+        "om_per_customer": "try_divide(om_total, customers_total)",
+        "grc_om_per_customer": f"try_divide({grc_om}, customers_total)",
+        "om_per_mwh": "try_divide(om_total, sales_mwh_total)",
+        "rate_base_per_customer": "try_divide(rate_base, customers_total)",
+        "revenue_per_customer": "try_divide(revenue_total_k * 1000, customers_total)",
     })
 
 
@@ -183,8 +167,7 @@ def start_from_baseline(df: DataFrame, baselines: DataFrame) -> DataFrame:
     `baselines` is (utility_id_ferc1, start_year), one row per entity.
     """
     started = df.join(baselines, on="utility_id_ferc1", how="left")
-    keep = F.col("start_year").isNull() | (F.col("report_year") >= F.col("start_year"))
-    return started.where(keep).drop("start_year")
+    return started.where("start_year IS NULL OR report_year >= start_year").drop("start_year")
 
 
 CRITICAL = ["utility_id_ferc1", "utility_id_eia", "report_year"]
@@ -200,29 +183,25 @@ def validate_panel(df: DataFrame, expected_rows) -> DataFrame:
     expected = expected_rows if not isinstance(expected_rows, (int, float)) else F.lit(
         float(expected_rows)
     )
-    rows = F.col("rows")
     stats = df.agg(
-        F.count(F.lit(1)).alias("rows"),
+        F.expr("count(1) AS row_count"),
         F.count_distinct(F.struct(*KEYS, "utility_id_eia")).alias("keys"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in CRITICAL],
+        *[F.expr(f"count_if({c} IS NULL) AS null_{c}") for c in CRITICAL],
     ).withColumn("half", expected.cast("double") * 0.5)
 
-    def check(name, observed, limit, passed):
-        return rows_of(
-            check=name,
-            observed=observed.cast("double"),
-            limit=limit.cast("double"),
+    def check(name: str, observed: str, limit: str, passed: str) -> str:
+        return row(
+            check=f"'{name}'",
+            observed=f"CAST({observed} AS DOUBLE)",
+            limit=limit,
             passed=passed,
         )
 
     return explode_rows(stats, [], [
-        check("not_empty", rows, F.lit(1.0), rows >= 1),
-        check("row_count", rows, F.col("half"), rows >= F.col("half")),
-        *[
-            check(f"null_{c}", F.col(f"null_{c}"), F.lit(0.0), F.col(f"null_{c}") == 0)
-            for c in CRITICAL
-        ],
-        check("duplicate_rows", rows - F.col("keys"), F.lit(0.0), rows == F.col("keys")),
+        check("not_empty", "row_count", "1D", "row_count >= 1"),
+        check("row_count", "row_count", "half", "row_count >= half"),
+        *[check(f"null_{c}", f"null_{c}", "0D", f"null_{c} = 0") for c in CRITICAL],
+        check("duplicate_rows", "row_count - keys", "0D", "row_count = keys"),
     ])
 
 
@@ -236,14 +215,12 @@ def assert_valid(checks: DataFrame) -> None:
 def profile(df: DataFrame, entity="utility_id_ferc1", year="report_year") -> DataFrame:
     """Row count, distinct entities and years, and nulls per column, as (stat, value) rows."""
     stats = df.agg(
-        F.count(F.lit(1)).alias("row_count"),
+        F.expr("count(1) AS row_count"),
         F.count_distinct(entity).alias("distinct_entities"),
         F.count_distinct(year).alias("distinct_years"),
-        *[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in df.columns],
-    )
-    return explode_rows(
-        stats, [], [rows_of(stat=name, value=F.col(name)) for name in stats.columns]
+        *[F.expr(f"count_if({c} IS NULL) AS nulls_{c}") for c in df.columns],
     )
+    return explode_rows(stats, [], [row(stat=f"'{c}'", value=c) for c in stats.columns])
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
@@ -252,11 +229,7 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 def top_accounts(df: DataFrame, n: int = 20) -> DataFrame:
     """The n accounts with the largest summed amount; ties by account code."""
-    amount = sum_amount(F.col("dollar_value"))
-    return (
-        df.where(F.col("ferc_account").isNotNull())
-        .groupBy("ferc_account")
-        .agg(amount.alias("dollar_value"))
-        .orderBy(F.desc("dollar_value"), "ferc_account")
-        .limit(n)
+    totals = aggregate(
+        known(df, "ferc_account"), ["ferc_account"], {"dollar_value": sum_amount("dollar_value")}
     )
+    return totals.orderBy(F.desc("dollar_value"), "ferc_account").limit(n)

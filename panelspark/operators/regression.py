@@ -8,11 +8,19 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.config import COST_DRIVERS
-from panelspark.functions.columns import explode_rows, require_columns, rows_of
+from panelspark.functions.columns import (
+    add_columns,
+    aggregate,
+    explode_rows,
+    known,
+    number,
+    require_columns,
+    row,
+)
 from panelspark.functions.distributions import f_pvalue
 from panelspark.functions.tails import t_critical, t_two_sided
 from panelspark.operators.ordering import squared_steps
@@ -21,13 +29,6 @@ OUTCOME = "om_total"
 CONSTANT = "const"
 
 
-def complete_rows(df: DataFrame, columns) -> DataFrame:
-    require_columns(df, columns)
-    for c in columns:
-        df = df.where(F.col(c).isNotNull())
-    return df
-
-
 def moments(df: DataFrame, y: str, xs, group_by=()) -> DataFrame:
     """n, means and sample covariances of (y, *xs), per group or of the whole frame.
 
@@ -35,14 +36,15 @@ def moments(df: DataFrame, y: str, xs, group_by=()) -> DataFrame:
     """
     names = [y, *xs]
     pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-    value = [F.col(c).cast("double") for c in names]
-    aggregates = [
-        F.count(F.lit(1)).alias("n"),
-        F.array(*[F.avg(v) for v in value]).alias("means"),
-        F.array(*[F.covar_samp(value[i], value[j]) for i, j in pairs]).alias("covariances"),
-    ]
-    rows = complete_rows(df, names)
-    return (rows.groupBy(*group_by) if group_by else rows).agg(*aggregates)
+    value = [f"CAST({c} AS DOUBLE)" for c in names]
+    means = ", ".join(f"avg({v})" for v in value)
+    covariances = ", ".join(f"covar_samp({value[i]}, {value[j]})" for i, j in pairs)
+    require_columns(df, names)
+    return aggregate(known(df, *names), group_by, {
+        "n": "count(1)",
+        "means": f"array({means})",
+        "covariances": f"array({covariances})",
+    })
 
 
 def _solve(n: int, means, covariances) -> dict:
@@ -145,18 +147,17 @@ def vif(df: DataFrame, xs=COST_DRIVERS) -> DataFrame:
     one aggregate and column arithmetic.
     """
     a, b, c = xs
-    stats = complete_rows(df, xs).agg(
-        F.corr(a, b).alias("ab"), F.corr(a, c).alias("ac"), F.corr(b, c).alias("bc")
-    )
-    ab, ac, bc = F.col("ab"), F.col("ac"), F.col("bc")
-    determinant = 1 + 2 * ab * ac * bc - ab * ab - ac * ac - bc * bc
+    require_columns(df, xs)
+    r = aggregate(known(df, *xs), [], {
+        "ab": f"corr({a}, {b})", "ac": f"corr({a}, {c})", "bc": f"corr({b}, {c})"
+    })
+    determinant = "(1 + 2 * ab * ac * bc - ab * ab - ac * ac - bc * bc)"
 
-    def line(name: str, others: Column) -> Column:
-        return rows_of(
-            variable=name, vif=F.when(determinant > 0, (1 - others * others) / determinant)
-        )
+    def line(name: str, others: str) -> str:
+        factor = f"(1 - {others} * {others}) / {determinant}"
+        return row(variable=f"'{name}'", vif=f"CASE WHEN {determinant} > 0 THEN {factor} END")
 
-    return explode_rows(stats, [], [line(a, bc), line(b, ac), line(c, ab)])
+    return explode_rows(r, [], [line(a, "bc"), line(b, "ac"), line(c, "ab")])
 
 
 def diagnostics(
@@ -169,81 +170,74 @@ def diagnostics(
     """
     xs = list(xs)
     k = len(xs)
-    rows = complete_rows(df, [y, *xs])
+    require_columns(df, [*order, y, *xs])
+    rows = known(df, y, *xs)
     m = moments(rows, y, xs).first()
     if m["n"] < k + 1:
         raise ValueError(f"Insufficient data points for regression: {m['n']}")
     fit = _solve(m["n"], m["means"], m["covariances"])
-    coef = [float(c) for c in fit["coef"]]
-    fitted = F.lit(coef[0])
-    for c, x in zip(coef[1:], xs):
-        fitted = fitted + F.lit(c) * F.col(x)
-    residuals = rows.select(*order, (F.col(y) - fitted).alias("resid"))
-    steps = squared_steps(residuals, order, "resid")
-    e = F.col("resid")
-    totals = residuals.agg(
-        F.count(e).cast("double").alias("n"),
-        F.sum(e * e).alias("ssr"),
-        F.skewness(e).alias("skew"),
-        (F.kurtosis(e) + 3.0).alias("kurt"),
+    coef = [number(c) for c in fit["coef"]]
+    fitted = " + ".join([coef[0], *[f"{c} * {x}" for c, x in zip(coef[1:], xs)]])
+    residuals = rows.selectExpr(*order, f"{y} - ({fitted}) AS e")
+    steps = squared_steps(residuals, order, "e")
+    stats = aggregate(residuals, [], {
+        "n": "CAST(count(e) AS DOUBLE)",
+        "ssr": "sum(e * e)",
+        "skew": "skewness(e)",
+        "kurtosis": "kurtosis(e) + 3",
+    })
+    total = number(m["covariances"][0] * (m["n"] - 1))
+    stats = add_columns(stats, {
+        "df_model": number(k),
+        "df_residual": f"n - {k + 1}",
+        "r_squared": f"1 - ssr / {total}",
+        "log_likelihood": f"-n / 2 * (ln(2 * {number(np.pi)}) + ln(ssr / n) + 1)",
+        "durbin_watson": f"{number(steps)} / ssr",
+        "jarque_bera": "n / 6 * (skew * skew + (kurtosis - 3) * (kurtosis - 3) / 4)",
+        "skew_score": _SKEW_SCORE,
+        "kurtosis_score": _KURTOSIS_SCORE,
+    })
+    stats = add_columns(stats, {
+        "n_obs": "n",
+        "adj_r_squared": "1 - (1 - r_squared) * (n - 1) / df_residual",
+        "f_statistic": f"(({total} - ssr) / df_model) / (ssr / df_residual)",
+        "aic": f"-2 * log_likelihood + {2 * (k + 1)}",
+        "bic": f"-2 * log_likelihood + ln(n) * {k + 1}",
+        "prob_jarque_bera": "exp(-jarque_bera / 2)",
+        "omnibus": "skew_score * skew_score + kurtosis_score * kurtosis_score",
+    })
+    stats = add_columns(stats, {"prob_omnibus": "exp(-omnibus / 2)"}).withColumn(
+        "prob_f", f_pvalue(F.col("f_statistic"), F.col("df_model"), F.col("df_residual"))
     )
-    n, ssr, skew, kurt = (F.col(c) for c in ["n", "ssr", "skew", "kurt"])
-    ss_total = float(m["covariances"][0]) * (m["n"] - 1)
-    dof = n - (k + 1)
-    r2 = 1 - ssr / ss_total
-    f_value = ((ss_total - ssr) / k) / (ssr / dof)
-    loglik = -n / 2 * (F.log(F.lit(2 * np.pi)) + F.log(ssr / n) + 1)
-    jb = n / 6 * (skew * skew + (kurt - 3) * (kurt - 3) / 4)
-    omnibus = _skew_z(skew, n) ** 2 + _kurtosis_z(kurt, n) ** 2
-    f_stats = totals.withColumns({
-        "r_squared": r2,
-        "adj_r_squared": 1 - (1 - r2) * (n - 1) / dof,
-        "f_statistic": f_value,
-        "log_likelihood": loglik,
-        "aic": -2 * loglik + 2 * (k + 1),
-        "bic": -2 * loglik + F.log(n) * (k + 1),
-        "durbin_watson": F.lit(steps) / ssr,
-        "jarque_bera": jb,
-        "prob_jarque_bera": F.exp(-jb / 2),
-        "omnibus": omnibus,
-        "prob_omnibus": F.exp(-omnibus / 2),
-        "df_model": F.lit(float(k)),
-        "df_residual": dof,
-    }).withColumn("prob_f", f_pvalue(F.col("f_statistic"), F.lit(float(k)), dof))
-    named = [c for c in f_stats.columns if c != "ssr"]
-    renamed = {"n": "n_obs", "skew": "skew", "kurt": "kurtosis"}
-    return explode_rows(f_stats, [], [
-        rows_of(stat=renamed.get(c, c), value=F.col(c).cast("double")) for c in named
+    shown = [c for c in stats.columns if c not in ("n", "ssr", "skew_score", "kurtosis_score")]
+    return explode_rows(stats, [], [
+        row(stat=f"'{c}'", value=f"CAST({c} AS DOUBLE)") for c in shown
     ])
 
 
-def _skew_z(skew: Column, n: Column) -> Column:
-    """Normal score of the sample skewness (D'Agostino)."""
-    y = skew * F.sqrt((n + 1) * (n + 3) / (6.0 * (n - 2)))
-    beta2 = (
-        3.0 * (n * n + 27 * n - 70) * (n + 1) * (n + 3)
-        / ((n - 2) * (n + 5) * (n + 7) * (n + 9))
-    )
-    w2 = F.sqrt(2 * (beta2 - 1)) - 1
-    alpha = F.sqrt(2.0 / (w2 - 1))
-    ratio = F.when(y == 0, F.lit(1.0)).otherwise(y) / alpha
-    return F.log(ratio + F.sqrt(ratio * ratio + 1)) / F.sqrt(0.5 * F.log(w2))
-
-
-def _kurtosis_z(kurt: Column, n: Column) -> Column:
-    """Normal score of the sample kurtosis (Anscombe and Glynn)."""
-    expected = 3.0 * (n - 1) / (n + 1)
-    variance = 24.0 * n * (n - 2) * (n - 3) / ((n + 1) * (n + 1) * (n + 3) * (n + 5))
-    x = (kurt - expected) / F.sqrt(variance)
-    root_beta = (
-        6.0 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9))
-        * F.sqrt(6.0 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3)))
-    )
-    a = 6.0 + 8.0 / root_beta * (2.0 / root_beta + F.sqrt(1 + 4.0 / (root_beta * root_beta)))
-    denominator = 1 + x * F.sqrt(2.0 / (a - 4.0))
-    ratio = (1 - 2.0 / a) / F.abs(denominator)
-    term = F.signum(denominator) * F.when(denominator != 0, F.pow(ratio, F.lit(1 / 3.0)))
-    return (1 - 2 / (9.0 * a) - term) / F.sqrt(2 / (9.0 * a))
+# Normal score of the sample skewness (D'Agostino) over columns n and skew.
+_SKEW_Y = "(skew * sqrt((n + 1) * (n + 3) / (6 * (n - 2))))"
+_SKEW_BETA = (
+    "(3 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9)))"
+)
+_SKEW_W2 = f"(sqrt(2 * ({_SKEW_BETA} - 1)) - 1)"
+_SKEW_SCORE = f"asinh({_SKEW_Y} / sqrt(2 / ({_SKEW_W2} - 1))) / sqrt(0.5D * ln({_SKEW_W2}))"
+
+# Normal score of the sample kurtosis (Anscombe and Glynn) over columns n and kurtosis.
+_KURT_X = (
+    "((kurtosis - 3 * (n - 1) / (n + 1))"
+    " / sqrt(24 * n * (n - 2) * (n - 3) / ((n + 1) * (n + 1) * (n + 3) * (n + 5))))"
+)
+_KURT_BETA = (
+    "(6 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9))"
+    " * sqrt(6 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3))))"
+)
+_KURT_A = f"(6 + 8 / {_KURT_BETA} * (2 / {_KURT_BETA} + sqrt(1 + 4 / ({_KURT_BETA} * {_KURT_BETA}))))"
+_KURT_D = f"(1 + {_KURT_X} * sqrt(2 / ({_KURT_A} - 4)))"
+_KURTOSIS_SCORE = (
+    f"(1 - 2 / (9 * {_KURT_A}) - sign({_KURT_D}) * cbrt((1 - 2 / {_KURT_A}) / abs({_KURT_D})))"
+    f" / sqrt(2 / (9 * {_KURT_A}))"
+)
 
 
 def condition_number(df: DataFrame, xs=COST_DRIVERS) -> DataFrame:
@@ -253,8 +247,9 @@ def condition_number(df: DataFrame, xs=COST_DRIVERS) -> DataFrame:
     are reduced once more. Squaring the matrix would lose the small singular values.
     """
     names = [CONSTANT, *xs]
-    rows = complete_rows(df, list(xs)).select(
-        F.lit(1.0).alias(CONSTANT), *[F.col(x).cast("double").alias(x) for x in xs]
+    require_columns(df, xs)
+    rows = known(df, *xs).selectExpr(
+        f"1D AS {CONSTANT}", *[f"CAST({x} AS DOUBLE) AS {x}" for x in xs]
     )
     schema = ", ".join(f"{n} double" for n in names)
 
@@ -274,8 +269,8 @@ def condition_number(df: DataFrame, xs=COST_DRIVERS) -> DataFrame:
 
 
 def significant_terms(terms: DataFrame, level: float = 0.05) -> DataFrame:
-    return terms.where((F.col("p_value") < level) & (F.col("term") != CONSTANT))
+    return terms.where(f"p_value < {level} AND term <> '{CONSTANT}'")
 
 
 def high_vif(factors: DataFrame, limit: float = 10.0) -> DataFrame:
-    return factors.where(F.col("vif") > limit)
+    return factors.where(f"vif > {limit}")

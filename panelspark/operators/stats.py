@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.config import SUMMARY_METRICS
 from panelspark.functions.columns import (
+    add_columns,
+    aggregate,
     cagr_pct,
     existing,
     explode_rows,
+    known,
+    named,
     pct_of,
     require_columns,
-    rows_of,
-    safe_div,
+    row,
 )
 from panelspark.functions.distributions import t_pvalue
 from panelspark.operators.ordering import ranked
@@ -21,6 +24,9 @@ from panelspark.operators.panel import start_from_baseline
 
 ENTITY = "utility_id_ferc1"
 YEAR = "report_year"
+KEYS = [ENTITY, "utility_name", YEAR]
+BY_YEAR = f"OVER (PARTITION BY {ENTITY} ORDER BY {YEAR})"
+FIRST_NAME = {"utility_name": f"min_by(utility_name, {YEAR})"}
 
 
 def by_entity(df: DataFrame) -> DataFrame:
@@ -33,8 +39,9 @@ def by_entity(df: DataFrame) -> DataFrame:
     return df.repartition(ENTITY)
 
 
-def _first_name() -> Column:
-    return F.min_by("utility_name", YEAR).alias("utility_name")
+def _year_of(metric: str) -> str:
+    """The year, only where the metric has a value."""
+    return f"CASE WHEN {metric} IS NOT NULL THEN {YEAR} END"
 
 
 def trend(df: DataFrame, metric: str, p_values: bool = True) -> DataFrame:
@@ -42,58 +49,52 @@ def trend(df: DataFrame, metric: str, p_values: bool = True) -> DataFrame:
 
     Entities with fewer than two values are kept with status 'insufficient data'.
     """
-    require_columns(df, [ENTITY, YEAR, metric])
-    y, x = F.col(metric).cast("double"), F.col(YEAR).cast("double")
-    known = F.when(F.col(metric).isNotNull(), F.col(YEAR))
-    n, spread = F.col("n"), F.col("y_var")
-    grouped = by_entity(df.select(ENTITY, "utility_name", YEAR, metric)).groupBy(ENTITY).agg(
-        _first_name(),
-        F.count(metric).alias("n"),
-        F.regr_slope(y, x).alias("slope"),
-        F.regr_intercept(y, x).alias("intercept"),
-        F.regr_r2(y, x).alias("r2"),
-        F.var_pop(y).alias("y_var"),
-        F.avg(y).alias("mean"),
-        F.stddev_samp(y).alias("std"),
-        F.min_by(y, known).alias("first"),
-        F.max_by(y, known).alias("last"),
-        (F.max(known) - F.min(known)).alias("n_years"),
-    )
-    enough = n >= 2
-    shaped = grouped.select(
-        F.col(ENTITY).alias("utility_id"),
-        "utility_name",
-        F.lit(metric).alias("metric"),
-        F.when(enough, F.col("slope")).alias("slope"),
-        F.when(enough, F.col("intercept")).alias("intercept"),
-        F.when(enough, F.when(spread == 0, F.lit(0.0)).otherwise(F.col("r2"))).alias(
-            "r_squared"
-        ),
-        F.when(enough, cagr_pct(F.col("first"), F.col("last"), F.col("n_years"))).alias(
-            "cagr_percent"
-        ),
-        F.when(enough, F.col("mean")).alias("mean"),
-        F.when(enough, F.col("std")).alias("std"),
-        F.when(enough, pct_of(F.col("std"), F.col("mean"))).alias("coefficient_of_variation"),
-        F.when(enough, F.col("n_years")).alias("n_years"),
-        F.when(enough, F.lit("ok")).otherwise(F.lit("insufficient data")).alias("status"),
-        (n - 2).alias("dof"),
-    )
+    require_columns(df, [*KEYS, metric])
+    rows = df.selectExpr(*KEYS, f"CAST({metric} AS DOUBLE) AS y", f"CAST({YEAR} AS DOUBLE) AS x")
+    grouped = aggregate(by_entity(rows), [ENTITY], {
+        **FIRST_NAME,
+        "n": "count(y)",
+        "slope": "regr_slope(y, x)",
+        "intercept": "regr_intercept(y, x)",
+        "r_squared": "CASE WHEN var_pop(y) = 0 THEN 0D ELSE regr_r2(y, x) END",
+        "mean": "avg(y)",
+        "std": "stddev_samp(y)",
+        "first": f"min_by(y, {_year_of('y')})",
+        "last": f"max_by(y, {_year_of('y')})",
+        "n_years": f"max({_year_of('y')}) - min({_year_of('y')})",
+    })
+    values = {
+        "slope": "slope",
+        "intercept": "intercept",
+        "r_squared": "r_squared",
+        "cagr_percent": cagr_pct("first", "last", "n_years"),
+        "mean": "mean",
+        "std": "std",
+        "coefficient_of_variation": pct_of("std", "mean"),
+        "n_years": "n_years",
+    }
+    shaped = grouped.selectExpr(*named({
+        "utility_id": ENTITY,
+        "utility_name": "utility_name",
+        "metric": f"'{metric}'",
+        **{name: f"CASE WHEN n >= 2 THEN {value} END" for name, value in values.items()},
+        "status": "CASE WHEN n >= 2 THEN 'ok' ELSE 'insufficient data' END",
+        "dof": "CAST(n - 2 AS DOUBLE)",
+    }))
     return _with_slope_pvalue(shaped) if p_values else shaped.drop("dof")
 
 
 def _with_slope_pvalue(df: DataFrame) -> DataFrame:
     """Two-sided p-value of the slope. Two points fit exactly: p is 0, or 1 if flat."""
-    r2, dof = F.col("r_squared"), F.col("dof")
-    t = F.sqrt(r2 * dof / (1 - r2))
-    t = F.when((dof > 0) & (r2 < 1), t)
-    exact = F.when(r2.isNotNull() & (r2 >= 1), F.lit(0.0)).when(
-        (dof == 0) & F.col("slope").isNotNull(), F.when(r2 == 0, F.lit(1.0)).otherwise(0.0)
-    )
-    with_t = df.withColumn("t", t)
-    return with_t.withColumn(
-        "p_value", F.coalesce(exact, t_pvalue(F.col("t"), F.col("dof").cast("double")))
-    ).drop("t", "dof")
+    tested = add_columns(df, {
+        "t": "CASE WHEN dof > 0 AND r_squared < 1"
+        " THEN sqrt(r_squared * dof / (1 - r_squared)) END",
+        "exact": "CASE WHEN r_squared >= 1 THEN 0D WHEN dof = 0 AND r_squared = 0 THEN 1D"
+        " WHEN dof = 0 AND slope IS NOT NULL THEN 0D END",
+    })
+    return tested.withColumn(
+        "p_value", F.coalesce("exact", t_pvalue(F.col("t"), F.col("dof")))
+    ).drop("t", "exact", "dof")
 
 
 def summary_by_entity(df: DataFrame, metrics=SUMMARY_METRICS) -> DataFrame:
@@ -104,98 +105,76 @@ def summary_by_entity(df: DataFrame, metrics=SUMMARY_METRICS) -> DataFrame:
     metrics = existing(df, metrics)
     if not metrics:
         raise ValueError("No valid metrics found in data")
-    aggregates = []
-    for m in metrics:
-        known = F.when(F.col(m).isNotNull(), F.col(YEAR))
-        aggregates += [
-            F.count(m).alias(f"{m}_n"),
-            F.avg(m).alias(f"{m}_mean"),
-            F.stddev_samp(m).alias(f"{m}_std"),
-            F.min(m).alias(f"{m}_min"),
-            F.max(m).alias(f"{m}_max"),
-            F.min_by(m, known).alias(f"{m}_first"),
-            F.max_by(m, known).alias(f"{m}_last"),
-        ]
-    grouped = by_entity(df.select(ENTITY, "utility_name", YEAR, *metrics)).groupBy(ENTITY).agg(
-        _first_name(), (F.max(YEAR) - F.min(YEAR)).alias("n_years"), *aggregates
-    )
-
-    def line(m: str) -> Column:
-        growth = cagr_pct(F.col(f"{m}_first"), F.col(f"{m}_last"), F.col("n_years"))
-        return rows_of(
-            metric=m,
-            n=F.col(f"{m}_n"),
-            mean=F.col(f"{m}_mean"),
-            std=F.col(f"{m}_std"),
-            min=F.col(f"{m}_min"),
-            max=F.col(f"{m}_max"),
-            cagr_percent=growth,
+    grouped = aggregate(by_entity(df.select(*KEYS, *metrics)), [ENTITY], {
+        **FIRST_NAME,
+        "n_years": f"max({YEAR}) - min({YEAR})",
+        **{
+            m: f"struct(count({m}) AS n, avg({m}) AS mean, stddev_samp({m}) AS std,"
+            f" min({m}) AS min, max({m}) AS max, min_by({m}, {_year_of(m)}) AS first,"
+            f" max_by({m}, {_year_of(m)}) AS last)"
+            for m in metrics
+        },
+    })
+    long = explode_rows(grouped, [ENTITY, "utility_name", "n_years"], [
+        row(
+            metric=f"'{m}'",
+            **{c: f"{m}.{c}" for c in ["n", "mean", "std", "min", "max"]},
+            cagr_percent=cagr_pct(f"{m}.first", f"{m}.last", "n_years"),
         )
-
-    long = explode_rows(grouped, [ENTITY, "utility_name", "n_years"], [line(m) for m in metrics])
-    return long.where(F.col("n") >= 2).select(
-        ENTITY,
-        "utility_name",
-        "metric",
-        "mean",
-        "std",
-        "min",
-        "max",
-        "cagr_percent",
-        "n_years",
-    )
+        for m in metrics
+    ])
+    return long.where("n >= 2").drop("n")
 
 
 def cagr_by_count(df: DataFrame, metric: str) -> DataFrame:
     """Growth from first to last row, the period being the number of rows less one."""
-    value = F.col(metric)
-    grouped = by_entity(df.select(ENTITY, "utility_name", YEAR, metric)).groupBy(ENTITY).agg(
-        _first_name(),
-        F.min_by(value, YEAR).alias("first_value"),
-        F.max_by(value, YEAR).alias("last_value"),
-        (F.count(F.lit(1)) - 1).alias("n_periods"),
-    )
-    return grouped.withColumn(
-        "cagr_percent",
-        cagr_pct(F.col("first_value"), F.col("last_value"), F.col("n_periods")),
-    )
+    grouped = aggregate(by_entity(df.select(*KEYS, metric)), [ENTITY], {
+        **FIRST_NAME,
+        "first_value": f"min_by({metric}, {YEAR})",
+        "last_value": f"max_by({metric}, {YEAR})",
+        "n_periods": "count(1) - 1",
+    })
+    growth = cagr_pct("first_value", "last_value", "n_periods")
+    return add_columns(grouped, {"cagr_percent": growth})
 
 
 def cagr_from_baseline(df: DataFrame, baselines: DataFrame, metric: str) -> DataFrame:
     """Growth since each entity's baseline year (its first year if it has none)."""
-    kept = start_from_baseline(df.select(ENTITY, "utility_name", YEAR, metric), baselines)
-    known = F.when(F.col(metric).isNotNull(), F.col(YEAR))
-    grouped = by_entity(kept).groupBy(ENTITY).agg(
-        _first_name(),
-        F.min(known).alias("start_year"),
-        F.max(known).alias("end_year"),
-        F.min_by(metric, known).alias("start_value"),
-        F.max_by(metric, known).alias("end_value"),
-    )
-    period = F.col("end_year") - F.col("start_year")
-    return grouped.withColumn(
-        "cagr_percent", cagr_pct(F.col("start_value"), F.col("end_value"), period)
-    )
+    kept = start_from_baseline(df.select(*KEYS, metric), baselines)
+    year = _year_of(metric)
+    grouped = aggregate(by_entity(kept), [ENTITY], {
+        **FIRST_NAME,
+        "start_year": f"min({year})",
+        "end_year": f"max({year})",
+        "start_value": f"min_by({metric}, {year})",
+        "end_value": f"max_by({metric}, {year})",
+    })
+    growth = cagr_pct("start_value", "end_value", "(end_year - start_year)")
+    return add_columns(grouped, {"cagr_percent": growth})
 
 
 def _pooled(df: DataFrame, metric: str) -> Column:
     """Mean and sample deviation of the whole frame as a one-row scalar subquery."""
     return df.agg(
-        F.struct(F.avg(metric).alias("mean"), F.stddev_samp(metric).alias("std"))
+        F.expr(f"struct(avg({metric}) AS mean, stddev_samp({metric}) AS std)")
     ).scalar()
 
 
-def _z_score(metric: str, pooled: Column) -> Column:
+def _with_z_score(df: DataFrame, metric: str) -> DataFrame:
     """0 when there is no spread."""
-    z = (F.col(metric) - pooled["mean"]) / F.when(pooled["std"] != 0, pooled["std"])
-    return F.when(pooled["std"] == 0, F.lit(0.0)).otherwise(z)
+    score = (
+        f"CASE WHEN pooled.std = 0 THEN 0D"
+        f" ELSE try_divide({metric} - pooled.mean, pooled.std) END"
+    )
+    pooled = df.withColumn("pooled", _pooled(df, metric))
+    return add_columns(pooled, {"z_score": score}).drop("pooled")
 
 
 def outliers(df: DataFrame, metric: str, threshold: float = 2.0) -> DataFrame:
     """Rows whose pooled z-score is beyond the threshold. Reads `df` twice: stage it first."""
     require_columns(df, [metric])
-    scored = df.withColumn("z_score", _z_score(metric, _pooled(df, metric)))
-    return scored.where(F.abs("z_score") > threshold).withColumn("is_outlier", F.lit(True))
+    beyond = _with_z_score(df, metric).where(f"abs(z_score) > {float(threshold)}D")
+    return beyond.withColumn("is_outlier", F.lit(True))
 
 
 def latest_year(df: DataFrame) -> int:
@@ -208,87 +187,71 @@ def peer_benchmark(df: DataFrame, year: int, metric: str) -> DataFrame:
     Reads `df` several times: stage it first. A null metric keeps its row, last and unranked.
     """
     require_columns(df, [metric])
-    peers = df.where(F.col(YEAR) == year).select(ENTITY, "utility_name", metric)
-    scored = peers.withColumn("z_score", _z_score(metric, _pooled(peers, metric)))
-    return ranked(scored, metric).orderBy(F.asc_nulls_last("rank"), ENTITY)
+    peers = df.where(f"{YEAR} = {year}").select(ENTITY, "utility_name", metric)
+    return ranked(_with_z_score(peers, metric), metric).orderBy(
+        F.asc_nulls_last("rank"), ENTITY
+    )
 
 
 def yoy_change(df: DataFrame, metric: str) -> DataFrame:
     """Change against the entity's previous row, relative to its absolute value, in percent."""
     require_columns(df, [metric])
-    window = Window.partitionBy(ENTITY).orderBy(YEAR)
-    return (
-        df.select(ENTITY, "utility_name", YEAR, F.col(metric).alias("metric_value"))
-        .withColumn("previous", F.lag("metric_value").over(window))
-        .withColumn(
-            "yoy_pct_change",
-            F.when(
-                F.col("previous") != 0,
-                (F.col("metric_value") - F.col("previous")) / F.abs("previous") * 100.0,
-            ),
-        )
-        .drop("previous")
+    before = df.selectExpr(
+        *KEYS, f"{metric} AS metric_value", f"lag({metric}) {BY_YEAR} AS previous"
     )
+    change = pct_of("metric_value - previous", "abs(previous)")
+    return add_columns(before, {"yoy_pct_change": change}).drop("previous")
 
 
 def yoy_cells(df: DataFrame, metric: str) -> DataFrame:
     """Signed change in percent after carrying the last value forward, with an outlier flag."""
-    window = Window.partitionBy(ENTITY).orderBy(YEAR)
-    running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = df.select(
-        ENTITY, "utility_name", YEAR, F.last(metric, ignorenulls=True).over(running).alias("v")
+    running = BY_YEAR[:-1] + " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    filled = df.selectExpr(*KEYS, f"last({metric}, true) {running} AS v")
+    cells = filled.selectExpr(
+        *KEYS, f"(try_divide(v, lag(v) {BY_YEAR}) - 1D) * 100D AS om_yoy_pct"
     )
-    previous = F.lag("v").over(window)
-    cells = filled.withColumn("previous", previous).withColumn(
-        "om_yoy_pct", (safe_div(F.col("v"), F.col("previous")) - 1.0) * 100.0
-    )
-    pct = F.col("om_yoy_pct")
-    flagged = F.coalesce((pct > 10) | (pct < -5), F.lit(False))
-    return cells.withColumn("is_flagged", flagged).drop("v", "previous")
+    flag = "coalesce(om_yoy_pct > 10 OR om_yoy_pct < -5, false)"
+    return add_columns(cells, {"is_flagged": flag})
 
 
 def yoy_matrix(df: DataFrame, metric: str, years) -> DataFrame:
     """One row per entity, one column per year. The first year has no change and is left out."""
-    cells = yoy_cells(df, metric)
-    return cells.groupBy(ENTITY, "utility_name").agg(*[
-        F.max(F.when(F.col(YEAR) == y, F.col("om_yoy_pct"))).alias(str(y))
-        for y in sorted(years)[1:]
-    ])
+    return aggregate(yoy_cells(df, metric), [ENTITY, "utility_name"], {
+        str(y): f"max(CASE WHEN {YEAR} = {y} THEN om_yoy_pct END)" for y in sorted(years)[1:]
+    })
 
 
 def peer_difference(df: DataFrame, year: int, metric: str) -> DataFrame:
     """Difference from the peer average in percent. Reads `df` twice: stage it first."""
-    peers = df.where(F.col(YEAR) == year).select(ENTITY, "utility_name", YEAR, metric)
+    peers = df.where(f"{YEAR} = {year}").select(*KEYS, metric)
     average = peers.agg(F.avg(metric)).scalar()
-    return peers.withColumn("peer_average", average).withColumn(
-        "pct_difference",
-        pct_of(F.col(metric) - F.col("peer_average"), F.col("peer_average")),
+    difference = pct_of(f"{metric} - peer_average", "peer_average")
+    return add_columns(
+        peers.withColumn("peer_average", average), {"pct_difference": difference}
     )
 
 
 def variance_decomposition(df: DataFrame, outcome: str, driver: str) -> DataFrame:
     """How much of an entity's change the pooled slope explains. Reads `df` twice: stage it."""
-    both = df.where(F.col(outcome).isNotNull() & F.col(driver).isNotNull())
+    both = known(df.select(*KEYS, outcome, driver), outcome, driver)
     fit = both.agg(
-        F.struct(
-            F.regr_slope(outcome, driver).alias("slope"),
-            F.regr_r2(outcome, driver).alias("r_squared"),
+        F.expr(
+            f"struct(regr_slope({outcome}, {driver}) AS slope,"
+            f" regr_r2({outcome}, {driver}) AS r_squared)"
         )
     ).scalar()
-    change = by_entity(both.select(ENTITY, "utility_name", YEAR, outcome, driver)).groupBy(
-        ENTITY
-    ).agg(
-        _first_name(),
-        F.min(YEAR).alias("start_year"),
-        F.max(YEAR).alias("end_year"),
-        (F.max_by(outcome, YEAR) - F.min_by(outcome, YEAR)).alias("total_change"),
-        (F.max_by(driver, YEAR) - F.min_by(driver, YEAR)).alias("driver_change"),
-    )
-    explained = F.col("slope") * F.col("driver_change")
-    return (
-        change.withColumn("slope", fit["slope"])
-        .withColumn("r_squared", fit["r_squared"])
-        .withColumn("explained", explained)
-        .withColumn("unexplained", F.col("total_change") - F.col("explained"))
-        .withColumn("pct_explained", pct_of(F.col("explained"), F.col("total_change")))
-    )
+    change = aggregate(by_entity(both), [ENTITY], {
+        **FIRST_NAME,
+        "start_year": f"min({YEAR})",
+        "end_year": f"max({YEAR})",
+        "total_change": f"max_by({outcome}, {YEAR}) - min_by({outcome}, {YEAR})",
+        "driver_change": f"max_by({driver}, {YEAR}) - min_by({driver}, {YEAR})",
+    })
+    explained = "(fit.slope * driver_change)"
+    return add_columns(change.withColumn("fit", fit), {
+        "slope": "fit.slope",
+        "r_squared": "fit.r_squared",
+        "explained": explained,
+        "unexplained": f"total_change - {explained}",
+        "pct_explained": pct_of(explained, "total_change"),
+    }).drop("fit")

@@ -8,10 +8,7 @@ FIXTURES.md section 4 has the same rules as SQL.
 
 from __future__ import annotations
 
-import datetime
-
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from panelspark.config import (
     ACCUMULATED_DEPRECIATION,
@@ -23,140 +20,134 @@ from panelspark.config import (
     SECTORS,
     TARGET_STATE,
 )
-from panelspark.functions.columns import sum_amount
+from panelspark.functions.columns import aggregate, sum_amount
 from panelspark.operators.panel import build_panel
 from panelspark.sources import tables
 
 YEARS = [1995, 1996, 1997, 1998, 1999, 2000, 2001]
 BASE_YEAR = 2000
 EIA_OFFSET = 14000
-SECTOR_OF_PRIORITY = {
-    "1-URGENT": "residential",
-    "2-HIGH": "residential",
-    "3-MEDIUM": "commercial",
-    "4-NOT SPECIFIED": "industrial",
+
+# Declared schemas: no job to infer them.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
 }
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def in_years(df: DataFrame, column: str, years) -> DataFrame:
     """Year filter as a date range as well: the range reaches the parquet reader."""
     if years is None:
         return df
-    first = datetime.datetime(min(years), 1, 1)
-    after = datetime.datetime(max(years) + 1, 1, 1)
-    date = F.col(column)
-    ranged = df.where((date >= F.lit(first).cast("timestamp_ntz"))
-                      & (date < F.lit(after).cast("timestamp_ntz")))
-    return ranged.where(F.year(date).isin(list(years)))
+    return df.where(
+        f"{column} >= TIMESTAMP_NTZ '{min(years)}-01-01'"
+        f" AND {column} < TIMESTAMP_NTZ '{max(years) + 1}-01-01'"
+        f" AND year({column}) IN ({', '.join(map(str, years))})"
+    )
 
 
 def expenses(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
-    code = (F.lit(500) + F.col("l_partkey") % 440).cast("string")
-    line = F.col("l_linenumber")
-    account = (
-        F.when(line == 7, "n/a")
-        .when(line % 2 == 0, F.concat(code, F.lit("."), line.cast("string")))
-        .otherwise(code)
-    )
-    reported = F.when(F.col("l_linestatus") == "F", REPORTED).otherwise(CALCULATED)
-    return in_years(read(spark, sf_dir, "lineitem"), "l_shipdate", years).select(
-        F.col("l_suppkey").alias("utility_id_ferc1"),
-        F.year("l_shipdate").alias("report_year"),
-        account.alias("ferc_account"),
-        F.col("l_extendedprice").alias("dollar_value"),
-        reported.alias("row_type_xbrl"),
+    code = "CAST(500 + l_partkey % 440 AS STRING)"
+    return in_years(read(spark, sf_dir, "lineitem"), "l_shipdate", years).selectExpr(
+        "l_suppkey AS utility_id_ferc1",
+        "year(l_shipdate) AS report_year",
+        f"CASE WHEN l_linenumber = 7 THEN 'n/a' WHEN l_linenumber % 2 = 0"
+        f" THEN concat({code}, '.', l_linenumber) ELSE {code} END AS ferc_account",
+        "l_extendedprice AS dollar_value",
+        f"CASE WHEN l_linestatus = 'F' THEN '{REPORTED}' ELSE '{CALCULATED}' END"
+        " AS row_type_xbrl",
     )
 
 
-def _utility_type() -> Column:
-    return F.when(F.col("o_orderpriority") == "5-LOW", "gas").otherwise(ELECTRIC)
+UTILITY_TYPE = f"CASE WHEN o_orderpriority = '5-LOW' THEN 'gas' ELSE '{ELECTRIC}' END"
 
 
 def plant(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
-    asset = F.when(F.col("o_orderstatus") == "F", ACCUMULATED_DEPRECIATION).otherwise(
-        PLANT_IN_SERVICE
-    )
-    return (
-        in_years(read(spark, sf_dir, "orders"), "o_orderdate", years)
-        .groupBy(
-            F.col("o_custkey").alias("utility_id_ferc1"),
-            F.year("o_orderdate").alias("report_year"),
-            _utility_type().alias("utility_type"),
-            asset.alias("utility_plant_asset_type"),
-            F.lit(CALCULATED).alias("row_type_xbrl"),
-        )
-        .agg(sum_amount(F.col("o_totalprice")).alias("ending_balance"))
+    rows = in_years(read(spark, sf_dir, "orders"), "o_orderdate", years).selectExpr(
+        "o_custkey AS utility_id_ferc1",
+        "year(o_orderdate) AS report_year",
+        f"{UTILITY_TYPE} AS utility_type",
+        f"CASE WHEN o_orderstatus = 'F' THEN '{ACCUMULATED_DEPRECIATION}'"
+        f" ELSE '{PLANT_IN_SERVICE}' END AS utility_plant_asset_type",
+        f"'{CALCULATED}' AS row_type_xbrl",
+        "o_totalprice",
     )
+    return aggregate(rows, rows.columns[:-1], {"ending_balance": sum_amount("o_totalprice")})
 
 
 def income(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
-    account = F.when(F.col("o_orderstatus") == "P", "401").otherwise(REVENUE_ACCOUNT)
-    return in_years(read(spark, sf_dir, "orders"), "o_orderdate", years).select(
-        F.col("o_custkey").alias("utility_id_ferc1"),
-        F.year("o_orderdate").alias("report_year"),
-        _utility_type().alias("utility_type"),
-        account.alias("ferc_account"),
-        F.col("o_orderpriority").alias("income_type"),
-        F.col("o_totalprice").alias("dollar_value"),
+    return in_years(read(spark, sf_dir, "orders"), "o_orderdate", years).selectExpr(
+        "o_custkey AS utility_id_ferc1",
+        "year(o_orderdate) AS report_year",
+        f"{UTILITY_TYPE} AS utility_type",
+        f"CASE WHEN o_orderstatus = 'P' THEN '401' ELSE '{REVENUE_ACCOUNT}' END AS ferc_account",
+        "o_orderpriority AS income_type",
+        "o_totalprice AS dollar_value",
     )
 
 
+PRIORITIES = {
+    "residential": "o_orderpriority IN ('1-URGENT', '2-HIGH')",
+    "commercial": "o_orderpriority = '3-MEDIUM'",
+    "industrial": "o_orderpriority = '4-NOT SPECIFIED'",
+    "total": "true",
+}
+
+
 def sales(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
     """Up to three landed rows (by order status) per customer and year.
 
     Orders are summed per customer before the customer join, so a customer with a large part of
     all orders is a few rows by then.
     """
-    orders = in_years(read(spark, sf_dir, "orders"), "o_orderdate", years).select(
-        "o_custkey",
-        "o_orderkey",
-        "o_orderstatus",
-        F.year("o_orderdate").alias("report_year"),
-        F.dayofmonth("o_orderdate").cast("double").alias("mwh"),
-        F.col("o_totalprice").alias("price"),
-        F.coalesce(*[
-            F.when(F.col("o_orderpriority") == p, s) for p, s in SECTOR_OF_PRIORITY.items()
-        ]).alias("sector"),
+    orders = in_years(read(spark, sf_dir, "orders"), "o_orderdate", years).selectExpr(
+        "*", "year(o_orderdate) AS report_year", "CAST(day(o_orderdate) AS DOUBLE) AS mwh"
     )
-    measures = []
+    measures = {}
     for s in [*SECTORS, "total"]:
-        hit = F.lit(True) if s == "total" else F.coalesce(F.col("sector") == s, F.lit(False))
-        dollars = sum_amount(F.when(hit, F.col("price")))
-        measures += [
-            (dollars / 1000.0).alias(f"revenue_{s}_k"),
-            F.sum(F.when(hit, F.col("mwh")).otherwise(0.0)).alias(f"sales_mwh_{s}"),
-            F.count_if(hit).alias(f"customers_{s}"),
-        ]
-    landed = orders.groupBy("o_custkey", "report_year", "o_orderstatus").agg(
-        F.min("o_orderkey").alias("row_ordinal"), *measures
-    )
+        dollars = sum_amount(f"CASE WHEN {PRIORITIES[s]} THEN o_totalprice END")
+        measures[f"revenue_{s}_k"] = f"{dollars} / 1000D"
+        measures[f"sales_mwh_{s}"] = f"sum(CASE WHEN {PRIORITIES[s]} THEN mwh ELSE 0D END)"
+        measures[f"customers_{s}"] = f"count_if({PRIORITIES[s]})"
+    landed = aggregate(orders, ["o_custkey", "report_year", "o_orderstatus"], {
+        "row_ordinal": "min(o_orderkey)", **measures
+    })
     nations = read(spark, sf_dir, "nation").join(
-        read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+        read(spark, sf_dir, "region").selectExpr("r_regionkey AS n_regionkey", "r_name"),
+        "n_regionkey",
     )
-    state = F.when(F.col("r_name") == "AFRICA", "NV").otherwise(TARGET_STATE)
     customers = read(spark, sf_dir, "customer").join(
-        nations, F.col("c_nationkey") == F.col("n_nationkey")
+        nations.withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey"
     )
-    return landed.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+    located = landed.join(customers.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey")
+    return located.selectExpr(
         "report_year",
-        (F.col("c_custkey") + EIA_OFFSET).alias("utility_id_eia"),
-        F.col("c_name").alias("utility_name"),
-        state.alias("state"),
-        F.col("o_orderstatus").alias("ownership"),
-        *[c for c in landed.columns if c.startswith(("revenue_", "sales_", "customers_"))],
+        f"o_custkey + {EIA_OFFSET} AS utility_id_eia",
+        "c_name AS utility_name",
+        f"CASE WHEN r_name = 'AFRICA' THEN 'NV' ELSE '{TARGET_STATE}' END AS state",
+        "o_orderstatus AS ownership",
+        *measures,
         "row_ordinal",
     )
 
 
 def id_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("utility_id_ferc1"),
-        (F.col("s_suppkey") + EIA_OFFSET).alias("utility_id_eia"),
-        F.col("s_name").alias("utility_name"),
+    return read(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS utility_id_ferc1",
+        f"s_suppkey + {EIA_OFFSET} AS utility_id_eia",
+        "s_name AS utility_name",
     )
 
 
@@ -164,8 +155,8 @@ def baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entities in distress (a low balance) are compared from 1997 on only."""
     return (
         read(spark, sf_dir, "supplier")
-        .where(F.col("s_acctbal") < 1000)
-        .select(F.col("s_suppkey").alias("utility_id_ferc1"), F.lit(1997).alias("start_year"))
+        .where("s_acctbal < 1000")
+        .selectExpr("s_suppkey AS utility_id_ferc1", "1997 AS start_year")
     )
 
 

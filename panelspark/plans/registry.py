@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.config import SECTORS, TARGET_STATE
-from panelspark.functions.columns import format_billions, format_millions
+from panelspark.functions.columns import add_columns, aggregate, format_billions, format_millions
 from panelspark.operators import bills, charts, findings, models, panel, regression, stats
 from panelspark.plans import bindings as bind
 from panelspark.plans.jobs import run_models, summary_tables
@@ -32,7 +32,7 @@ def query(function: Query) -> Query:
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     chosen = columns or [f.name for f in df.schema if f.dataType.typeName() == "double"]
-    return df.withColumns({c: F.round(c, digits) for c in chosen})
+    return add_columns(df, {c: f"round(`{c}`, {digits})" for c in chosen})
 
 
 REVENUES = [*REVENUE_COLUMNS, "revenue_per_customer"]
@@ -101,7 +101,7 @@ def state_entity_filter(spark, sf):
 @query
 def account_category(spark, sf):
     rows = panel.categorize(bind.expenses(spark, sf))
-    return rows.groupBy("ferc_account", "category").agg(F.count(F.lit(1)).alias("n"))
+    return aggregate(rows, ["ferc_account", "category"], {"n": "count(1)"})
 
 
 @query
@@ -184,11 +184,11 @@ def top_accounts(spark, sf):
 @query
 def format_amounts(spark, sf):
     df = clean(spark, sf)
-    return df.select(
+    return df.selectExpr(
         "utility_id_ferc1",
         "report_year",
-        format_billions(F.col("om_total")).alias("om_billions"),
-        format_millions(F.col("om_total")).alias("om_millions"),
+        f"{format_billions('om_total')} AS om_billions",
+        f"{format_millions('om_total')} AS om_millions",
     )
 
 
@@ -205,11 +205,12 @@ def kpi_formulas(spark, sf):
 @query
 def wacc_from_capital(spark, sf):
     """Weighted cost of capital with equity as rate base over rate base plus revenue."""
-    df = clean(spark, sf).where((F.col("rate_base") > 0) & (F.col("operating_revenues_ferc") > 0))
-    total = F.col("rate_base") + F.col("operating_revenues_ferc")
-    equity, debt = F.col("rate_base") / total, F.col("operating_revenues_ferc") / total
-    wacc = models.wacc_of(equity, F.lit(0.10), debt, F.lit(0.05))
-    return df.select("utility_id_ferc1", "report_year", wacc.alias("wacc"))
+    df = clean(spark, sf).where("rate_base > 0 AND operating_revenues_ferc > 0")
+    total = "(rate_base + operating_revenues_ferc)"
+    wacc = models.wacc_of(
+        f"rate_base / {total}", "0.1D", f"operating_revenues_ferc / {total}", "0.05D"
+    )
+    return df.selectExpr("utility_id_ferc1", "report_year", f"{wacc} AS wacc")
 
 
 @query
@@ -330,8 +331,7 @@ def ag_sensitivity(spark, sf):
 
 @query
 def ag_backsolve(spark, sf):
-    target = F.col("om_total") * 0.25
-    return models.ag_backsolve(clean(spark, sf), target)
+    return models.ag_backsolve(clean(spark, sf), "om_total * 0.25D")
 
 
 @query
@@ -341,7 +341,7 @@ def residential_bill_methods(spark, sf):
 
 @query
 def revenue_reconcile(spark, sf):
-    authorised = F.col("om_total") * 0.5
+    authorised = "(om_total * 0.5D)"
     return rounded(models.reconcile_revenue(modelled(spark, sf), authorised), 6)
 
 
@@ -368,7 +368,7 @@ _TREND_DIGITS = {"slope": 4, "intercept": 1, "mean": 5, "std": 4}
 
 
 def _trend(df: DataFrame) -> DataFrame:
-    df = df.withColumns({c: F.round(c, d) for c, d in _TREND_DIGITS.items()})
+    df = add_columns(df, {c: f"round({c}, {d})" for c, d in _TREND_DIGITS.items()})
     return rounded(df, 6, "r_squared", "cagr_percent", "coefficient_of_variation")
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +22,14 @@ from panelspark.config import (
     REVENUE_ACCOUNT,
     UTILITY_IDS,
 )
-from panelspark.functions.columns import existing, nan_to_null, require_columns, sum_amount
+from panelspark.functions.columns import (
+    aggregate,
+    existing,
+    known,
+    nan_to_null,
+    require_columns,
+    sum_amount,
+)
 from panelspark.schemas import ID_MAP
 
 KEYS = ["utility_id_ferc1", "report_year"]
@@ -43,9 +50,8 @@ def member_of(df: DataFrame, column: str, ids) -> DataFrame:
     return df.where(F.col(column).isin(list(ids)))
 
 
-def _scan(df: DataFrame, ids, years, *conditions: Column) -> DataFrame:
-    for condition in conditions:
-        df = df.where(condition)
+def _scan(df: DataFrame, ids, years, condition: str) -> DataFrame:
+    df = df.where(condition)
     if years is not None:
         df = df.where(F.col("report_year").isin(list(years)))
     return member_of(df, "utility_id_ferc1", ids)
@@ -53,11 +59,11 @@ def _scan(df: DataFrame, ids, years, *conditions: Column) -> DataFrame:
 
 def expenses(df: DataFrame, ids=None, years=None) -> DataFrame:
     """Reported rows only: the calculated ones are subtotals and would count twice."""
-    return _scan(df, ids, years, F.col("row_type_xbrl") == REPORTED)
+    return _scan(df, ids, years, f"row_type_xbrl = '{REPORTED}'")
 
 
 def plant(df: DataFrame, ids=None, years=None) -> DataFrame:
-    return _scan(df, ids, years, F.col("utility_type") == ELECTRIC)
+    return _scan(df, ids, years, f"utility_type = '{ELECTRIC}'")
 
 
 def plant_wide(df: DataFrame, ids=None, years=None) -> DataFrame:
@@ -65,11 +71,11 @@ def plant_wide(df: DataFrame, ids=None, years=None) -> DataFrame:
 
     A full join, not a pivot: a key found on one side only is kept, and repeated keys pair up.
     """
-    electric = plant(df, ids, years).where(F.col("row_type_xbrl") == CALCULATED)
+    electric = plant(df, ids, years).where(f"row_type_xbrl = '{CALCULATED}'")
 
     def balance(asset_type: str, name: str) -> DataFrame:
-        chosen = electric.where(F.col("utility_plant_asset_type") == asset_type)
-        return chosen.select(*KEYS, F.col("ending_balance").cast("double").alias(name))
+        chosen = electric.where(f"utility_plant_asset_type = '{asset_type}'")
+        return chosen.selectExpr(*KEYS, f"CAST(ending_balance AS DOUBLE) AS {name}")
 
     return balance(PLANT_IN_SERVICE, "utility_plant_in_service").join(
         balance(ACCUMULATED_DEPRECIATION, "accumulated_provision_for_depreciation"),
@@ -79,18 +85,14 @@ def plant_wide(df: DataFrame, ids=None, years=None) -> DataFrame:
 
 
 def income(df: DataFrame, ids=None, years=None) -> DataFrame:
-    return _scan(df, ids, years, F.col("utility_type") == ELECTRIC)
+    return _scan(df, ids, years, f"utility_type = '{ELECTRIC}'")
 
 
 def operating_revenue(df: DataFrame, ids=None, years=None) -> DataFrame:
     """Sum of the revenue account per entity and year."""
-    rows = income(df, ids, years).where(F.col("ferc_account") == REVENUE_ACCOUNT)
-    total = sum_amount(F.col("dollar_value"))
-    return (
-        rows.where(F.col(KEYS[0]).isNotNull() & F.col(KEYS[1]).isNotNull())
-        .groupBy(*KEYS)
-        .agg(total.alias("operating_revenues_ferc"))
-    )
+    rows = income(df, ids, years).where(f"ferc_account = '{REVENUE_ACCOUNT}'")
+    total = {"operating_revenues_ferc": sum_amount("dollar_value")}
+    return aggregate(known(rows, *KEYS), KEYS, total)
 
 
 def association(df: DataFrame, ids=None) -> DataFrame:
@@ -126,4 +128,4 @@ def read_yearly_sales(spark: SparkSession, pattern: str, years, columns=None) ->
 
 def state_entities(df: DataFrame, state: str, ids=None) -> DataFrame:
     """Sales rows of one state and a set of entities."""
-    return member_of(df.where(F.col("state") == state), "utility_id_eia", ids)
+    return member_of(df.where(F.col("state") == F.lit(state)), "utility_id_eia", ids)
