@@ -7,7 +7,6 @@ builds in one step. Everything here stays in the JVM.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from panelspark.config import (
     AMOUNT_SCALE,
@@ -48,7 +47,11 @@ def add_columns(df: DataFrame, expressions: dict[str, str]) -> DataFrame:
 
 
 def aggregate(df: DataFrame, keys, expressions: dict[str, str]) -> DataFrame:
-    return df.groupBy(*keys).agg(*[F.expr(t).alias(n) for n, t in expressions.items()])
+    """SELECT keys, expressions FROM df GROUP BY keys."""
+    keys = [f"`{k}`" for k in keys]
+    grouping = f" GROUP BY {', '.join(keys)}" if keys else ""
+    select = ", ".join([*keys, *named(expressions)])
+    return df.sparkSession.sql(f"SELECT {select} FROM {{df}}{grouping}", df=df)
 
 
 def known(df: DataFrame, *columns: str) -> DataFrame:
@@ -101,16 +104,22 @@ def account_number(code: str) -> str:
     )
 
 
-def category_of(number_column: str, ranges: dict | None = None) -> str:
-    """Functional category of an account number.
+def category_number(number_column: str, ranges: dict | None = None) -> str:
+    """Position of an account number's category; the position after the last one is 'other'.
 
     Ranges apply to the truncated number, which for positive bounds is lo <= x < hi + 1.
     """
+    ranges = ranges or CATEGORY_RANGES
     cases = " ".join(
-        f"WHEN {number_column} >= {lo} AND {number_column} < {hi + 1} THEN '{name}'"
-        for name, (lo, hi) in (ranges or CATEGORY_RANGES).items()
+        f"WHEN {number_column} >= {lo} AND {number_column} < {hi + 1} THEN {i}"
+        for i, (lo, hi) in enumerate(ranges.values())
     )
-    return f"CASE {cases} ELSE '{OTHER_CATEGORY}' END"
+    return f"(CASE {cases} ELSE {len(ranges)} END)"
+
+
+def category_name(position: str, ranges: dict | None = None) -> str:
+    names = ", ".join(f"'{c}'" for c in [*(ranges or CATEGORY_RANGES), OTHER_CATEGORY])
+    return f"element_at(array({names}), {position} + 1)"
 
 
 def cagr_pct(first: str, last: str, n_years: str) -> str:

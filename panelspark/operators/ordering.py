@@ -13,18 +13,21 @@ from pyspark.sql import functions as F
 from panelspark.functions.columns import aggregate, known
 
 MAX_BUCKETS = 1000
+ROWS_PER_BUCKET = 200_000
 
 
-def bucket_count(df: DataFrame) -> int:
-    return min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
+def cut_points(df: DataFrame, column: str, rows_per_bucket: int) -> tuple[list, int]:
+    """Range boundaries for about `rows_per_bucket` rows each, and the number of rows.
 
-
-def cut_points(df: DataFrame, column: str, buckets: int) -> list:
+    Few rows need no boundary: one counted, bounded range holds them.
+    """
+    rows = df.count()
+    buckets = min(-(-rows // rows_per_bucket), MAX_BUCKETS)
     if buckets < 2:
-        return []
+        return [], rows
     shares = [i / buckets for i in range(1, buckets)]
     row = df.agg(F.percentile_approx(column, shares).alias("cuts")).first()
-    return sorted(set(row["cuts"] or []))
+    return sorted(set(row["cuts"] or [])), rows
 
 
 def bucket_of(column: Column, cuts: list) -> Column:
@@ -35,21 +38,23 @@ def bucket_of(column: Column, cuts: list) -> Column:
     return F.size(below)
 
 
-def value_counts_in_order(df: DataFrame, column: str) -> tuple[DataFrame, int]:
+def value_counts_in_order(
+    df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET
+) -> tuple[DataFrame, int]:
     """(distinct value, n, n_below) and the number of rows, for the non-null values.
 
     Grouping first makes a value that fills a third of the rows one row.
     """
     values = known(df.select(column), column)
-    cuts = cut_points(values, column, bucket_count(df))
+    cuts, rows = cut_points(values, column, rows_per_bucket)
     counts = aggregate(values, [column], {"n": "count(1)"}).withColumn(
         "bucket", bucket_of(F.col(column), cuts)
     )
-    totals = dict(aggregate(counts, ["bucket"], {"n": "sum(n)"}).collect())  # one per range
-    before, rows = [], 0
-    for b in range(len(cuts) + 1):
-        before.append(rows)
-        rows += totals.get(b, 0)
+    before = [0]
+    if cuts:
+        totals = dict(aggregate(counts, ["bucket"], {"n": "sum(n)"}).collect())  # one per range
+        for b in range(len(cuts)):
+            before.append(before[-1] + totals.get(b, 0))
     start = f"array({', '.join(f'{b}L' for b in before)})[bucket]"
     below = (
         f"coalesce(sum(n) OVER (PARTITION BY bucket ORDER BY {column}"
@@ -59,10 +64,10 @@ def value_counts_in_order(df: DataFrame, column: str) -> tuple[DataFrame, int]:
     return ordered, rows
 
 
-def ranked(df: DataFrame, column: str) -> DataFrame:
+def ranked(df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Adds `rank` (1 = highest, ties share the lowest) and `percentile` (ascending average
     rank over the non-null count, 0-100). NULL where the value is NULL."""
-    counts, rows = value_counts_in_order(df, column)
+    counts, rows = value_counts_in_order(df, column, rows_per_bucket)
     placed = counts.selectExpr(
         f"{column} AS ranked_value",
         f"(n_below + (n + 1) / 2D) / {max(rows, 1)}D * 100D AS percentile",
@@ -71,14 +76,16 @@ def ranked(df: DataFrame, column: str) -> DataFrame:
     return df.join(placed, F.col(column) == F.col("ranked_value"), "left").drop("ranked_value")
 
 
-def squared_steps(df: DataFrame, order: list[str], value: str) -> float:
+def squared_steps(
+    df: DataFrame, order: list[str], value: str, rows_per_bucket: int = ROWS_PER_BUCKET
+) -> float:
     """Sum of squared differences between neighbours in the order of `order`.
 
     The first order column sets the ranges. Steps inside a range come from a window, the steps
     between ranges from each range's first and last row (one summary row per range).
     """
     key = order[0]
-    cuts = cut_points(df, key, bucket_count(df))
+    cuts, _ = cut_points(df, key, rows_per_bucket)
     position = f"struct({', '.join(order)})"
     window = f"OVER (PARTITION BY bucket ORDER BY {', '.join(order)})"
     bucketed = df.select(*order, value).withColumn("bucket", bucket_of(F.col(key), cuts))

@@ -12,7 +12,8 @@ from panelspark.functions.columns import (
     add_columns,
     aggregate,
     allocated_om,
-    category_of,
+    category_name,
+    category_number,
     existing,
     explode_rows,
     known,
@@ -41,23 +42,31 @@ def roll_up_duplicates(df: DataFrame, keys=SALES_KEYS, ordinal="row_ordinal") ->
     return aggregate(known(df, *keys), keys, rolled)
 
 
+def _numbered(df: DataFrame) -> DataFrame:
+    return df.selectExpr("*", f"{account_number('ferc_account')} AS account_number")
+
+
 def categorize(df: DataFrame) -> DataFrame:
-    numbered = df.selectExpr("*", f"{account_number('ferc_account')} AS account_number")
-    return numbered.selectExpr(*df.columns, f"{category_of('account_number')} AS category")
+    """Functional category of each row's account code."""
+    name = category_name(category_number("account_number"))
+    return _numbered(df).selectExpr(*df.columns, f"{name} AS category")
 
 
 def category_sums(df: DataFrame) -> DataFrame:
     """Amount per entity, year and category: the only shuffle that sees raw rows.
 
-    Partial sums collapse a hot entity to at most one row per task, year and category.
+    Partial sums collapse a hot entity to at most one row per task, year and category, and the
+    category travels as a number.
     """
-    total = {"amount": sum_amount("dollar_value")}
-    return aggregate(known(df, *KEYS), [*KEYS, "category"], total)
+    rows = _numbered(known(df, *KEYS)).selectExpr(
+        *KEYS, "dollar_value", f"{category_number('account_number')} AS position"
+    )
+    sums = aggregate(rows, [*KEYS, "position"], {"amount": sum_amount("dollar_value")})
+    return sums.selectExpr(*KEYS, f"{category_name('position')} AS category", "amount")
 
 
-def pivot_expenses(df: DataFrame) -> DataFrame:
+def pivot_expenses(sums: DataFrame) -> DataFrame:
     """Categories as columns, 0 where a category is absent, and their total."""
-    sums = df if "amount" in df.columns else category_sums(df)
     wide = aggregate(sums, KEYS, {
         f"om_{c}": f"coalesce(max(CASE WHEN category = '{c}' THEN amount END), 0D)"
         for c in CATEGORIES
@@ -73,7 +82,7 @@ def with_rate_base(df: DataFrame) -> DataFrame:
 def join_panel(
     expenses: DataFrame,
     plant: DataFrame,
-    sales: DataFrame,
+    sales: DataFrame | None,
     id_map: DataFrame,
     revenues: DataFrame | None = None,
     mapped_only: bool = False,
@@ -81,7 +90,8 @@ def join_panel(
     """expenses (full) plant (left) revenues (left) ID map (full) sales.
 
     `mapped_only` gives the rows that have both ids, as inner and left joins, so unmapped
-    entities leave before the wide joins rather than after them.
+    entities leave before the wide joins rather than after them. There the sales join adds no
+    rows, so a plan that uses no sales column may leave sales out.
     """
     combined = expenses.join(plant.select(*KEYS, "rate_base"), on=KEYS, how="full")
     if revenues is not None:
@@ -94,6 +104,10 @@ def join_panel(
     combined = combined.join(
         names, on="utility_id_ferc1", how="inner" if mapped_only else "left"
     )
+    if sales is None:
+        if not mapped_only:
+            raise ValueError("A panel of all entities needs the sales table")
+        return known(combined, "utility_id_eia").withColumnRenamed("map_name", "utility_name")
     sold = sales.drop("row_ordinal").withColumnRenamed("utility_name", "sales_name")
     if mapped_only:
         with_id = known(combined, "utility_id_eia")
@@ -126,6 +140,8 @@ def derive_metrics(df: DataFrame, a: Assumptions = DEFAULTS) -> DataFrame:
     grc_om = allocated_om(
         "om_distribution", "om_customer_service", "om_admin_general", number(a.ag_allocation)
     )
+    if "customers_total" not in df.columns:
+        return add_columns(df, {"grc_om": grc_om})
     return add_columns(df, {
         "grc_om": grc_om,
         "om_per_customer": "try_divide(om_total, customers_total)",
@@ -143,7 +159,7 @@ def select_panel(df: DataFrame) -> DataFrame:
 def build_panel(
     expenses: DataFrame,
     plant_wide: DataFrame,
-    sales: DataFrame,
+    sales: DataFrame | None,
     id_map: DataFrame,
     revenues: DataFrame | None = None,
     mapped_only: bool = False,
@@ -151,9 +167,9 @@ def build_panel(
 ) -> DataFrame:
     """From scanned tables to the final panel, as one plan."""
     joined = join_panel(
-        pivot_expenses(categorize(expenses)),
+        pivot_expenses(category_sums(expenses)),
         with_rate_base(plant_wide),
-        roll_up_duplicates(sales),
+        None if sales is None else roll_up_duplicates(sales),
         id_map,
         revenues,
         mapped_only,

@@ -160,12 +160,17 @@ def baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def panel(spark: SparkSession, sf_dir: str, years=None, mapped_only: bool = True) -> DataFrame:
+def panel(
+    spark: SparkSession, sf_dir: str, years=None, mapped_only: bool = True, with_sales: bool = True
+) -> DataFrame:
     """The final panel. `years` reaches the scans, so a one-year model reads one year."""
+    sold = None
+    if with_sales:
+        sold = tables.state_entities(sales(spark, sf_dir, years), TARGET_STATE)
     return build_panel(
         tables.expenses(expenses(spark, sf_dir, years)),
         tables.plant_wide(plant(spark, sf_dir, years)),
-        tables.state_entities(sales(spark, sf_dir, years), TARGET_STATE),
+        sold,
         id_map(spark, sf_dir),
         tables.operating_revenue(income(spark, sf_dir, years)),
         mapped_only,

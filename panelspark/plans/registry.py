@@ -42,6 +42,11 @@ def clean(spark, sf, years=None) -> DataFrame:
     return bind.panel(spark, sf, years)
 
 
+def costs(spark, sf, years=None) -> DataFrame:
+    """The same rows for queries that use no sales column."""
+    return bind.panel(spark, sf, years, with_sales=False)
+
+
 def staged(spark, sf) -> DataFrame:
     """The panel written once, for the queries that read it more than once."""
     return sinks.stage(clean(spark, sf))
@@ -51,6 +56,10 @@ def modelled(spark, sf, years=None) -> DataFrame:
     return models.add_grc_requirement(models.add_requirement(clean(spark, sf, years)))
 
 
+def modelled_costs(spark, sf, years=None) -> DataFrame:
+    return models.add_grc_requirement(models.add_requirement(costs(spark, sf, years)))
+
+
 # ---- sources ----------------------------------------------------------------------------
 
 
@@ -111,7 +120,7 @@ def dedupe_rollup(spark, sf):
 
 @query
 def expense_pivot(spark, sf):
-    return panel.pivot_expenses(panel.categorize(tables.expenses(bind.expenses(spark, sf))))
+    return panel.pivot_expenses(panel.category_sums(tables.expenses(bind.expenses(spark, sf))))
 
 
 @query
@@ -122,7 +131,7 @@ def rate_base(spark, sf):
 @query
 def panel_join(spark, sf):
     joined = panel.join_panel(
-        panel.pivot_expenses(panel.categorize(tables.expenses(bind.expenses(spark, sf)))),
+        panel.pivot_expenses(panel.category_sums(tables.expenses(bind.expenses(spark, sf)))),
         panel.with_rate_base(tables.plant_wide(bind.plant(spark, sf))),
         panel.roll_up_duplicates(tables.state_entities(bind.sales(spark, sf), TARGET_STATE)),
         bind.id_map(spark, sf),
@@ -183,7 +192,7 @@ def top_accounts(spark, sf):
 
 @query
 def format_amounts(spark, sf):
-    df = clean(spark, sf)
+    df = costs(spark, sf)
     return df.selectExpr(
         "utility_id_ferc1",
         "report_year",
@@ -205,7 +214,7 @@ def kpi_formulas(spark, sf):
 @query
 def wacc_from_capital(spark, sf):
     """Weighted cost of capital with equity as rate base over rate base plus revenue."""
-    df = clean(spark, sf).where("rate_base > 0 AND operating_revenues_ferc > 0")
+    df = costs(spark, sf).where("rate_base > 0 AND operating_revenues_ferc > 0")
     total = "(rate_base + operating_revenues_ferc)"
     wacc = models.wacc_of(
         f"rate_base / {total}", "0.1D", f"operating_revenues_ferc / {total}", "0.05D"
@@ -215,7 +224,7 @@ def wacc_from_capital(spark, sf):
 
 @query
 def baseline_filter(spark, sf):
-    kept = panel.start_from_baseline(clean(spark, sf), bind.baselines(spark, sf))
+    kept = panel.start_from_baseline(costs(spark, sf), bind.baselines(spark, sf))
     return kept.select("utility_id_ferc1", "report_year", "om_total", "rate_base")
 
 
@@ -224,12 +233,12 @@ def baseline_filter(spark, sf):
 
 @query
 def revenue_requirement(spark, sf):
-    return models.requirement_breakdown(clean(spark, sf))
+    return models.requirement_breakdown(costs(spark, sf))
 
 
 @query
 def revenue_requirement_with_passthrough(spark, sf):
-    return models.requirement_breakdown(clean(spark, sf), exclude_passthrough=False)
+    return models.requirement_breakdown(costs(spark, sf), exclude_passthrough=False)
 
 
 @query
@@ -244,7 +253,7 @@ def grc_requirement(spark, sf):
 
 @query
 def grc_breakdown(spark, sf):
-    return models.add_grc_breakdown(clean(spark, sf)).select(
+    return models.add_grc_breakdown(costs(spark, sf)).select(
             "utility_id_ferc1",
             "report_year",
             "om_distribution",
@@ -278,22 +287,22 @@ def grc_alt(spark, sf):
 
 @query
 def test_year_forecast(spark, sf):
-    return models.forecast_test_year(clean(spark, sf, [BASE]), BASE)
+    return models.forecast_test_year(costs(spark, sf, [BASE]), BASE)
 
 
 @query
 def test_year_forecast_grc(spark, sf):
-    return models.forecast_test_year_grc(clean(spark, sf, [BASE]), BASE)
+    return models.forecast_test_year_grc(costs(spark, sf, [BASE]), BASE)
 
 
 @query
 def wacc_sensitivity(spark, sf):
-    return models.wacc_sensitivity(clean(spark, sf))
+    return models.wacc_sensitivity(costs(spark, sf))
 
 
 @query
 def compare_methodologies(spark, sf):
-    return models.compare_methodologies(modelled(spark, sf, [BASE]), BASE)
+    return models.compare_methodologies(modelled_costs(spark, sf, [BASE]), BASE)
 
 
 @query
@@ -326,12 +335,12 @@ def bill_sensitivity(spark, sf):
 
 @query
 def ag_sensitivity(spark, sf):
-    return models.ag_sensitivity(clean(spark, sf))
+    return models.ag_sensitivity(costs(spark, sf))
 
 
 @query
 def ag_backsolve(spark, sf):
-    return models.ag_backsolve(clean(spark, sf), "om_total * 0.25D")
+    return models.ag_backsolve(costs(spark, sf), "om_total * 0.25D")
 
 
 @query
@@ -347,13 +356,13 @@ def revenue_reconcile(spark, sf):
 
 @query
 def rr_recompute_check(spark, sf):
-    stored = models.add_requirement(clean(spark, sf))
+    stored = models.add_requirement(costs(spark, sf))
     return models.requirement_check(stored)
 
 
 @query
 def cost_breakdown(spark, sf):
-    return models.cost_breakdown(clean(spark, sf, [BASE]), BASE, unit=1e6)
+    return models.cost_breakdown(costs(spark, sf, [BASE]), BASE, unit=1e6)
 
 
 @query
@@ -374,12 +383,12 @@ def _trend(df: DataFrame) -> DataFrame:
 
 @query
 def trend(spark, sf):
-    return _trend(stats.trend(clean(spark, sf), "om_total", p_values=False))
+    return _trend(stats.trend(costs(spark, sf), "om_total", p_values=False))
 
 
 @query
 def trend_pvalue(spark, sf):
-    result = stats.trend(clean(spark, sf), "rate_base")
+    result = stats.trend(costs(spark, sf), "rate_base")
     return rounded(result.select("utility_id", "r_squared", "p_value", "status"), 6)
 
 
@@ -391,36 +400,34 @@ def summary_by_entity(spark, sf):
 
 @query
 def cagr_by_count(spark, sf):
-    return rounded(stats.cagr_by_count(clean(spark, sf), "om_total"), 6)
+    return rounded(stats.cagr_by_count(costs(spark, sf), "om_total"), 6)
 
 
 @query
 def cagr_baseline(spark, sf):
-    result = stats.cagr_from_baseline(clean(spark, sf), bind.baselines(spark, sf), "grc_om")
+    result = stats.cagr_from_baseline(costs(spark, sf), bind.baselines(spark, sf), "grc_om")
     return rounded(result, 6)
 
 
 @query
 def yoy_change(spark, sf):
-    return stats.yoy_change(clean(spark, sf), "om_total")
+    return stats.yoy_change(costs(spark, sf), "om_total")
 
 
 @query
 def yoy_matrix(spark, sf):
-    return stats.yoy_matrix(clean(spark, sf), "om_total", bind.YEARS)
+    return stats.yoy_matrix(costs(spark, sf), "om_total", bind.YEARS)
 
 
 @query
 def yoy_matrix_flags(spark, sf):
-    return stats.yoy_cells(clean(spark, sf), "rate_base")
+    return stats.yoy_cells(costs(spark, sf), "rate_base")
 
 
 @query
 def peer_benchmark(spark, sf):
     latest = sinks.stage(clean(spark, sf, bind.YEARS[-1:]))
-    return rounded(
-        stats.peer_benchmark(latest, stats.latest_year(latest), "om_per_customer"), 6
-    )
+    return rounded(stats.peer_benchmark(latest, bind.YEARS[-1], "om_per_customer"), 6)
 
 
 @query
@@ -438,7 +445,7 @@ def peer_pct_diff(spark, sf):
 @query
 def variance_decomposition(spark, sf):
     df = sinks.stage(
-        clean(spark, sf).select(
+        costs(spark, sf).select(
             "utility_id_ferc1", "utility_name", "report_year", "grc_om", "rate_base"
         )
     )
@@ -504,17 +511,17 @@ def key_findings(spark, sf):
 
 @query
 def chart_om_trend(spark, sf):
-    return rounded(charts.om_trend(clean(spark, sf)), 8, "cagr_percent")
+    return rounded(charts.om_trend(costs(spark, sf)), 8, "cagr_percent")
 
 
 @query
 def rr_waterfall(spark, sf):
-    return charts.requirement_waterfall(modelled(spark, sf))
+    return charts.requirement_waterfall(modelled_costs(spark, sf))
 
 
 @query
 def chart_revenue_gap(spark, sf):
-    return rounded(charts.revenue_gap(modelled(spark, sf, [BASE]), BASE), 9)
+    return rounded(charts.revenue_gap(modelled_costs(spark, sf, [BASE]), BASE), 9)
 
 
 @query
