@@ -365,10 +365,10 @@ CHANGE_PCT = """CASE WHEN current_monthly_bill = 0 THEN 0.0
 def _bill_impact() -> str:
     return with_panel(f"""SELECT utility_id_ferc1, utility_name, {BASE_YEAR} AS base_year,
   {rnd(9, 'residential_share')}, round(residential_share * 100.0, 9) AS residential_share_pct,
-  current_rr, proposed_rr, {rnd(9, 'current_rate_per_kwh', 'proposed_rate_per_kwh',
-       'current_monthly_bill', 'proposed_monthly_bill', 'monthly_change_dollars')},
-  round({CHANGE_PCT}, 9) AS monthly_change_pct,
-  round(monthly_change_dollars * 12.0, 9) AS annual_change_dollars,
+  current_rr, proposed_rr, {rnd(9, 'current_rate_per_kwh', 'proposed_rate_per_kwh')},
+  {rnd(7, 'current_monthly_bill', 'proposed_monthly_bill', 'monthly_change_dollars')},
+  round({CHANGE_PCT}, 7) AS monthly_change_pct,
+  round(monthly_change_dollars * 12.0, 7) AS annual_change_dollars,
   {d(500.0)} AS avg_monthly_kwh, {d(0.03)} AS om_escalation, {d(0.04)} AS rate_base_growth
 FROM bills""", BILL_ROWS, _bill_impact_cte())
 
@@ -435,7 +435,7 @@ STATUS = "CASE WHEN n >= 2 THEN 'ok' ELSE 'insufficient data' END AS status"
 
 def _trend() -> str:
     return with_panel(f"""SELECT utility_id, utility_name, 'om_total' AS metric,
-  round({enough('slope')}, 4) AS slope, round({enough('intercept')}, 1) AS intercept,
+  round({enough('slope')}, 4) AS slope, round({enough('intercept')}, 0) AS intercept,
   round({enough('r_squared')}, 6) AS r_squared,
   round({enough(cagr('first_y', 'last_y', 'n_years'))}, 6) AS cagr_percent,
   round({enough('mean')}, 5) AS mean, round({enough('std')}, 4) AS std,
@@ -462,7 +462,7 @@ def _summary() -> str:
                       "(MAX(report_year) - MIN(report_year))")
         one.append(f"""SELECT utility_id_ferc1,
   arg_min(utility_name, report_year) AS utility_name, '{m}' AS metric, round(avg({m}), 5) AS mean,
-  round(stddev_samp({m}), 4) AS std, round(MIN({m}), 4) AS min, round(MAX({m}), 4) AS max,
+  round(stddev_samp({m}), 4) AS std, MIN({m}) AS min, MAX({m}) AS max,
   round({growth}, 4) AS cagr_percent,
   CAST(MAX(report_year) - MIN(report_year) AS INTEGER) AS n_years
 FROM panel GROUP BY utility_id_ferc1 HAVING COUNT({m}) >= 2""")
@@ -531,7 +531,9 @@ def _ols_select(group: str = "") -> str:
   round(coef / std_err, 6) AS t_value,
   round({t_pvalue('abs(coef / std_err)', 'dof')}, 6) AS p_value, n_obs,
   round(r_squared, 6) AS r_squared, round(adj_r_squared, 6) AS adj_r_squared, 'ok' AS status
-FROM ols_terms"""
+FROM ols_terms WHERE n_obs >= 4
+UNION ALL SELECT {lead}NULL, NULL, NULL, NULL, NULL, n, NULL, NULL, 'insufficient data'
+FROM ols_m WHERE n < 4"""
 
 
 VIF_CTE = """
@@ -637,7 +639,7 @@ SELECT ordinal, finding, subject, round(value, 6) AS value FROM (
     {cagr('first_y', 'last_y', 'n_years')} AS growth FROM trend WHERE n >= 2
     ORDER BY growth DESC NULLS LAST, utility_id LIMIT 1)
   UNION ALL SELECT 3, 'significant driver', term, {p} FROM ols_terms
-    WHERE term <> 'const' AND {p} < 0.05
+    WHERE term <> 'const' AND n_obs >= 4 AND {p} < 0.05
   UNION ALL SELECT 4, 'collinear driver', variable, vif FROM vif WHERE vif > 10
   UNION ALL SELECT 5, 'outlier count', 'all', CAST(COUNT(*) AS DOUBLE) FROM outliers
   UNION ALL (SELECT 6, 'outlier', utility_name || ' ' || CAST(report_year AS VARCHAR), z_score
@@ -951,7 +953,7 @@ FROM (SELECT *, {cagr('first_om', 'last_om', 'periods')} AS growth
 FROM modelled WHERE {base}""", MODELLED),
         "chart_bill_impact": with_panel(
             f"""SELECT utility_id_ferc1, utility_name, 'Current' AS series,
-  round(current_monthly_bill, 9) AS monthly_bill, CAST(NULL AS DOUBLE) AS change_pct FROM bills
-UNION ALL SELECT utility_id_ferc1, utility_name, 'Proposed', round(proposed_monthly_bill, 9),
-  round({CHANGE_PCT}, 9) FROM bills""", BILL_ROWS, _bill_impact_cte()),
+  round(current_monthly_bill, 7) AS monthly_bill, CAST(NULL AS DOUBLE) AS change_pct FROM bills
+UNION ALL SELECT utility_id_ferc1, utility_name, 'Proposed', round(proposed_monthly_bill, 7),
+  round({CHANGE_PCT}, 7) FROM bills""", BILL_ROWS, _bill_impact_cte()),
     }

@@ -319,12 +319,9 @@ def residential_bill(spark, sf):
 @query
 def bill_impact(spark, sf):
     impact = bills.bill_impact(clean(spark, sf, [BASE]), BASE)
-    return rounded(impact, 9, *[
-        c
-        for c in impact.columns
-        if c.startswith(("residential_", "current_", "proposed_", "monthly_", "annual_"))
-        and not c.endswith("_rr")
-    ])
+    shares = [c for c in impact.columns if "_share" in c or "_rate_" in c]
+    dollars = [c for c in impact.columns if c.startswith("monthly_") or "_monthly_bill" in c]
+    return rounded(rounded(impact, 9, *shares), 7, *dollars, "annual_change_dollars")
 
 
 @query
@@ -373,7 +370,7 @@ def summary_requirement(spark, sf):
 
 # ---- statistics -------------------------------------------------------------------------
 
-_TREND_DIGITS = {"slope": 4, "intercept": 1, "mean": 5, "std": 4}
+_TREND_DIGITS = {"slope": 4, "intercept": 0, "mean": 5, "std": 4}
 
 
 def _trend(df: DataFrame) -> DataFrame:
@@ -395,7 +392,7 @@ def trend_pvalue(spark, sf):
 @query
 def summary_by_entity(spark, sf):
     result = rounded(stats.summary_by_entity(clean(spark, sf)), 5, "mean")
-    return rounded(result, 4, "std", "min", "max", "cagr_percent")
+    return rounded(result, 4, "std", "cagr_percent")
 
 
 @query
@@ -526,4 +523,4 @@ def chart_revenue_gap(spark, sf):
 
 @query
 def chart_bill_impact(spark, sf):
-    return rounded(charts.bill_impact(bills.bill_impact(clean(spark, sf, [BASE]), BASE)), 9)
+    return rounded(charts.bill_impact(bills.bill_impact(clean(spark, sf, [BASE]), BASE)), 7)
