@@ -106,7 +106,7 @@ PRIORITIES = {
 }
 
 
-def sales(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
+def sales(spark: SparkSession, sf_dir: str, years=None, customers=None) -> DataFrame:
     """Up to three landed rows (by order status) per customer and year.
 
     Orders are summed per customer before the customer join, so a customer with a large part of
@@ -124,14 +124,15 @@ def sales(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
     landed = aggregate(orders, ["o_custkey", "report_year", "o_orderstatus"], {
         "row_ordinal": "min(o_orderkey)", **measures
     })
+    landed = tables.member_of(landed, "o_custkey", customers)
     nations = read(spark, sf_dir, "nation").join(
         read(spark, sf_dir, "region").selectExpr("r_regionkey AS n_regionkey", "r_name"),
         "n_regionkey",
     )
-    customers = read(spark, sf_dir, "customer").join(
+    located = read(spark, sf_dir, "customer").join(
         nations.withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey"
     )
-    located = landed.join(customers.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey")
+    located = landed.join(located.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey")
     return located.selectExpr(
         "report_year",
         f"o_custkey + {EIA_OFFSET} AS utility_id_eia",
@@ -163,15 +164,21 @@ def baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def panel(
     spark: SparkSession, sf_dir: str, years=None, mapped_only: bool = True, with_sales: bool = True
 ) -> DataFrame:
-    """The final panel. `years` reaches the scans, so a one-year model reads one year."""
+    """The final panel. `years` reaches the scans, so a one-year model reads one year.
+
+    With `mapped_only` the tables keyed by customer are limited to mapped entities first.
+    """
+    ids = id_map(spark, sf_dir)
+    ferc_ids = ids.select("utility_id_ferc1") if mapped_only else None
     sold = None
     if with_sales:
-        sold = tables.state_entities(sales(spark, sf_dir, years), TARGET_STATE)
+        landed = sales(spark, sf_dir, years, ferc_ids)  # sales ids are these plus the offset
+        sold = tables.state_entities(landed, TARGET_STATE)
     return build_panel(
         tables.expenses(expenses(spark, sf_dir, years)),
-        tables.plant_wide(plant(spark, sf_dir, years)),
+        tables.plant_wide(plant(spark, sf_dir, years), ferc_ids),
         sold,
-        id_map(spark, sf_dir),
-        tables.operating_revenue(income(spark, sf_dir, years)),
+        ids,
+        tables.operating_revenue(income(spark, sf_dir, years), ferc_ids),
         mapped_only,
     )

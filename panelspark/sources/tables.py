@@ -89,10 +89,14 @@ def income(df: DataFrame, ids=None, years=None) -> DataFrame:
 
 
 def operating_revenue(df: DataFrame, ids=None, years=None) -> DataFrame:
-    """Sum of the revenue account per entity and year."""
-    rows = income(df, ids, years).where(f"ferc_account = '{REVENUE_ACCOUNT}'")
+    """Sum of the revenue account per entity and year.
+
+    Membership is stated on the sums: Catalyst moves it below them when the ids can be broadcast,
+    and otherwise raw rows are not shuffled for it.
+    """
+    rows = income(df, None, years).where(f"ferc_account = '{REVENUE_ACCOUNT}'")
     total = {"operating_revenues_ferc": sum_amount("dollar_value")}
-    return aggregate(known(rows, *KEYS), KEYS, total)
+    return member_of(aggregate(known(rows, *KEYS), KEYS, total), "utility_id_ferc1", ids)
 
 
 def association(df: DataFrame, ids=None) -> DataFrame:
