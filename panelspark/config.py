@@ -93,5 +93,6 @@ BILL_SCENARIOS = [
     ("High WACC", 0.03, 0.04, 0.085),
     ("Low WACC", 0.03, 0.04, 0.065),
 ]
+# WACC and A&G allocation steps of the sensitivities.
 WACC_RANGE = [0.055, 0.065, 0.075, 0.085, 0.095]
 AG_ALLOCATIONS = [0.41, 0.50, 0.60, 0.70]

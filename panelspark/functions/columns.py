@@ -39,10 +39,11 @@ def named(expressions: dict[str, str]) -> list[str]:
 
 def add_columns(df: DataFrame, expressions: dict[str, str]) -> DataFrame:
     """Add columns, or replace those that exist, in one projection."""
-    kept = [
-        f"{expressions[c]} AS `{c}`" if c in expressions else f"`{c}`" for c in df.columns
-    ]
-    new = {n: t for n, t in expressions.items() if n not in df.columns}
+    columns = df.columns
+    new = {n: t for n, t in expressions.items() if n not in columns}
+    if len(new) == len(expressions):
+        return df.selectExpr("*", *named(new))
+    kept = [f"{expressions[c]} AS `{c}`" if c in expressions else f"`{c}`" for c in columns]
     return df.selectExpr(*kept, *named(new))
 
 
@@ -180,7 +181,7 @@ def grc_parts(
     rate_base: str,
     a: Assumptions = DEFAULTS,
 ) -> dict[str, str]:
-    """Rate-case revenue requirement: allocated cost + depreciation + return, simple tax."""
+    """GRC revenue requirement: allocated cost + depreciation + return, simple tax."""
     share = number(a.ag_allocation)
     grc_om = allocated_om(distribution, customer_service, admin_general, share)
     depreciation = rate_base_return(rate_base, number(a.depreciation_rate))

@@ -61,7 +61,7 @@ def requirement_waterfall(df: DataFrame, a: Assumptions = DEFAULTS) -> DataFrame
     Starts are sums of the columns before, so the running total needs no window.
     """
     allocated = f"om_admin_general * {number(a.ag_allocation)}"
-    components = {
+    components = {  # fixed values: the labels
         "Distribution O&M": "om_distribution",
         "Customer Service": "om_customer_service",
         "A&G (70%)": col_or(df, "om_ag_allocated", allocated),

@@ -57,7 +57,7 @@ def requirement_breakdown(
 
 
 def add_grc_requirement(df: DataFrame, a: Assumptions = DEFAULTS) -> DataFrame:
-    """Rate-case requirement next to the total one; replaces grc_om."""
+    """GRC requirement next to the total one; replaces grc_om."""
     require_columns(df, GRC_INPUTS)
     parts = grc_parts(*GRC_INPUTS, a)
     return add_columns(df, {
@@ -75,7 +75,7 @@ def _gas_share(a: Assumptions) -> str:
 
 
 def add_grc_breakdown(df: DataFrame, a: Assumptions = DEFAULTS) -> DataFrame:
-    """What the rate case covers and what it leaves out."""
+    """What the GRC requirement covers and what it leaves out."""
     share, gas = number(a.ag_allocation), f"om_admin_general * {_gas_share(a)}"
     return add_columns(df, {
         "om_ag_total": "om_admin_general",
@@ -147,7 +147,7 @@ def _with_change(df: DataFrame, before: str, after: str, a: Assumptions) -> Data
 def forecast_test_year_grc(
     df: DataFrame, base_year: int, a: Assumptions = DEFAULTS
 ) -> DataFrame:
-    """One-year projection of the rate-case requirement: each allocated cost is escalated."""
+    """One-year projection of the GRC requirement: each allocated cost is escalated."""
     costs = GRC_INPUTS[:3]
     up, grow = number(1.0 + a.om_escalation), number(1.0 + a.rate_base_growth)
     now = grc_parts(*costs, "rate_base", a)
@@ -195,7 +195,7 @@ def wacc_sensitivity(df: DataFrame, waccs=WACC_RANGE, a: Assumptions = DEFAULTS)
 
 
 def compare_methodologies(df: DataFrame, year: int, a: Assumptions = DEFAULTS) -> DataFrame:
-    """Total against rate-case requirement in one year. Needs both models' columns.
+    """Total against GRC requirement in one year. Needs both models' columns.
 
     The excluded cost counts 30 % of A&G whatever the allocation, and leaves om_other out.
     """
@@ -245,7 +245,7 @@ def requirement_check(
 
 
 def reconcile_revenue(df: DataFrame, authorised: str) -> DataFrame:
-    """Accounting revenue against sales revenue, and the rate-case requirement against an
+    """Accounting revenue against sales revenue, and the GRC requirement against an
     authorised figure (an expression)."""
     grc = "grc_revenue_requirement"
     return df.selectExpr(*KEYS, *named({

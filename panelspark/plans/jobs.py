@@ -1,12 +1,11 @@
 """The three jobs: build and model a panel, analyse it, write the chart datasets.
 
-    spark-submit -m panelspark.plans.jobs panel --expenses ... --out /warehouse/panel
+    spark-submit panel_job.py panel --expenses ... --out /warehouse/panel
 """
 
 from __future__ import annotations
 
 import argparse
-import sys
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -122,7 +121,7 @@ def run_charts(spark: SparkSession, out: str, year: int, years) -> dict[str, Dat
     return datasets
 
 
-def main(argv=None) -> None:
+def main(argv) -> None:
     parser = argparse.ArgumentParser(prog="panelspark")
     parser.add_argument("job", choices=["panel", "statistics", "charts"])
     parser.add_argument("--out", required=True)
@@ -142,7 +141,3 @@ def main(argv=None) -> None:
         run_statistics(tables.read_table(spark, f"{args.out}/analysis_ready"), args.out)
     else:
         run_charts(spark, args.out, base_year, args.years)
-
-
-if __name__ == "__main__":
-    main(sys.argv[1:])

@@ -53,6 +53,20 @@ def test_missing_category_is_zero_and_categories_add_up(spark):
     assert rows[2021]["om_total"] == 0.0
 
 
+def test_sums_do_not_depend_on_partitioning_or_a_hot_entity(spark):
+    hot = spark.range(30_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 1 ELSE id % 500 END AS utility_id_ferc1",
+        "CAST(2020 + id % 2 AS INT) AS report_year",
+        "CAST(500 + id % 440 AS STRING) AS ferc_account",
+        "(id * 7919 % 1000003) / 100D AS dollar_value",
+    )
+    results = [
+        sorted(map(tuple, panel.pivot_expenses(panel.category_sums(df)).collect()))
+        for df in (hot, hot.repartition(23), hot.coalesce(1).orderBy("dollar_value"))
+    ]
+    assert results[0] == results[1] == results[2]
+
+
 def test_roll_up_sums_numbers_and_keeps_first_text(spark):
     df = spark.createDataFrame(
         [(7, 2020, None, 1.0, 3, 0), (7, 2020, "b", 2.0, None, 2), (7, 2020, "a", None, 4, 5),

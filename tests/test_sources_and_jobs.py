@@ -168,3 +168,34 @@ def test_panel_job_refuses_a_thin_panel(spark, landing, tmp_path):
     )
     with pytest.raises(ValueError, match="row_count|null_"):
         jobs.run_panel(spark, inputs, str(tmp_path))
+
+
+def test_command_line(spark, landing, tmp_path):
+    out = str(tmp_path)
+    jobs.main([
+        "panel", "--out", out, "--expenses", f"{landing}/expenses", "--plant", f"{landing}/plant",
+        "--income", f"{landing}/income", "--sales", f"{landing}/Sales_Ult_Cust_*.xlsx",
+    ])
+    jobs.main(["charts", "--out", out])
+    assert spark.read.parquet(f"{out}/charts/bill_impact").count() == 6
+
+
+def test_staging_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    class Context:
+        master = "yarn"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+    with pytest.raises(RuntimeError, match="shared folder"):
+        sinks.shared_folder(Session())
+    assert sinks.stage(spark.range(5)).count() == 5
