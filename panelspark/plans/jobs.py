@@ -34,7 +34,8 @@ def load_sales(spark: SparkSession, path: str) -> DataFrame:
     if path.endswith(".xlsx"):
         spark.dataSource.register(SalesWorkbooks)
         return spark.read.format("sales_workbooks").load(path)
-    return tables.read_table(spark, path, schemas.SALES)
+    required = ["report_year", "utility_id_eia", "utility_name", "state", "row_ordinal"]
+    return tables.read_table(spark, path, schemas.SALES, required)
 
 
 def run_panel(

@@ -35,10 +35,31 @@ from panelspark.schemas import ID_MAP
 KEYS = ["utility_id_ferc1", "report_year"]
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, required=None) -> DataFrame:
+    """The declared columns, in order. A column of another type family is cast, a value that does
+    not fit becoming NULL; integers of any width stay as filed, so filters on them still reach
+    the parquet reader. `required` defaults to all columns; others may be absent.
+    """
+    require_columns(df, schema.names if required is None else required)
+    filed = {f.name: f.dataType for f in df.schema}
+
+    def column(field: T.StructField) -> str:
+        same = filed[field.name] == field.dataType or (
+            isinstance(filed[field.name], T.IntegralType)
+            and isinstance(field.dataType, T.IntegralType)
+        )
+        cast = f"try_cast({field.name} AS {field.dataType.simpleString()}) AS {field.name}"
+        return field.name if same else cast
+
+    return df.selectExpr(*[column(f) for f in schema if f.name in filed])
+
+
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, required=None
+) -> DataFrame:
     """Parquet with a declared schema; a missing path raises AnalysisException."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return nan_to_null(reader.parquet(path))
+    df = spark.read.parquet(path)
+    return nan_to_null(df if schema is None else conform(df, schema, required))
 
 
 def member_of(df: DataFrame, column: str, ids) -> DataFrame:

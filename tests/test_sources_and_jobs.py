@@ -106,6 +106,23 @@ def test_missing_inputs_raise(spark, tmp_path):
         spark.read.format("sales_workbooks").load(f"{tmp_path}/*.xlsx").count()
 
 
+def test_filed_types_conform_to_the_schema(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame(
+        [(1, 2020, "x", "reported_value", "12.5", 9), (1, 2021, "y", "reported_value", "n/a", 9)],
+        "utility_id_ferc1 int, report_year long, ferc_account string, row_type_xbrl string, "
+        "dollar_value string, extra int",
+    ).write.parquet(path)
+    df = tables.read_table(spark, path, schemas.EXPENSES)
+    assert df.columns == schemas.EXPENSES.names
+    kept = tables.expenses(df, [1], [2020, 2021]).orderBy("report_year").collect()
+    assert [r["dollar_value"] for r in kept] == [12.5, None]
+    with pytest.raises(ValueError, match="ending_balance"):
+        tables.read_table(spark, path, schemas.PLANT)
+    some = tables.conform(df, schemas.SALES, ["report_year"])
+    assert some.columns == ["report_year"]
+
+
 def test_union_years_fills_absent_columns(spark):
     a = spark.createDataFrame([(2018, 1, "CA")], "report_year int, utility_id_eia int, state string")
     b = a.selectExpr("2019 AS report_year", "utility_id_eia", "state", "5 AS extra")
