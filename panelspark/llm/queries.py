@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelspark.llm import decontam, simhash
+from panelspark.llm import decontam, lines, quality, simhash
 from panelspark.llm.common import table
 from panelspark.sources.sinks import stage
 
@@ -65,6 +65,145 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN n USING (r) LEFT JOIN listed USING (r)"""
 
 
+@query
+def op4_line_dedup(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return lines.drop_recurring(docs)
+
+
+def line_sql(documents: str) -> str:
+    """Common table expressions up to `l_kept`: r, the columns, the new text, n_lines, n_dropped."""
+    mask = f"CASE WHEN regexp_matches(t, '[0-9]') THEN '{lines.FIELD}' ELSE t END"
+    return rf"""
+l_docs AS MATERIALIZED (SELECT row_number() OVER () AS r,
+  md5(concat_ws(':', CAST(doc_id AS VARCHAR), text)) AS doc_key, * FROM {documents}),
+l_split AS MATERIALIZED (SELECT r, doc_key, doc_id, string_split(text, chr(10)) AS parts
+  FROM l_docs WHERE text IS NOT NULL),
+l_lines AS MATERIALIZED (SELECT r, doc_key, doc_id, line_no, toks,
+  array_to_string(toks, ' ') AS line,
+  concat(len(toks), ' ', array_to_string(list_transform(toks[1:{lines.DEPTH}],
+    lambda t: {mask}), ' ')) AS leaf
+  FROM (SELECT r, doc_key, doc_id, pos - 1 AS line_no,
+      regexp_extract_all(parts[pos], '[^ 	-
+]+') AS toks
+    FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS pos FROM l_split))
+  WHERE len(toks) > 0),
+l_distinct AS MATERIALIZED (SELECT leaf, line, count(DISTINCT doc_key) AS n_docs
+  FROM l_lines GROUP BY leaf, line),
+l_tokens AS MATERIALIZED (SELECT leaf, line, n_docs, pos, {mask} AS token
+  FROM (SELECT leaf, line, n_docs, pos, toks[pos] AS t
+    FROM (SELECT *, unnest(range(1, len(toks) + 1)) AS pos
+      FROM (SELECT *, string_split(line, ' ') AS toks FROM l_distinct)))),
+l_shared AS (SELECT leaf, pos, token FROM l_tokens GROUP BY leaf, pos, token
+  HAVING sum(n_docs) >= {lines.MIN_DOCS} AND token <> '{lines.FIELD}'),
+l_templates AS MATERIALIZED (SELECT leaf, line, CASE WHEN 2 * count(s.token) >= count(*)
+    THEN '~' || string_agg(coalesce(s.token, '{lines.FIELD}'), ' ' ORDER BY pos)
+    ELSE '=' || line END AS template
+  FROM l_tokens t LEFT JOIN l_shared s USING (leaf, pos, token) GROUP BY leaf, line),
+l_matched AS MATERIALIZED (SELECT r, doc_key, doc_id, line_no, leaf, template
+  FROM l_lines JOIN l_templates USING (leaf, line)),
+l_recurring AS (SELECT leaf, template, arg_min(doc_key, (doc_id IS NULL, doc_id, doc_key)) AS first_key
+  FROM l_matched GROUP BY leaf, template HAVING count(DISTINCT doc_key) >= {lines.MIN_DOCS}),
+l_dropped AS (SELECT r, list(line_no) AS dropped FROM (SELECT DISTINCT r, line_no
+  FROM l_matched JOIN l_recurring USING (leaf, template) WHERE doc_key <> first_key) GROUP BY r),
+l_kept AS MATERIALIZED (SELECT l_docs.* EXCLUDE (text, doc_key),
+  CASE WHEN dropped IS NULL THEN text ELSE array_to_string(list_transform(
+    list_filter(range(1, len(parts) + 1), lambda i: NOT list_contains(dropped, i - 1)),
+    lambda i: parts[i]), chr(10)) END AS text,
+  coalesce(len(list_filter(parts, lambda l: regexp_matches(l, '[^ 	-
+]'))), 0) AS n_lines,
+  coalesce(len(dropped), 0) AS n_dropped
+  FROM l_docs LEFT JOIN l_split USING (r) LEFT JOIN l_dropped USING (r))"""
+
+
+ORACLE_SQL["op4_line_dedup"] = f"""WITH {line_sql('documents')}
+SELECT doc_id, text, n_lines, n_dropped FROM l_kept"""
+
+
+@query
+def op5_quality_rules(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    counted = stage(quality.with_counts(docs).drop("text"))
+    return quality.judge(counted).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
+
+
+def _quality_bucket(value: str) -> str:
+    shift = f"CAST(greatest(length(bin({value})) - 6, 0) AS BIGINT)"
+    return f"(({value} >> {shift}) << {shift})"
+
+
+def quality_sql(documents: str) -> str:
+    """Common table expressions up to `judged`, over a relation with the columns of documents."""
+    rates = " UNION ALL ".join(
+        f"SELECT lang, source, '{r}' AS rate, {_quality_bucket(r)} AS bucket FROM rated"
+        " WHERE n_words > 0" for r in quality.RATES
+    )
+    group = "lang, source, whole_lang, rate"
+    slack = " ".join(f"WHEN '{r}' THEN {s}" for r, (_, s, _) in quality.RATES.items())
+    defined = ", ".join(
+        f"CASE WHEN n_words > 0 THEN {d.replace('DIV', '//')} END AS {r}"
+        for r, (d, _, _) in quality.RATES.items()
+    )
+    inside = [f"{r} <= (SELECT max(high) FROM chosen c WHERE c.rate = '{r}'"
+              " AND c.lang IS NOT DISTINCT FROM x.lang"
+              " AND c.source IS NOT DISTINCT FROM x.source)" for r in quality.RATES]
+    inside += [f"{r} >= (SELECT min(low) FROM chosen c WHERE c.rate = '{r}'"
+               " AND c.lang IS NOT DISTINCT FROM x.lang"
+               " AND c.source IS NOT DISTINCT FROM x.source)"
+               for r, (_, _, low) in quality.RATES.items() if low]
+    return rf"""
+q_docs AS MATERIALIZED (SELECT row_number() OVER () AS r, * FROM {documents}),
+q_words AS MATERIALIZED (SELECT r,
+  regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w,
+  list_filter(string_split(coalesce(text, ''), chr(10)),
+    lambda l: regexp_matches(l, '[^ 	-
+]')) AS lines FROM q_docs),
+q_windows AS (SELECT r, i, array_to_string(w[i:i + 7], ' ') AS s
+  FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM q_words WHERE len(w) >= 8)),
+q_twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, s) AS c
+  FROM q_windows) WHERE c > 1),
+q_repeat AS (SELECT r, count(*) AS n FROM (
+  SELECT DISTINCT r, unnest(range(i, i + 8)) AS at FROM q_twice) GROUP BY r),
+counted AS MATERIALIZED (
+  SELECT q_docs.*, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]+', '', 'g')) AS BIGINT)
+      AS n_symbols,
+    CAST(len(lines) AS BIGINT) AS n_lines,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    coalesce(q_repeat.n, 0) AS n_repeat_words
+  FROM q_docs JOIN q_words USING (r) LEFT JOIN q_repeat USING (r)),
+rated AS MATERIALIZED (SELECT *, {defined},
+  n_words < {quality.MIN_WORDS}
+    OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed
+  FROM counted),
+by_source AS (SELECT lang, source, rate, bucket, count(*) AS n FROM ({rates}) GROUP BY ALL),
+merged AS (SELECT lang, source, FALSE AS whole_lang, rate, bucket, n FROM by_source
+  UNION ALL SELECT lang, NULL, TRUE, rate, bucket, sum(n) FROM by_source GROUP BY lang, rate, bucket),
+placed AS (SELECT *, sum(n) OVER (PARTITION BY {group} ORDER BY bucket) AS upto,
+  sum(n) OVER (PARTITION BY {group}) AS total FROM merged),
+medians AS (SELECT {group}, max(total) AS total, min(bucket) FILTER (4 * upto >= total) AS q25,
+  min(bucket) FILTER (2 * upto >= total) AS q50 FROM placed GROUP BY {group}),
+limits AS (SELECT *, q50 - reach AS low, q50 + reach AS high FROM (SELECT *,
+  greatest({quality.SPREAD} * (q50 - q25), CASE rate {slack} END) AS reach FROM medians)),
+chosen AS MATERIALIZED (SELECT s.lang, s.source, s.rate,
+  CASE WHEN s.total < {quality.FEW_DOCUMENTS} THEN l.low ELSE s.low END AS low,
+  CASE WHEN s.total < {quality.FEW_DOCUMENTS} THEN l.high ELSE s.high END AS high
+  FROM limits s JOIN limits l ON s.lang IS NOT DISTINCT FROM l.lang AND s.rate = l.rate
+  WHERE NOT s.whole_lang AND l.whole_lang),
+judged AS MATERIALIZED (
+  SELECT *, NOT base_failed AND coalesce({' AND '.join(inside)}, FALSE) AS kept FROM rated x)"""
+
+
+ORACLE_SQL["op5_quality_rules"] = f"""WITH {quality_sql('documents')}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept
+FROM judged"""
+
+
 @query
 def op10_simhash(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
