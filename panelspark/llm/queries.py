@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelspark.llm import decontam, lines, quality, simhash
+from panelspark.llm import decontam, lines, packing, quality, simhash
 from panelspark.llm.common import table
 from panelspark.sources.sinks import stage
 
@@ -65,6 +65,25 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN n USING (r) LEFT JOIN listed USING (r)"""
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    pieces = packing.pack(docs.select("doc_id", "text", "source"), tokenizer_path())
+    return pieces.selectExpr(
+        "doc_id", "start", "length", "crc32(ids) AS ids_crc32", "doc_tokens", "sequence_id",
+        "offset",
+    )
+
+
+@query
+def op3_packing(spark, sf):
+    return packed(table(spark, sf, "documents"))
+
+
 @query
 def op4_line_dedup(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
