@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelspark.llm import decontam, lines, packing, quality, simhash
+from panelspark.llm import decontam, langid, lines, packing, quality, simhash, urls
 from panelspark.llm.common import table
 from panelspark.sources.sinks import stage
 
@@ -223,6 +223,28 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged"""
 
 
+URL_RULES = [
+    ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
+    ("allow", "com/fr/"), ("block", "com/de/"),
+]
+
+
+@query
+def op7_url_filter(spark, sf):
+    return urls.judge(table(spark, sf, "pages").select("page_id", "url"), URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict", "score"
+    )
+
+
+@query
+def op9_language_id(spark, sf):
+    docs = table(spark, sf, "documents")
+    held_out = "crc32(coalesce(CAST(doc_id AS STRING), '')) % 4 = 2"
+    learned = langid.learn(docs.where(f"NOT ({held_out})").select("text", "lang"))
+    predicted = langid.predict(docs.select("doc_id", "text"), learned)
+    return predicted.selectExpr("doc_id", f"{held_out} AS held_out", "lang_pred", "score")
+
+
 @query
 def op10_simhash(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
