@@ -194,20 +194,24 @@ def find_windows(words: Words, known: WindowSet) -> list[tuple[np.ndarray, np.nd
     return found
 
 
-def scan(texts: pa.Array, known: WindowSet, lowered: np.ndarray):
-    """Per text: words, hit words, item ids, spans as [start, end) in code points."""
+def chunks(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """UTF-8 bytes and offsets of the texts in order, about CHUNK_BYTES at a time."""
     texts = texts.cast(pa.large_string())
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset :][: len(texts) + 1]
     data = texts.buffers()[2]
     raw = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
-    chunk = []
+    first = 0
     for i in range(len(texts)):
-        chunk.append(i)
-        size = offsets[i + 1] - offsets[chunk[0]]
-        if size >= CHUNK_BYTES or i == len(texts) - 1:
-            a, b = offsets[chunk[0]], offsets[i + 1]
-            yield from _scan_chunk(raw[a:b], offsets[chunk[0] : i + 2] - a, known, lowered)
-            chunk = []
+        if offsets[i + 1] - offsets[first] >= CHUNK_BYTES or i == len(texts) - 1:
+            a, b = offsets[first], offsets[i + 1]
+            yield raw[a:b], offsets[first : i + 2] - a
+            first = i + 1
+
+
+def scan(texts: pa.Array, known: WindowSet, lowered: np.ndarray):
+    """Per text: words, hit words, item ids, spans as [start, end) in code points."""
+    for raw, offsets in chunks(texts):
+        yield from _scan_chunk(raw, offsets, known, lowered)
 
 
 def _scan_chunk(raw: np.ndarray, offsets: np.ndarray, known: WindowSet, lowered: np.ndarray):
