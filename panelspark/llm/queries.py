@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from panelspark.llm import (
     chat,
     decontam,
+    html,
     langid,
     lines,
     packing,
@@ -76,6 +77,11 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN n USING (r) LEFT JOIN listed USING (r)"""
 
 
+@query
+def op2_html_extraction(spark, sf):
+    return html.extract(table(spark, sf, "pages"))
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
