@@ -12,6 +12,7 @@ The number of queues is bounded: sources below 1/1024 of all tokens share one qu
 
 from __future__ import annotations
 
+import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -28,15 +29,23 @@ from panelspark.sources.sinks import stage
 SEQUENCE = 2048
 END = 1
 SMALLEST_SHARE = 1024
-CACHED_WORDS = 200_000
-CHUNK_BYTES = 1 << 20
+CACHED_WORDS = 500_000
+CHUNK_BYTES = 4 << 20
+
+
+# Printable bytes stand for themselves in a byte-level vocabulary, the others for
+# the characters from 256 on.
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+PROBES = ["hello", "straße", "éaument", "niño", "ünd", "большой", "ﬀx", "a", "internationalization"]
 
 
 class WordTokenizer:
     """Token ids of many texts through the distinct words between their ASCII spaces.
 
-    Valid for a tokenizer whose pieces never hold or look across a space and which drops
-    spaces, such as word_bpe_49k. Strings of special tokens are ordinary text.
+    Valid for a tokenizer whose pieces never hold or look across a space and which lower-cases
+    and drops spaces, such as word_bpe_49k. A word of letters alone is one piece and goes to the
+    merge table directly, if that gives the same ids for PROBES; any other word goes through the
+    whole tokenizer. Strings of special tokens are ordinary text.
     """
 
     def __init__(self, path: str):
@@ -44,8 +53,32 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.merge = self.tokenizer.model.tokenize
+        others = [b for b in range(256) if b not in set(PRINTABLE)]
+        self.as_byte = {b: chr(256 + i) for i, b in enumerate(others)}
+        self.direct = all(self.letters(w) == self.encode(w) for w in PROBES)
         self.forget()
 
+    def encode(self, word: str) -> list[int]:
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
+
+    def letters(self, word: str) -> list[int]:
+        """Ids of a word of letters, lower-cased and composed."""
+        if not word.isascii():
+            word = word.encode("utf-8").decode("latin-1").translate(self.as_byte)
+        return [t.id for t in self.merge(word)]
+
+    def word(self, word: str) -> list[int]:
+        if self.direct:
+            if word.isascii():
+                if word.isalpha():
+                    return self.letters(word.lower())
+            elif "\u03a3" not in word and unicodedata.is_normalized("NFC", word):
+                lowered = word.lower()
+                if lowered.isalpha():
+                    return self.letters(lowered)
+        return self.encode(word)
+
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.flat = np.empty(1 << 16, np.uint32)
@@ -53,35 +86,41 @@ class WordTokenizer:
         self.used = 0
 
     def learn(self, words: list[str]) -> None:
-        new = [w for w in words if w not in self.known]
+        known = self.known
+        new = [w for w in words if w not in known]
         if not new:
             return
-        if len(self.known) + len(new) > CACHED_WORDS and self.known:
+        if len(known) + len(new) > CACHED_WORDS and known:
             self.forget()
-            new = words
-        coded = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, coded), np.int64, len(coded))
-        total = self.used + int(lengths.sum())
+            known, new = self.known, words
+        coded, lengths = [], []
+        for w in new:
+            ids = self.word(w)
+            coded += ids
+            lengths.append(len(ids))
+        total = self.used + len(coded)
         if total > len(self.flat):
             self.flat = np.resize(self.flat, 2 * total)
-        if len(self.known) + len(new) + 1 > len(self.starts):
-            self.starts = np.resize(self.starts, 2 * (len(self.known) + len(new) + 1))
-        self.flat[self.used : total] = np.fromiter(
-            (i for ids in coded for i in ids), np.uint32, total - self.used
-        )
-        first = len(self.known)
+        if len(known) + len(new) + 1 > len(self.starts):
+            self.starts = np.resize(self.starts, 2 * (len(known) + len(new) + 1))
+        self.flat[self.used : total] = coded
+        first = len(known)
         self.starts[first + 1 : first + 1 + len(new)] = self.used + np.cumsum(lengths)
-        self.known.update(zip(new, range(first, first + len(new))))
+        known.update(zip(new, range(first, first + len(new))))
         self.used = total
 
     def ids(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text (NULL is empty)."""
-        pieces = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+        texts = texts.cast(pa.large_string()).fill_null("")
+        if self.direct:  # a mark that ends a word of letters is a piece of its own
+            texts = pc.replace_substring_regex(texts, r"([A-Za-zÀ-ÖØ-öø-ÿ])([.,!?;:$*%#&|]+\s)", r"\1 \2")
+        pieces = pc.ascii_split_whitespace(texts)
         offsets = pieces.offsets.to_numpy()
         coded = pieces.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
         self.learn(words)
-        place = np.fromiter((self.known[w] for w in words), np.int64, len(words))
+        known = self.known
+        place = np.array([known[w] for w in words], np.int64)
         word = place[coded.indices.to_numpy()]
         lengths = self.starts[word + 1] - self.starts[word]
         ends = np.cumsum(lengths)
