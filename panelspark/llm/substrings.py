@@ -3,11 +3,13 @@
 A unit is a part of a line: lines are cut after words that end a sentence or repeat the word
 before, and after one of about `PHRASE` words, chosen by its hash and that of the word before. So a passage falls into the
 same units wherever it stands, but for the words at its ends. Normalised (lower-cased A-Z,
-words joined by one space), a unit's 128-bit digest is grouped over all documents: a bit table
-of fixed size first tells which digests can occur twice, so that few units are shuffled. The earliest
-unit by document id (NULL last), text digest and place stays. A later one is removed if it and the
-later ones next to it in the same document hold `MIN_WORDS` words at least: short parts that any
-text may share stay. Offsets of what is removed are those of the original text.
+words joined by one space), a unit's 128-bit digest is grouped over all documents.
+
+Short parts that any text may share don't count: an occurrence is a unit in a run of repeated
+units with `MIN_WORDS` words at least. The earliest occurrence by document id (NULL last), text
+digest and place stays. Runs of later ones with `MIN_WORDS` words are removed. Offsets of what is
+removed are those of the original text. A bit table of fixed size tells beforehand which units
+can be repeated, so that few are shuffled; what it lets through by chance is taken out exactly.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from panelspark.llm.common import without
+from panelspark.llm.common import spread, without
 from panelspark.llm.decontam import chunks, words_of
 from panelspark.sources.sinks import stage
 
@@ -70,15 +72,15 @@ def units(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[list, list, li
         yield start, end, counts, body
 
 
-def _digests(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
-    """Per text its number and the 128-bit digests of its units, as two longs each."""
+def _digests(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Per text its number, the 128-bit digests of its units as two longs each, and their words."""
     n = 0
     for raw, offsets in chunks(texts):
-        for start, end, _, body in units(raw, offsets):
+        for start, end, words, body in units(raw, offsets):
             coded = b"".join(
                 xxhash.xxh3_128_digest(b" ".join(body[a:b].split())) for a, b in zip(start, end)
             )
-            yield n, np.frombuffer(coded, "<i8").reshape(-1, 2)
+            yield n, np.frombuffer(coded, "<i8").reshape(-1, 2), np.array(words, np.int64)
             n += 1
 
 
@@ -86,13 +88,13 @@ def _place(high: np.ndarray) -> np.ndarray:
     return (high.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 
-def repeated_filter(docs: DataFrame, text: str) -> np.ndarray:
-    """A bit table of fixed size with a bit for every digest that occurs more than once."""
+def repeated(docs: DataFrame, text: str) -> DataFrame:
+    """(high) of every unit digest that occurs more than once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             some, size = [], 0
-            for _, digests in _digests(batch.column(0)):
+            for _, digests, _ in _digests(batch.column(0)):
                 some.append(digests[:, 0])
                 size += len(digests)
                 if size > 200_000:
@@ -102,7 +104,11 @@ def repeated_filter(docs: DataFrame, text: str) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(some))], ["high"])
 
     high = docs.select(F.col(f"`{text}`").cast("string")).mapInArrow(run, "high long")
-    often = high.groupBy("high").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return high.groupBy("high").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("high")
+
+
+def bit_table(often: DataFrame) -> np.ndarray:
+    """(1 << FILTER_BITS) bits, one set for each value, packed into bytes."""
     bits = often.selectExpr(
         f"shiftrightunsigned(high, {64 - FILTER_BITS}) AS at"
     ).groupBy(F.expr("at DIV 64").alias("word")).agg(
@@ -110,13 +116,14 @@ def repeated_filter(docs: DataFrame, text: str) -> np.ndarray:
     ).toArrow()  # at most (1 << FILTER_BITS) / 64 rows
     table = np.zeros((1 << FILTER_BITS) // 64, "<i8")
     table[bits.column(0).to_numpy()] = bits.column(1).to_numpy()
-    return np.unpackbits(table.view(np.uint8), bitorder="little").view(bool)
+    return table.view(np.uint8)
 
 
-def candidates(docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    """(id, text_hash, unit, high, low) of every unit that the filter says may be repeated."""
-    table = np.packbits(repeated_filter(docs, text), bitorder="little")
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+def candidates(
+    docs: DataFrame, often: DataFrame, id_column: str, text: str, min_words: int
+) -> DataFrame:
+    """(id, text_hash, unit, words, high, low) of the units in runs that the bit table passes."""
+    shared = docs.sparkSession.sparkContext.broadcast(bit_table(often))
     rows = docs.select(
         F.col(f"`{id_column}`").alias("id"), "text_hash", F.col(f"`{text}`").cast("string")
     )
@@ -125,46 +132,74 @@ def candidates(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for batch in batches:
-            owners, places, found, size = [], [], [], 0
+            owners, places, sizes, found, size = [], [], [], [], 0
 
             def batch_of():
                 at = pa.array(np.concatenate(owners))
                 pair = np.concatenate(found)
                 return pa.RecordBatch.from_arrays(
                     [batch.column(0).take(at), batch.column(1).take(at),
-                     pa.array(np.concatenate(places)), pa.array(pair[:, 0].copy()),
-                     pa.array(pair[:, 1].copy())],
-                    ["id", "text_hash", "unit", "high", "low"],
+                     pa.array(np.concatenate(places)), pa.array(np.concatenate(sizes)),
+                     pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy())],
+                    ["id", "text_hash", "unit", "words", "high", "low"],
                 )
 
-            for n, digests in _digests(batch.column(2)):
+            for n, digests, words in _digests(batch.column(2)):
                 bit = _place(digests[:, 0].copy())
-                hit = np.flatnonzero(table[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
+                hit = table[bit >> 3] >> (bit & 7).astype(np.uint8) & 1
+                edge = np.diff(np.r_[0, hit.astype(np.int8), 0])
+                upto = np.r_[0, np.cumsum(words)]
+                runs = [
+                    (a, b) for a, b in zip(np.flatnonzero(edge > 0), np.flatnonzero(edge < 0))
+                    if upto[b] - upto[a] >= min_words
+                ]
+                if not runs:
+                    continue
+                hit = np.concatenate([np.arange(a, b) for a, b in runs])
                 owners.append(np.full(len(hit), n, np.int64))
                 places.append(hit.astype(np.int32))
+                sizes.append(words[hit].astype(np.int32))
                 found.append(digests[hit])
                 size += len(hit)
                 if size > 100_000:
                     yield batch_of()
-                    owners, places, found, size = [], [], [], 0
+                    owners, places, sizes, found, size = [], [], [], [], 0
             if size:
                 yield batch_of()
 
-    return rows.mapInArrow(run, f"id {kind}, text_hash long, unit int, high long, low long")
+    return rows.mapInArrow(
+        run, f"id {kind}, text_hash long, unit int, words int, high long, low long"
+    )
 
 
-def later_units(docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    """(id, text_hash, later): per document the units that are not the earliest of their digest,
-    with the id of the document that has the earliest."""
-    found = stage(candidates(docs, id_column, text))
-    often = found.groupBy("high", "low").agg(
+def occurrences(found: DataFrame, often: DataFrame, min_words: int) -> DataFrame:
+    """The candidates in runs of units that are truly repeated, each once per document."""
+    true = found.join(often, "high", "left_semi").repartition(spread(found), "id", "text_hash")
+    doc = "PARTITION BY id, text_hash"
+    once = true.selectExpr(
+        "*", f"row_number() OVER ({doc}, unit ORDER BY high, low) AS copy"
+    ).where("copy = 1").drop("copy")
+    runs = once.selectExpr("*", f"unit - row_number() OVER ({doc} ORDER BY unit) AS run")
+    return runs.selectExpr(
+        "*", f"sum(words) OVER ({doc}, run) AS run_words"
+    ).where(f"run_words >= {min_words}").select("id", "text_hash", "unit", "high", "low")
+
+
+def later_units(docs: DataFrame, id_column: str, text: str, min_words: int) -> DataFrame:
+    """(id, text_hash, later): per document the occurrences that are not the earliest of their
+    digest, with the id of the document that has the earliest."""
+    often = stage(repeated(docs, text))
+    found = stage(candidates(docs, often, id_column, text, min_words))
+    found = stage(occurrences(found, often, min_words))
+    # Staged, so that the join below shuffles both sides and a hot digest can be split.
+    first = stage(found.groupBy("high", "low").agg(
         F.count(F.lit(1)).alias("n"),
         F.expr("min(struct(id IS NULL AS without, id, text_hash, unit))").alias("first"),
     ).where("n > 1").selectExpr(
         "high", "low", "first.id AS first_id", "first.text_hash AS first_hash",
         "first.unit AS first_unit",
-    )
-    later = found.join(often, ["high", "low"]).where(
+    ))
+    later = found.join(first, ["high", "low"]).where(
         "NOT (id <=> first_id AND text_hash = first_hash AND unit = first_unit)"
     )
     return later.groupBy("id", "text_hash").agg(
@@ -197,7 +232,7 @@ def remove_repeats(
     """
     docs = without(docs, *ADDED, "text_hash", "later", "of_id", "of_hash")
     keyed = docs.withColumn("text_hash", F.xxhash64(F.col(f"`{text}`")))
-    later = later_units(keyed, id_column, text)
+    later = later_units(keyed, id_column, text, min_words)
     later = later.withColumnRenamed("id", "of_id").withColumnRenamed("text_hash", "of_hash")
     joined = keyed.join(
         later,
