@@ -145,8 +145,8 @@ def with_score(pages: DataFrame, counts: np.ndarray, url: str = "url") -> DataFr
 
 
 def calibrate(scored: DataFrame) -> float:
-    """The threshold with the best balanced accuracy on (score, accepted); 0 if a class is
-    missing. Scores are counted in bins, so the driver sees 2 * MAX_BIN + 1 rows at most."""
+    """The threshold with the best balanced accuracy on (score, accepted), of equals the nearest
+    to 0; 0 if a class is missing. Scores are counted in bins, so the driver sees 2 * MAX_BIN + 1 rows at most."""
     place = f"CAST(greatest(least(floor(score * {BINS_PER_UNIT}), {MAX_BIN}), -{MAX_BIN}) AS INT)"
     rows = scored.selectExpr(f"{place} AS bin", "accepted").groupBy("bin").agg(
         F.expr("count_if(accepted)").alias("good"), F.expr("count_if(NOT accepted)").alias("bad")
@@ -154,16 +154,16 @@ def calibrate(scored: DataFrame) -> float:
     good, bad = sum(r["good"] for r in rows), sum(r["bad"] for r in rows)
     if not good or not bad:
         return 0.0
-    best, below_good, below_bad = (0.0, 0.0, 0.0), 0, 0
-    candidates = []
+    below_good, below_bad, candidates, last = 0, 0, [], -MAX_BIN - 1
     for r in sorted(rows, key=lambda r: r["bin"]):
-        threshold = r["bin"] / BINS_PER_UNIT
         right = (good - below_good) / good + below_bad / bad
+        # Any threshold above the last bin and up to this one does the same: the nearest to 0.
+        threshold = min(max(0, last + 1), r["bin"]) / BINS_PER_UNIT
         candidates.append((right, -abs(threshold), threshold))
         below_good += r["good"]
         below_bad += r["bad"]
-    best = max(candidates)
-    return best[2]
+        last = r["bin"]
+    return max(candidates)[2]
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str]], url: str = "url") -> DataFrame:
