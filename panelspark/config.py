@@ -77,7 +77,7 @@ UTILITY_IDS = [
 ]
 YEARS = [2018, 2019, 2020, 2021, 2022, 2023]
 
-AMOUNT_SCALE = 100  # filed amounts are whole cents
+WHOLE_CENTS = 100  # for callers whose amounts are whole cents: exact sums in any order
 
 SECTORS = ["residential", "commercial", "industrial"]
 COST_DRIVERS = ["customers_total", "sales_mwh_total", "rate_base"]

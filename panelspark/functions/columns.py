@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from panelspark.config import (
-    AMOUNT_SCALE,
     CATEGORY_RANGES,
     DEFAULTS,
     OTHER_CATEGORY,
@@ -80,11 +79,11 @@ def pct_of(part: str, whole: str) -> str:
     return f"(try_divide({part}, {whole}) * 100D)"
 
 
-def sum_amount(amount: str, scale: int | None = AMOUNT_SCALE) -> str:
+def sum_amount(amount: str, scale: int | None = None) -> str:
     """Sum of filed dollar amounts, 0 over nothing but nulls.
 
-    Filings carry whole cents, so the sum runs over 64-bit cents: exact, the same in any order or
-    after a retry, and cheaper than decimals. `scale=None` sums the values as they are.
+    The values are summed as they are. A caller whose amounts are whole multiples of 1/`scale`
+    may say so: the sum then runs over 64-bit whole numbers and is the same in any order.
     """
     if scale is None:
         return f"coalesce(CAST(sum({amount}) AS DOUBLE), 0D)"

@@ -12,6 +12,7 @@ from panelspark.functions.columns import (
     col_or,
     explode_rows,
     format_billions,
+    known,
     named,
     number,
     row,
@@ -32,7 +33,7 @@ def om_trend(df: DataFrame) -> DataFrame:
     The period is the number of rows less one. One clustering by entity serves the window.
     """
     entity = f"OVER (PARTITION BY {ENTITY})"
-    ends = df.selectExpr(*KEYS, "om_total", *named({
+    ends = known(df, ENTITY).selectExpr(*KEYS, "om_total", *named({
         "first_om": f"min_by(om_total, {YEAR}) {entity}",
         "last_om": f"max_by(om_total, {YEAR}) {entity}",
         "periods": f"count(1) {entity} - 1",

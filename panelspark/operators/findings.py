@@ -17,21 +17,39 @@ SHOWN_OUTLIERS = 5
 
 
 def run_analysis(panel: DataFrame) -> dict[str, DataFrame]:
-    """Every statistic as a named frame. The panel is read many times: pass a staged one."""
-    return {
-        "trend_results": stats.trend(panel, COST_METRIC),
-        "regression": regression.fit_terms(panel),
-        "vif": regression.vif(panel),
-        "outliers": stats.outliers(panel, PEER_METRIC),
-        "benchmarks": stats.peer_benchmark(panel, stats.latest_year(panel), PEER_METRIC),
-        "yoy_changes": stats.yoy_change(panel, COST_METRIC),
-        "utility_summaries": stats.summary_by_entity(panel),
+    """Every statistic as a named frame. The panel is read many times: pass a staged one.
+
+    A step that fails leaves `<name>_error`, one row with the message, and the others go on.
+    """
+    drivers = ["utility_id_eia", YEAR, regression.OUTCOME, *regression.COST_DRIVERS]
+    steps = {
+        "trend_results": lambda: stats.trend(panel, COST_METRIC),
+        "regression": lambda: regression.fit_terms(panel),
+        "regression_summary": lambda: regression.diagnostics(
+            panel.select(*drivers), drivers[:2]
+        ),
+        "condition_number": lambda: regression.condition_number(panel),
+        "vif": lambda: regression.vif(panel),
+        "outliers": lambda: stats.outliers(panel, PEER_METRIC),
+        "benchmarks": lambda: stats.peer_benchmark(panel, stats.latest_year(panel), PEER_METRIC),
+        "yoy_changes": lambda: stats.yoy_change(panel, COST_METRIC),
+        "utility_summaries": lambda: stats.summary_by_entity(panel),
     }
+    results = {}
+    for name, step in steps.items():
+        try:
+            results[name] = step()
+        except Exception as error:  # the step's own message is the result
+            message = str(error).splitlines()[0] if str(error) else type(error).__name__
+            results[f"{name}_error"] = panel.sparkSession.createDataFrame(
+                [(message,)], "message string"
+            )
+    return results
 
 
 def key_findings(panel: DataFrame) -> DataFrame:
     """(ordinal, finding, subject, value) rows. Pass a staged panel."""
-    latest = panel.where(f"{YEAR} = {stats.latest_year(panel)}")
+    latest = panel.where(F.col(YEAR) == F.lit(stats.latest_year(panel)))
     growth = stats.trend(panel, COST_METRIC, p_values=False).where("status = 'ok'")
     terms = regression.significant_terms(regression.fit_terms(panel))
     collinear = regression.high_vif(regression.vif(panel))

@@ -20,6 +20,7 @@ from panelspark.functions.columns import (
     requirement_parts,
     row,
 )
+from panelspark.operators.stats import by_year
 
 KEYS = ["utility_id_ferc1", "utility_name", "report_year"]
 GRC_INPUTS = ["om_distribution", "om_customer_service", "om_admin_general", "rate_base"]
@@ -285,7 +286,7 @@ def wacc_of(equity: str, roe: str, debt: str, cost_of_debt: str) -> str:
 
 def kpi_formulas(df: DataFrame) -> DataFrame:
     """Requirement per MWh, capital and monthly bill per customer, rate base growth."""
-    before = "lag(rate_base) OVER (PARTITION BY utility_id_ferc1 ORDER BY report_year)"
+    before = f"CASE WHEN utility_id_ferc1 IS NOT NULL THEN lag(rate_base) {by_year(df)} END"
     return df.selectExpr("*", f"{before} AS rate_base_before").selectExpr(*KEYS, *named({
         "rr_per_mwh": "try_divide(revenue_requirement, sales_mwh_total)",
         "rate_base_per_customer": "try_divide(rate_base, customers_total)",

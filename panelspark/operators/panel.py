@@ -52,7 +52,7 @@ def categorize(df: DataFrame) -> DataFrame:
     return _numbered(df).selectExpr(*df.columns, f"{name} AS category")
 
 
-def category_sums(df: DataFrame) -> DataFrame:
+def category_sums(df: DataFrame, scale: int | None = None) -> DataFrame:
     """Amount per entity, year and category: the only shuffle that sees raw rows.
 
     Partial sums collapse a hot entity to at most one row per task, year and category, and the
@@ -61,7 +61,7 @@ def category_sums(df: DataFrame) -> DataFrame:
     rows = _numbered(known(df, *KEYS)).selectExpr(
         *KEYS, "dollar_value", f"{category_number('account_number')} AS position"
     )
-    sums = aggregate(rows, [*KEYS, "position"], {"amount": sum_amount("dollar_value")})
+    sums = aggregate(rows, [*KEYS, "position"], {"amount": sum_amount("dollar_value", scale)})
     return sums.selectExpr(*KEYS, f"{category_name('position')} AS category", "amount")
 
 
@@ -82,17 +82,11 @@ def with_rate_base(df: DataFrame) -> DataFrame:
 def join_panel(
     expenses: DataFrame,
     plant: DataFrame,
-    sales: DataFrame | None,
+    sales: DataFrame,
     id_map: DataFrame,
     revenues: DataFrame | None = None,
-    mapped_only: bool = False,
 ) -> DataFrame:
-    """expenses (full) plant (left) revenues (left) ID map (full) sales.
-
-    `mapped_only` gives the rows that have both ids, as inner and left joins, so unmapped
-    entities leave before the wide joins rather than after them. There the sales join adds no
-    rows, so a plan that uses no sales column may leave sales out.
-    """
+    """expenses (full) plant (left) revenues (left) ID map (full) sales."""
     combined = expenses.join(plant.select(*KEYS, "rate_base"), on=KEYS, how="full")
     if revenues is not None:
         combined = combined.join(
@@ -101,19 +95,9 @@ def join_panel(
     names = id_map.selectExpr(
         "utility_id_ferc1", "utility_id_eia", "utility_name AS map_name"
     )
-    combined = combined.join(
-        names, on="utility_id_ferc1", how="inner" if mapped_only else "left"
-    )
-    if sales is None:
-        if not mapped_only:
-            raise ValueError("A panel of all entities needs the sales table")
-        return known(combined, "utility_id_eia").withColumnRenamed("map_name", "utility_name")
+    combined = combined.join(names, on="utility_id_ferc1", how="left")
     sold = sales.drop("row_ordinal").withColumnRenamed("utility_name", "sales_name")
-    if mapped_only:
-        with_id = known(combined, "utility_id_eia")
-        joined = with_id.join(sold, on=SALES_KEYS, how="left")
-    else:
-        joined = _full_join_on_nullable_id(combined, sold)
+    joined = _full_join_on_nullable_id(combined, sold)
     name = "coalesce(map_name, sales_name) AS utility_name"
     return joined.selectExpr("*", name).drop("map_name", "sales_name")
 
@@ -159,20 +143,19 @@ def select_panel(df: DataFrame) -> DataFrame:
 def build_panel(
     expenses: DataFrame,
     plant_wide: DataFrame,
-    sales: DataFrame | None,
+    sales: DataFrame,
     id_map: DataFrame,
     revenues: DataFrame | None = None,
-    mapped_only: bool = False,
     a: Assumptions = DEFAULTS,
+    scale: int | None = None,
 ) -> DataFrame:
     """From scanned tables to the final panel, as one plan."""
     joined = join_panel(
-        pivot_expenses(category_sums(expenses)),
+        pivot_expenses(category_sums(expenses, scale)),
         with_rate_base(plant_wide),
-        None if sales is None else roll_up_duplicates(sales),
+        roll_up_duplicates(sales),
         id_map,
         revenues,
-        mapped_only,
     )
     return select_panel(derive_metrics(joined, a))
 
@@ -243,9 +226,9 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
 
-def top_accounts(df: DataFrame, n: int = 20) -> DataFrame:
+def top_accounts(df: DataFrame, n: int = 20, scale: int | None = None) -> DataFrame:
     """The n accounts with the largest summed amount; ties by account code."""
     totals = aggregate(
-        known(df, "ferc_account"), ["ferc_account"], {"dollar_value": sum_amount("dollar_value")}
+        known(df, "ferc_account"), ["ferc_account"], {"dollar_value": sum_amount("dollar_value", scale)}
     )
     return totals.orderBy(F.desc("dollar_value"), "ferc_account").limit(n)

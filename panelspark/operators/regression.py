@@ -47,31 +47,47 @@ def moments(df: DataFrame, y: str, xs, group_by=()) -> DataFrame:
     })
 
 
-def _solve(n: int, means, covariances) -> dict:
-    """Coefficients (constant first), their standard errors and fit statistics."""
-    k = len(means) - 1
-    s = np.zeros((k + 1, k + 1))
-    s[np.triu_indices(k + 1)] = covariances
-    s = np.triu(s) + np.triu(s, 1).T
-    scale = np.sqrt(np.diag(s)[1:])
-    correlation = s[1:, 1:] / np.outer(scale, scale)
-    inverse = np.linalg.inv(correlation) / np.outer(scale, scale)
-    slopes = inverse @ s[1:, 0]
-    mean_y, mean_x = means[0], np.asarray(means[1:])
-    ss_total = s[0, 0] * (n - 1)
-    ss_resid = max(ss_total - (n - 1) * slopes @ s[1:, 0], 0.0)
-    dof = n - k - 1
-    sigma2 = ss_resid / dof if dof > 0 else np.nan
-    slope_se = np.sqrt(sigma2 * np.diag(inverse) / (n - 1))
-    const_se = np.sqrt(sigma2 * (1.0 / n + mean_x @ inverse @ mean_x / (n - 1)))
-    r2 = 1.0 - ss_resid / ss_total
+def _solve(n, means, covariances) -> dict:
+    """Fits of many groups at once, one per first index: coefficients (constant first), their
+    standard errors and fit statistics. Collinear drivers give `solved` False and NaN."""
+    n = np.asarray(n, dtype=float)
+    means = np.asarray(means, dtype=float)
+    k = means.shape[1] - 1
+    s = np.zeros((len(n), k + 1, k + 1))
+    rows, columns = np.triu_indices(k + 1)
+    s[:, rows, columns] = s[:, columns, rows] = np.asarray(covariances, dtype=float)
+    with np.errstate(all="ignore"):
+        scale = np.sqrt(np.diagonal(s, axis1=1, axis2=2)[:, 1:])
+        products = scale[:, :, None] * scale[:, None, :]
+        correlation = s[:, 1:, 1:] / products
+        usable = np.isfinite(correlation).all(axis=(1, 2))
+        correlation = np.where(usable[:, None, None], correlation, np.eye(k))
+        usable &= np.linalg.det(correlation) != 0
+        correlation = np.where(usable[:, None, None], correlation, np.eye(k))
+        inverse_r = np.linalg.inv(correlation)
+        inverse = inverse_r / products
+        with_y = s[:, 1:, 0]
+        slopes = np.einsum("gij,gj->gi", inverse, with_y)
+        mean_y, mean_x = means[:, 0], means[:, 1:]
+        ss_total = s[:, 0, 0] * (n - 1)
+        ss_resid = np.maximum(ss_total - (n - 1) * (slopes * with_y).sum(axis=1), 0.0)
+        dof = n - k - 1
+        sigma2 = np.where(dof > 0, ss_resid / dof, np.nan)
+        slope_se = np.sqrt(
+            sigma2[:, None] * np.diagonal(inverse, axis1=1, axis2=2) / (n - 1)[:, None]
+        )
+        leverage = np.einsum("gi,gij,gj->g", mean_x, inverse, mean_x)
+        const_se = np.sqrt(sigma2 * (1.0 / n + leverage / (n - 1)))
+        r2 = 1.0 - ss_resid / ss_total
+        coef = np.c_[mean_y - (slopes * mean_x).sum(axis=1), slopes]
+        adjusted = np.where(dof > 0, 1.0 - (1.0 - r2) * (n - 1) / dof, np.nan)
     return {
-        "coef": np.r_[mean_y - slopes @ mean_x, slopes],
-        "std_err": np.r_[const_se, slope_se],
+        "coef": coef,
+        "std_err": np.c_[const_se, slope_se],
         "dof": dof,
         "r_squared": r2,
-        "adj_r_squared": 1.0 - (1.0 - r2) * (n - 1) / dof if dof > 0 else np.nan,
-        "vif": np.diag(np.linalg.inv(correlation)),
+        "adj_r_squared": adjusted,
+        "solved": usable & np.isfinite(coef).all(axis=1),
     }
 
 
@@ -90,54 +106,51 @@ def fit_terms(df: DataFrame, y: str = OUTCOME, xs=COST_DRIVERS, group_by=()) ->
 
     def solve(batches):
         for batch in batches:
-            frames = [_fit_frame(row, xs, least, group_by) for row in batch.to_dict("records")]
-            if frames:
-                yield pd.concat(frames, ignore_index=True)
+            if len(batch):
+                yield _fit_frame(batch, xs, least, group_by)
 
     key_fields = [f"{f.name} {f.dataType.simpleString()}" for f in grouped.schema[: len(group_by)]]
     return grouped.mapInPandas(solve, ", ".join([*key_fields, _FIT_SCHEMA]))
 
 
-def _fit_frame(row: dict, xs: list[str], least: int, group_by: list[str]) -> pd.DataFrame:
-    keys = {g: row[g] for g in group_by}
-    n = int(row["n"])
-    nothing = dict.fromkeys(
-        ["coef", "std_err", "t_value", "p_value", "ci_low", "ci_high", "r_squared",
-         "adj_r_squared"]
-    )
-
-    def failed(status):
-        return pd.DataFrame([{**keys, "term": None, **nothing, "n_obs": n, "status": status}])
-
-    if n < least:
-        return failed("insufficient data")
-    try:
-        with np.errstate(all="ignore"):
-            fit = _solve(n, row["means"], row["covariances"])
-    except np.linalg.LinAlgError:
-        return failed("collinear drivers")
-    if not np.all(np.isfinite(fit["coef"])):
-        return failed("collinear drivers")
+def _fit_frame(groups: pd.DataFrame, xs: list[str], least: int, group_by: list[str]) -> pd.DataFrame:
+    """Terms of all groups of a batch; one row without a term for a group that can't be fitted."""
+    enough = (groups["n"] >= least).to_numpy()
+    some = groups[enough]
+    fit = _solve(some["n"].to_numpy(), np.vstack([*some["means"], np.zeros(len(xs) + 1)])[:-1],
+                 np.vstack([*some["covariances"], np.zeros((len(xs) + 1) * (len(xs) + 2) // 2)])[:-1])
+    solved = fit["solved"]
+    fitted = some[solved]
+    terms = len(xs) + 1
+    coef, error = fit["coef"][solved].reshape(-1), fit["std_err"][solved].reshape(-1)
+    dof = np.repeat(fit["dof"][solved], terms)
+    distinct, place = np.unique(dof, return_inverse=True)
+    critical = np.where(distinct > 0, t_critical(np.maximum(distinct, 1.0)), np.nan)
     with np.errstate(all="ignore"):
-        t = fit["coef"] / fit["std_err"]
-        margin = fit["std_err"] * (
-            t_critical(float(fit["dof"])) if fit["dof"] > 0 else np.nan
-        )
+        t = coef / error
+        margin = error * critical[place]
     frame = pd.DataFrame({
-        **keys,
-        "term": [CONSTANT, *xs],
-        "coef": fit["coef"],
-        "std_err": fit["std_err"],
+        **{g: fitted[g].repeat(terms).to_numpy() for g in group_by},
+        "term": [CONSTANT, *xs] * len(fitted),
+        "coef": coef,
+        "std_err": error,
         "t_value": t,
-        "p_value": t_two_sided(t, float(fit["dof"])),
-        "ci_low": fit["coef"] - margin,
-        "ci_high": fit["coef"] + margin,
-        "n_obs": n,
-        "r_squared": fit["r_squared"],
-        "adj_r_squared": fit["adj_r_squared"],
+        "p_value": t_two_sided(t, dof),
+        "ci_low": coef - margin,
+        "ci_high": coef + margin,
+        "n_obs": fitted["n"].repeat(terms).to_numpy(),
+        "r_squared": np.repeat(fit["r_squared"][solved], terms),
+        "adj_r_squared": np.repeat(fit["adj_r_squared"][solved], terms),
         "status": "ok",
     })
-    return frame.astype(object).where(frame.notna(), None)
+    failed = [(groups[~enough], "insufficient data"), (some[~solved], "collinear drivers")]
+    frames = [frame, *[
+        pd.DataFrame({**{g: f[g].to_numpy() for g in group_by}, "n_obs": f["n"].to_numpy(),
+                      "status": status}).reindex(columns=frame.columns)
+        for f, status in failed if len(f)
+    ]]
+    whole = pd.concat([f for f in frames if len(f)], ignore_index=True)
+    return whole.astype(object).where(whole.notna(), None)
 
 
 def vif(df: DataFrame, xs=COST_DRIVERS) -> DataFrame:
@@ -165,6 +178,9 @@ def diagnostics(
 ) -> DataFrame:
     """(stat, value) rows of the usual regression summary. Reads `df` three times: stage it.
 
+    Statistics that a small sample leaves undefined are NULL; without a fit there is one row, with
+    the reason as its stat and no value.
+
     `order` is the row order the Durbin-Watson statistic is defined on. The driver holds the
     k + 1 coefficients and one number per order range.
     """
@@ -174,9 +190,11 @@ def diagnostics(
     rows = known(df, y, *xs)
     m = moments(rows, y, xs).first()
     if m["n"] < k + 1:
-        raise ValueError(f"Insufficient data points for regression: {m['n']}")
-    fit = _solve(m["n"], m["means"], m["covariances"])
-    coef = [number(c) for c in fit["coef"]]
+        return _no_diagnostics(df, f"insufficient data: {m['n']} rows")
+    fit = _solve([m["n"]], [m["means"]], [m["covariances"]])
+    if not fit["solved"][0]:
+        return _no_diagnostics(df, "collinear drivers")
+    coef = [number(c) for c in fit["coef"][0]]
     fitted = " + ".join([coef[0], *[f"{c} * {x}" for c, x in zip(coef[1:], xs)]])
     residuals = rows.selectExpr(*order, f"{y} - ({fitted}) AS e")
     steps = squared_steps(residuals, order, "e")
@@ -190,17 +208,17 @@ def diagnostics(
     stats = add_columns(stats, {
         "df_model": number(k),
         "df_residual": f"n - {k + 1}",
-        "r_squared": f"1 - ssr / {total}",
+        "r_squared": f"1 - try_divide(ssr, {total})",
         "log_likelihood": f"-n / 2 * (ln(2 * {number(np.pi)}) + ln(ssr / n) + 1)",
-        "durbin_watson": f"{number(steps)} / ssr",
+        "durbin_watson": f"try_divide({number(steps)}, ssr)",
         "jarque_bera": "n / 6 * (skew * skew + (kurtosis - 3) * (kurtosis - 3) / 4)",
-        "skew_score": _SKEW_SCORE,
-        "kurtosis_score": _KURTOSIS_SCORE,
+        "skew_score": f"CASE WHEN n >= 8 THEN {_SKEW_SCORE} END",
+        "kurtosis_score": f"CASE WHEN n >= 8 THEN {_KURTOSIS_SCORE} END",
     })
     stats = add_columns(stats, {
         "n_obs": "n",
-        "adj_r_squared": "1 - (1 - r_squared) * (n - 1) / df_residual",
-        "f_statistic": f"(({total} - ssr) / df_model) / (ssr / df_residual)",
+        "adj_r_squared": "1 - try_divide((1 - r_squared) * (n - 1), df_residual)",
+        "f_statistic": f"try_divide(({total} - ssr) / df_model, try_divide(ssr, df_residual))",
         "aic": f"-2 * log_likelihood + {2 * (k + 1)}",
         "bic": f"-2 * log_likelihood + ln(n) * {k + 1}",
         "prob_jarque_bera": "exp(-jarque_bera / 2)",
@@ -215,7 +233,11 @@ def diagnostics(
     ])
 
 
-# Normal score of the sample skewness (D'Agostino) over columns n and skew.
+def _no_diagnostics(df: DataFrame, reason: str) -> DataFrame:
+    return df.sparkSession.createDataFrame([(reason, None)], "stat string, value double")
+
+
+# Normal score of the sample skewness (D'Agostino) over columns n and skew. Undefined below 8 rows.
 _SKEW_Y = "(skew * sqrt((n + 1) * (n + 3) / (6 * (n - 2))))"
 _SKEW_BETA = (
     "(3 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9)))"

@@ -25,10 +25,22 @@ from panelspark.operators.panel import start_from_baseline
 ENTITY = "utility_id_ferc1"
 YEAR = "report_year"
 KEYS = [ENTITY, "utility_name", YEAR]
-BY_YEAR = f"OVER (PARTITION BY {ENTITY} ORDER BY {YEAR})"
+ENTITY_YEARS = f"OVER (PARTITION BY {ENTITY} ORDER BY {YEAR})"
 FIRST_NAME = {"utility_name": f"min_by(utility_name, {YEAR})"}
 
 
+def by_year(df: DataFrame) -> str:
+    """The window of an entity's years.
+
+    Rows without an accounting id have no entity: they are kept where rows are kept, spread by
+    their other id so that they don't pile up in one task, and have no change.
+    """
+    if "utility_id_eia" not in df.columns:
+        return ENTITY_YEARS
+    other = f"CASE WHEN {ENTITY} IS NULL THEN utility_id_eia END"
+    return f"OVER (PARTITION BY {ENTITY}, {other} ORDER BY {YEAR})"
+
+
 def by_entity(df: DataFrame) -> DataFrame:
     """Cluster the panel by entity once.
 
@@ -36,7 +48,7 @@ def by_entity(df: DataFrame) -> DataFrame:
     themselves is cheaper than moving wide aggregation buffers, and every entity-level
     aggregate and window after it needs no further shuffle.
     """
-    return df.repartition(ENTITY)
+    return known(df, ENTITY).repartition(ENTITY)
 
 
 def _year_of(metric: str) -> str:
@@ -177,7 +189,8 @@ def outliers(df: DataFrame, metric: str, threshold: float = 2.0) -> DataFrame:
     return beyond.withColumn("is_outlier", F.lit(True))
 
 
-def latest_year(df: DataFrame) -> int:
+def latest_year(df: DataFrame) -> int | None:
+    """NULL for an empty panel, for which a one-year statistic is empty."""
     return df.agg(F.max(YEAR)).first()[0]
 
 
@@ -187,7 +200,7 @@ def peer_benchmark(df: DataFrame, year: int, metric: str) -> DataFrame:
     Reads `df` several times: stage it first. A null metric keeps its row, last and unranked.
     """
     require_columns(df, [metric])
-    peers = df.where(f"{YEAR} = {year}").select(ENTITY, "utility_name", metric)
+    peers = df.where(F.col(YEAR) == F.lit(year)).select(ENTITY, "utility_name", metric)
     return ranked(_with_z_score(peers, metric), metric).orderBy(
         F.asc_nulls_last("rank"), ENTITY
     )
@@ -196,19 +209,21 @@ def peer_benchmark(df: DataFrame, year: int, metric: str) -> DataFrame:
 def yoy_change(df: DataFrame, metric: str) -> DataFrame:
     """Change against the entity's previous row, relative to its absolute value, in percent."""
     require_columns(df, [metric])
-    before = df.selectExpr(
-        *KEYS, f"{metric} AS metric_value", f"lag({metric}) {BY_YEAR} AS previous"
-    )
+    previous = f"CASE WHEN {ENTITY} IS NOT NULL THEN lag({metric}) {by_year(df)} END"
+    before = df.selectExpr(*KEYS, f"{metric} AS metric_value", f"{previous} AS previous")
     change = pct_of("metric_value - previous", "abs(previous)")
     return add_columns(before, {"yoy_pct_change": change}).drop("previous")
 
 
 def yoy_cells(df: DataFrame, metric: str) -> DataFrame:
     """Signed change in percent after carrying the last value forward, with an outlier flag."""
-    running = BY_YEAR[:-1] + " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    filled = df.selectExpr(*KEYS, f"last({metric}, true) {running} AS v")
+    over = by_year(df)
+    running = over[:-1] + " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    other = [c for c in df.columns if c == "utility_id_eia"]
+    filled = df.selectExpr(*KEYS, *other, f"last({metric}, true) {running} AS v")
+    change = f"(try_divide(v, lag(v) {over}) - 1D) * 100D"
     cells = filled.selectExpr(
-        *KEYS, f"(try_divide(v, lag(v) {BY_YEAR}) - 1D) * 100D AS om_yoy_pct"
+        *KEYS, f"CASE WHEN {ENTITY} IS NOT NULL THEN {change} END AS om_yoy_pct"
     )
     flag = "coalesce(om_yoy_pct > 10 OR om_yoy_pct < -5, false)"
     return add_columns(cells, {"is_flagged": flag})
@@ -216,7 +231,8 @@ def yoy_cells(df: DataFrame, metric: str) -> DataFrame:
 
 def yoy_matrix(df: DataFrame, metric: str, years) -> DataFrame:
     """One row per entity, one column per year. The first year has no change and is left out."""
-    return aggregate(yoy_cells(df, metric), [ENTITY, "utility_name"], {
+    cells = yoy_cells(known(df.select(*KEYS, metric), ENTITY), metric)
+    return aggregate(cells, [ENTITY, "utility_name"], {
         str(y): f"max(CASE WHEN {YEAR} = {y} THEN om_yoy_pct END)" for y in sorted(years)[1:]
     })
 

@@ -19,6 +19,7 @@ from panelspark.config import (
     REVENUE_ACCOUNT,
     SECTORS,
     TARGET_STATE,
+    WHOLE_CENTS,
 )
 from panelspark.functions.columns import aggregate, sum_amount
 from panelspark.operators.panel import build_panel
@@ -84,7 +85,7 @@ def plant(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
         f"'{CALCULATED}' AS row_type_xbrl",
         "o_totalprice",
     )
-    return aggregate(rows, rows.columns[:-1], {"ending_balance": sum_amount("o_totalprice")})
+    return aggregate(rows, rows.columns[:-1], {"ending_balance": sum_amount("o_totalprice", WHOLE_CENTS)})
 
 
 def income(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
@@ -106,7 +107,7 @@ PRIORITIES = {
 }
 
 
-def sales(spark: SparkSession, sf_dir: str, years=None, customers=None) -> DataFrame:
+def sales(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
     """Up to three landed rows (by order status) per customer and year.
 
     Orders are summed per customer before the customer join, so a customer with a large part of
@@ -117,14 +118,13 @@ def sales(spark: SparkSession, sf_dir: str, years=None, customers=None) -> DataF
     )
     measures = {}
     for s in [*SECTORS, "total"]:
-        dollars = sum_amount(f"CASE WHEN {PRIORITIES[s]} THEN o_totalprice END")
+        dollars = sum_amount(f"CASE WHEN {PRIORITIES[s]} THEN o_totalprice END", WHOLE_CENTS)
         measures[f"revenue_{s}_k"] = f"{dollars} / 1000D"
         measures[f"sales_mwh_{s}"] = f"sum(CASE WHEN {PRIORITIES[s]} THEN mwh ELSE 0D END)"
         measures[f"customers_{s}"] = f"count_if({PRIORITIES[s]})"
     landed = aggregate(orders, ["o_custkey", "report_year", "o_orderstatus"], {
         "row_ordinal": "min(o_orderkey)", **measures
     })
-    landed = tables.member_of(landed, "o_custkey", customers)
     nations = read(spark, sf_dir, "nation").join(
         read(spark, sf_dir, "region").selectExpr("r_regionkey AS n_regionkey", "r_name"),
         "n_regionkey",
@@ -161,24 +161,14 @@ def baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def panel(
-    spark: SparkSession, sf_dir: str, years=None, mapped_only: bool = True, with_sales: bool = True
-) -> DataFrame:
-    """The final panel. `years` reaches the scans, so a one-year model reads one year.
-
-    With `mapped_only` the tables keyed by customer are limited to mapped entities first.
-    """
-    ids = id_map(spark, sf_dir)
-    ferc_ids = ids.select("utility_id_ferc1") if mapped_only else None
-    sold = None
-    if with_sales:
-        landed = sales(spark, sf_dir, years, ferc_ids)  # sales ids are these plus the offset
-        sold = tables.state_entities(landed, TARGET_STATE)
+def panel(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
+    """The final panel of all entities. `years` reaches the scans, so a one-year model reads one
+    year. The test tables hold whole cents."""
     return build_panel(
         tables.expenses(expenses(spark, sf_dir, years)),
-        tables.plant_wide(plant(spark, sf_dir, years), ferc_ids),
-        sold,
-        ids,
-        tables.operating_revenue(income(spark, sf_dir, years), ferc_ids),
-        mapped_only,
+        tables.plant_wide(plant(spark, sf_dir, years)),
+        tables.state_entities(sales(spark, sf_dir, years), TARGET_STATE),
+        id_map(spark, sf_dir),
+        tables.operating_revenue(income(spark, sf_dir, years), scale=WHOLE_CENTS),
+        scale=WHOLE_CENTS,
     )

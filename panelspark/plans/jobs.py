@@ -9,6 +9,7 @@ import argparse
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from panelspark import schemas
 from panelspark.config import DEFAULTS, TARGET_STATE, YEARS, Assumptions
@@ -19,7 +20,7 @@ from panelspark.sources.workbook import SalesWorkbooks
 
 @dataclass(frozen=True)
 class Inputs:
-    """Paths of the landed tables. `sales` is a workbook glob or a parquet path."""
+    """Paths of the landed tables. `sales` is a glob of workbooks or CSV files, or a parquet path."""
 
     expenses: str
     plant: str
@@ -28,12 +29,16 @@ class Inputs:
     id_map: str | None = None
     years: list[int] = field(default_factory=lambda: list(YEARS))
     state: str = TARGET_STATE
+    amount_scale: int | None = None  # 100 if all amounts are whole cents
 
 
 def load_sales(spark: SparkSession, path: str) -> DataFrame:
     if path.endswith(".xlsx"):
         spark.dataSource.register(SalesWorkbooks)
         return spark.read.format("sales_workbooks").load(path)
+    if path.endswith(".csv"):
+        rows = spark.read.schema(schemas.SALES).csv(path, header=True)
+        return tables.nan_to_null(rows)
     required = ["report_year", "utility_id_eia", "utility_name", "state", "row_ordinal"]
     return tables.read_table(spark, path, schemas.SALES, required)
 
@@ -57,15 +62,24 @@ def run_panel(
         tables.plant_wide(
             tables.read_table(spark, inputs.plant, schemas.PLANT), ferc_ids, inputs.years
         ),
-        tables.state_entities(sales, inputs.state, eia_ids),
+        tables.state_entities(
+            sales.where(F.col("report_year").isin(inputs.years)), inputs.state, eia_ids
+        ),
         ids,
-        tables.operating_revenue(income, ferc_ids, inputs.years),
-        a=a,
+        tables.operating_revenue(income, ferc_ids, inputs.years, inputs.amount_scale),
+        a,
+        inputs.amount_scale,
     )
-    staged = sinks.stage(built)
-    panel.assert_valid(panel.validate_panel(staged, ids.count() * len(inputs.years)))
-    sinks.write_table(staged, f"{out}/analysis_ready")
-    return spark.read.parquet(f"{out}/analysis_ready")
+    path = f"{out}/analysis_ready"
+    sinks.write_table(built, path)
+    written = spark.read.schema(built.schema).parquet(path)
+    entities = ids.agg(F.count(F.lit(1))).scalar()
+    try:
+        panel.assert_valid(panel.validate_panel(written, entities * len(inputs.years)))
+    except ValueError:
+        sinks.delete(spark, path)
+        raise
+    return written
 
 
 def run_models(

@@ -181,7 +181,7 @@ ragged AS (
   FROM (SELECT *, om_distribution + om_customer_service + om_admin_general * {d(0.7)} AS grc_om
     FROM joined)),
 panel AS (
-  SELECT * FROM ragged WHERE utility_id_ferc1 IS NOT NULL AND utility_id_eia IS NOT NULL)"""
+  SELECT * FROM ragged)"""
 
 # Sums of a few landed doubles depend on their order in the last digit: rounded in both engines.
 ROUNDED = [*REVENUE, "revenue_per_customer"]
@@ -423,7 +423,7 @@ trend AS (
     CAST(MAX(report_year) FILTER (y IS NOT NULL) - MIN(report_year) FILTER (y IS NOT NULL)
       AS INTEGER) AS n_years
   FROM (SELECT *, {metric} AS y, CAST(report_year AS DOUBLE) AS x FROM panel)
-  GROUP BY utility_id_ferc1)""".strip()
+  WHERE utility_id_ferc1 IS NOT NULL GROUP BY utility_id_ferc1)""".strip()
 
 
 def enough(expr: str) -> str:
@@ -465,15 +465,16 @@ def _summary() -> str:
   round(stddev_samp({m}), 4) AS std, MIN({m}) AS min, MAX({m}) AS max,
   round({growth}, 4) AS cagr_percent,
   CAST(MAX(report_year) - MIN(report_year) AS INTEGER) AS n_years
-FROM panel GROUP BY utility_id_ferc1 HAVING COUNT({m}) >= 2""")
+FROM panel WHERE utility_id_ferc1 IS NOT NULL GROUP BY utility_id_ferc1 HAVING COUNT({m}) >= 2""")
     return with_panel("\nUNION ALL\n".join(one))
 
 
 YOY_CELLS = """
 yoy AS (
   SELECT utility_id_ferc1, utility_name, report_year,
-    (v / NULLIF(lag(v) OVER (PARTITION BY utility_id_ferc1 ORDER BY report_year), 0) - 1.0)
-      * 100.0 AS om_yoy_pct
+    CASE WHEN utility_id_ferc1 IS NOT NULL THEN
+      (v / NULLIF(lag(v) OVER (PARTITION BY utility_id_ferc1 ORDER BY report_year), 0) - 1.0)
+      * 100.0 END AS om_yoy_pct
   FROM (SELECT *, last_value({metric} IGNORE NULLS) OVER (PARTITION BY utility_id_ferc1
       ORDER BY report_year ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v
     FROM panel))""".strip()
@@ -771,7 +772,8 @@ def oracle_sql() -> dict[str, str]:
   ({div('revenue_requirement', 'customers_total')}) / 12 AS monthly_bill_total,
   ({div('grc_revenue_requirement', 'customers_total')}) / 12 AS monthly_bill_grc,
   (rate_base - before) / NULLIF(before, 0) AS rate_base_growth
-FROM (SELECT *, lag(rate_base) OVER (PARTITION BY utility_id_ferc1 ORDER BY report_year) AS before
+FROM (SELECT *, CASE WHEN utility_id_ferc1 IS NOT NULL THEN lag(rate_base)
+    OVER (PARTITION BY utility_id_ferc1 ORDER BY report_year) END AS before
   FROM modelled)""", MODELLED),
         "wacc_from_capital": with_panel(
             f"""SELECT utility_id_ferc1, report_year,
@@ -866,8 +868,10 @@ FROM modelled WHERE {base}""", MODELLED),
   round(last_value, 6) AS last_value, n_periods,
   round({cagr('first_value', 'last_value', 'n_periods')}, 6) AS cagr_percent
 FROM (SELECT utility_id_ferc1, arg_min(utility_name, report_year) AS utility_name,
-    arg_min(om_total, report_year) AS first_value, arg_max(om_total, report_year) AS last_value,
-    COUNT(*) - 1 AS n_periods FROM panel GROUP BY utility_id_ferc1)"""),
+    arg_min_null(om_total, report_year) AS first_value,
+    arg_max_null(om_total, report_year) AS last_value,
+    COUNT(*) - 1 AS n_periods FROM panel WHERE utility_id_ferc1 IS NOT NULL
+  GROUP BY utility_id_ferc1)"""),
         "cagr_baseline": with_panel(
             f"""SELECT utility_id_ferc1, utility_name, start_year, end_year,
   {rnd(6, 'start_value', 'end_value')},
@@ -877,17 +881,17 @@ FROM (SELECT utility_id_ferc1, arg_min(utility_name, report_year) AS utility_nam
     MAX(report_year) FILTER (grc_om IS NOT NULL) AS end_year,
     arg_min(grc_om, report_year) FILTER (grc_om IS NOT NULL) AS start_value,
     arg_max(grc_om, report_year) FILTER (grc_om IS NOT NULL) AS end_value
-  FROM kept GROUP BY utility_id_ferc1)""", KEPT),
+  FROM kept WHERE utility_id_ferc1 IS NOT NULL GROUP BY utility_id_ferc1)""", KEPT),
         "yoy_change": with_panel(
             f"""SELECT {KEYS}, om_total AS metric_value,
   CASE WHEN previous <> 0 THEN (om_total - previous) / abs(previous) * 100.0 END
     AS yoy_pct_change
-FROM (SELECT *, lag(om_total) OVER (PARTITION BY utility_id_ferc1 ORDER BY report_year)
-  AS previous FROM panel)"""),
+FROM (SELECT *, CASE WHEN utility_id_ferc1 IS NOT NULL THEN lag(om_total)
+  OVER (PARTITION BY utility_id_ferc1 ORDER BY report_year) END AS previous FROM panel)"""),
         "yoy_matrix": with_panel(
             "SELECT utility_id_ferc1, utility_name, " + ", ".join(
                 f"MAX(om_yoy_pct) FILTER (report_year = {y}) AS \"{y}\""
-                for y in YEARS[1:]) + " FROM yoy GROUP BY utility_id_ferc1, utility_name",
+                for y in YEARS[1:]) + " FROM yoy WHERE utility_id_ferc1 IS NOT NULL GROUP BY utility_id_ferc1, utility_name",
             YOY_CELLS.replace("{metric}", "om_total")),
         "yoy_matrix_flags": with_panel(
             f"SELECT {KEYS}, om_yoy_pct AS om_yoy_pct, "
@@ -925,7 +929,7 @@ FROM (SELECT utility_id_ferc1, arg_min(utility_name, report_year) AS utility_nam
     MIN(report_year) AS start_year, MAX(report_year) AS end_year,
     arg_max(grc_om, report_year) - arg_min(grc_om, report_year) AS total_change,
     arg_max(rate_base, report_year) - arg_min(rate_base, report_year) AS driver_change
-  FROM both_known GROUP BY utility_id_ferc1),
+  FROM both_known WHERE utility_id_ferc1 IS NOT NULL GROUP BY utility_id_ferc1),
   (SELECT regr_slope(grc_om, rate_base) AS slope, regr_r2(grc_om, rate_base) AS r2
    FROM both_known)""",
             "both_known AS (SELECT * FROM panel WHERE grc_om IS NOT NULL AND rate_base IS NOT NULL)"),
@@ -941,9 +945,9 @@ FROM (SELECT utility_id_ferc1, arg_min(utility_name, report_year) AS utility_nam
   round(growth, 8) AS cagr_percent,
   CASE WHEN growth IS NOT NULL THEN printf('%s: %+.1f%%', utility_name, growth) END AS cagr_label
 FROM (SELECT *, {cagr('first_om', 'last_om', 'periods')} AS growth
-  FROM (SELECT *, arg_min(om_total, report_year) OVER w AS first_om,
-      arg_max(om_total, report_year) OVER w AS last_om, COUNT(*) OVER w - 1 AS periods
-    FROM panel WINDOW w AS (PARTITION BY utility_id_ferc1)))"""),
+  FROM (SELECT *, arg_min_null(om_total, report_year) OVER w AS first_om,
+      arg_max_null(om_total, report_year) OVER w AS last_om, COUNT(*) OVER w - 1 AS periods
+    FROM panel WHERE utility_id_ferc1 IS NOT NULL WINDOW w AS (PARTITION BY utility_id_ferc1)))"""),
         "rr_waterfall": _waterfall(),
         "chart_revenue_gap": with_panel(
             f"""SELECT {KEYS}, round(revenue_gap / 1e9, 9) AS gap_billions,

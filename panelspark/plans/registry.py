@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.config import SECTORS, TARGET_STATE
+from panelspark.config import SECTORS, TARGET_STATE, WHOLE_CENTS
 from panelspark.functions.columns import add_columns, aggregate, format_billions, format_millions
 from panelspark.operators import bills, charts, findings, models, panel, regression, stats
 from panelspark.plans import bindings as bind
@@ -42,11 +42,6 @@ def clean(spark, sf, years=None) -> DataFrame:
     return bind.panel(spark, sf, years)
 
 
-def costs(spark, sf, years=None) -> DataFrame:
-    """The same rows for queries that use no sales column."""
-    return bind.panel(spark, sf, years, with_sales=False)
-
-
 def staged(spark, sf) -> DataFrame:
     """The panel written once, for the queries that read it more than once."""
     return sinks.stage(clean(spark, sf))
@@ -56,10 +51,6 @@ def modelled(spark, sf, years=None) -> DataFrame:
     return models.add_grc_requirement(models.add_requirement(clean(spark, sf, years)))
 
 
-def modelled_costs(spark, sf, years=None) -> DataFrame:
-    return models.add_grc_requirement(models.add_requirement(costs(spark, sf, years)))
-
-
 # ---- sources ----------------------------------------------------------------------------
 
 
@@ -73,7 +64,7 @@ def yearly_union(spark, sf):
 @query
 def expense_scan(spark, sf):
     ids = bind.id_map(spark, sf).select("utility_id_ferc1")
-    return tables.expenses(bind.expenses(spark, sf), ids, bind.YEARS)
+    return tables.expenses(bind.expenses(spark, sf, bind.YEARS), ids, bind.YEARS)
 
 
 @query
@@ -89,7 +80,7 @@ def income_scan(spark, sf):
 
 @query
 def operating_revenue(spark, sf):
-    return tables.operating_revenue(bind.income(spark, sf))
+    return tables.operating_revenue(bind.income(spark, sf), scale=WHOLE_CENTS)
 
 
 @query
@@ -120,7 +111,7 @@ def dedupe_rollup(spark, sf):
 
 @query
 def expense_pivot(spark, sf):
-    return panel.pivot_expenses(panel.category_sums(tables.expenses(bind.expenses(spark, sf))))
+    return panel.pivot_expenses(panel.category_sums(tables.expenses(bind.expenses(spark, sf)), WHOLE_CENTS))
 
 
 @query
@@ -131,18 +122,18 @@ def rate_base(spark, sf):
 @query
 def panel_join(spark, sf):
     joined = panel.join_panel(
-        panel.pivot_expenses(panel.category_sums(tables.expenses(bind.expenses(spark, sf)))),
+        panel.pivot_expenses(panel.category_sums(tables.expenses(bind.expenses(spark, sf)), WHOLE_CENTS)),
         panel.with_rate_base(tables.plant_wide(bind.plant(spark, sf))),
         panel.roll_up_duplicates(tables.state_entities(bind.sales(spark, sf), TARGET_STATE)),
         bind.id_map(spark, sf),
-        tables.operating_revenue(bind.income(spark, sf)),
+        tables.operating_revenue(bind.income(spark, sf), scale=WHOLE_CENTS),
     )
     return rounded(joined, 6, *REVENUE_COLUMNS)
 
 
 @query
 def panel_final(spark, sf):
-    return rounded(bind.panel(spark, sf, mapped_only=False), 6, *REVENUES)
+    return rounded(bind.panel(spark, sf), 6, *REVENUES)
 
 
 @query
@@ -166,13 +157,13 @@ def derived_metrics(spark, sf):
 @query
 def validate_panel(spark, sf):
     entities = bind.id_map(spark, sf).agg(F.count(F.lit(1))).scalar()
-    ragged = bind.panel(spark, sf, mapped_only=False)
+    ragged = bind.panel(spark, sf)
     return panel.validate_panel(ragged, entities * len(bind.YEARS))
 
 
 @query
 def null_profile(spark, sf):
-    return panel.profile(bind.panel(spark, sf, mapped_only=False))
+    return panel.profile(bind.panel(spark, sf))
 
 
 @query
@@ -187,12 +178,12 @@ def distinct_income_types(spark, sf):
 
 @query
 def top_accounts(spark, sf):
-    return panel.top_accounts(bind.expenses(spark, sf, [BASE]))
+    return panel.top_accounts(bind.expenses(spark, sf, [BASE]), scale=WHOLE_CENTS)
 
 
 @query
 def format_amounts(spark, sf):
-    df = costs(spark, sf)
+    df = clean(spark, sf)
     return df.selectExpr(
         "utility_id_ferc1",
         "report_year",
@@ -214,7 +205,7 @@ def kpi_formulas(spark, sf):
 @query
 def wacc_from_capital(spark, sf):
     """Weighted cost of capital with equity as rate base over rate base plus revenue."""
-    df = costs(spark, sf).where("rate_base > 0 AND operating_revenues_ferc > 0")
+    df = clean(spark, sf).where("rate_base > 0 AND operating_revenues_ferc > 0")
     total = "(rate_base + operating_revenues_ferc)"
     wacc = models.wacc_of(
         f"rate_base / {total}", "0.1D", f"operating_revenues_ferc / {total}", "0.05D"
@@ -224,7 +215,7 @@ def wacc_from_capital(spark, sf):
 
 @query
 def baseline_filter(spark, sf):
-    kept = panel.start_from_baseline(costs(spark, sf), bind.baselines(spark, sf))
+    kept = panel.start_from_baseline(clean(spark, sf), bind.baselines(spark, sf))
     return kept.select("utility_id_ferc1", "report_year", "om_total", "rate_base")
 
 
@@ -233,12 +224,12 @@ def baseline_filter(spark, sf):
 
 @query
 def revenue_requirement(spark, sf):
-    return models.requirement_breakdown(costs(spark, sf))
+    return models.requirement_breakdown(clean(spark, sf))
 
 
 @query
 def revenue_requirement_with_passthrough(spark, sf):
-    return models.requirement_breakdown(costs(spark, sf), exclude_passthrough=False)
+    return models.requirement_breakdown(clean(spark, sf), exclude_passthrough=False)
 
 
 @query
@@ -253,7 +244,7 @@ def grc_requirement(spark, sf):
 
 @query
 def grc_breakdown(spark, sf):
-    return models.add_grc_breakdown(costs(spark, sf)).select(
+    return models.add_grc_breakdown(clean(spark, sf)).select(
             "utility_id_ferc1",
             "report_year",
             "om_distribution",
@@ -287,22 +278,22 @@ def grc_alt(spark, sf):
 
 @query
 def test_year_forecast(spark, sf):
-    return models.forecast_test_year(costs(spark, sf, [BASE]), BASE)
+    return models.forecast_test_year(clean(spark, sf, [BASE]), BASE)
 
 
 @query
 def test_year_forecast_grc(spark, sf):
-    return models.forecast_test_year_grc(costs(spark, sf, [BASE]), BASE)
+    return models.forecast_test_year_grc(clean(spark, sf, [BASE]), BASE)
 
 
 @query
 def wacc_sensitivity(spark, sf):
-    return models.wacc_sensitivity(costs(spark, sf))
+    return models.wacc_sensitivity(clean(spark, sf))
 
 
 @query
 def compare_methodologies(spark, sf):
-    return models.compare_methodologies(modelled_costs(spark, sf, [BASE]), BASE)
+    return models.compare_methodologies(modelled(spark, sf, [BASE]), BASE)
 
 
 @query
@@ -332,12 +323,12 @@ def bill_sensitivity(spark, sf):
 
 @query
 def ag_sensitivity(spark, sf):
-    return models.ag_sensitivity(costs(spark, sf))
+    return models.ag_sensitivity(clean(spark, sf))
 
 
 @query
 def ag_backsolve(spark, sf):
-    return models.ag_backsolve(costs(spark, sf), "om_total * 0.25D")
+    return models.ag_backsolve(clean(spark, sf), "om_total * 0.25D")
 
 
 @query
@@ -353,13 +344,13 @@ def revenue_reconcile(spark, sf):
 
 @query
 def rr_recompute_check(spark, sf):
-    stored = models.add_requirement(costs(spark, sf))
+    stored = models.add_requirement(clean(spark, sf))
     return models.requirement_check(stored)
 
 
 @query
 def cost_breakdown(spark, sf):
-    return models.cost_breakdown(costs(spark, sf, [BASE]), BASE, unit=1e6)
+    return models.cost_breakdown(clean(spark, sf, [BASE]), BASE, unit=1e6)
 
 
 @query
@@ -380,12 +371,12 @@ def _trend(df: DataFrame) -> DataFrame:
 
 @query
 def trend(spark, sf):
-    return _trend(stats.trend(costs(spark, sf), "om_total", p_values=False))
+    return _trend(stats.trend(clean(spark, sf), "om_total", p_values=False))
 
 
 @query
 def trend_pvalue(spark, sf):
-    result = stats.trend(costs(spark, sf), "rate_base")
+    result = stats.trend(clean(spark, sf), "rate_base")
     return rounded(result.select("utility_id", "r_squared", "p_value", "status"), 6)
 
 
@@ -397,28 +388,28 @@ def summary_by_entity(spark, sf):
 
 @query
 def cagr_by_count(spark, sf):
-    return rounded(stats.cagr_by_count(costs(spark, sf), "om_total"), 6)
+    return rounded(stats.cagr_by_count(clean(spark, sf), "om_total"), 6)
 
 
 @query
 def cagr_baseline(spark, sf):
-    result = stats.cagr_from_baseline(costs(spark, sf), bind.baselines(spark, sf), "grc_om")
+    result = stats.cagr_from_baseline(clean(spark, sf), bind.baselines(spark, sf), "grc_om")
     return rounded(result, 6)
 
 
 @query
 def yoy_change(spark, sf):
-    return stats.yoy_change(costs(spark, sf), "om_total")
+    return stats.yoy_change(clean(spark, sf), "om_total")
 
 
 @query
 def yoy_matrix(spark, sf):
-    return stats.yoy_matrix(costs(spark, sf), "om_total", bind.YEARS)
+    return stats.yoy_matrix(clean(spark, sf), "om_total", bind.YEARS)
 
 
 @query
 def yoy_matrix_flags(spark, sf):
-    return stats.yoy_cells(costs(spark, sf), "rate_base")
+    return stats.yoy_cells(clean(spark, sf), "rate_base")
 
 
 @query
@@ -442,7 +433,7 @@ def peer_pct_diff(spark, sf):
 @query
 def variance_decomposition(spark, sf):
     df = sinks.stage(
-        costs(spark, sf).select(
+        clean(spark, sf).select(
             "utility_id_ferc1", "utility_name", "report_year", "grc_om", "rate_base"
         )
     )
@@ -508,17 +499,17 @@ def key_findings(spark, sf):
 
 @query
 def chart_om_trend(spark, sf):
-    return rounded(charts.om_trend(costs(spark, sf)), 8, "cagr_percent")
+    return rounded(charts.om_trend(clean(spark, sf)), 8, "cagr_percent")
 
 
 @query
 def rr_waterfall(spark, sf):
-    return charts.requirement_waterfall(modelled_costs(spark, sf))
+    return charts.requirement_waterfall(modelled(spark, sf))
 
 
 @query
 def chart_revenue_gap(spark, sf):
-    return rounded(charts.revenue_gap(modelled_costs(spark, sf, [BASE]), BASE), 9)
+    return rounded(charts.revenue_gap(modelled(spark, sf, [BASE]), BASE), 9)
 
 
 @query

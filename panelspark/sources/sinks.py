@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL: dict[str, str] = {}  # scratch folder of each local session without a shared one
+
+
 def write_table(df: DataFrame, path: str, partition_by=(), files: int | None = None) -> None:
     """Overwrite a parquet dataset. `files` is for small results only (one output task each)."""
     out = df if files is None else df.coalesce(files)
@@ -30,7 +35,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in spark.checkpoint.dir.
 
     Only a local session without that setting gets a folder of its own; on a cluster a
-    machine-local folder would be lost with its executor.
+    machine-local folder would be lost with its executor. It goes when the program ends.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -38,8 +43,17 @@ def shared_folder(spark: SparkSession) -> str:
         return configured
     if not context.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="panelspark-"))
-    return context.getCheckpointDir()
+    if context.applicationId not in _LOCAL:
+        _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="panelspark-")
+        atexit.register(shutil.rmtree, _LOCAL[context.applicationId], ignore_errors=True)
+    return _LOCAL[context.applicationId]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a written table, in whatever file system it is."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def stage_path(spark: SparkSession) -> str:

@@ -67,7 +67,9 @@ def member_of(df: DataFrame, column: str, ids) -> DataFrame:
     if ids is None:
         return df
     if isinstance(ids, DataFrame):
-        return df.join(ids.select(F.col(ids.columns[0]).alias(column)), column, "left_semi")
+        # Distinct, so that a frame of raw rows is summed up before it moves.
+        wanted = ids.select(F.col(ids.columns[0]).alias(column)).distinct()
+        return df.join(wanted, column, "left_semi")
     return df.where(F.col(column).isin(list(ids)))
 
 
@@ -109,14 +111,16 @@ def income(df: DataFrame, ids=None, years=None) -> DataFrame:
     return _scan(df, ids, years, f"utility_type = '{ELECTRIC}'")
 
 
-def operating_revenue(df: DataFrame, ids=None, years=None) -> DataFrame:
+def operating_revenue(
+    df: DataFrame, ids=None, years=None, scale: int | None = None
+) -> DataFrame:
     """Sum of the revenue account per entity and year.
 
     Membership is stated on the sums: Catalyst moves it below them when the ids can be broadcast,
     and otherwise raw rows are not shuffled for it.
     """
     rows = income(df, None, years).where(f"ferc_account = '{REVENUE_ACCOUNT}'")
-    total = {"operating_revenues_ferc": sum_amount("dollar_value")}
+    total = {"operating_revenues_ferc": sum_amount("dollar_value", scale)}
     return member_of(aggregate(known(rows, *KEYS), KEYS, total), "utility_id_ferc1", ids)
 
 

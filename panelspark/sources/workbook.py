@@ -84,7 +84,9 @@ def _typed(text, field):
         return None
     if number != number:
         return None
-    return number if isinstance(field.dataType, T.DoubleType) else int(number)
+    if isinstance(field.dataType, T.DoubleType):
+        return number
+    return int(number) if abs(number) < 2**63 else None
 
 
 def number_repeats(header) -> list[str]:

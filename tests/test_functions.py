@@ -146,9 +146,9 @@ def test_sum_amount_is_exact_in_any_order(spark):
     rows = [(float(c) / 100,) for c in cents] + [(None,)]
     df = spark.createDataFrame(rows, "x double")
     for parts in (1, 7):
-        total = aggregate(df.repartition(parts), [], {"t": sum_amount("x")}).first()["t"]
+        total = aggregate(df.repartition(parts), [], {"t": sum_amount("x", 100)}).first()["t"]
         assert total == int(cents.sum()) / 100
-    assert aggregate(df.where("x IS NULL"), [], {"t": sum_amount("x")}).first()["t"] == 0.0
+    assert aggregate(df.where("x IS NULL"), [], {"t": sum_amount("x", 100)}).first()["t"] == 0.0
     plain = aggregate(df, [], {"t": sum_amount("x", None)}).first()["t"]
     assert plain == pytest.approx(total)
 

@@ -61,7 +61,7 @@ def test_sums_do_not_depend_on_partitioning_or_a_hot_entity(spark):
         "(id * 7919 % 1000003) / 100D AS dollar_value",
     )
     results = [
-        sorted(map(tuple, panel.pivot_expenses(panel.category_sums(df)).collect()))
+        sorted(map(tuple, panel.pivot_expenses(panel.category_sums(df, scale=100)).collect()))
         for df in (hot, hot.repartition(23), hot.coalesce(1).orderBy("dollar_value"))
     ]
     assert results[0] == results[1] == results[2]
@@ -134,17 +134,28 @@ def test_unmapped_id_does_not_match_equal_sales_id(spark):
     assert len(got) == 1 and got[0]["x"] is None
 
 
-def test_mapped_only_equals_filtered_panel(spark):
-    key = "utility_id_ferc1 IS NOT NULL AND utility_id_eia IS NOT NULL"
-    full = panel.join_panel(*join_inputs(spark)).where(key)
-    mapped = panel.join_panel(*join_inputs(spark), mapped_only=True)
-    columns = sorted(full.columns)
-    assert sorted(map(tuple, mapped.select(columns).collect()), key=str) == sorted(
-        map(tuple, full.select(columns).collect()), key=str)
-    expenses, plant, _, ids = join_inputs(spark)
-    assert panel.join_panel(expenses, plant, None, ids, mapped_only=True).count() == 3
-    with pytest.raises(ValueError):
-        panel.join_panel(expenses, plant, None, ids)
+def test_sums_are_plain_unless_a_scale_is_stated(spark):
+    df = spark.createDataFrame([(1, 2020, "500", 0.004), (1, 2020, "500", 0.004),
+                                (2, 2020, "500", float("inf"))],
+                               "utility_id_ferc1 long, report_year int, ferc_account string,"
+                               " dollar_value double")
+    got = {r["utility_id_ferc1"]: r["amount"] for r in panel.category_sums(df).collect()}
+    assert got == {1: 0.008, 2: float("inf")}
+    cents = panel.category_sums(df.where("utility_id_ferc1 = 1"), scale=100).first()
+    assert cents["amount"] == 0.0
+
+
+def test_rows_without_an_accounting_id_are_no_entity(spark):
+    rows = [(None, 7, "a", 2020, 1.0), (None, 8, "b", 2021, 3.0), (1, 9, "c", 2020, 2.0),
+            (1, 9, "c", 2021, 3.0)]
+    df = spark.createDataFrame(rows, "utility_id_ferc1 long, utility_id_eia long,"
+                               " utility_name string, report_year int, om_total double")
+    change = stats.yoy_change(df, "om_total").collect()
+    assert len(change) == 4
+    assert [r["yoy_pct_change"] for r in change if r["yoy_pct_change"] is not None] == [50.0]
+    assert [r["utility_id"] for r in stats.trend(df, "om_total").collect()] == [1]
+    assert stats.cagr_by_count(df, "om_total").count() == 1
+    assert stats.yoy_matrix(df, "om_total", [2020, 2021]).count() == 1
 
 
 def test_zero_denominators_give_null(spark):
@@ -377,3 +388,55 @@ def test_variance_decomposition(spark):
     first = got.orderBy("utility_id_ferc1").first()
     assert first["explained"] == pytest.approx(slope * 7)
     assert first["unexplained"] == pytest.approx(2 - slope * 7)
+
+
+def test_ten_thousand_groups_are_solved_together(spark):
+    rows = spark.range(50_000).selectExpr(
+        "id % 10000 AS g", "CAST(hash(id) % 1000 AS DOUBLE) AS customers_total",
+        "CAST(hash(id, 1) % 1000 AS DOUBLE) AS sales_mwh_total",
+        "CAST(hash(id, 2) % 1000 AS DOUBLE) AS rate_base",
+    ).selectExpr("*", "3 + 2 * customers_total - sales_mwh_total + 0.5D * rate_base AS om_total")
+    terms = regression.fit_terms(rows, group_by=["g"])
+    got = terms.where("status = 'ok' AND term = 'customers_total'").selectExpr(
+        "count(1) AS n", "max(abs(coef - 2)) AS off", "max(ci_high - ci_low) AS wide").first()
+    assert got["n"] == 10_000 and got["off"] < 1e-5 and got["wide"] < 0.1
+
+
+def test_confidence_interval_of_a_known_fit(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(30, 3))
+    y = 1 + x @ [2.0, -1.0, 0.5] + rng.normal(size=30)
+    df = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y)],
+                               "customers_total double, sales_mwh_total double,"
+                               " rate_base double, om_total double")
+    design = np.c_[np.ones(30), x]
+    inverse = np.linalg.inv(design.T @ design)
+    coef = inverse @ design.T @ y
+    error = np.sqrt(((y - design @ coef) ** 2).sum() / 26 * np.diag(inverse))
+    for i, r in enumerate(regression.fit_terms(df).collect()):
+        assert abs(r["ci_low"] - (coef[i] - 2.055529439 * error[i])) < 1e-6
+        assert abs(r["ci_high"] - (coef[i] + 2.055529439 * error[i])) < 1e-6
+
+
+def test_analysis_goes_on_after_a_failure_and_on_an_empty_panel(spark):
+    from panelspark.operators import findings
+
+    schema = ("utility_id_ferc1 long, utility_id_eia long, utility_name string, report_year int,"
+              " om_total double, om_per_customer double, om_per_mwh double, rate_base double,"
+              " customers_total long, sales_mwh_total double")
+    empty = spark.createDataFrame([], schema)
+    results = findings.run_analysis(empty)
+    assert {n.removesuffix("_error") for n in results} == {
+        "trend_results", "regression", "regression_summary", "condition_number", "vif",
+        "outliers", "benchmarks", "yoy_changes", "utility_summaries"}
+    assert results["regression_summary"].first()["stat"].startswith("insufficient data")
+    assert results["benchmarks"].count() == 0
+    broken = findings.run_analysis(empty.drop("customers_total"))
+    assert "regression_error" in broken and "trend_results" in broken
+    four = [(1, 1, "a", 2000 + i, float(i * i), 1.0, 1.0, float(i % 3), i, float(i ** 3))
+            for i in range(4)]
+    few = regression.diagnostics(spark.createDataFrame(four, schema), ["report_year"]).collect()
+    assert {r["stat"] for r in few} >= {"n_obs", "r_squared", "f_statistic"}
+    line = [(1, 1, "a", 2000 + i, float(i), 1.0, 1.0, float(i), i, float(i)) for i in range(9)]
+    assert regression.diagnostics(
+        spark.createDataFrame(line, schema), ["report_year"]).first()["stat"] == "collinear drivers"

@@ -178,12 +178,29 @@ def test_jobs_end_to_end(spark, landing, tmp_path):
     assert spark.read.parquet(f"{out}/charts/rr_waterfall").count() == 21
 
 
+def test_a_job_of_two_years_reads_two_years(spark, landing, tmp_path):
+    inputs = jobs.Inputs(
+        f"{landing}/expenses", f"{landing}/plant", f"{landing}/income",
+        f"{landing}/Sales_Ult_Cust_*.xlsx", years=[2022, 2023],
+    )
+    ready = jobs.run_panel(spark, inputs, str(tmp_path))
+    assert ready.count() == 6
+    assert {r["report_year"] for r in ready.collect()} == {2022, 2023}
+
+
+def test_sales_from_csv_equal_those_from_workbooks(spark, landing, tmp_path):
+    rows = jobs.load_sales(spark, f"{landing}/Sales_Ult_Cust_*.xlsx").select(schemas.SALES.names)
+    rows.write.csv(str(tmp_path / "sales.csv"), header=True)
+    back = jobs.load_sales(spark, str(tmp_path / "sales.csv"))
+    assert sorted(map(str, back.collect())) == sorted(map(str, rows.collect()))
+
+
 def test_panel_job_refuses_a_thin_panel(spark, landing, tmp_path):
     inputs = jobs.Inputs(
         f"{landing}/expenses", f"{landing}/plant", f"{landing}/income",
         f"{landing}/Sales_Ult_Cust_*.xlsx", years=[2018, *range(1980, 1995)],
     )
-    with pytest.raises(ValueError, match="row_count|null_"):
+    with pytest.raises(ValueError, match="row_count"):
         jobs.run_panel(spark, inputs, str(tmp_path))
 
 
