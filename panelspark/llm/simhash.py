@@ -22,7 +22,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -238,26 +238,23 @@ def one_per_component(
 ) -> DataFrame:
     """The documents, one of each component: the row with the smallest id.
 
-    Of rows with that id the one with the smallest fingerprint stays, then the smallest text,
-    then the smallest other columns. Rows without an id give way to rows with one; of a
-    component without any id one row stays.
+    Of rows with that id the one with the smallest fingerprint stays, then the smallest hash of
+    the whole row, then any of rows that are alike. Rows without an id give way to rows with one;
+    of a component without any id one row stays.
     """
-    kept = without(docs, "fingerprint")
-    prepared = stage(with_fingerprint(kept, text, shingle))
-    labelled = near_duplicates(prepared.select(id_column, "fingerprint"), id_column, max_bits)
-    first = labelled.where(f"`{id_column}` <=> component_id").groupBy("component").agg(
-        F.min("fingerprint").alias("chosen_print"), F.min(id_column).alias("chosen_id")
+    kept = without(docs, "fingerprint", "row_number", "row_hash")
+    numbered = with_fingerprint(kept, text, shingle).withColumns({
+        "row_hash": F.xxhash64(*[F.col(f"`{c}`") for c in kept.columns]),
+        "row_number": F.monotonically_increasing_id(),
+    })
+    prepared = stage(numbered)  # fixes the row numbers
+    labelled = near_duplicates(
+        prepared.select(id_column, "fingerprint", "row_hash", "row_number"), id_column, max_bits
     )
-    chosen = prepared.join(
-        first,
-        F.col(id_column).eqNullSafe(F.col("chosen_id"))
-        & (F.col("fingerprint") == F.col("chosen_print")),
-        "left_semi",
-    )
-    alike = Window.partitionBy(id_column, "fingerprint").orderBy(
-        text, F.to_json(F.struct(*[F.col(f"`{c}`") for c in kept.columns]))
-    )
-    place = "place_among_alike"
-    return chosen.withColumn(place, F.row_number().over(alike)).where(f"{place} = 1").select(
+    chosen = labelled.groupBy("component").agg(F.expr(
+        f"min(struct(`{id_column}` IS NULL AS without, `{id_column}`, fingerprint, row_hash,"
+        " row_number)).row_number AS row_number"
+    ))
+    return prepared.join(chosen, "row_number", "left_semi").select(
         *[F.col(f"`{c}`") for c in kept.columns]
     )
