@@ -1,73 +1,52 @@
 """Order over a whole frame without a one-task window.
 
-Values are cut into ranges at approximate quantiles. The cut points (at most `buckets` numbers)
-and one total per range come to the driver and go back as literals, so every retry of a lost
-task sees the same ranges. Rows are only ever ordered inside a range.
+Rows are dealt out by value ranges, as many as the session's shuffle partitions, and staged, so
+that every retry sees the same ranges. Rows are only ever ordered inside a range; one total per
+range comes to the driver and goes back as a literal.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions.columns import aggregate, known
+from panelspark.sources.sinks import stage
 
-MAX_BUCKETS = 1000
-ROWS_PER_BUCKET = 200_000
 
-
-def cut_points(df: DataFrame, column: str, rows_per_bucket: int) -> tuple[list, int]:
-    """Range boundaries for about `rows_per_bucket` rows each, and the number of rows.
-
-    Few rows need no boundary: one counted, bounded range holds them.
-    """
-    rows = df.count()
-    buckets = min(-(-rows // rows_per_bucket), MAX_BUCKETS)
-    if buckets < 2:
-        return [], rows
-    shares = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(column, shares).alias("cuts")).first()
-    return sorted(set(row["cuts"] or [])), rows
-
-
-def bucket_of(column: Column, cuts: list) -> Column:
-    """Number of cut points below the value."""
-    if not cuts:
-        return F.lit(0)
-    below = F.filter(F.array(*[F.lit(c) for c in cuts]), lambda cut: cut < column)
-    return F.size(below)
+def in_ranges(df: DataFrame, order: list[str], ranges: int | None = None) -> DataFrame:
+    """The rows with `bucket`, the number of their range in the order of `order`."""
+    count = [] if ranges is None else [ranges]
+    dealt = df.repartitionByRange(*count, *order)
+    return stage(dealt.withColumn("bucket", F.spark_partition_id()))
 
 
 def value_counts_in_order(
-    df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, column: str, ranges: int | None = None
 ) -> tuple[DataFrame, int]:
     """(distinct value, n, n_below) and the number of rows, for the non-null values.
 
     Grouping first makes a value that fills a third of the rows one row.
     """
-    values = known(df.select(column), column)
-    cuts, rows = cut_points(values, column, rows_per_bucket)
-    counts = aggregate(values, [column], {"n": "count(1)"}).withColumn(
-        "bucket", bucket_of(F.col(column), cuts)
-    )
+    counts = aggregate(known(df.select(column), column), [column], {"n": "count(1)"})
+    counts = in_ranges(counts, [column], ranges)
+    totals = dict(aggregate(counts, ["bucket"], {"n": "sum(n)"}).collect())  # one per range
     before = [0]
-    if cuts:
-        totals = dict(aggregate(counts, ["bucket"], {"n": "sum(n)"}).collect())  # one per range
-        for b in range(len(cuts)):
-            before.append(before[-1] + totals.get(b, 0))
+    for b in range(max(totals, default=0)):
+        before.append(before[-1] + totals.get(b, 0))
     start = f"array({', '.join(f'{b}L' for b in before)})[bucket]"
     below = (
         f"coalesce(sum(n) OVER (PARTITION BY bucket ORDER BY {column}"
         " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L)"
     )
     ordered = counts.selectExpr(column, "n", f"{start} + {below} AS n_below")
-    return ordered, rows
+    return ordered, sum(totals.values())
 
 
-def ranked(df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def ranked(df: DataFrame, column: str, ranges: int | None = None) -> DataFrame:
     """Adds `rank` (1 = highest, ties share the lowest) and `percentile` (ascending average
     rank over the non-null count, 0-100). NULL where the value is NULL."""
-    counts, rows = value_counts_in_order(df, column, rows_per_bucket)
+    counts, rows = value_counts_in_order(df, column, ranges)
     placed = counts.selectExpr(
         f"{column} AS ranked_value",
         f"(n_below + (n + 1) / 2D) / {max(rows, 1)}D * 100D AS percentile",
@@ -77,26 +56,24 @@ def ranked(df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET) -
 
 
 def squared_steps(
-    df: DataFrame, order: list[str], value: str, rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, order: list[str], value: str, ranges: int | None = None
 ) -> float:
     """Sum of squared differences between neighbours in the order of `order`.
 
-    The first order column sets the ranges. Steps inside a range come from a window, the steps
-    between ranges from each range's first and last row (one summary row per range).
+    All order columns set the ranges, so an id with many rows is many ranges. Steps inside a
+    range come from a window, the steps between ranges from each range's first and last row.
     """
-    key = order[0]
-    cuts, _ = cut_points(df, key, rows_per_bucket)
     position = f"struct({', '.join(order)})"
     window = f"OVER (PARTITION BY bucket ORDER BY {', '.join(order)})"
-    bucketed = df.select(*order, value).withColumn("bucket", bucket_of(F.col(key), cuts))
+    bucketed = in_ranges(df.select(*order, value), order, ranges)
     stepped = bucketed.selectExpr("*", f"{value} - lag({value}) {window} AS step")
-    ranges = aggregate(stepped, ["bucket"], {
+    found = aggregate(stepped, ["bucket"], {
         "inside": "sum(step * step)",
         "head": f"min_by({value}, {position})",
         "tail": f"max_by({value}, {position})",
     }).collect()  # one row per range
     total, last = 0.0, None
-    for r in sorted(ranges, key=lambda r: r["bucket"]):
+    for r in sorted(found, key=lambda r: r["bucket"]):
         total += r["inside"] or 0.0
         if last is not None:
             total += (r["head"] - last) ** 2
