@@ -15,7 +15,7 @@ from panelspark import schemas
 from panelspark.config import DEFAULTS, TARGET_STATE, YEARS, Assumptions
 from panelspark.operators import bills, charts, findings, models, panel
 from panelspark.sources import sinks, tables
-from panelspark.sources.workbook import SalesWorkbooks
+from panelspark.sources.workbook import read_workbooks
 
 
 @dataclass(frozen=True)
@@ -34,8 +34,7 @@ class Inputs:
 
 def load_sales(spark: SparkSession, path: str) -> DataFrame:
     if path.endswith(".xlsx"):
-        spark.dataSource.register(SalesWorkbooks)
-        return spark.read.format("sales_workbooks").load(path)
+        return read_workbooks(spark, path)
     if path.endswith(".csv"):
         rows = spark.read.schema(schemas.SALES).csv(path, header=True)
         return tables.nan_to_null(rows)

@@ -1,72 +1,76 @@
-"""Yearly sales workbooks (xlsx) as a Spark data source.
+"""Yearly sales workbooks (xlsx) as one frame.
 
-    spark.dataSource.register(SalesWorkbooks)
-    spark.read.format("sales_workbooks").load("/landing/Sales_Ult_Cust_*.xlsx")
-
-Each workbook is its own input partition, so files are read in parallel by the executors and a
-lost task re-reads just its file. Rows stream out of the sheet; none is held back.
+Files come through Spark's binaryFile reader, so any file system that Spark reads will do; they
+are read in parallel by the executors and a lost task re-reads just its files. The driver sees the
+file names only.
 """
 
 from __future__ import annotations
 
-import glob
+import io
 import os
 import re
 import zipfile
 from xml.etree import ElementTree
 
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from panelspark.config import SALES_HEADERS
 from panelspark.schemas import SALES
 
 _NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 HEADER_ROWS_SKIPPED = 2
+ROWS_PER_BATCH = 10_000
 _ORDINAL_STRIDE = 1 << 32  # file position in the high half, row in the low half
 
 
-class WorkbookPartition(InputPartition):
-    def __init__(self, path: str, index: int):
-        self.path, self.index = path, index
-
-
-class SalesWorkbooks(DataSource):
-    @classmethod
-    def name(cls):
-        return "sales_workbooks"
-
-    def schema(self):
-        return SALES
-
-    def reader(self, schema):
-        return WorkbookReader(self.options["path"], schema)
-
-
-class WorkbookReader(DataSourceReader):
-    def __init__(self, path: str, schema: T.StructType):
-        self.path, self.schema = path, schema
-
-    def partitions(self):
-        pattern = self.path.removeprefix("file://").removeprefix("file:")
-        files = sorted(glob.glob(pattern))
-        if not files:
-            raise FileNotFoundError(f"No workbook matches {self.path}")
-        return [WorkbookPartition(f, i) for i, f in enumerate(files)]
-
-    def read(self, partition):
-        rows = sheet_rows(partition.path)
-        for _ in range(HEADER_ROWS_SKIPPED):
-            next(rows, None)
-        header = number_repeats(next(rows, []))
-        place = {SALES_HEADERS[h]: i for i, h in enumerate(header) if h in SALES_HEADERS}
-        for n, cells in enumerate(rows):
-            ordinal = partition.index * _ORDINAL_STRIDE + n
-            if any(c is not None for c in cells):
-                yield tuple(
-                    ordinal if f.name == "row_ordinal" else _typed(_cell(cells, place, f), f)
-                    for f in self.schema
-                )
+def read_workbooks(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all workbooks that a path or glob matches; no match raises AnalysisException.
+
+    `row_ordinal` orders rows by file name, then by place in the sheet.
+    """
+    files = spark.read.format("binaryFile").load(path)
+    names = sorted(r["path"] for r in files.select("path").collect())
+    index = {name: i for i, name in enumerate(names)}
+    arrow = to_arrow_schema(SALES)
+
+    def run(batches):
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                rows = []
+                for row in workbook_rows(io.BytesIO(content.as_py()), index[name]):
+                    rows.append(row)
+                    if len(rows) == ROWS_PER_BATCH:
+                        yield _batch(rows, arrow)
+                        rows = []
+                if rows:
+                    yield _batch(rows, arrow)
+
+    return files.select("path", "content").mapInArrow(run, SALES)
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)]
+    return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
+def workbook_rows(file, index: int):
+    """Typed rows of a workbook's first sheet, by the names in its header row."""
+    rows = sheet_rows(file)
+    for _ in range(HEADER_ROWS_SKIPPED):
+        next(rows, None)
+    header = number_repeats(next(rows, []))
+    place = {SALES_HEADERS[h]: i for i, h in enumerate(header) if h in SALES_HEADERS}
+    for n, cells in enumerate(rows):
+        ordinal = index * _ORDINAL_STRIDE + n
+        if any(c is not None for c in cells):
+            yield tuple(
+                ordinal if f.name == "row_ordinal" else _typed(_cell(cells, place, f), f)
+                for f in SALES
+            )
 
 
 def _cell(cells, place, field):
@@ -101,9 +105,9 @@ def number_repeats(header) -> list[str]:
     return names
 
 
-def sheet_rows(path: str):
+def sheet_rows(file):
     """Rows of the first sheet as lists of text, None for an empty cell."""
-    with zipfile.ZipFile(path) as book:
+    with zipfile.ZipFile(file) as book:
         shared = _shared_strings(book)
         with book.open(_first_sheet(book)) as sheet:
             expected = 1

@@ -8,7 +8,7 @@ from panelspark import config, schemas
 from panelspark.operators import findings
 from panelspark.plans import jobs
 from panelspark.sources import sinks, tables
-from panelspark.sources.workbook import SalesWorkbooks, number_repeats
+from panelspark.sources.workbook import number_repeats, read_workbooks
 
 HEADER = ["Data Year", "Utility Number", "Utility Name", "State", "Ownership",
           *["Thousand Dollars", "Megawatthours", "Count"] * 5]
@@ -83,8 +83,7 @@ def landing(tmp_path_factory, spark):
 
 
 def test_workbooks_read_one_partition_per_file(spark, landing):
-    spark.dataSource.register(SalesWorkbooks)
-    df = spark.read.format("sales_workbooks").load(f"{landing}/Sales_Ult_Cust_*.xlsx")
+    df = read_workbooks(spark, f"{landing}/Sales_Ult_Cust_*.xlsx")
     assert df.rdd.getNumPartitions() == 6
     rows = df.where("utility_id_eia = 14328 AND report_year = 2018").orderBy("row_ordinal")
     first, second, third = rows.collect()
@@ -101,9 +100,8 @@ def test_repeated_headers_are_numbered():
 def test_missing_inputs_raise(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         tables.read_table(spark, str(tmp_path / "none"))
-    spark.dataSource.register(SalesWorkbooks)
-    with pytest.raises(Exception, match="No workbook"):
-        spark.read.format("sales_workbooks").load(f"{tmp_path}/*.xlsx").count()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_workbooks(spark, f"{tmp_path}/*.xlsx")
 
 
 def test_filed_types_conform_to_the_schema(spark, tmp_path):
