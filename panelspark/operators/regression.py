@@ -266,7 +266,8 @@ def condition_number(df: DataFrame, xs=COST_DRIVERS) -> DataFrame:
     """Condition number of the design matrix with its constant.
 
     Each task reduces its rows to a triangular factor (k + 1 rows); the factors, one per task,
-    are reduced once more. Squaring the matrix would lose the small singular values.
+    are reduced once more. Squaring the matrix would lose the small singular values. NULL with
+    fewer rows than columns.
     """
     names = [CONSTANT, *xs]
     require_columns(df, xs)
@@ -283,8 +284,11 @@ def condition_number(df: DataFrame, xs=COST_DRIVERS) -> DataFrame:
             yield pd.DataFrame(r, columns=names)
 
     def condition(factors: pd.DataFrame) -> pd.DataFrame:
-        singular = np.linalg.svd(factors[names].to_numpy(), compute_uv=False)
-        return pd.DataFrame({"stat": ["condition_number"], "value": [singular[0] / singular[-1]]})
+        value = None
+        if len(factors) >= len(names):
+            singular = np.linalg.svd(factors[names].to_numpy(), compute_uv=False)
+            value = singular[0] / singular[-1]
+        return pd.DataFrame({"stat": ["condition_number"], "value": [value]})
 
     factors = rows.mapInPandas(reduce_rows, schema)
     return factors.groupBy().applyInPandas(condition, "stat string, value double")

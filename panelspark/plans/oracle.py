@@ -526,17 +526,77 @@ ols_terms AS (
     sqrt(sigma2 * i33 / (n - 1)) FROM ols_err)""".strip()]
 
 
+# Two-sided 5 % point of Student's t for each number of degrees of freedom, by bisection.
+CRITICAL_CTE = f"""
+critical AS (
+  WITH RECURSIVE halved AS (
+    SELECT DISTINCT n - 4 AS of_dof, 0.0::DOUBLE AS lo, 1000.0::DOUBLE AS hi, 0 AS step
+    FROM ols_m WHERE n > 4
+    UNION ALL SELECT of_dof, CASE WHEN p > 0.05 THEN mid ELSE lo END,
+      CASE WHEN p > 0.05 THEN hi ELSE mid END, step + 1
+    FROM (SELECT *, {t_pvalue('mid', 'of_dof')} AS p
+      FROM (SELECT *, (lo + hi) / 2 AS mid FROM halved WHERE step < 80)))
+  SELECT of_dof, (lo + hi) / 2 AS t_critical FROM halved WHERE step = 80)""".strip()
+
+
 def _ols_select(group: str = "") -> str:
     lead = f"{group}, " if group else ""
     return f"""SELECT {lead}term, round(coef, 3) AS coef, round(std_err, 3) AS std_err,
   round(coef / std_err, 6) AS t_value,
-  round({t_pvalue('abs(coef / std_err)', 'dof')}, 6) AS p_value, n_obs,
+  round({t_pvalue('abs(coef / std_err)', 'dof')}, 6) AS p_value,
+  round(coef - std_err * t_critical, 3) AS ci_low,
+  round(coef + std_err * t_critical, 3) AS ci_high, n_obs,
   round(r_squared, 6) AS r_squared, round(adj_r_squared, 6) AS adj_r_squared, 'ok' AS status
-FROM ols_terms WHERE n_obs >= 4
-UNION ALL SELECT {lead}NULL, NULL, NULL, NULL, NULL, n, NULL, NULL, 'insufficient data'
+FROM ols_terms LEFT JOIN critical ON dof = of_dof WHERE n_obs >= 4
+UNION ALL SELECT {lead}NULL, NULL, NULL, NULL, NULL, NULL, NULL, n, NULL, NULL, 'insufficient data'
 FROM ols_m WHERE n < 4"""
 
 
+def _condition_number() -> str:
+    """From the exact Gram matrix in whole numbers (amounts in cents), as squaring the design in
+    floating point would lose the small singular values. The inverse is exact up to one division.
+    Of each matrix the largest eigenvalue is read off its projection, got by repeated squaring."""
+    names = ["1", "customers_total", "sales_mwh_total", "round(rate_base * 100)"]
+    unit = ["1.0", "1.0", "1.0", "100.0"]
+    at = range(4)
+    gram = ", ".join(
+        f"CAST(SUM(CAST({names[i]} AS HUGEINT) * CAST({names[j]} AS HUGEINT)) AS HUGEINT)"
+        f" AS g{i}{j}" for i in at for j in at)
+
+    def minor(rows, columns) -> str:
+        if len(rows) == 1:
+            return f"g{rows[0]}{columns[0]}"
+        return "(" + " ".join(
+            f"{'-' if k % 2 else '+'} g{rows[0]}{c} * {minor(rows[1:], [d for d in columns if d != c])}"
+            for k, c in enumerate(columns)) + ")"
+
+    def cofactor(i: int, j: int) -> str:
+        sign = "-" if (i + j) % 2 else ""
+        rest = minor([r for r in at if r != i], [c for c in at if c != j])
+        return f"CAST({sign}{rest} AS DOUBLE) * {unit[i]} * {unit[j]} / CAST(det AS DOUBLE)"
+
+    plain = ", ".join(f"CAST(g{i}{j} AS DOUBLE) / {unit[i]} / {unit[j]}" for i in at for j in at)
+    inverse = ", ".join(cofactor(i, j) for i in at for j in at)
+    trace = "(m[1] + m[6] + m[11] + m[16])"
+    square = ", ".join(
+        "(" + " + ".join(f"m[{4 * i + k + 1}] * m[{4 * k + j + 1}]" for k in at)
+        + f") / ({trace} * {trace})" for i in at for j in at)
+    quotient = " + ".join(f"a[{4 * i + j + 1}] * m[{4 * j + i + 1}]" for i in at for j in at)
+    return with_panel(
+        "SELECT 'condition_number' AS stat, CASE WHEN max(n) >= 4 THEN"
+        " round(sqrt(max(top) FILTER (kind = 'gram')"
+        " * max(top) FILTER (kind = 'inverse')), 0) END AS value FROM tops, (SELECT n FROM gram)",
+        f"""
+gram AS (SELECT *, {minor(list(at), list(at))} AS det FROM (SELECT COUNT(*) AS n, {gram} FROM panel
+  WHERE customers_total IS NOT NULL AND sales_mwh_total IS NOT NULL AND rate_base IS NOT NULL)),
+matrices AS (SELECT 'gram' AS kind, [{plain}] AS a FROM gram
+  UNION ALL SELECT 'inverse', [{inverse}] FROM gram),
+tops AS (
+  WITH RECURSIVE powers AS (SELECT kind, a, a AS m, 0 AS step FROM matrices
+    UNION ALL SELECT kind, a, [{square}], step + 1 FROM powers WHERE step < 40)
+  SELECT kind, ({quotient}) / {trace} AS top FROM powers WHERE step = 40)""".strip())
+
+
 VIF_CTE = """
 vif_r AS (
   SELECT corr(customers_total, sales_mwh_total) AS ab, corr(customers_total, rate_base) AS ac,
@@ -933,12 +993,13 @@ FROM (SELECT utility_id_ferc1, arg_min(utility_name, report_year) AS utility_nam
   (SELECT regr_slope(grc_om, rate_base) AS slope, regr_r2(grc_om, rate_base) AS r2
    FROM both_known)""",
             "both_known AS (SELECT * FROM panel WHERE grc_om IS NOT NULL AND rate_base IS NOT NULL)"),
-        "ols_cost_drivers": with_panel(_ols_select(), *_ols_ctes("panel")),
-        "ols_baseline": with_panel(_ols_select(), KEPT, *_ols_ctes("kept")),
+        "ols_cost_drivers": with_panel(_ols_select(), *_ols_ctes("panel"), CRITICAL_CTE),
+        "ols_baseline": with_panel(_ols_select(), KEPT, *_ols_ctes("kept"), CRITICAL_CTE),
         "ols_by_year": with_panel(
-            _ols_select("report_year"), *_ols_ctes("panel", "report_year")),
+            _ols_select("report_year"), *_ols_ctes("panel", "report_year"), CRITICAL_CTE),
         "vif": with_panel("SELECT variable, round(vif, 6) AS vif FROM vif", VIF_CTE),
         "ols_diagnostics": _diagnostics(),
+        "ols_condition_number": _condition_number(),
         "key_findings": _key_findings(),
         "chart_om_trend": with_panel(
             f"""SELECT {KEYS}, om_total / 1e9 AS om_billions,

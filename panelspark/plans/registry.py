@@ -447,7 +447,7 @@ _COEFFICIENTS = ["coef", "std_err", "ci_low", "ci_high"]
 
 
 def _terms(df: DataFrame) -> DataFrame:
-    df = rounded(df, 3, *_COEFFICIENTS).drop("ci_low", "ci_high")
+    df = rounded(df, 3, *_COEFFICIENTS)
     return rounded(df, 6, "t_value", "p_value", "r_squared", "adj_r_squared")
 
 
@@ -486,7 +486,7 @@ def _drivers():
 
 @query
 def ols_condition_number(spark, sf):
-    return rounded(regression.condition_number(clean(spark, sf)), 2)
+    return rounded(regression.condition_number(clean(spark, sf)), 0)
 
 
 @query
