@@ -158,28 +158,49 @@ def link_cell(prints: np.ndarray, max_bits: int) -> np.ndarray:
 def edges(rows: DataFrame, max_bits: int) -> DataFrame:
     """(a, b): each fingerprint with the smallest one that it reaches inside a cell."""
 
+    def cells_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        """The members of one cell after the other; only the last cell read is held."""
+        held, of = [], None
+        for batch in batches:
+            cell = batch.column(0).to_numpy()
+            prints = batch.column(1).to_numpy().view(np.uint64)
+            starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else cell
+            stops = np.r_[starts[1:], len(cell)][: len(starts)]
+            alone = stops - starts == 1  # with a neighbour on both sides: a whole cell
+            alone[:1] = alone[-1:] = False
+            for a, b in zip(starts[~alone].tolist(), stops[~alone].tolist()):
+                if held and cell[a] != of:
+                    yield np.concatenate(held)
+                    held = []
+                held.append(prints[a:b])
+                of = cell[a]
+        if held:
+            yield np.concatenate(held)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
-        if not parts:
-            return
-        cell = np.concatenate([p[0] for p in parts])
-        prints = np.concatenate([p[1] for p in parts]).view(np.uint64)
-        del parts
-        starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
-        stops = np.r_[starts[1:], len(cell)]
-        found = []
-        for a, b in zip(starts[stops - starts > 1], stops[stops - starts > 1]):
-            members = np.unique(prints[a:b])
+        found, size = [], 0
+
+        def batch_of():
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([f[i] for f in found])) for i in (0, 1)], ["a", "b"]
+            )
+
+        for members in cells_of(batches):
+            if len(members) < 2:
+                continue
+            members = np.unique(members)
             if len(members) < 2:
                 continue
             root = link_cell(members, max_bits)
             moved = np.flatnonzero(root != np.arange(len(root)))
             if len(moved):
                 found.append((members[moved].view(np.int64), members[root[moved]].view(np.int64)))
+                size += len(moved)
+            if size > 100_000:
+                yield batch_of()
+                found, size = [], 0
         if found:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([f[i] for f in found])) for i in (0, 1)], ["a", "b"]
-            )
+            yield batch_of()
 
     together = rows.repartition(spread(rows), "cell").sortWithinPartitions("cell")
     return together.mapInArrow(run, "a long, b long").distinct()
