@@ -26,9 +26,12 @@ SPREAD = 6
 RATES = {
     "symbol_rate": ("1000 * n_symbols DIV n_words", 100, False),
     "dup_line_rate": ("1000 * n_dup_lines DIV n_lines", 500, False),
+    "stutter_rate": ("1000 * n_stutters DIV n_words", 200, False),
     "word_length": ("1000 * word_chars DIV n_words", 1500, True),
 }
-COUNTS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
+COUNTS = [
+    "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_stutters",
+]
 ADDED = [*COUNTS, *RATES, "base_failed", "kept"]
 
 
@@ -41,7 +44,8 @@ def bucket(value: str) -> str:
 def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds the counts of every whole text and `base_failed`. A NULL text has no words.
 
-    Windows are compared by 64-bit hash inside one document.
+    Windows, and words with the word before (`n_stutters`: alike), are compared by 64-bit hash
+    inside one document.
     """
     docs = without(docs, *ADDED)
     body = f"coalesce(`{text}`, '')"
@@ -73,6 +77,7 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         *[f"`{c}`" for c in docs.columns],
         "CAST(size(q_words) AS BIGINT) AS n_words",
         "CAST(length(array_join(q_words, '')) AS BIGINT) AS word_chars",
+        "CAST(size(filter(q_hashes, (h, k) -> h = get(q_hashes, k - 1))) AS BIGINT) AS n_stutters",
         f"CAST(length(regexp_replace({body}, '[^#*$%&|<>]+', '')) AS BIGINT) AS n_symbols",
         "CAST(size(q_lines) AS BIGINT) AS n_lines",
         "CAST(size(q_lines) - size(array_distinct(q_lines)) AS BIGINT) AS n_dup_lines",

@@ -211,6 +211,7 @@ counted AS MATERIALIZED (
       AS n_symbols,
     CAST(len(lines) AS BIGINT) AS n_lines,
     CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS BIGINT) AS n_stutters,
     coalesce(q_repeat.n, 0) AS n_repeat_words
   FROM q_docs JOIN q_words USING (r) LEFT JOIN q_repeat USING (r)),
 rated AS MATERIALIZED (SELECT *, {defined},

@@ -271,6 +271,15 @@ def test_line_templates(spark, odd, none):
     assert lines.drop_recurring(none).count() == 0
 
 
+def test_stuttered_words_lie_outside_the_fence(spark):
+    rows = [(i, " ".join(f"word{(i * k) % 97}" for k in range(1, 40)), "en", "s") for i in range(60)]
+    rows.append((60, " ".join(f"word{k}" for k in range(6) for _ in range(7)), "en", "s"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    judged = {r["doc_id"]: r for r in quality.judge(quality.with_counts(docs)).collect()}
+    assert judged[60]["n_stutters"] == 36 and not judged[60]["base_failed"]
+    assert not judged[60]["kept"] and judged[7]["kept"] and judged[7]["n_stutters"] == 0
+
+
 def test_quality_rules_on_odd_rows(spark, odd, none):
     judged = quality.judge(quality.with_counts(odd)).collect()
     assert len(judged) == odd.count()
