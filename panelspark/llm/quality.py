@@ -5,7 +5,8 @@ the documents by rate bucket: a bucket keeps the five leading bits after the fir
 are within 1/32 of the true value, and sketches merge by adding counts, in any order and with the
 same result. A source with few documents in a language uses the merged sketch of the language.
 The fence of a rate lies at its median plus a multiple of the distance to the lower quartile,
-and never nearer than a stated slack. Everything is DataFrame and SQL expressions.
+and never nearer than a stated slack. Rates that pile up at 0 have no such distance: there the slack
+is a fixed cutoff (the README has the counts). Everything is DataFrame and SQL expressions.
 """
 
 from __future__ import annotations
