@@ -2,8 +2,10 @@
 
 A page is read into lines: the text of one block each, with what the markup says of the block's
 place. Pages of a host are ordered by path, and each is paired with its nearest neighbours, the
-page before and the page after it. Lines are aligned with each neighbour's by longest common
-subsequence, and shared lines are deleted as the site's template.
+page before and the page after it. Copies say nothing of the template: pages of which nearly all is
+the same as in the first of them form a run, and the neighbours of a page are the last page of the run
+before and the first page of the run after its own. Lines are aligned with each neighbour's by longest
+common subsequence, and shared lines are deleted as the site's template.
 
 Differencing alone errs on both sides: articles share quotations with neighbours or are copies of
 them, and templates hold lines of their own. So it does not delete what the page itself marks as
@@ -11,7 +13,8 @@ its article, and what the markup names as navigation, footer, advert and the lik
 is shared or not. Where a page marks no article, differencing decides all the rest.
 
 Ordering needs one shuffle. Hosts are cut into parts at paths taken from a sample, at most `MAX_PARTS` in
-all, so a host with a third of all pages is many parts; a task reads a part page by page.
+all, so a host with a third of all pages is many parts; a task reads a part run by run. Pages at a
+part's border are also sent to the adjoining part as its context: hashes of their lines tell which.
 """
 
 from __future__ import annotations
@@ -22,16 +25,20 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    BooleanType, IntegerType, LongType, StringType, StructField, StructType,
+)
 
 from panelspark.llm.common import spread
 from panelspark.llm.urls import host_and_path
 
 MAX_PARTS = 4096
 PAGES_PER_PART = 64
+COPY_PERCENT = 95
 ADDED = ["text", "n_chars", "n_lines", "n_shared", "n_marked"]
 
 # Element names by what they mean here.
@@ -180,6 +187,123 @@ def common_lines(a: list[str], b: list[str]) -> set[int]:
     return found
 
 
+def outline(lines: list[tuple[str, bool, bool]], has_article: bool) -> dict[int, int]:
+    """Hash of each different line that the markup lets stay, and its characters in the page."""
+    found: dict[int, int] = {}
+    for text, inside, dropped in lines:
+        if not dropped and (inside or not has_article):
+            key = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+            found[key] = found.get(key, 0) + len(text)
+    return found
+
+
+def are_copies(a: dict[int, int], b: dict[int, int]) -> bool:
+    """Whether two outlines share nearly all characters of both."""
+    both = sum(min(n, b[k]) for k, n in a.items() if k in b)
+    return 100 * both >= COPY_PERCENT * max(sum(a.values()), sum(b.values()))
+
+
+def _borders(keyed: DataFrame) -> DataFrame:
+    """(part, host, side, path, page_key, alone, hashes, chars): for the first and the last host of
+    each part its first page, the first of its second run, its last page and the last of the run
+    before. `alone`: the part is a single run; its first and last page then have their outline."""
+
+    def outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pages = [outline(*read_lines(x.as_py())) for x in batch.column("html")]
+            for first in range(0, len(pages), 1_000):
+                some, own = pages[first : first + 1_000], batch.slice(first, 1_000)
+                yield pa.RecordBatch.from_arrays(
+                    [own.column("part"), own.column("host"), own.column("path"),
+                     own.column("page_key"),
+                     pa.array([list(x) for x in some], pa.list_(pa.int64())),
+                     pa.array([list(x.values()) for x in some], pa.list_(pa.int64()))],
+                    ["part", "host", "path", "page_key", "hashes", "chars"],
+                )
+
+    fields = "part int, host string, path string, page_key string"
+    rest = "hashes array<bigint>, chars array<bigint>"
+    ordered = keyed.mapInArrow(outlines, f"{fields}, {rest}").repartition(
+        spread(keyed), "part"
+    ).sortWithinPartitions("part", "host", "path", "page_key")
+    schema = StructType.fromDDL(f"{fields}, side string, alone boolean, {rest}")
+    arrow = to_arrow_schema(schema)
+
+    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def told(hosts: list[dict]) -> pa.RecordBatch:
+            out = []
+            alone = len(hosts) == 1 and hosts[0]["second"] is None
+            for host, sides in ((hosts[0], ("first", "second")), (hosts[-1], ("previous", "last"))):
+                for side in sides:
+                    if host[side] is not None:
+                        part, name, path, key, seen = host[side]
+                        out.append({
+                            "part": part, "host": name, "path": path, "page_key": key, "side": side,
+                            "alone": alone, "hashes": list(seen) if alone else None,
+                            "chars": list(seen.values()) if alone else None,
+                        })
+            return pa.RecordBatch.from_pylist(out, schema=arrow)
+
+        hosts: list[dict] = []  # the first and the last host of the part so far
+        for batch in batches:
+            columns = [batch.column(c) for c in arrow.names[:4] + ["hashes", "chars"]]
+            for values in zip(*columns):
+                part, host, path, key, hashes, chars = (v.as_py() for v in values)
+                page = (part, host, path, key, dict(zip(hashes, chars)))
+                if hosts and hosts[-1]["last"][0] != part:
+                    yield told(hosts)
+                    hosts = []
+                if not hosts or hosts[-1]["last"][1] != host:
+                    hosts = hosts[:1] + [
+                        {"first": page, "second": None, "previous": None, "run": page, "last": page}
+                    ]
+                    continue
+                now = hosts[-1]
+                if not are_copies(now["run"][4], page[4]):
+                    now["previous"], now["run"] = now["last"], page
+                    now["second"] = now["second"] or page
+                now["last"] = page
+        if hosts:
+            yield told(hosts)
+
+    return ordered.mapInArrow(edges, schema)
+
+
+def _context(borders: list) -> dict[tuple[str, str, str], list[int]]:
+    """The other parts that each page at a border is sent to.
+
+    A part gets the page next to it and the nearest one that is no copy of that; a part that is a
+    single run is passed over with its copies.
+    """
+    found: dict[int, dict] = {}
+    for r in borders:
+        found.setdefault(r["part"], {})[r["side"]] = r
+    sent: dict[tuple[str, str, str], list[int]] = {}
+    for step, near, far, own in ((1, "last", "previous", "first"), (-1, "first", "second", "last")):
+        got: list = []  # of the part before, nearest first
+        before = None
+        for part in sorted(found)[::step]:
+            sides = found[part]
+            if before is None or before[near]["host"] != sides[own]["host"]:
+                got = []
+            elif not before[near]["alone"]:
+                got = [before[near], *([before[far]] if far in before else [])]
+            else:
+                page, rest = before[near], got
+                got, print_of = [page], dict(zip(page["hashes"], page["chars"]))
+                for other in rest:
+                    known = other["hashes"] is not None
+                    if known and are_copies(print_of, dict(zip(other["hashes"], other["chars"]))):
+                        continue
+                    got.append(other)
+                    if known:
+                        break
+            for page in got:
+                sent.setdefault((page["host"], page["path"], page["page_key"]), []).append(part)
+            before = sides
+    return sent
+
+
 def _cuts(pages: DataFrame) -> list[tuple[str, str, str]]:
     """Borders of the parts: at most MAX_PARTS - 1 (host, path, id), the same for the same pages."""
     n = pages.count()
@@ -199,7 +323,8 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source
     `n_shared` lines were shared with a neighbour, `n_marked` named by the markup as something
     else than the article; of both, those in the article stay. A NULL or empty page has empty
     text; a page with NULL url, or one without `://`, belongs to the empty host; equal rows are
-    pages of their own and neighbours; other columns are left out.
+    pages of their own and copies; a host of copies alone has no neighbours, so its unmarked pages
+    keep what the markup does not name; other columns are left out.
     """
     host, path = host_and_path("url")
     rows = pages.select(
@@ -207,7 +332,8 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source
         F.col(f"`{source}`").cast("string").alias("html"),
     ).selectExpr(
         "page_id", "url", f"{host} AS host", f"{path} AS path",
-        "coalesce(CAST(page_id AS STRING), '') AS page_key", "html",
+        "concat(coalesce(CAST(page_id AS STRING), ''), ' ', hex(xxhash64(html))) AS page_key",
+        "html",
     )
     cuts = _cuts(rows.select("host", "path", "page_key"))
     kind = StructField("page_id", rows.schema["page_id"].dataType)
@@ -217,39 +343,73 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source
     ])
     arrow = to_arrow_schema(result)
 
-    def part_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = zip(*[batch.column(i).to_pylist() for i in (2, 3, 4)])
-            parts = [bisect_right(cuts, k) for k in keys]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(parts, pa.int32())], [*batch.schema.names, "part"]
-            )
-
-    # The part depends on the URL alone; html passes through without being copied to Python objects.
-    schema = StructType([*rows.schema.fields, StructField("part", IntegerType())])
-    ordered = rows.mapInArrow(part_of, schema).repartition(
+    fields = [*rows.schema.fields, StructField("part", IntegerType())]
+    schema = StructType([*fields, StructField("context", BooleanType())])
+
+    def dealt(sent: dict):
+        # The part depends on host, path and key alone; html passes through without being copied to
+        # Python objects.
+        def part_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            given = set()
+            for batch in batches:
+                keys = list(zip(*[batch.column(i).to_pylist() for i in (2, 3, 4)]))
+                parts = [bisect_right(cuts, k) for k in keys]
+                rows, context = list(range(len(keys))), [False] * len(keys)
+                for i, k in enumerate(keys):
+                    if k in sent and k not in given:  # of equal rows one is enough
+                        given.add(k)
+                        rows += [i] * len(sent[k])
+                        parts += sent[k]
+                        context += [True] * len(sent[k])
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch if len(rows) == len(keys) else batch.take(pa.array(rows))).columns,
+                     pa.array(parts, pa.int32()), pa.array(context, pa.bool_())], schema.names,
+                )
+
+        return part_of
+
+    sent = _context(_borders(rows.mapInArrow(dealt({}), schema)).collect()) if cuts else {}
+    ordered = rows.mapInArrow(dealt(sent), schema).repartition(
         spread(rows), "part"
     ).sortWithinPartitions("part", "host", "path", "page_key")
 
     def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def each():
+        def runs():
+            group, run, first, known = None, [], {}, {}
             for batch in batches:
                 columns = [batch.column(batch.schema.get_field_index(c)) for c in
-                           ("page_id", "url", "part", "host", "html")]
+                           ("page_id", "url", "part", "host", "html", "context")]
                 for values in zip(*columns):
-                    i, u, part, site, body = (v.as_py() for v in values)
+                    i, u, part, site, body, context = (v.as_py() for v in values)
                     lines, has_article = read_lines(body)
-                    yield i, u, (part, site), lines, [line[0] for line in lines], has_article
-            yield None
+                    seen = outline(lines, has_article)
+                    if run and (group != (part, site) or not are_copies(first, seen)):
+                        yield group, run
+                        run = []
+                    if not run:
+                        group, first, known = (part, site), seen, {}
+                    # Copies hold their common lines once in memory.
+                    lines = [known.setdefault(line, line) for line in lines]
+                    run.append((i, u, context, lines, has_article))
+            if run:
+                yield group, run
+            yield None, None
+
+        def texts_of(page) -> list[str]:
+            return [line[0] for line in page[3]]
 
-        before, now, done, size = None, None, [], 0
-        for after in each():
-            if now is not None:
-                i, u, group, lines, texts, has_article = now
+        done, size = [], 0
+        group, run, before = None, None, None  # `before`: texts of the last page of the run before
+        for next_group, next_run in runs():
+            after = texts_of(next_run[0]) if run and next_run and next_group == group else None
+            for i, u, context, lines, has_article in run or ():
+                if context:
+                    continue
+                texts = [line[0] for line in lines]
                 shared: set[int] = set()
                 for other in (before, after):
-                    if other is not None and other[2] == group:
-                        shared |= common_lines(texts, other[4])
+                    if other is not None:
+                        shared |= common_lines(texts, other)
                 kept, marked = [], 0
                 for k, (text, inside, dropped) in enumerate(lines):
                     marked += dropped or (has_article and not inside)
@@ -265,7 +425,8 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source
                 if size > 1 << 22:
                     yield pa.RecordBatch.from_pylist(done, schema=arrow)
                     done, size = [], 0
-            before, now = now, after
+            before = texts_of(run[-1]) if run and next_group == group else None
+            group, run = next_group, next_run
         if done:
             yield pa.RecordBatch.from_pylist(done, schema=arrow)
 

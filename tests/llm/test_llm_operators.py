@@ -167,6 +167,46 @@ def test_extraction_returns_the_articles(spark):
         assert r["text"] == " ".join(html_module.unescape(body).split())
 
 
+def test_copies_and_part_borders_leave_neighbours(spark, monkeypatch):
+    page = "<body><div>Site {0}</div><div>About us</div><p>Story {0} {1} with words of its own</p></body>"
+
+    def rows(n, copies):
+        return [(i * copies + c, f"http://h.org/{i:04}?m={c}", page.format("name", i))
+                for i in range(n) for c in range(copies)]
+
+    def texts(pages):
+        return {r["page_id"]: r["text"] for r in html.extract(
+            spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+
+    for parts, n, copies in ((64, 6, 3), (1, 40, 1), (1, 30, 2), (2, 12, 7)):
+        monkeypatch.setattr(html, "PAGES_PER_PART", parts)
+        pages = rows(n, copies)
+        got = texts(pages)
+        assert len(got) == len(pages)
+        for i in range(n):
+            for c in range(copies):
+                assert got[i * copies + c] == f"Story name {i} with words of its own"
+    monkeypatch.setattr(html, "PAGES_PER_PART", 64)
+    alone = texts([(i, "http://h.org/a", page.format("x", 1)) for i in range(3)])
+    assert set(alone.values()) == {"Site x About us Story x 1 with words of its own"}
+
+
+def test_context_passes_over_parts_of_copies():
+    def row(part, side, key, alone=False, seen=None):
+        return {"part": part, "host": "h", "path": "/", "side": side, "page_key": key, "alone": alone,
+                "hashes": seen and list(seen), "chars": seen and list(seen.values())}
+
+    borders = [row(0, s, s + "0") for s in ("first", "second", "previous", "last")]
+    for part in range(1, 5):
+        borders += [row(part, s, f"{s}{part}", True, {7: 50}) for s in ("first", "last")]
+    borders += [row(5, s, s + "5") for s in ("first", "second", "previous", "last")]
+    sent = html._context(borders)
+    of = {p: {k[2] for k, parts in sent.items() if p in parts} for p in range(6)}
+    assert of[5] == {"last4", "last0", "previous0"}
+    assert of[3] == {"last2", "last0", "previous0", "first4", "first5", "second5"}
+    assert of[0] == {"first1", "first5", "second5"}
+
+
 # ---- 3 --------------------------------------------------------------------------------
 
 
