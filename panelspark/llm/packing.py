@@ -7,7 +7,10 @@ any number of positions has a closed form (shares are rounded down along a balan
 queues, so counts never decrease and always add up), which carries the deficits across windows
 and partitions: a task places its documents from its starting positions alone.
 
-The number of queues is bounded: sources below 1/1024 of all tokens share one queue.
+The number of queues on the driver is bounded: sources below 1/1024 of all tokens (and without a target)
+share one queue. Inside it the same closed form places them one level down, in proportion to their
+lengths: first a tree over hashed buckets of sources, then one over the sources of a bucket. The weights
+on a source's way down these trees are a column of its tokens, so no list of sources is gathered.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ from panelspark.sources.sinks import stage
 SEQUENCE = 2048
 END = 1
 SMALLEST_SHARE = 1024
+BUCKET_SOURCES = 1000
+MAX_BUCKETS = 4096
 CACHED_WORDS = 500_000
 CHUNK_BYTES = 4 << 20
 
@@ -239,6 +244,49 @@ class Mixture:
         return base[q] + own, base_before[q] + before
 
 
+def way(cum: list[int], q: int) -> list[int]:
+    """The weight of a balanced tree over queues with the sums `cum`, and for each node down to queue
+    q the weight of its left side, doubled, plus one where q lies on the right."""
+    low, high, found = 0, len(cum) - 1, [cum[-1] - cum[0]]
+    while high - low > 1:
+        mid = (low + high) // 2
+        found.append(2 * (cum[mid] - cum[low]) + (q >= mid))
+        low, high = (mid, high) if q >= mid else (low, mid)
+    return found
+
+
+def follow(steps: list[int], x: int) -> tuple[int, int]:
+    """Of x positions, those of the queue that the steps of way() lead to and those before it."""
+    weight, before = steps[0], 0
+    for step in steps[1:]:
+        side = step >> 1
+        left = x * side // weight if weight else 0
+        if step & 1:
+            x, before, weight = x - left, before + left, weight - side
+        else:
+            x, weight = left, side
+    return x, before
+
+
+def ways(small: DataFrame) -> DataFrame:
+    """(way_source, way) of every source of (source, n): from all of them down to the source."""
+    wanted = max(1, min(MAX_BUCKETS, small.count() // BUCKET_SOURCES))
+    dealt = small.withColumn("bucket", F.expr(f"CAST(pmod(xxhash64(source), {wanted}) AS INT)"))
+    buckets = dealt.groupBy("bucket").agg(F.sum("n").alias("n")).orderBy("bucket").collect()
+    cum = [0, *np.cumsum([r["n"] for r in buckets]).tolist()]
+    to_bucket = {r["bucket"]: way(cum, i) for i, r in enumerate(buckets)}
+
+    def inside(group: pa.Table) -> pa.Table:
+        group = group.sort_by("source")
+        cum = [0, *np.cumsum(group.column("n").to_numpy()).tolist()]
+        head = to_bucket[group.column("bucket")[0].as_py()]
+        rows = [head + way(cum, q)[1:] for q in range(len(group))]
+        return pa.table([group.column("source"), pa.array(rows, pa.list_(pa.int64()))],
+                        ["way_source", "way"])
+
+    return dealt.groupBy("bucket").applyInArrow(inside, "way_source string, way array<bigint>")
+
+
 def sequence_bounds(total: int, size: int) -> tuple[int, list[int]]:
     """Full sequences, and the ends of the last ones: what is left is cut at powers of two, so
     no sequence needs padding."""
@@ -258,74 +306,98 @@ def pack(
 
     `ids` are the piece's little-endian unsigned 32-bit ids. `targets` gives sources their share of
     every window (any positive whole numbers); sources without one follow when the others are
-    empty. Without targets each source has its share of all tokens, so every window has the
+    empty. A target that is no such number, or names a source without documents, is an error. Without targets each source has its share of all tokens, so every window has the
     mixture of the corpus. A NULL text is its end id alone, a NULL source is a source, equal
     rows are documents of their own, and an empty table has no pieces.
     """
+    targets = None if targets is None else {
+        None if k is None else str(k): v for k, v in targets.items()
+    }
+    wrong = [k for k, v in (targets or {}).items() if v != int(v) or v <= 0]
+    if wrong:
+        raise ValueError(f"targets must be positive whole numbers: {wrong}")
     tokens = stage(tokenize(docs, tokenizer_path, id_column, text, source, end))
     parts = stage(tokens.groupBy("source", "part").agg(F.sum("n_tokens").alias("n")))
     total = parts.agg(F.sum("n")).first()[0] or 0
     by_source = parts.groupBy("source").agg(F.sum("n").alias("n"))
-    # At most SMALLEST_SHARE rows, as shares add up to one.
-    large = by_source.where(F.col("n") * SMALLEST_SHARE >= F.lit(total)).orderBy("source").collect()
+    named = F.col("n") * SMALLEST_SHARE >= F.lit(total)
+    if targets:
+        named |= F.coalesce(F.col("source").isin([k for k in targets if k is not None]), F.lit(False))
+        if None in targets:
+            named |= F.col("source").isNull()
+    # At most SMALLEST_SHARE rows, as shares add up to one, and those of the targets.
+    large = by_source.where(named).orderBy("source").collect()
     names = [r["source"] for r in large]
     lengths = [r["n"] for r in large] + [total - sum(r["n"] for r in large)]
+    absent = [k for k in targets or () if k not in names]
+    if absent and total:
+        raise ValueError(f"targets name sources without documents: {absent}")
     if targets is None:
         weights = list(lengths)
     else:
         weights = [int(targets.get(n, 0)) for n in names] + [0]
     mixture = Mixture(lengths, weights)
 
-    queue = F.lit(len(names)).cast("long")
-    for i, n in reversed(list(enumerate(names))):
-        queue = F.when(F.col("source").eqNullSafe(F.lit(n)), F.lit(i).cast("long")).otherwise(queue)
-    queued = parts.withColumn("queue", queue)
-    earlier = Window.partitionBy("queue").orderBy("part").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    by_part = queued.groupBy("queue", "part").agg(F.sum("n").alias("n")).select(
-        "queue", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("queue_start")
-    )
-    inside = Window.partitionBy("queue", "part").orderBy("source").rowsBetween(
+    queue = F.when(F.lit(False), F.lit(0).cast("long"))
+    for i, n in enumerate(names):
+        queue = queue.when(F.col("source").eqNullSafe(F.lit(n)), F.lit(i).cast("long"))
+    earlier = Window.partitionBy("source").orderBy("part").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    starts = queued.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(
-        by_part, ["queue", "part"]
-    ).selectExpr(
-        "source AS of_source", "part AS of_part", "queue", "queue_start + inside AS queue_start"
+    starts = parts.select(
+        F.col("source").alias("of_source"), F.col("part").alias("of_part"),
+        queue.otherwise(F.lit(len(names)).cast("long")).alias("queue"),
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("queue_start"),
     )
+    if lengths[-1]:
+        down = stage(ways(by_source.where(~named)))
+        starts = starts.join(
+            down, F.col("of_source").eqNullSafe(F.col("way_source")), "left"
+        ).drop("way_source")
+    else:
+        starts = starts.withColumn("way", F.lit(None).cast("array<bigint>"))
     placed = tokens.join(
         starts,
         (F.col("part") == F.col("of_part")) & F.col("source").eqNullSafe(F.col("of_source")),
-    ).selectExpr("id", "ids", "queue", "queue_start + part_start AS queue_start")
+    ).selectExpr("id", "ids", "queue", "queue_start + part_start AS queue_start", "way")
     kind = placed.schema["id"].dataType.simpleString()
     full, tail = sequence_bounds(total, size)
+    windows = full + len(tail) - 1
 
     def bound(w: int) -> int:
         return w * size if w <= full else tail[w - full]
 
+    def sent(q: int, down: tuple, x: int) -> tuple[int, int]:
+        own, before = mixture.sent(q, x)
+        if down:
+            own, inside = follow(down, own)
+            before += inside
+        return own, before
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        window = {}  # the last window of each queue
+        window = {}  # the last window of each source
         for batch in batches:
             row, pieces = [], []
             ids = batch.column(1)
-            for n, (q, a, coded) in enumerate(zip(
-                batch.column(2).to_pylist(), batch.column(3).to_pylist(), ids
+            for n, (q, a, down, coded) in enumerate(zip(
+                batch.column(2).to_pylist(), batch.column(3).to_pylist(),
+                batch.column(4).to_pylist(), ids,
             )):
                 octets = coded.as_buffer()
                 length = octets.size // 4
                 at, stop = a, a + length
-                w, low, high, before, after = window.get(q, (-1, 0, 0, 0, 0))
+                down = tuple(down or ())
+                w, low, high, before, after = window.get((q, down), (-1, 0, 0, 0, 0))
                 while at < stop:
                     if not low <= at < high:
-                        if at < low or at > high:
-                            w = _find_window(mixture, bound, q, at, full + len(tail) - 1)
-                        else:
-                            w += 1
-                        low, before = mixture.sent(q, bound(w))
-                        high, after = mixture.sent(q, bound(w + 1))
-                        if at >= high:  # a window without tokens of this queue
-                            continue
+                        near = w >= 0 and at == high
+                        w = w + 1 if near else _find_window(sent, bound, q, down, at, windows)
+                        low, before = sent(q, down, bound(w))
+                        high, after = sent(q, down, bound(w + 1))
+                        if at >= high:  # a window without tokens of this source
+                            w = _find_window(sent, bound, q, down, at, windows)
+                            low, before = sent(q, down, bound(w))
+                            high, after = sent(q, down, bound(w + 1))
                     last = min(stop, high)
                     row.append(n)
                     pieces.append((
@@ -333,7 +405,9 @@ def pack(
                         length, w, after - before + at - low,
                     ))
                     at = last
-                window[q] = (w, low, high, before, after)
+                if len(window) > CACHED_WORDS:
+                    window.clear()
+                window[q, down] = (w, low, high, before, after)
             for first in range(0, len(pieces), 20_000):
                 some = list(zip(*pieces[first : first + 20_000]))
                 kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
@@ -350,12 +424,12 @@ def pack(
     ).withColumnRenamed("id", id_column)
 
 
-def _find_window(mixture: Mixture, bound, q: int, at: int, windows: int) -> int:
-    """The last window that starts with at most `at` tokens of queue q sent."""
+def _find_window(sent, bound, q: int, down: tuple, at: int, windows: int) -> int:
+    """The last window that starts with at most `at` tokens of the source sent."""
     low, high = 0, windows - 1
     while low < high:
         mid = (low + high + 1) // 2
-        if mixture.sent(q, bound(mid))[0] <= at:
+        if sent(q, down, bound(mid))[0] <= at:
             low = mid
         else:
             high = mid - 1

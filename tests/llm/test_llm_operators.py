@@ -278,6 +278,43 @@ def test_packing_follows_targets_and_takes_odd_rows(spark, odd, none):
         for i in range(40)}, size=100)
 
 
+def test_many_small_sources_keep_their_share(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BUCKET_SOURCES", 100)
+    rows = [(2 * s + i, "word " * (60 + s % 40), None if s == 7 else f"host{s}")
+            for s in range(1500) for i in (0, 1)]
+    rows += [(5000 + i, "word " * 3000, "hot") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    pieces = [tuple(r) for r in packing.pack(docs, tokenizer_path(), size=512).collect()]
+    ids = {}
+    for p in sorted(pieces):
+        ids.setdefault(p[0], []).extend(np.frombuffer(p[3], "<u4").tolist())
+    check_packing(pieces, ids, size=512)
+    total = sum(map(len, ids.values()))
+    for share in (0.25, 0.5, 0.75):
+        upto = int(total * share) // 512
+        sent = {}
+        for p in pieces:
+            s = p[0] // 2 if p[0] < 5000 else "hot"
+            sent[s] = sent.get(s, 0) + (p[2] if p[5] < upto else 0)
+        for s, n in sent.items():
+            whole = 2 * len(ids[2 * s]) if s != "hot" else 20 * 3001
+            assert abs(n - whole * upto * 512 / total) <= 14
+
+
+def test_targets_of_small_sources_are_honoured(spark):
+    rows = [(i, "word " * 3000, "big") for i in range(80)]
+    rows += [(100 + i, "word " * 9, f"s{i % 20}") for i in range(200)]
+    rows += [(1000 + i, "word " * 9, "tiny") for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    pieces = packing.pack(docs, tokenizer_path(), targets={"tiny": 1, "big": 3}, size=100).collect()
+    got = [sum(r["length"] for r in pieces if r["sequence_id"] == w and r["doc_id"] >= 1000)
+           for w in range(4)]
+    assert got == [25, 25, 25, 25]
+    for wrong in ({"tiny": 0}, {"tiny": 0.5}, {"tiny": 1, "nobody": 2}):
+        with pytest.raises(ValueError):
+            packing.pack(docs, tokenizer_path(), targets=wrong)
+
+
 def test_words_are_tokenized_as_whole_texts():
     import pyarrow as pa
     from tokenizers import Tokenizer
