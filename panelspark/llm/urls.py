@@ -4,8 +4,8 @@ The models are variable-order Markov chains over the bytes of a URL, one of acce
 rejected URLs: the probability of a byte mixes the counts after its longest context with the
 next shorter context's probability, in proportion to what was seen, down to a uniform base. URLs
 that a rule decides are the training set, all of them, but for a fifth that calibrates the
-threshold. Counts live in hashed tables of fixed size, so the model that is gathered and
-broadcast is bounded by `BITS` and `ORDER`, and not by the corpus.
+threshold. Counts are exact, and a table that grows with the corpus: neither the driver nor a task
+holds it. URLs are scored in blocks, and the distinct contexts of a block are joined to the table.
 """
 
 from __future__ import annotations
@@ -14,23 +14,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from panelspark.llm.common import without
+from panelspark.sources.sinks import stage
 
 ORDER = 5
-BITS = 16
+BLOCK_BYTES = 1 << 20
 SMOOTHING = 4.0
 BINS_PER_UNIT = 256
 MAX_BIN = 2048
 ADDED = ["host", "path", "rule", "score", "verdict"]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-_TURN = np.uint64(0xD6E8FEB86659FD93)
-
 
 def host_and_path(url: str) -> tuple[str, str]:
     """SQL for the host (A-Z lower-cased) and the path; empty without `://`."""
@@ -66,82 +66,138 @@ def _codes(urls: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return raw, owner
 
 
-def _slots(raw: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each order, the table slots of every byte's context and of the context with it."""
-    code = raw.astype(np.uint64) + np.uint64(1)
-    shift = np.uint64(64 - BITS)
-    with np.errstate(over="ignore"):
-        context = np.full(len(raw), _TURN, np.uint64)
-        for order in range(ORDER + 1):
-            if order:
-                earlier = np.zeros(len(raw), np.uint64)
-                earlier[order:] = code[:-order]
-                context = (context ^ (context >> np.uint64(32))) * _MIX + earlier * _TURN
-            joint = ((context + code * _MIX) ^ (context >> np.uint64(29))) * _TURN
-            alone = (context ^ (context >> np.uint64(30))) * _MIX
-            yield order, (alone >> shift).astype(np.int64), (joint >> shift).astype(np.int64)
+def _keys(raw: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each order, a whole number for every byte's context and one for the context with it. They
+    hold the order and the bytes themselves, so different contexts have different numbers."""
+    code = raw.astype(np.int64)
+    context = np.zeros(len(raw), np.int64)
+    for order in range(ORDER + 1):
+        if order:
+            context[order:] += code[:-order] << (8 * (order - 1))
+        yield (2 * order << 48) + context, (2 * order + 1 << 48) + (context << 8) + code
+
+
+def _blocks(batch: pa.RecordBatch, url: str) -> Iterator[pa.RecordBatch]:
+    """Slices with about BLOCK_BYTES of URLs; a longer URL is a slice of its own."""
+    urls = batch.column(batch.schema.get_field_index(url))
+    sizes = pc.fill_null(pc.binary_length(urls), 0).to_pylist()
+    first, size = 0, 0
+    for i, n in enumerate(sizes):
+        if size and size + n > BLOCK_BYTES:
+            yield batch.slice(first, i - first)
+            first, size = i, 0
+        size += n
+    if first < len(sizes):
+        yield batch.slice(first)
 
 
-def train(labelled: DataFrame) -> np.ndarray:
-    """Counts [class][context, joint][order][slot] of all rows of (url, accepted)."""
-    size = 1 << BITS
+def train(labelled: DataFrame) -> DataFrame:
+    """(key, rejected, accepted): exact counts over all rows of (url, accepted), staged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, 2, ORDER + 1, size), np.int64)
         for batch in batches:
-            accepted = np.array(batch.column(1).to_pylist(), bool)
-            raw, owner = _codes(batch.column(0).to_pylist())
-            real = raw != 0
-            for order, alone, joint in _slots(raw):
-                for c in (0, 1):
-                    of_class = real & (accepted[owner] == c)
-                    counts[c, 0, order] += np.bincount(alone[of_class], minlength=size)
-                    counts[c, 1, order] += np.bincount(joint[of_class], minlength=size)
-        flat = counts.reshape(-1)
-        used = np.flatnonzero(flat)
-        for i in range(0, len(used), 50_000):
-            some = used[i : i + 50_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(some), pa.array(flat[some])], ["slot", "n"]
-            )
-
-    rows = labelled.select("url", "accepted").mapInArrow(run, "slot long, n long")
-    # At most 4 * (ORDER + 1) << BITS rows, whatever the corpus.
-    table = rows.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(4 * (ORDER + 1) * size, np.int64)
-    counts[table.column(0).to_numpy()] = table.column(1).to_numpy()
-    return counts.reshape(2, 2, ORDER + 1, size)
-
-
-def difference(urls: list[str | None], counts: np.ndarray) -> np.ndarray:
-    """Log-likelihood under accepted less that under rejected, per byte; 0 for no bytes."""
+            for block in _blocks(batch, "url"):
+                accepted = np.array(block.column(1).to_pylist(), bool)
+                raw, owner = _codes(block.column(0).to_pylist())
+                real = raw != 0
+                good = accepted[owner[real]]
+                for pair in _keys(raw):
+                    for keys in pair:
+                        distinct, at = np.unique(keys[real], return_inverse=True)
+                        n = np.bincount(at, minlength=len(distinct))
+                        of_good = np.bincount(at[good], minlength=len(distinct))
+                        for i in range(0, len(distinct), 50_000):
+                            some = slice(i, i + 50_000)
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(distinct[some]), pa.array((n - of_good)[some]),
+                                 pa.array(of_good[some])], ["key", "rejected", "accepted"],
+                            )
+
+    rows = labelled.select("url", "accepted").mapInArrow(
+        run, "key long, rejected long, accepted long"
+    )
+    return stage(rows.groupBy("key").agg(
+        F.sum("rejected").alias("rejected"), F.sum("accepted").alias("accepted")
+    ))
+
+
+def difference(urls: list[str | None], keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Log-likelihood under accepted less that under rejected, per byte; 0 for no bytes. `counts`
+    has a row per class, rejected first, with the counts of `keys`, which are sorted."""
     raw, owner = _codes(urls)
-    chance = np.full((2, len(raw)), 1 / 256)
-    for order, alone, joint in _slots(raw):
-        for c in (0, 1):
-            seen, both = counts[c, 0, order][alone], counts[c, 1, order][joint]
-            chance[c] = (np.minimum(both, seen) + SMOOTHING * chance[c]) / (seen + SMOOTHING)
     real = raw != 0
+    owner = owner[real]
+    chance = np.full((2, len(owner)), 1 / 256)
+
+    def counted(wanted: np.ndarray) -> np.ndarray:
+        if not len(keys):
+            return np.zeros((2, len(wanted)), np.int64)
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return np.where(keys[at] == wanted, counts[:, at], 0)
+
+    for alone, joint in _keys(raw):
+        seen, both = counted(alone[real]), counted(joint[real])
+        chance = (both + SMOOTHING * chance) / (seen + SMOOTHING)
     gain = np.log(chance[1]) - np.log(chance[0])
-    sums = np.bincount(owner[real], gain[real], minlength=len(urls))
-    lengths = np.bincount(owner[real], minlength=len(urls))
+    sums = np.bincount(owner, gain, minlength=len(urls))
+    lengths = np.bincount(owner, minlength=len(urls))
     return sums / np.maximum(lengths, 1)
 
 
-def with_score(pages: DataFrame, counts: np.ndarray, url: str = "url") -> DataFrame:
-    pages = without(pages, "score")
-    shared = pages.sparkSession.sparkContext.broadcast(counts.astype(np.int32))
-    schema = StructType([*pages.schema.fields, StructField("score", DoubleType())])
+def with_score(pages: DataFrame, counts: DataFrame, url: str = "url") -> DataFrame:
+    """Adds `score`. The pages are staged with the number of their block."""
+    pages = without(pages, "score", "score_block")
+    fields = list(pages.schema.fields)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 33
         for batch in batches:
-            urls = batch.column(batch.schema.get_field_index(url)).to_pylist()
-            score = difference(urls, shared.value) if urls else np.empty(0)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(score)], [*batch.schema.names, "score"]
-            )
-
-    return pages.mapInArrow(run, schema)
+            for some in _blocks(batch, url):
+                yield pa.RecordBatch.from_arrays(
+                    [*some.columns, pa.array(np.full(some.num_rows, block, np.int64))],
+                    [*some.schema.names, "score_block"],
+                )
+                block += 1
+
+    numbered = stage(pages.mapInArrow(
+        number, StructType([*fields, StructField("score_block", LongType())])
+    ))
+
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blocks = batch.column(1).to_numpy()
+            cuts = np.flatnonzero(np.diff(blocks)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(blocks)]):
+                if a == b:
+                    continue
+                raw, _ = _codes(batch.column(0).slice(a, b - a).to_pylist())
+                real = raw != 0
+                for pair in _keys(raw):
+                    for keys in pair:
+                        distinct = np.unique(keys[real])
+                        for i in range(0, len(distinct), 50_000):
+                            some = distinct[i : i + 50_000]
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(np.full(len(some), blocks[a])), pa.array(some)],
+                                ["of_block", "key"],
+                            )
+
+    asked = numbered.select(F.col(f"`{url}`").cast("string"), "score_block").mapInArrow(
+        wanted, "of_block long, key long"
+    ).distinct()
+    # A context occurs at most once per block, so the commonest ones are no larger than the blocks' number.
+    found = asked.join(counts, "key").select("of_block", "key", "rejected", "accepted")
+
+    def score(block: pa.Table, model: pa.Table) -> pa.Table:
+        model = model.sort_by("key")
+        tables = np.stack([model.column(c).to_numpy() for c in ("rejected", "accepted")])
+        urls = block.column(url).to_pylist()
+        scores = difference(urls, model.column("key").to_numpy(), tables)
+        return block.drop_columns("score_block").append_column("score", pa.array(scores))
+
+    return numbered.groupBy("score_block").cogroup(found.groupBy("of_block")).applyInArrow(
+        score, StructType([*fields, StructField("score", DoubleType())])
+    )
 
 
 def calibrate(scored: DataFrame) -> float:

@@ -413,6 +413,43 @@ def test_url_rules_and_models(spark):
     assert [r["verdict"] for r in alone.collect()] == ["allow", "allow"]
 
 
+def test_url_scores_equal_exact_models(spark):
+    rng = random.Random(7)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i, f"http://h.{'org' if i % 2 else 'com'}/" + "".join(rng.choices(letters, k=24)))
+            for i in range(4000)]
+    rows += [(9000, "http://x.net/" + rows[0][1][-9:]), (9001, None), (9002, "http://x.net/0/é")]
+    pages = spark.createDataFrame(rows, "page_id long, url string").repartition(3)
+    rules = [("allow", "org/"), ("block", "com/")]
+    got = {r["page_id"]: r["score"] for r in urls.judge(pages, rules).collect()}
+    held = {r["page_id"] for r in pages.where("pmod(xxhash64(url), 5) = 0").collect()}
+
+    def coded(url):
+        rest = (url or "").partition("://")[2].lower().encode()
+        return bytes(48 if 48 <= c <= 57 else c for c in rest)
+
+    seen, both = ({}, {}), ({}, {})
+    for i, url in rows[:4000]:
+        if i not in held:
+            body = bytes(5) + coded(url)
+            for at in range(5, len(body)):
+                for k in range(6):
+                    c = (k, body[at - k : at])
+                    seen[i % 2][c] = seen[i % 2].get(c, 0) + 1
+                    c = (*c, body[at])
+                    both[i % 2][c] = both[i % 2].get(c, 0) + 1
+    for i, url in rows[:200] + rows[4000:]:
+        body, gain = bytes(5) + coded(url), 0.0
+        for at in range(5, len(body)):
+            chance = [1 / 256, 1 / 256]
+            for k in range(6):
+                c = (k, body[at - k : at])
+                for x in (0, 1):
+                    chance[x] = (both[x].get((*c, body[at]), 0) + 4 * chance[x]) / (seen[x].get(c, 0) + 4)
+            gain += np.log(chance[1]) - np.log(chance[0])
+        assert abs(got[i] - gain / max(1, len(body) - 5)) < 1e-9
+
+
 # ---- 8 --------------------------------------------------------------------------------
 
 
