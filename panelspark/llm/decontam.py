@@ -63,13 +63,18 @@ class Words:
     text: np.ndarray  # number of the text of each word
 
 
-def words_of(raw: np.ndarray, offsets: np.ndarray, lowered: np.ndarray) -> Words:
-    """Words of the texts that lie in `raw` between consecutive `offsets`."""
+def words_of(
+    raw: np.ndarray, offsets: np.ndarray, lowered: np.ndarray, breaks: np.ndarray | None = None
+) -> Words:
+    """Words of the texts that lie in `raw` between consecutive `offsets`. A word also begins at
+    each of `breaks`."""
     octets = lowered[raw]
     inside = octets != 0
     before = np.zeros(len(raw), bool)
     before[1:] = inside[:-1]
     borders = offsets[:-1][offsets[:-1] < len(raw)]
+    if breaks is not None:
+        borders = np.concatenate([borders, breaks])
     before[borders] = False
     start = np.flatnonzero(inside & ~before)
     after = np.zeros(len(raw), bool)

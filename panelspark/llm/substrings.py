@@ -3,7 +3,9 @@
 A unit is a part of a line: lines are cut after words that end a sentence or repeat the word
 before, and after one of about `PHRASE` words, chosen by its hash and that of the word before. So a passage falls into the
 same units wherever it stands, but for the words at its ends. Normalised (lower-cased A-Z,
-words joined by one space), a unit's 128-bit digest is grouped over all documents.
+words joined by one space), a unit's 128-bit digest is grouped over all documents. In scripts that
+are written without spaces (Han, kana, Thai, Lao, Burmese, Khmer) each code point is a word, with the
+marks after it, and their own full stops end a sentence.
 
 Short parts that any text may share don't count: an occurrence is a unit in a run of repeated
 units with `MIN_WORDS` words at least. The earliest occurrence by document id (NULL last), text
@@ -43,16 +45,41 @@ def _lowered() -> np.ndarray:
     return to
 
 
+# UTF-8 of the scripts without spaces between words, as ranges of the first two bytes.
+UNSPACED = [(0xE0B8, 0xE0BB), (0xE180, 0xE182), (0xE19E, 0xE19F), (0xE381, 0xE383),
+            (0xE390, 0xE9BF), (0xEFA4, 0xEFAB), (0xF0A0, 0xF0B3)]
+MARKS = [(0xE380, 0xE380), (0xEFBC, 0xEFBC)]  # their punctuation
+STOPS = [0xE38082, 0xEFBC81, 0xEFBC9F]
+
+
+def _breaks(raw: np.ndarray) -> np.ndarray | None:
+    """Where a word begins without a space before it."""
+    if not len(raw) or raw.max() < 0xE0:
+        return None
+    start = np.flatnonzero((raw & 0xC0) != 0x80)
+    pair = raw[start].astype(np.int64) << 8 | raw[np.minimum(start + 1, len(raw) - 1)]
+    unspaced, mark = (
+        np.any([(pair >= a) & (pair <= b) for a, b in ranges], axis=0) & (raw[start] >= 0xE0)
+        for ranges in (UNSPACED, MARKS)
+    )
+    after = np.r_[False, (unspaced | mark)[:-1]]
+    return start[unspaced | (after & ~mark)]
+
+
 def units(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[list, list, list, bytes]]:
     """Per text: first byte and words of each unit, their ends, and the lower-cased bytes. A unit
     reaches to the next one, so that removing units leaves no gap."""
-    words = words_of(raw, offsets, _lowered())
+    breaks = _breaks(raw)
+    words = words_of(raw, offsets, _lowered(), breaks)
     n = len(words.start)
     body = np.where(words.octets == 0, 32, words.octets).astype(np.uint8).tobytes()
     lines = np.r_[0, np.cumsum(raw == 10)]
     cut = np.zeros(n, bool)
     if n:
         cut |= np.isin(raw[words.stop - 1], np.frombuffer(b".!?", np.uint8))
+        if breaks is not None:
+            last = [raw[np.maximum(words.stop - k, 0)].astype(np.int64) for k in (3, 2, 1)]
+            cut |= np.isin(last[0] << 16 | last[1] << 8 | last[2], STOPS)
         cut[:-1] |= lines[words.start[1:]] > lines[words.stop[:-1]]
         with np.errstate(over="ignore"):
             pair = words.hash[1:] * np.uint64(0x9E3779B97F4A7C15) + words.hash[:-1]

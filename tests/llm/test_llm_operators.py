@@ -507,6 +507,38 @@ def test_substring_dedup_equals_brute_force(spark, odd, none):
     assert substrings.remove_repeats(none).count() == 0
 
 
+def test_repeats_in_scripts_without_spaces(spark):
+    rng = random.Random(3)
+
+    def prose(first, n, stop):
+        return "".join(chr(first + rng.randrange(60)) + (stop if i % 25 == 24 else "") for i in range(n))
+
+    shared = {"zh": prose(0x4E00, 200, "\u3002"), "th": prose(0x0E01, 200, ""),
+              "ja": prose(0x3041, 200, "\uff01")}
+    rows = [(10 * k + i, f"{prose(0x5E00, 30, '')}{s}{prose(0x6E00, 30, '')} abc{i}")
+            for k, s in enumerate(shared.values()) for i in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in substrings.remove_repeats(docs).collect()}
+    for k, s in enumerate(shared.values()):
+        first, later = dict(rows)[10 * k], dict(rows)[10 * k + 1]
+        assert got[10 * k]["text"] == first
+        assert s[100:110] not in got[10 * k + 1]["text"]
+        (gone,) = got[10 * k + 1]["removed"]
+        assert 150 <= gone["end"] - gone["start"] <= 200
+        assert later[gone["start"] : gone["end"]] in s
+    text = "a\u4e2db\u6587\u3002\u300dcd e"
+    words = [text[a:b] for a, b in _word_places(text)]
+    assert words == ["a", "\u4e2d", "b", "\u6587\u3002\u300d", "cd", "e"]
+
+
+def _word_places(text):
+    raw = np.frombuffer(text.encode(), np.uint8)
+    words = substrings.words_of(
+        raw, np.array([0, len(raw)]), substrings._lowered(), substrings._breaks(raw))
+    at = lambda k: len(raw[:k].tobytes().decode())
+    return [(at(a), at(b)) for a, b in zip(words.start, words.stop)]
+
+
 # ---- 9 --------------------------------------------------------------------------------
 
 
