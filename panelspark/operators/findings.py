@@ -19,7 +19,8 @@ SHOWN_OUTLIERS = 5
 def run_analysis(panel: DataFrame) -> dict[str, DataFrame]:
     """Every statistic as a named frame. The panel is read many times: pass a staged one.
 
-    A step that fails leaves `<name>_error`, one row with the message, and the others go on.
+    A step that fails while it is built leaves `<name>_error`, one row with the message, and the
+    others go on; frames are lazy, so whoever writes them does the same where they fail then.
     """
     drivers = ["utility_id_eia", YEAR, regression.OUTCOME, *regression.COST_DRIVERS]
     steps = {
@@ -40,13 +41,16 @@ def run_analysis(panel: DataFrame) -> dict[str, DataFrame]:
         try:
             results[name] = step()
         except Exception as error:  # the step's own message is the result
-            message = str(error).splitlines()[0] if str(error) else type(error).__name__
-            results[f"{name}_error"] = panel.sparkSession.createDataFrame(
-                [(message,)], "message string"
-            )
+            results[f"{name}_error"] = failed(panel, error)
     return results
 
 
+def failed(panel: DataFrame, error: Exception) -> DataFrame:
+    """One row with the error's message."""
+    message = str(error).splitlines()[0] if str(error) else type(error).__name__
+    return panel.sparkSession.createDataFrame([(message,)], "message string")
+
+
 def key_findings(panel: DataFrame) -> DataFrame:
     """(ordinal, finding, subject, value) rows. Pass a staged panel."""
     latest = panel.where(F.col(YEAR) == F.lit(stats.latest_year(panel)))

@@ -115,10 +115,21 @@ def summary_tables(results: dict[str, DataFrame], year: int) -> dict[str, DataFr
 
 
 def run_statistics(ready: DataFrame, out: str) -> dict[str, DataFrame]:
+    """Writes every statistic; one that fails, at whatever point, leaves `<name>_error` instead."""
     results = findings.run_analysis(ready)
-    results["key_findings"] = findings.key_findings(ready)
-    sinks.write_bundle(results, f"{out}/analysis_results")
-    return results
+    try:
+        results["key_findings"] = findings.key_findings(ready)
+    except Exception as error:
+        results["key_findings_error"] = findings.failed(ready, error)
+    written = {}
+    for name, df in results.items():
+        try:
+            sinks.write_bundle({name: df}, f"{out}/analysis_results")
+        except Exception as error:
+            name, df = f"{name}_error", findings.failed(ready, error)
+            sinks.write_bundle({name: df}, f"{out}/analysis_results")
+        written[name] = df
+    return written
 
 
 def run_charts(spark: SparkSession, out: str, year: int, years) -> dict[str, DataFrame]:

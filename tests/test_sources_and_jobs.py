@@ -176,6 +176,19 @@ def test_jobs_end_to_end(spark, landing, tmp_path):
     assert spark.read.parquet(f"{out}/charts/rr_waterfall").count() == 21
 
 
+def test_a_statistic_that_fails_when_written_stops_no_other(spark, tmp_path, monkeypatch):
+    ready = spark.createDataFrame([(1,)], "x int")
+    bad = ready.selectExpr("CAST(raise_error(concat('boom ', x)) AS STRING) AS y")
+    monkeypatch.setattr(findings, "run_analysis", lambda _: {"bad": bad, "good": ready})
+    monkeypatch.setattr(findings, "key_findings", lambda _: 1 / 0)
+    written = jobs.run_statistics(ready, str(tmp_path))
+    assert set(written) == {"bad_error", "good", "key_findings_error"}
+    back = sinks.read_bundle(spark, f"{tmp_path}/analysis_results",
+                             {n: df.schema for n, df in written.items()})
+    assert back["good"].count() == 1 and "boom 1" in back["bad_error"].first()["message"]
+    assert back["key_findings_error"].first()["message"] == "division by zero"
+
+
 def test_a_job_of_two_years_reads_two_years(spark, landing, tmp_path):
     inputs = jobs.Inputs(
         f"{landing}/expenses", f"{landing}/plant", f"{landing}/income",
