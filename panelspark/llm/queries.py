@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.llm import (
+    bpe,
     chat,
     decontam,
     html,
     langid,
     lines,
+    merkle,
     packing,
     quality,
     simhash,
+    spelling,
     substrings,
     urls,
 )
@@ -330,3 +333,137 @@ def op10_simhash(spark, sf):
     return linked.selectExpr(
         "doc_id", "lower(lpad(hex(fingerprint), 16, '0')) AS fingerprint", "component_id"
     )
+
+
+@query
+def op11_spelling_variants(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return spelling.group_variants(spelling.vocabulary(docs))
+
+
+# CRC-32 of a list of bytes; `crc_table` is made from its polynomial.
+CRC_TABLE = """crc_table AS MATERIALIZED (SELECT list_transform(range(256), lambda i: list_reduce(
+    list_concat([i], range(8)), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc)"""
+
+
+def _crc(octets: str) -> str:
+    return (f"xor(list_reduce(list_concat([4294967295::BIGINT], {octets}),"
+            " lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)")
+
+
+def _octets(text: str) -> str:
+    """UTF-8 bytes of text below U+0800."""
+    return (f"flatten(list_transform(string_split({text}, ''), lambda ch: CASE WHEN unicode(ch) < 128"
+            " THEN [unicode(ch)::BIGINT] ELSE [(192 + (unicode(ch) >> 6))::BIGINT,"
+            " (128 + (unicode(ch) & 63))::BIGINT] END))")
+
+
+ORACLE_SQL["op11_spelling_variants"] = f"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (SELECT key, run, count(*) AS c FROM (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS key, unnest(regexp_extract_all(
+    translate(text, '{UPPER}', '{LOWER}'), '[A-Za-z\u00C0-\u00FF]+')) AS run
+  FROM documents WHERE text IS NOT NULL) GROUP BY ALL),
+checked AS MATERIALIZED (SELECT run, c, {_crc("octets")} AS h
+  FROM (SELECT *, {_octets("key || ':' || run")} AS octets FROM runs), crc_table),
+v AS MATERIALIZED (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM (
+  SELECT c, CASE WHEN h % {spelling.PLANTED} = 0 THEN
+      substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2)
+    ELSE run END AS word FROM checked)
+  WHERE length(word) >= {spelling.MIN_LENGTH} GROUP BY word HAVING sum(c) >= {spelling.MIN_COUNT}),
+cut AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM v)),
+pairs AS (SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b USING (i, rest)
+    WHERE a.word <> b.word
+  UNION SELECT cut.word, v.word, v.n FROM cut JOIN v ON rest = v.word
+  UNION SELECT v.word, cut.word, cut.n FROM cut JOIN v ON rest = v.word),
+best AS (SELECT word, count(*) AS n_near, max(near_n) AS near_n FROM pairs GROUP BY word),
+formed AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+  CASE WHEN near_n >= {spelling.FORM_RATIO} * n THEN (SELECT min(near) FROM pairs p
+    WHERE p.word = v.word AND p.near_n = best.near_n) END AS form,
+  CASE WHEN near_n >= {spelling.FORM_RATIO} * n THEN near_n END AS form_n
+  FROM v LEFT JOIN best ON v.word = best.word),
+steps AS (SELECT word, word AS here, form AS next FROM formed
+  UNION ALL SELECT s.word, s.next, f.form FROM steps s JOIN formed f ON f.word = s.next)
+SELECT word, form, here AS root, n, n_near, form_n FROM formed JOIN steps USING (word)
+WHERE next IS NULL"""
+
+
+MANIFEST = ["doc_id", "source", "lang", "n_chars", "text"]
+TAMPERED = "coalesce(crc32(CAST(doc_id AS STRING)) % 5 = 0, false)"
+
+
+@query
+def op12_merkle_manifest(spark, sf):
+    docs = table(spark, sf, "documents").select(*MANIFEST)
+    lowered = f"CASE WHEN {TAMPERED} THEN translate(text, '{UPPER}', '{LOWER}') ELSE text END"
+    proved = merkle.audit(docs, MANIFEST, "source", "doc_id", {"text": lowered})
+    siblings = "array_join(transform(proof, p -> lower(hex(p.siblings))), '')"
+    return proved.selectExpr(
+        "doc_id", "leaf", "subroot", "root", f"sha2({siblings}, 256) AS proof_sha256",
+        "folded_root", "verified",
+    )
+
+
+def _leaf_sql(text: str) -> str:
+    values = ["doc_id", "source", "lang", "n_chars", text]
+    parts = [f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || {c} END"
+             for c in values]
+    return f"sha256({' || '.join(parts)})"
+
+
+def _fold_sql(name: str, start: str, tree: str, key: str) -> str:
+    return f"""{name} AS ({start} UNION ALL
+  SELECT f.r, any_value(f.grp), f.lvl + 1, f.idx // 16, sha256(string_agg(
+    CASE WHEN t.idx = f.idx THEN f.h ELSE t.h END, '' ORDER BY t.idx)), any_value(f.top)
+  FROM {name} f JOIN {tree} t ON {key} t.lvl = f.lvl AND t.idx // 16 = f.idx // 16
+  WHERE f.lvl < f.top GROUP BY f.r, f.lvl, f.idx)"""
+
+
+def _tree_sql(name: str, start: str) -> str:
+    return f"""{name} AS ({start} UNION ALL
+  SELECT grp, lvl + 1, idx // 16, sha256(string_agg(h, '' ORDER BY idx)), (n + 15) // 16
+  FROM {name} WHERE n > 1 GROUP BY grp, lvl, n, idx // 16)"""
+
+
+ORACLE_SQL["op12_merkle_manifest"] = f"""
+WITH RECURSIVE {CRC_TABLE},
+d AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, h) - 1
+    AS idx, count(*) OVER (PARTITION BY source) AS n
+  FROM (SELECT row_number() OVER () AS r, doc_id, source, {_leaf_sql('text')} AS h,
+    {_leaf_sql(f"CASE WHEN tampered THEN translate(text, '{UPPER}', '{LOWER}') ELSE text END")} AS th
+    FROM (SELECT *, coalesce({_crc(_octets("CAST(doc_id AS VARCHAR)"))} % 5 = 0, FALSE) AS tampered
+      FROM documents, crc_table))),
+{_tree_sql('tree', 'SELECT source AS grp, 0 AS lvl, idx, h, n FROM d')},
+subroots AS MATERIALIZED (SELECT grp, lvl AS height, h,
+  row_number() OVER (ORDER BY grp NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM tree WHERE n = 1),
+{_tree_sql('top', 'SELECT 0 AS grp, 0 AS lvl, idx, h, n FROM subroots')},
+root AS (SELECT lvl AS height, h FROM top WHERE n = 1),
+{_fold_sql('low', 'SELECT r, d.source AS grp, 0 AS lvl, d.idx, th AS h, height AS top FROM d JOIN subroots s ON d.source IS NOT DISTINCT FROM s.grp', 'tree', 't.grp IS NOT DISTINCT FROM f.grp AND')},
+{_fold_sql('high', 'SELECT r, low.grp, 0 AS lvl, s.idx, low.h, (SELECT height FROM root) AS top FROM low JOIN subroots s ON low.grp IS NOT DISTINCT FROM s.grp WHERE lvl = low.top', 'top', '')},
+siblings AS (SELECT r, 0 AS part, t.lvl, t.idx, t.h FROM d
+    JOIN subroots s ON d.source IS NOT DISTINCT FROM s.grp
+    JOIN tree t ON t.grp IS NOT DISTINCT FROM d.source AND t.lvl < s.height
+      AND t.idx // 16 = d.idx // (16 ** (t.lvl + 1))::BIGINT AND t.idx <> d.idx // (16 ** t.lvl)::BIGINT
+  UNION ALL SELECT r, 1, t.lvl, t.idx, t.h FROM d
+    JOIN subroots s ON d.source IS NOT DISTINCT FROM s.grp
+    JOIN top t ON t.lvl < (SELECT height FROM root)
+      AND t.idx // 16 = s.idx // (16 ** (t.lvl + 1))::BIGINT AND t.idx <> s.idx // (16 ** t.lvl)::BIGINT),
+proofs AS (SELECT r, string_agg(h, '' ORDER BY part, lvl, idx) AS p FROM siblings GROUP BY r)
+SELECT doc_id, d.h AS leaf, s.h AS subroot, (SELECT h FROM root) AS root,
+  sha256(coalesce(p, '')) AS proof_sha256, high.h AS folded_root,
+  high.h = (SELECT h FROM root) AS verified
+FROM d JOIN subroots s ON d.source IS NOT DISTINCT FROM s.grp
+JOIN high ON high.r = d.r AND high.lvl = high.top LEFT JOIN proofs ON proofs.r = d.r"""
+
+
+@query
+def op13_bpe_round_trip(spark, sf):
+    coded = bpe.encode(table(spark, sf, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return coded.selectExpr(
+        "doc_id",
+        "CAST(size(ids) AS BIGINT) AS n_tokens",
+        "sha2(array_join(ids, ','), 256) AS ids_sha256",
+        "sha2(decoded, 256) AS decoded_sha256",
+    )
