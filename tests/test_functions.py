@@ -19,6 +19,7 @@ from panelspark.functions.columns import (
     residential_bill,
     sum_amount,
 )
+from panelspark.functions import tails
 from panelspark.functions.tails import f_upper, incomplete_beta, t_critical, t_two_sided
 from panelspark.operators.panel import categorize
 
@@ -191,6 +192,61 @@ def test_t_tail_against_series():
     assert t_critical(1.0) == pytest.approx(12.7062047, abs=1e-6)
 
 
+def tail_series(t, dof):
+    """1 - 2 t f(0) 2F1(1/2, (dof + 1) / 2; 3/2; -t^2 / dof) with 200 digits."""
+    from decimal import Decimal, getcontext
+
+    getcontext().prec = 200
+    pi = Decimal("3.14159265358979323846264338327950288419716939937510582097494459230781640628620"
+                 "8998628034825342117067982148086513282306647093844609550582231725359408128481117")
+    t, dof = Decimal(t), Decimal(dof)
+
+    def log_gamma(x):
+        passed = Decimal(0)
+        while x < 400:
+            passed, x = passed + x.ln(), x + 1
+        # Even-index Bernoulli numbers from their recurrence.
+        rows, even = [Decimal(0)] * 61, []
+        for m in range(61):
+            rows[m] = Decimal(1) / (m + 1)
+            for j in range(m, 0, -1):
+                rows[j - 1] = j * (rows[j - 1] - rows[j])
+            even.append(rows[0])
+        out = (x - Decimal("0.5")) * x.ln() - x + (2 * pi).ln() / 2 - passed
+        return out + sum(even[2 * k] / (2 * k * (2 * k - 1) * x ** (2 * k - 1)) for k in range(1, 21))
+
+    density = (log_gamma((dof + 1) / 2) - log_gamma(dof / 2)).exp() / (dof * pi).sqrt()
+    term = total = Decimal(1)
+    n = 0
+    while abs(term) > Decimal(10) ** -60 or n < 20:
+        term *= (Decimal("0.5") + n) * ((dof + 1) / 2 + n) / (Decimal("1.5") + n) / (n + 1)
+        term *= -t * t / dof
+        total, n = total + term, n + 1
+    return float(1 - 2 * t * density * total)
+
+
+@pytest.mark.parametrize("dof", [1, 3, 29, 31, 100, 12345, 10**6, 10**9, 10**12])
+def test_t_tail_keeps_its_digits_at_any_degrees_of_freedom(dof):
+    for t in ["0.1", "0.9", "1.7", "1.8", "2", "4.5", "9"]:
+        if float(t) ** 2 < 0.9 * dof:
+            assert t_two_sided(float(t), float(dof)) == pytest.approx(tail_series(t, dof), rel=1e-12)
+
+
+def test_f_tail_at_any_degrees_of_freedom():
+    for df2 in [1.0, 10.0, 31.0, 1e4, 1e9, 1e12]:
+        for f in [1e-3, 0.9, 1.1, 2.0, 30.0]:
+            two = np.exp(-df2 / 2 * np.log1p(2 * f / df2))
+            y = 4 * f / df2
+            four = np.exp(-df2 / 2 * np.log1p(y)) * (1 + df2 / 2 * y / (1 + y))
+            assert f_upper(f, 2.0, df2) == pytest.approx(two, rel=1e-12)
+            assert f_upper(f, 4.0, df2) == pytest.approx(four, rel=1e-12)
+
+
+def test_an_unconverged_fraction_is_no_value(monkeypatch):
+    monkeypatch.setattr(tails, "STEPS", 2)
+    assert np.isnan(incomplete_beta(9.0, 5.0, 0.5))
+
+
 def test_f_tail():
     # F with (1, n) degrees is t squared.
     assert f_upper(4.0, 1.0, 12.0) == pytest.approx(t_two_sided(2.0, 12.0), abs=1e-13)

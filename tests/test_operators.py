@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from panelspark.operators import bills, charts, models, ordering, panel, regression, stats
 from panelspark.sources import tables
@@ -289,13 +290,43 @@ def test_ranks_in_ranges_match_pandas(spark, ranges):
 
 
 @pytest.mark.parametrize("ranges", [1, 5, 40])
-def test_squared_steps_across_ranges(spark, ranges):
+def test_ordered_moments_across_ranges(spark, ranges):
     rng = np.random.default_rng(5)
-    pdf = pd.DataFrame({"a": rng.integers(0, 30, 200), "b": range(200), "e": rng.normal(size=200)})
-    steps = ordering.squared_steps(
-        spark.createDataFrame(pdf).repartition(6), ["a", "b"], "e", ranges)
+    pdf = pd.DataFrame({"a": rng.integers(0, 30, 200), "b": range(200),
+                        "e": 1e6 + rng.normal(size=200) ** 3})
+    df = spark.createDataFrame(pdf).repartition(6)
+    got = ordering.ordered_moments(df, ["a", "b"], "e", ranges).collect()
     in_order = pdf.sort_values(["a", "b"])["e"].to_numpy()
-    assert steps == pytest.approx((np.diff(in_order) ** 2).sum())
+    c = in_order - in_order.mean()
+    want = [200, in_order.mean(), *[(c**k).sum() for k in (2, 3, 4)], (np.diff(in_order) ** 2).sum()]
+    assert list(got[0]) == pytest.approx(want, rel=1e-9)
+    empty = ordering.ordered_moments(df.where("a < 0"), ["a", "b"], "e", ranges).collect()
+    assert [list(r) for r in empty] == [[0.0, None, None, None, None, None]]
+
+
+def test_ranks_of_a_hot_value_and_nulls_are_even_work(spark):
+    """A third of the rows share a value, half have none; no task gets twice the median."""
+    rng = np.random.default_rng(3)
+    n = 30_000
+    values = rng.integers(0, 5000, n).astype(float)
+    values[: n // 3] = 17.0
+    values[rng.permutation(n)[: n // 2]] = np.nan
+    pdf = pd.DataFrame({"id": range(n), "v": values})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame(pdf).selectExpr("id", "nanvl(v, NULL) AS v").repartition(5)
+        ranks = ordering.ranked(df, "v", 16)
+        text = ranks._jdf.queryExecution().executedPlan().toString()
+        work = [r["count"] for r in ranks.groupBy(F.spark_partition_id()).count().collect()]
+        got = ranks.toPandas().sort_values("id")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Join" not in text and len(work) == 16
+    assert max(work) < 2 * np.median(work)
+    want = pdf["v"].rank(ascending=False, method="min")
+    assert got["rank"].fillna(-1).tolist() == want.fillna(-1).tolist()
+    assert got["percentile"].fillna(-1).to_numpy() == pytest.approx(
+        (pdf["v"].rank(pct=True) * 100).fillna(-1).to_numpy())
 
 
 def test_outliers(spark):
@@ -347,7 +378,95 @@ def test_regression_reports_what_it_cannot_fit(spark):
     pdf = drivers().assign(sales_mwh_total=lambda d: d["customers_total"] * 10.0)
     pdf["group"] = np.where(pdf.index % 2, "odd", "even")
     same = regression.fit_terms(spark.createDataFrame(pdf), group_by=["group"]).collect()
-    assert {r["status"] for r in same} <= {"collinear drivers", "ok"} and len(same) >= 2
+    assert [r["status"] for r in same] == ["collinear drivers"] * 2
+
+
+def fit_frame(spark, x, y, group=None):
+    names = [f"x{i}" for i in range(x.shape[1])]
+    pdf = pd.DataFrame(x, columns=names).assign(om_total=y, g=0 if group is None else group)
+    return spark.createDataFrame(pdf).repartition(4), names
+
+
+def test_collinear_drivers_are_found_in_a_hundred_cases(spark):
+    """Combinations with rounding, far from zero and of very different sizes, each a group."""
+    rng = np.random.default_rng(8)
+    xs, ys, groups = [], [], []
+    for g in range(100):
+        n = int(rng.integers(8, 60))
+        x = rng.normal(size=(n, 3)) * 10.0 ** rng.integers(-6, 7, 3) + rng.choice([0.0, 1e3], 3)
+        a, b = rng.normal(size=2) * 10.0 ** rng.integers(-3, 4, 2)
+        x[:, 2] = [x[:, 0] + 1000 * x[:, 1], a * x[:, 0] + b * x[:, 1] + 7, a * x[:, 1]][g % 3]
+        xs.append(x[:, rng.permutation(3)])
+        ys.append(2 * x[:, 0] + rng.normal(size=n))
+        groups += [g] * n
+    df, names = fit_frame(spark, np.vstack(xs), np.concatenate(ys), groups)
+    got = regression.fit_terms(df, xs=names, group_by=["g"]).collect()
+    assert [r["status"] for r in got] == ["collinear drivers"] * 100
+    factors = regression.vif(df, names, ["g"]).collect()
+    assert len(factors) == 300 and all(r["vif"] is None for r in factors)
+    one = regression.fit_terms(df.where("g = 3"), xs=names).collect()
+    assert [r["status"] for r in one] == ["collinear drivers"]
+
+
+def test_nearly_collinear_drivers_keep_their_digits(spark):
+    """Against exact arithmetic on the same doubles."""
+    from fractions import Fraction
+
+    def exact(x, y):
+        rows = [[Fraction(1), *map(Fraction, map(float, r))] for r in x]
+        k = len(rows[0])
+        m = [[sum(r[i] * r[j] for r in rows) for j in range(k)]
+             + [sum(r[i] * Fraction(float(v)) for r, v in zip(rows, y))] for i in range(k)]
+        for i in range(k):
+            p = next(r for r in range(i, k) if m[r][i])
+            m[i], m[p] = m[p], m[i]
+            m[i] = [v / m[i][i] for v in m[i]]
+            for r in range(k):
+                if r != i:
+                    m[r] = [a - m[r][i] * b for a, b in zip(m[r], m[i])]
+        return [float(r[-1]) for r in m]
+
+    rng = np.random.default_rng(9)
+    xs, ys, groups, want = [], [], [], {}
+    for g in range(12):
+        n = 25
+        x = rng.normal(size=(n, 3))
+        x[:, 2] = x[:, 0] - 2 * x[:, 1] + 10.0 ** -(g % 6) * rng.normal(size=n)
+        y = 1 + x @ [1.0, 2.0, 3.0] + 1e-3 * rng.normal(size=n)
+        xs.append(x)
+        ys.append(y)
+        groups += [g] * n
+        want[g] = exact(x, y)
+    df, names = fit_frame(spark, np.vstack(xs), np.concatenate(ys), groups)
+    rows = regression.fit_terms(df, xs=names, group_by=["g"]).collect()
+    assert {r["status"] for r in rows} == {"ok"}
+    for g, coefs in want.items():
+        got = {r["term"]: r["coef"] for r in rows if r["g"] == g}
+        assert [got["const"], *[got[x] for x in names]] == pytest.approx(coefs, rel=1e-8)
+    single = regression.fit_terms(df.where("g = 4"), xs=names).collect()
+    assert [r["coef"] for r in single] == pytest.approx(want[4], rel=1e-8)
+
+
+def test_factors_of_a_hot_group_and_many_small_ones(spark, monkeypatch):
+    """Tasks that flush their groups early give the same factors."""
+    from functools import partial
+
+    rows = spark.range(30_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 0 ELSE id % 2500 END AS g", "CAST(hash(id) % 100 AS DOUBLE) AS a",
+        "CASE WHEN id % 7 = 0 THEN NULL ELSE CAST(hash(id, 1) % 100 AS DOUBLE) END AS b")
+    pdf = rows.dropna().toPandas()
+    got = regression.factors(rows.repartition(12), ["a", "b"], ["g"]).collect()
+    assert sum(r["n"] for r in got) == len(pdf) and len(got) == pdf["g"].nunique()
+    for r in got[:200] + [r for r in got if r["g"] == 0]:
+        x = pdf[pdf["g"] == r["g"]][["a", "b"]].to_numpy()
+        x = np.c_[np.ones(len(x)), x]
+        f = np.array(r["factor"]).reshape(3, 3)
+        assert r["n"] == len(x) and f.T @ f == pytest.approx(x.T @ x)
+    held = regression._Held(3)
+    monkeypatch.setattr(regression, "HELD_VALUES", 30)
+    for g in range(9):
+        held.add((g % 2,), np.ones((4, 3)) * g, 4)
+    assert held.full() in (True, False) and held.held[(0,)][0] == 20
 
 
 def test_diagnostics(spark):
@@ -379,6 +498,22 @@ def test_vif(spark):
     assert got == pytest.approx(np.diag(np.linalg.inv(r)).tolist(), rel=1e-8)
 
 
+@pytest.mark.parametrize("k", [1, 2, 3, 5])
+def test_vif_of_any_number_of_drivers_by_year(spark, k):
+    rng = np.random.default_rng(k)
+    names = [f"x{i}" for i in range(k)]
+    common = rng.normal(size=(300, 1))
+    pdf = pd.DataFrame(common + rng.normal(size=(300, k)) * 10.0 ** np.arange(k), columns=names)
+    pdf["report_year"] = rng.integers(2000, 2004, 300)
+    got = regression.vif(spark.createDataFrame(pdf).repartition(5), names, ["report_year"]).collect()
+    for year, group in pdf.groupby("report_year"):
+        r = np.atleast_2d(np.corrcoef(group[names].to_numpy(), rowvar=False))
+        found = [v["vif"] for v in got if v["report_year"] == year]
+        assert found == pytest.approx(np.diag(np.linalg.inv(r)).tolist(), rel=1e-8)
+    few = spark.createDataFrame(pdf.head(k))
+    assert all(v["vif"] is None for v in regression.vif(few, names).collect())
+
+
 def test_variance_decomposition(spark):
     pdf = pd.DataFrame({"utility_id_ferc1": [1, 1, 2, 2], "utility_name": ["A", "A", "B", "B"],
                         "report_year": [2020, 2023] * 2, "grc_om": [5.0, 7.0, 1.0, 2.0],
