@@ -32,7 +32,7 @@ def run_analysis(panel: DataFrame) -> dict[str, DataFrame]:
         "condition_number": lambda: regression.condition_number(panel),
         "vif": lambda: regression.vif(panel),
         "outliers": lambda: stats.outliers(panel, PEER_METRIC),
-        "benchmarks": lambda: stats.peer_benchmark(panel, stats.latest_year(panel), PEER_METRIC),
+        "benchmarks": lambda: stats.peer_benchmark(panel, None, PEER_METRIC),
         "yoy_changes": lambda: stats.yoy_change(panel, COST_METRIC),
         "utility_summaries": lambda: stats.summary_by_entity(panel),
     }
@@ -53,7 +53,7 @@ def failed(panel: DataFrame, error: Exception) -> DataFrame:
 
 def key_findings(panel: DataFrame) -> DataFrame:
     """(ordinal, finding, subject, value) rows. Pass a staged panel."""
-    latest = panel.where(F.col(YEAR) == F.lit(stats.latest_year(panel)))
+    latest = stats.in_year(panel, None)
     growth = stats.trend(panel, COST_METRIC, p_values=False).where("status = 'ok'")
     terms = regression.significant_terms(regression.fit_terms(panel))
     collinear = regression.high_vif(regression.vif(panel))

@@ -107,20 +107,29 @@ def add_grc_requirement_alt(df: DataFrame, a: Assumptions = DEFAULTS) -> DataFra
     return out.drop("om_ag_total", "om_ag_gas", *absent)
 
 
+def base_rows(df: DataFrame, base_year: int) -> DataFrame:
+    """The rows of the base year; a year without rows is an error. That takes a look at the frame,
+    so one that costs much is better staged."""
+    rows = df.where(f"report_year = {base_year}")
+    if rows.isEmpty():
+        raise ValueError(f"No data for base year {base_year}")
+    return rows
+
+
 def forecast_test_year(
     df: DataFrame,
     base_year: int,
     a: Assumptions = DEFAULTS,
     escalate_passthrough: bool = False,
 ) -> DataFrame:
-    """One-year projection of the total requirement. Pass-through cost stays at its base value
-    unless `escalate_passthrough`."""
+    """One-year projection of the total requirement; ValueError for a base year without rows.
+    Pass-through cost stays at its base value unless `escalate_passthrough`."""
     up, grow = number(1.0 + a.om_escalation), number(1.0 + a.rate_base_growth)
     other = _om_other(df)
     later = f"({other} * {up})" if other and escalate_passthrough else other
     now = requirement_parts("om_total", other, "rate_base", a)
     then = requirement_parts(f"(om_total * {up})", later, f"(rate_base * {grow})", a)
-    base = known(df.where(f"report_year = {base_year}"), "om_total", "rate_base")
+    base = known(base_rows(df, base_year), "om_total", "rate_base")
     rows = base.selectExpr("utility_id_ferc1", "utility_name", *named({
         "base_year": str(base_year),
         "forecast_year": str(base_year + 1),
@@ -148,15 +157,14 @@ def _with_change(df: DataFrame, before: str, after: str, a: Assumptions) -> Data
 def forecast_test_year_grc(
     df: DataFrame, base_year: int, a: Assumptions = DEFAULTS
 ) -> DataFrame:
-    """One-year projection of the GRC requirement: each allocated cost is escalated."""
+    """One-year projection of the GRC requirement: each allocated cost is escalated; ValueError for
+    a base year without rows."""
     costs = GRC_INPUTS[:3]
     up, grow = number(1.0 + a.om_escalation), number(1.0 + a.rate_base_growth)
     now = grc_parts(*costs, "rate_base", a)
     then = grc_parts(*[f"({c} * {up})" for c in costs], f"(rate_base * {grow})", a)
     base_om = f"coalesce({col_or(df, 'om_grc', 'NULL')}, {now['grc_om']})"
-    base = df.where(
-        f"report_year = {base_year} AND rate_base IS NOT NULL AND {base_om} IS NOT NULL"
-    )
+    base = base_rows(df, base_year).where(f"rate_base IS NOT NULL AND {base_om} IS NOT NULL")
     rows = base.selectExpr("utility_id_ferc1", "utility_name", *named({
         "base_year": str(base_year),
         "forecast_year": str(base_year + 1),

@@ -211,15 +211,38 @@ def assert_valid(checks: DataFrame) -> None:
         raise ValueError(f"Panel validation failed: {failed}")
 
 
-def profile(df: DataFrame, entity="utility_id_ferc1", year="report_year") -> DataFrame:
-    """Row count, distinct entities and years, and nulls per column, as (stat, value) rows."""
+def profile(
+    df: DataFrame, entity="utility_id_ferc1", year="report_year", head: int = 0, order=(), shown=None
+) -> DataFrame:
+    """(stat, value, shown) rows: row count, distinct entities and years, nulls per column as values;
+    with `head`, the columns `shown` (all by default) of the first so many rows in the order of
+    `order`, as text under head_<n>_<column>. A task keeps no more than `head` rows for that.
+    """
     stats = df.agg(
         F.expr("count(1) AS row_count"),
         F.count_distinct(entity).alias("distinct_entities"),
         F.count_distinct(year).alias("distinct_years"),
         *[F.expr(f"count_if({c} IS NULL) AS nulls_{c}") for c in df.columns],
     )
-    return explode_rows(stats, [], [row(stat=f"'{c}'", value=c) for c in stats.columns])
+    none = "CAST(NULL AS STRING)"
+    counts = explode_rows(stats, [], [
+        row(stat=f"'{c}'", value=c, shown=none) for c in stats.columns
+    ])
+    if not head:
+        return counts
+    shown = list(df.columns if shown is None else shown)
+    first = df.orderBy(*order).limit(head).select(
+        F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order)]).alias("place"),
+        *[F.col(c).cast("string").alias(c) for c in shown],
+    )
+    numbered = first.agg(
+        F.array_sort(F.collect_list(F.struct("place", *shown))).alias("rows")
+    ).selectExpr("posexplode(rows) AS (n, r)")
+    cells = [
+        row(stat=f"concat('head_', n + 1, '_{c}')", value="CAST(NULL AS BIGINT)", shown=f"r.{c}")
+        for c in shown
+    ]
+    return counts.unionByName(explode_rows(numbered, [], cells))
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

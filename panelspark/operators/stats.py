@@ -189,18 +189,19 @@ def outliers(df: DataFrame, metric: str, threshold: float = 2.0) -> DataFrame:
     return beyond.withColumn("is_outlier", F.lit(True))
 
 
-def latest_year(df: DataFrame) -> int | None:
-    """NULL for an empty panel, for which a one-year statistic is empty."""
-    return df.agg(F.max(YEAR)).first()[0]
+def in_year(df: DataFrame, year: int | None) -> DataFrame:
+    """The rows of a year, by default of the latest one that the frame has."""
+    wanted = df.agg(F.max(YEAR)).scalar() if year is None else F.lit(year)
+    return df.where(F.col(YEAR) == wanted)
 
 
-def peer_benchmark(df: DataFrame, year: int, metric: str) -> DataFrame:
-    """z-score, percentile and rank of every entity in one year, in rank order.
+def peer_benchmark(df: DataFrame, year: int | None, metric: str) -> DataFrame:
+    """z-score, percentile and rank of every entity in one year (None: the latest), in rank order.
 
     Reads `df` several times: stage it first. A null metric keeps its row, last and unranked.
     """
     require_columns(df, [metric])
-    peers = df.where(F.col(YEAR) == F.lit(year)).select(ENTITY, "utility_name", metric)
+    peers = in_year(df, year).select(ENTITY, "utility_name", metric)
     return ranked(_with_z_score(peers, metric), metric).orderBy(
         F.asc_nulls_last("rank"), ENTITY
     )

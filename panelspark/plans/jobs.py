@@ -45,7 +45,8 @@ def load_sales(spark: SparkSession, path: str) -> DataFrame:
 def run_panel(
     spark: SparkSession, inputs: Inputs, out: str, a: Assumptions = DEFAULTS
 ) -> DataFrame:
-    """Build, check and write the panel; returns the written table."""
+    """Build, write, check and only then publish the panel; returns the published table. A panel that
+    fails its check leaves the earlier one in place."""
     if inputs.id_map is None:
         ids = tables.id_map(spark)
     else:
@@ -70,15 +71,13 @@ def run_panel(
         inputs.amount_scale,
     )
     path = f"{out}/analysis_ready"
-    sinks.write_table(built, path)
-    written = spark.read.schema(built.schema).parquet(path)
     entities = ids.agg(F.count(F.lit(1))).scalar()
-    try:
+
+    def check(written: DataFrame) -> None:
         panel.assert_valid(panel.validate_panel(written, entities * len(inputs.years)))
-    except ValueError:
-        sinks.delete(spark, path)
-        raise
-    return written
+
+    sinks.write_table(built, path, check=check)
+    return spark.read.schema(built.schema).parquet(path)
 
 
 def run_models(

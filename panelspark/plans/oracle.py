@@ -607,6 +607,35 @@ vif AS (
     unnest([(1 - bc * bc) / det, (1 - ac * ac) / det, (1 - ab * ab) / det]) AS vif
   FROM (SELECT *, 1 + 2 * ab * ac * bc - ab * ab - ac * ac - bc * bc AS det FROM vif_r))""".strip()
 
+
+
+def _vif_swept(xs: list[str], digits: int, group: str = "") -> str:
+    """Factors as the diagonal of the inverse correlation matrix, swept pivot by pivot."""
+    k = range(len(xs))
+    lead = f"{group}, " if group else ""
+    cells = [(i, j) for i in k for j in k]
+    values = ", ".join(
+        f"CAST(1 AS DOUBLE) AS m{i}_{j}" if i == j else f"corr({xs[i]}, {xs[j]}) AS m{i}_{j}"
+        for i, j in cells)
+    ctes = [f"swept_0 AS (SELECT {lead}COUNT(*) AS n, {values} FROM panel WHERE "
+            + " AND ".join(f"{x} IS NOT NULL" for x in xs) + (f" GROUP BY {group})" if group else ")")]
+    for p in k:
+        def swept(i, j):
+            pivot = f"m{p}_{p}"
+            if i == p:
+                return f"1 / {pivot}" if j == p else f"m{p}_{j} / {pivot}"
+            if j == p:
+                return f"-m{i}_{p} / {pivot}"
+            return f"m{i}_{j} - m{i}_{p} * m{p}_{j} / {pivot}"
+
+        columns = ", ".join(f"{swept(i, j)} AS m{i}_{j}" for i, j in cells)
+        ctes.append(f"swept_{p + 1} AS (SELECT {lead}n, {columns} FROM swept_{p})")
+    names = ", ".join(f"'{x}'" for x in xs)
+    found = ", ".join(f"CASE WHEN n > {len(xs)} THEN round(m{i}_{i}, {digits}) END" for i in k)
+    return with_panel(f"SELECT {lead}unnest([{names}]) AS variable, unnest([{found}]) AS vif"
+                      f" FROM swept_{len(xs)}", *ctes)
+
+
 KEPT = """
 kept AS (
   SELECT panel.* FROM panel LEFT JOIN baselines USING (utility_id_ferc1)
@@ -745,9 +774,15 @@ def _profile() -> str:
         "distinct_years": "COUNT(DISTINCT report_year)",
         **{f"nulls_{c}": f"COUNT(*) FILTER ({c} IS NULL)" for c in columns},
     }
+    keys = ["utility_id_ferc1", "report_year", "utility_id_eia", "utility_name"]
+    names = ", ".join(f"'head_' || n || '_{c}'" for c in keys)
+    cells = ", ".join(f"CAST({c} AS VARCHAR)" for c in keys)
     return with_panel(f"""SELECT unnest([{', '.join(f"'{k}'" for k in stats)}]) AS stat,
-  unnest([{', '.join(stats)}]) AS value FROM (SELECT {', '.join(
-        f'{v} AS {k}' for k, v in stats.items())} FROM ragged)""")
+  unnest([{', '.join(stats)}]) AS value, CAST(NULL AS VARCHAR) AS shown FROM (SELECT {', '.join(
+        f'{v} AS {k}' for k, v in stats.items())} FROM ragged)
+UNION ALL SELECT unnest([{names}]), NULL, unnest([{cells}]) FROM (SELECT {', '.join(keys)},
+  row_number() OVER (ORDER BY {', '.join(f'{c} NULLS FIRST' for c in keys)}) AS n FROM ragged)
+WHERE n <= 20""")
 
 
 def _validate() -> str:
@@ -784,6 +819,13 @@ def oracle_sql() -> dict[str, str]:
     recheck = rr("om_total", None, "rate_base")["revenue_requirement"]
     return {
         "yearly_union": with_sources(_sales_columns("sales_rows")),
+        "workbook_sales": with_sources(
+            f"SELECT report_year, utility_id_eia, utility_name, state, ownership,"
+            f" {plain(*SALES_MEASURES)} FROM sales_rows"),
+        "workbook_rollup": with_sources(
+            "SELECT utility_id_eia, report_year, arg_min(ownership, row_ordinal) AS ownership,"
+            " CAST(sum(customers_total) AS BIGINT) AS customers_total FROM sales_rows"
+            " GROUP BY utility_id_eia, report_year"),
         "expense_scan": with_sources(
             f"SELECT * FROM expense_rows WHERE row_type_xbrl = 'reported_value' AND {ids}"),
         "plant_wide": with_panel(f"SELECT {plant} FROM plant_wide"),
@@ -998,6 +1040,9 @@ FROM (SELECT utility_id_ferc1, arg_min(utility_name, report_year) AS utility_nam
         "ols_by_year": with_panel(
             _ols_select("report_year"), *_ols_ctes("panel", "report_year"), CRITICAL_CTE),
         "vif": with_panel("SELECT variable, round(vif, 6) AS vif FROM vif", VIF_CTE),
+        "vif_two": _vif_swept(DRIVERS[:2], 6),
+        "vif_five": _vif_swept([*DRIVERS, "om_distribution", "operating_revenues_ferc"], 5),
+        "vif_by_year": _vif_swept(DRIVERS, 6, "report_year"),
         "ols_diagnostics": _diagnostics(),
         "ols_condition_number": _condition_number(),
         "key_findings": _key_findings(),

@@ -17,8 +17,9 @@ from panelspark.functions.columns import add_columns, aggregate, format_billions
 from panelspark.operators import bills, charts, findings, models, panel, regression, stats
 from panelspark.plans import bindings as bind
 from panelspark.plans.jobs import run_models, summary_tables
-from panelspark.schemas import REVENUE_COLUMNS
+from panelspark.schemas import REVENUE_COLUMNS, SALES
 from panelspark.sources import sinks, tables
+from panelspark.sources.workbook_format import FORMAT, WorkbookFormat
 
 Query = Callable[[SparkSession, str], DataFrame]
 BASE = bind.BASE_YEAR
@@ -61,6 +62,31 @@ def yearly_union(spark, sf):
     return tables.read_yearly_sales(spark, folder + "/report_year={year}", bind.YEARS)
 
 
+@query
+def workbook_sales(spark, sf):
+    """Sales rows written as a workbook per year and read back from the workbooks."""
+    spark.dataSource.register(WorkbookFormat)
+    folder = sinks.stage_path(spark)
+    rows = bind.sales(spark, sf)
+    by_year = rows.repartition(len(bind.YEARS), "report_year").sortWithinPartitions("row_ordinal")
+    by_year.write.format(FORMAT).mode("append").save(folder)
+    return spark.read.format(FORMAT).load(folder).drop("row_ordinal")
+
+
+@query
+def workbook_rollup(spark, sf):
+    """One row per sales entity and year from the workbooks: their order of rows decides on text."""
+    spark.dataSource.register(WorkbookFormat)
+    folder = sinks.stage_path(spark)
+    rows = bind.sales(spark, sf)
+    by_year = rows.repartition(len(bind.YEARS), "report_year").sortWithinPartitions("row_ordinal")
+    by_year.write.format(FORMAT).mode("append").save(folder)
+    names = ["report_year", "utility_id_eia", "ownership", "customers_total", "row_ordinal"]
+    wanted = [f"{f.name} {f.dataType.simpleString()}" for f in SALES if f.name in names]
+    read = spark.read.format(FORMAT).schema(", ".join(wanted)).load(folder)
+    return panel.roll_up_duplicates(read)
+
+
 @query
 def expense_scan(spark, sf):
     ids = bind.id_map(spark, sf).select("utility_id_ferc1")
@@ -163,7 +189,8 @@ def validate_panel(spark, sf):
 
 @query
 def null_profile(spark, sf):
-    return panel.profile(bind.panel(spark, sf))
+    keys = ["utility_id_ferc1", "report_year", "utility_id_eia", "utility_name"]
+    return panel.profile(bind.panel(spark, sf), head=20, order=keys, shown=keys)
 
 
 @query
@@ -278,12 +305,12 @@ def grc_alt(spark, sf):
 
 @query
 def test_year_forecast(spark, sf):
-    return models.forecast_test_year(clean(spark, sf, [BASE]), BASE)
+    return models.forecast_test_year(sinks.stage(clean(spark, sf, [BASE])), BASE)
 
 
 @query
 def test_year_forecast_grc(spark, sf):
-    return models.forecast_test_year_grc(clean(spark, sf, [BASE]), BASE)
+    return models.forecast_test_year_grc(sinks.stage(clean(spark, sf, [BASE])), BASE)
 
 
 @query
@@ -355,7 +382,7 @@ def cost_breakdown(spark, sf):
 
 @query
 def summary_requirement(spark, sf):
-    results = run_models(clean(spark, sf, [BASE]), BASE)
+    results = run_models(sinks.stage(clean(spark, sf, [BASE])), BASE)
     return summary_tables(results, BASE)["requirement"]
 
 
@@ -414,8 +441,7 @@ def yoy_matrix_flags(spark, sf):
 
 @query
 def peer_benchmark(spark, sf):
-    latest = sinks.stage(clean(spark, sf, bind.YEARS[-1:]))
-    return rounded(stats.peer_benchmark(latest, bind.YEARS[-1], "om_per_customer"), 6)
+    return rounded(stats.peer_benchmark(staged(spark, sf), None, "om_per_customer"), 6)
 
 
 @query
@@ -472,11 +498,27 @@ def vif(spark, sf):
     return rounded(regression.vif(clean(spark, sf)), 6)
 
 
+FIVE_DRIVERS = [*regression.COST_DRIVERS, "om_distribution", "operating_revenues_ferc"]
+
+
+@query
+def vif_two(spark, sf):
+    return rounded(regression.vif(clean(spark, sf), FIVE_DRIVERS[:2]), 6)
+
+
+@query
+def vif_five(spark, sf):
+    return rounded(regression.vif(clean(spark, sf), FIVE_DRIVERS), 5)
+
+
+@query
+def vif_by_year(spark, sf):
+    return rounded(regression.vif(clean(spark, sf), group_by=["report_year"]), 6)
+
+
 @query
 def ols_diagnostics(spark, sf):
-    df = sinks.stage(
-        clean(spark, sf).select("utility_id_eia", "report_year", "om_total", *_drivers())
-    )
+    df = clean(spark, sf).select("utility_id_eia", "report_year", "om_total", *_drivers())
     return rounded(regression.diagnostics(df, ["utility_id_eia", "report_year"]), 5)
 
 

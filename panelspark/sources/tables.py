@@ -90,20 +90,33 @@ def plant(df: DataFrame, ids=None, years=None) -> DataFrame:
 
 
 def plant_wide(df: DataFrame, ids=None, years=None) -> DataFrame:
-    """Two asset types side by side per entity and year.
+    """Two asset types side by side per entity and year, from one scan and one shuffle.
 
-    A full join, not a pivot: a key found on one side only is kept, and repeated keys pair up.
+    As a full join would have it: a key found on one side only is kept, repeated keys pair up, and a
+    row without a whole key stays alone. A key's filed balances are two arrays of its group, and
+    the result stays clustered by the key.
     """
-    electric = plant(df, ids, years).where(f"row_type_xbrl = '{CALCULATED}'")
-
-    def balance(asset_type: str, name: str) -> DataFrame:
-        chosen = electric.where(f"utility_plant_asset_type = '{asset_type}'")
-        return chosen.selectExpr(*KEYS, f"CAST(ending_balance AS DOUBLE) AS {name}")
-
-    return balance(PLANT_IN_SERVICE, "utility_plant_in_service").join(
-        balance(ACCUMULATED_DEPRECIATION, "accumulated_provision_for_depreciation"),
-        on=KEYS,
-        how="full",
+    electric = plant(df, ids, years).where(
+        f"row_type_xbrl = '{CALCULATED}'"
+        f" AND utility_plant_asset_type IN ('{PLANT_IN_SERVICE}', '{ACCUMULATED_DEPRECIATION}')"
+    )
+    incomplete = " OR ".join(f"{k} IS NULL" for k in KEYS)
+    rows = electric.selectExpr(
+        *KEYS,
+        f"utility_plant_asset_type = '{PLANT_IN_SERVICE}' AS gross",
+        "struct(CAST(ending_balance AS DOUBLE) AS balance) AS filed",
+        f"CASE WHEN {incomplete} THEN monotonically_increasing_id() END AS alone",
+    ).repartition(*KEYS)
+    sides = aggregate(rows, [*KEYS, "alone"], {
+        "gross": "collect_list(CASE WHEN gross THEN filed END)",
+        "provision": "collect_list(CASE WHEN NOT gross THEN filed END)",
+    })
+    paired = sides.selectExpr(*KEYS, "provision", "explode_outer(gross) AS g").selectExpr(
+        *KEYS, "g", "explode_outer(provision) AS p"
+    )
+    return paired.selectExpr(
+        *KEYS, "g.balance AS utility_plant_in_service",
+        "p.balance AS accumulated_provision_for_depreciation",
     )
 
 

@@ -57,8 +57,9 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
-def workbook_rows(file, index: int):
-    """Typed rows of a workbook's first sheet, by the names in its header row."""
+def workbook_rows(file, index: int, schema: T.StructType = SALES):
+    """Typed rows of a workbook's first sheet, by the names in its header row; only the columns of
+    `schema` are converted."""
     rows = sheet_rows(file)
     for _ in range(HEADER_ROWS_SKIPPED):
         next(rows, None)
@@ -69,7 +70,7 @@ def workbook_rows(file, index: int):
         if any(c is not None for c in cells):
             yield tuple(
                 ordinal if f.name == "row_ordinal" else _typed(_cell(cells, place, f), f)
-                for f in SALES
+                for f in schema
             )
 
 

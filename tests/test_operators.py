@@ -88,15 +88,20 @@ def test_plant_wide_keeps_one_sided_and_pairs_repeated_keys(spark):
             (1, 2020, "electric", acc, "calculated_value", 4.0),
             (2, 2020, "electric", acc, "calculated_value", 3.0),
             (3, 2020, "electric", ups, "reported_value", 99.0),
+            (None, 2020, "electric", ups, "calculated_value", 8.0),
+            (None, 2020, "electric", acc, "calculated_value", 9.0),
+            (5, 2020, "electric", ups, "calculated_value", None),
             (4, 2020, "gas", ups, "calculated_value", 99.0)]
     df = spark.createDataFrame(
         rows, "utility_id_ferc1 long, report_year int, utility_type string, "
         "utility_plant_asset_type string, row_type_xbrl string, ending_balance double")
-    got = panel.with_rate_base(tables.plant_wide(df, [1, 2, 3, 4], [2020])).collect()
+    got = panel.with_rate_base(tables.plant_wide(df, [1, 2, 3, 4, 5], [2020])).collect()
     assert sorted((r["utility_id_ferc1"], r["rate_base"]) for r in got if r["rate_base"]) == [
         (1, 6.0), (1, 7.0)]
     assert [r["rate_base"] for r in got if r["utility_id_ferc1"] == 2] == [None]
-    assert len(got) == 3
+    assert len(got) == 4
+    loose = tables.plant_wide(df, None, [2020]).where("utility_id_ferc1 IS NULL").collect()
+    assert len(loose) == 2 and {tuple(r)[2:] for r in loose} == {(None, 9.0), (8.0, None)}
 
 
 def join_inputs(spark):
@@ -190,6 +195,26 @@ def test_forecast(spark):
     assert models.forecast_test_year(one_row(spark, rate_base=None), 2023).count() == 0
 
 
+def test_forecast_of_a_year_without_rows_is_an_error(spark):
+    df = series(spark, [(1, 2020, 1.0)]).selectExpr(
+        "*", "1D AS rate_base", *[f"1D AS om_{c}" for c in
+                                  ("distribution", "customer_service", "admin_general", "other")])
+    for forecast in (models.forecast_test_year, models.forecast_test_year_grc):
+        assert forecast(df, 2020).count() == 1
+        with pytest.raises(ValueError, match="base year 2023"):
+            forecast(df, 2023)
+
+
+def test_profile_shows_head_rows(spark):
+    df = series(spark, [(i, 2020, None) for i in (5, 3, 9, 1)])
+    got = panel.profile(df, head=2, order=["utility_id_ferc1"], shown=["utility_id_ferc1"])
+    rows = {r["stat"]: (r["value"], r["shown"]) for r in got.collect()}
+    assert rows["head_1_utility_id_ferc1"] == (None, "1") and rows["row_count"] == (4, None)
+    assert rows["head_2_utility_id_ferc1"] == (None, "3") and "head_3_utility_id_ferc1" not in rows
+    assert panel.profile(df.where("false"), head=2, order=["utility_id_ferc1"]).where(
+        "stat LIKE 'head%'").count() == 0
+
+
 def test_wacc_sensitivity(spark):
     rows = models.wacc_sensitivity(one_row(spark)).orderBy("wacc").collect()
     expected = [260.273973, 273.972603, 287.671233, 301.369863, 315.068493]
@@ -449,8 +474,6 @@ def test_nearly_collinear_drivers_keep_their_digits(spark):
 
 def test_factors_of_a_hot_group_and_many_small_ones(spark, monkeypatch):
     """Tasks that flush their groups early give the same factors."""
-    from functools import partial
-
     rows = spark.range(30_000).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 0 ELSE id % 2500 END AS g", "CAST(hash(id) % 100 AS DOUBLE) AS a",
         "CASE WHEN id % 7 = 0 THEN NULL ELSE CAST(hash(id, 1) % 100 AS DOUBLE) END AS b")

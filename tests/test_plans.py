@@ -86,7 +86,7 @@ def test_ranks_are_windowed_by_range(spark):
 def test_only_tail_probabilities_use_python(spark, sf_dir):
     python_nodes = ("ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "BatchEvalPython")
     for name in ["panel_final", "grc_requirement", "trend", "summary_by_entity", "bill_impact",
-                 "vif", "rr_waterfall"]:
+                 "rr_waterfall"]:
         text = registry.REGISTRY[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert not any(node in text for node in python_nodes), name
 
@@ -96,3 +96,21 @@ def test_raw_rows_are_summed_before_they_move(spark, sf_dir):
     text = sums._jdf.queryExecution().executedPlan().toString()
     assert text.index("partial_sum") > text.index("Exchange hashpartitioning")
     assert text.count("Exchange") == 1
+
+
+def test_plant_is_scanned_and_shuffled_once(spark, tmp_path):
+    path = str(tmp_path / "plant")
+    spark.createDataFrame([], schemas.PLANT).write.parquet(path)
+    wide = tables.plant_wide(spark.read.schema(schemas.PLANT).parquet(path), None, [2020])
+    text = wide._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and text.count("Exchange") == 1 and "Join" not in text
+
+
+def test_diagnostics_are_built_without_a_job(spark, sf_dir):
+    context = spark.sparkContext
+    context.setJobGroup("building", "building")
+    try:
+        registry.REGISTRY["ols_diagnostics"](spark, sf_dir)
+        assert list(context.statusTracker().getJobIdsForGroup("building")) == []
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)

@@ -9,6 +9,7 @@ from panelspark.operators import findings
 from panelspark.plans import jobs
 from panelspark.sources import sinks, tables
 from panelspark.sources.workbook import number_repeats, read_workbooks
+from panelspark.sources.workbook_format import WorkbookFormat
 
 HEADER = ["Data Year", "Utility Number", "Utility Name", "State", "Ownership",
           *["Thousand Dollars", "Megawatthours", "Count"] * 5]
@@ -93,6 +94,32 @@ def test_workbooks_read_one_partition_per_file(spark, landing):
     assert df.where("report_year IS NULL").count() == 6  # text where a number belongs
 
 
+def test_workbook_format_reads_writes_and_prunes(spark, landing, tmp_path):
+    spark.dataSource.register(WorkbookFormat)
+    read = spark.read.format("sales_workbook").load(f"{landing}/Sales_Ult_Cust_*.xlsx")
+    assert read.rdd.getNumPartitions() == 6
+    rows = sorted(map(str, read.collect()))
+    assert rows == sorted(map(str, read_workbooks(spark, f"{landing}/Sales_Ult_Cust_*.xlsx").collect()))
+    some = spark.read.format("sales_workbook").schema("state string, report_year int").load(
+        f"{landing}/Sales_Ult_Cust_2020.xlsx")
+    assert some.columns == ["state", "report_year"] and some.where("state = 'NV'").count() == 1
+
+    odd = spark.createDataFrame(
+        [(2020, 1, ' <a> & "b"\n', None, 0.1 + 0.2, 3), (2021, None, None, "CA", None, 2**40)],
+        "report_year int, utility_id_eia long, utility_name string, state string,"
+        " revenue_total_k double, customers_total long")
+    out = str(tmp_path / "books")
+    odd.repartition(2).write.format("sales_workbook").mode("append").save(out)
+    back = spark.read.format("sales_workbook").load(out).select(odd.columns)
+    assert sorted(map(str, back.collect())) == sorted(map(str, odd.collect()))
+    bad = odd.selectExpr("report_year", "raise_error('boom') AS state")
+    with pytest.raises(Exception, match="boom"):
+        bad.write.format("sales_workbook").mode("append").save(out)
+    assert len(list((tmp_path / "books").iterdir())) == 2
+    with pytest.raises(Exception, match="no workbook"):
+        spark.read.format("sales_workbook").load(str(tmp_path / "books" / "x*.xlsx")).count()
+
+
 def test_repeated_headers_are_numbered():
     assert number_repeats(["a", "b", "a", None, "a"]) == ["a", "b", "a.1", "", "a.2"]
 
@@ -215,6 +242,47 @@ def test_panel_job_refuses_a_thin_panel(spark, landing, tmp_path):
         jobs.run_panel(spark, inputs, str(tmp_path))
 
 
+def test_a_thin_panel_leaves_the_earlier_one(spark, landing, tmp_path):
+    out, paths = str(tmp_path), [f"{landing}/{t}" for t in ("expenses", "plant", "income")]
+    good = jobs.Inputs(*paths, f"{landing}/Sales_Ult_Cust_*.xlsx")
+    jobs.run_panel(spark, good, out)
+    thin = jobs.Inputs(*paths, f"{landing}/Sales_Ult_Cust_*.xlsx", years=[2018, *range(1980, 1995)])
+    with pytest.raises(ValueError, match="row_count"):
+        jobs.run_panel(spark, thin, out)
+    assert spark.read.parquet(f"{out}/analysis_ready").count() == 18
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["analysis_ready"]
+    jobs.run_panel(spark, jobs.Inputs(*paths, good.sales, years=[2022, 2023]), out)
+    assert spark.read.parquet(f"{out}/analysis_ready").count() == 6
+
+
+def test_a_failed_write_or_swap_keeps_the_old_table(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    sinks.write_table(spark.range(3), path)
+    with pytest.raises(Exception, match="boom"):
+        sinks.write_table(spark.range(9).selectExpr("raise_error('boom') AS x"), path)
+    assert spark.read.parquet(path).count() == 3
+    rename, calls = sinks._rename, []
+
+    def failing(session, source, target):
+        calls.append(target)
+        if len(calls) == 2:
+            raise OSError("no")
+        rename(session, source, target)
+
+    monkeypatch.setattr(sinks, "_rename", failing)
+    with pytest.raises(OSError):
+        sinks.write_table(spark.range(5), path)
+    assert spark.read.parquet(path).count() == 3
+    monkeypatch.undo()
+    sinks._rename(spark, path, sinks._beside(path, "previous"))  # as if a job ended here
+    sinks.restore(spark, path)
+    assert spark.read.parquet(path).count() == 3
+    sinks.write_table(spark.range(5), path)
+    # A table may be replaced by one made from it.
+    sinks.write_table(spark.read.parquet(path).where("id > 0"), path, check=lambda t: t.count())
+    assert spark.read.parquet(path).count() == 4
+
+
 def test_command_line(spark, landing, tmp_path):
     out = str(tmp_path)
     jobs.main([
