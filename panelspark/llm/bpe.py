@@ -29,10 +29,10 @@ from panelspark.sources.sinks import stage
 
 PART = 1 << 16  # characters of a text, or bytes of a piece, that one task encodes at once
 LEAF = 1 << 12  # bytes of a piece that are encoded without halving
-CACHED_UNITS = 500_000
+CACHED_UNITS = 400_000
 CACHED_LENGTH = 256  # longer units are seldom seen again
 FIRST_WINDOW = 4
-CHUNK_CHARS = 4 << 20
+CHUNK_CHARS = 1 << 20
 
 # Printable bytes stand for themselves in a byte-level vocabulary, the others for
 # the characters from 256 on.
@@ -220,6 +220,16 @@ class ByteTokenizer:
         return self.octets[at].tobytes().decode("utf-8", "replace")
 
 
+_LOADED: dict[str, ByteTokenizer] = {}
+
+
+def loaded(path: str) -> ByteTokenizer:
+    """One tokenizer per Python worker: the units that a task has learned serve the next ones."""
+    if path not in _LOADED:
+        _LOADED[path] = ByteTokenizer(path)
+    return _LOADED[path]
+
+
 def _chunks(texts: list[str]) -> Iterator[slice]:
     first, size = 0, 0
     for i, t in enumerate(texts):
@@ -298,17 +308,18 @@ def encode(
     result = f"id {kind}, ids array<int>, decoded string"
 
     def direct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = ByteTokenizer(tokenizer_path)
         for batch in batches:
             texts = batch.column(1).to_pylist()
+            tokenizer = loaded(tokenizer_path)
             for some in _chunks(texts) if texts else ():
                 ids, cuts = tokenizer.encode(texts[some])
                 yield _result(tokenizer, batch.column(0).slice(some.start, some.stop - some.start),
                               ids, cuts)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, task, row = ByteTokenizer(tokenizer_path), TaskContext.get().partitionId(), 0
+        task, row = TaskContext.get().partitionId(), 0
         for batch in batches:
+            tokenizer = loaded(tokenizer_path)
             for r in range(batch.num_rows):
                 key, row = (task << 32) + row, row + 1
                 for place, (joins, plain, content) in enumerate(
@@ -322,8 +333,8 @@ def encode(
                     )
 
     def encode_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = ByteTokenizer(tokenizer_path)
         for batch in batches:
+            tokenizer = loaded(tokenizer_path)
             for r in range(batch.num_rows):
                 content = batch.column(5)[r].as_py()
                 if batch.column(4)[r].as_py():
@@ -340,7 +351,7 @@ def encode(
                 )
 
     def join_parts(group: pa.Table) -> pa.Table:
-        tokenizer = ByteTokenizer(tokenizer_path)
+        tokenizer = loaded(tokenizer_path)
         group = group.sort_by("place")
         done, open_ = [], []  # open_: what the next part's first piece may join
         for r in range(len(group)):
