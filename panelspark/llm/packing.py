@@ -15,9 +15,12 @@ on a source's way down these trees are a column of its tokens, so no list of sou
 
 from __future__ import annotations
 
+import json
 import unicodedata
+import uuid
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import without
-from panelspark.sources.sinks import stage
+from panelspark.llm.common import spread
+from panelspark.sources.sinks import stage, stage_path
 
 SEQUENCE = 2048
 END = 1
@@ -44,24 +47,54 @@ PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 PROBES = ["hello", "straße", "éaument", "niño", "ünd", "большой", "ﬀx", "a", "internationalization"]
 
 
+# How a tokenizer file has to cut for its words to be encoded one by one. Pieces are
+# runs of letters, single digits and runs of other marks; white space is dropped and nothing that
+# is done before looks across it.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+
+
+def cuts_at_spaces(spec: dict) -> bool:
+    """Whether a tokenizer file's pieces neither hold nor look across white space."""
+    normalizer, split = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
+    first = (split.get("pretokenizers") or [{}])[0]
+    added = [a for a in spec["added_tokens"] if a["lstrip"] or a["rstrip"] or a["single_word"]]
+    return (
+        normalizer.get("type") == "Sequence" and normalizer["normalizers"] == NORMALIZERS
+        and split.get("type") == "Sequence" and first.get("type") == "Split"
+        and first["pattern"] == {"Regex": SPLIT} and first["behavior"] == "Removed"
+        and first["invert"] and not added and not spec.get("truncation")
+    )
+
+
 class WordTokenizer:
-    """Token ids of many texts through the distinct words between their ASCII spaces.
+    """Token ids of many texts, as the library encodes them without adding special tokens.
 
-    Valid for a tokenizer whose pieces never hold or look across a space and which lower-cases
-    and drops spaces, such as word_bpe_49k. A word of letters alone is one piece and goes to the
+    Where the tokenizer's pieces never hold or look across a space (`cuts_at_spaces`), texts are
+    encoded through their distinct words. A word of letters alone is one piece and goes to the
     merge table directly, if that gives the same ids for PROBES; any other word goes through the
-    whole tokenizer. Strings of special tokens are ordinary text.
+    whole tokenizer. Texts that hold a special token's string, and all texts of any other
+    tokenizer, are encoded whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.by_words = cuts_at_spaces(spec)
+        self.specials = [a["content"] for a in spec["added_tokens"]]
         self.merge = self.tokenizer.model.tokenize
         others = [b for b in range(256) if b not in set(PRINTABLE)]
         self.as_byte = {b: chr(256 + i) for i, b in enumerate(others)}
-        self.direct = all(self.letters(w) == self.encode(w) for w in PROBES)
+        self.direct = self.by_words and all(self.letters(w) == self.encode(w) for w in PROBES)
         self.forget()
 
     def encode(self, word: str) -> list[int]:
@@ -117,6 +150,18 @@ class WordTokenizer:
     def ids(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text (NULL is empty)."""
         texts = texts.cast(pa.large_string()).fill_null("")
+        whole = np.full(len(texts), not self.by_words)
+        for special in self.specials:
+            whole |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
+        if whole.any():
+            out: list = [None] * len(texts)
+            for i in np.flatnonzero(whole).tolist():
+                out[i] = np.array(self.encode(texts[i].as_py()), np.uint32)
+            rest = np.flatnonzero(~whole)
+            if len(rest):
+                for i, ids in zip(rest.tolist(), self.ids(texts.take(pa.array(rest)))):
+                    out[i] = ids
+            return out
         if self.direct:  # a mark that ends a word of letters is a piece of its own
             texts = pc.replace_substring_regex(texts, r"([A-Za-zÀ-ÖØ-öø-ÿ])([.,!?;:$*%#&|]+\s)", r"\1 \2")
         pieces = pc.ascii_split_whitespace(texts)
@@ -152,8 +197,9 @@ def tokenize(
     docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text: str = "text",
     source: str = "source", end: int = END,
 ) -> DataFrame:
-    """(id, source, ids, n_tokens, part, part_start): each document's ids and the end id, as
-    little-endian unsigned 32-bit numbers, and its place in its source's part of the queue."""
+    """(id, source, ids, n_tokens, part, nth, part_start): each document's ids and the end id, as
+    little-endian unsigned 32-bit numbers, its source's number in its task's part, and its place
+    in its source's part of the queue. A text of any length is encoded whole; its ids are one value."""
     rows = docs.select(
         F.col(f"`{id_column}`").alias("id"), F.col(f"`{source}`").cast("string").alias("source"),
         F.col(f"`{text}`").cast("string").alias("text"),
@@ -162,7 +208,7 @@ def tokenize(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = WordTokenizer(tokenizer_path)
-        part, sent = TaskContext.get().partitionId(), {}
+        part, sent, number = TaskContext.get().partitionId(), {}, {}
         last = np.array([end], "<u4").tobytes()
         for batch in batches:
             done = 0
@@ -171,22 +217,36 @@ def tokenize(
                 coded = [i.astype("<u4").tobytes() + last for i in ids]
                 own = batch.slice(done, len(texts))
                 done += len(texts)
-                starts = []
+                starts, nth = [], []
                 for name, c in zip(own.column(1).to_pylist(), coded):
+                    nth.append(number.setdefault(name, len(number)))
                     starts.append(sent.get(name, 0))
                     sent[name] = starts[-1] + len(c) // 4
                 yield pa.RecordBatch.from_arrays(
                     [own.column(0), own.column(1), pa.array(coded, pa.binary()),
                      pa.array([len(c) // 4 for c in coded], pa.int64()),
-                     pa.array([part] * len(coded), pa.int64()), pa.array(starts, pa.int64())],
-                    ["id", "source", "ids", "n_tokens", "part", "part_start"],
+                     pa.array([part] * len(coded), pa.int64()), pa.array(nth, pa.int32()),
+                     pa.array(starts, pa.int64())],
+                    ["id", "source", "ids", "n_tokens", "part", "nth", "part_start"],
                 )
 
     return rows.mapInArrow(
-        run, f"id {kind}, source string, ids binary, n_tokens long, part long, part_start long"
+        run, f"id {kind}, source string, ids binary, n_tokens long, part long, nth int,"
+        " part_start long"
     )
 
 
+def stage_by_part(tokens: DataFrame) -> DataFrame:
+    """The tokens written once, bucketed by part: a task's part is one file, and a join on the part
+    reads the ids where they are, without a shuffle or a sort of them."""
+    spark, name = tokens.sparkSession, f"tokens_{uuid.uuid4().hex}"
+    writer = tokens.write.format("parquet").option("path", stage_path(spark))
+    writer.bucketBy(spread(tokens), "part").saveAsTable(name)
+    staged = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # only its name: the files are outside the warehouse
+    return staged
+
+
 class Mixture:
     """How many tokens each queue has sent after x positions.
 
@@ -206,16 +266,22 @@ class Mixture:
             cum = [0]
             for q, w in enumerate(weights):
                 cum.append(cum[-1] + (w if rest[q] else 0))
-            low, high = 0, sum(rest)
+            # Rounding along the tree moves a count by less than one at each of its levels, so only
+            # queues that can be the first to be empty within that have to be looked at.
+            weight, off = cum[-1], len(cum).bit_length() + 1
+            own = {q: cum[q + 1] - cum[q] for q in open_ if cum[q + 1] > cum[q]}
+            latest = min((rest[q] + off) * weight // w + 1 for q, w in own.items())
+            first = [q for q, w in own.items() if (rest[q] - off) * weight // w <= latest]
+            low, high = 0, min(sum(rest), latest)
             while low < high:
                 x = (low + high + 1) // 2
-                if all(self._in_phase(cum, q, x)[0] <= rest[q] for q in open_):
+                if all(self._in_phase(cum, q, x)[0] <= rest[q] for q in first):
                     low = x
                 else:
                     high = x - 1
             self.starts.append(at)
             self.phases.append(cum)
-            self.bases.append((list(sent), [sum(sent[:q]) for q in range(len(sent))]))
+            self.bases.append((list(sent), [0, *accumulate(sent)]))
             if low == 0:  # rounding gives the next token to a queue that has none left
                 low, cum = sum(rest), [0, *np.cumsum(np.array(rest, object)).tolist()]
                 self.phases[-1] = cum
@@ -308,7 +374,11 @@ def pack(
     every window (any positive whole numbers); sources without one follow when the others are
     empty. A target that is no such number, or names a source without documents, is an error. Without targets each source has its share of all tokens, so every window has the
     mixture of the corpus. A NULL text is its end id alone, a NULL source is a source, equal
-    rows are documents of their own, and an empty table has no pieces.
+    rows are documents of their own, a text of any length is cut like others, and an empty table
+    has no pieces. Columns other than the three named are left out, whatever their names.
+
+    Ids are written once and read where they lie: what a task needs to know of other tasks, one row
+    per part, goes to the ids.
     """
     targets = None if targets is None else {
         None if k is None else str(k): v for k, v in targets.items()
@@ -316,8 +386,10 @@ def pack(
     wrong = [k for k, v in (targets or {}).items() if v != int(v) or v <= 0]
     if wrong:
         raise ValueError(f"targets must be positive whole numbers: {wrong}")
-    tokens = stage(tokenize(docs, tokenizer_path, id_column, text, source, end))
-    parts = stage(tokens.groupBy("source", "part").agg(F.sum("n_tokens").alias("n")))
+    tokens = stage_by_part(tokenize(docs, tokenizer_path, id_column, text, source, end))
+    parts = stage(tokens.groupBy("source", "part").agg(
+        F.sum("n_tokens").alias("n"), F.min("nth").alias("nth")
+    ))
     total = parts.agg(F.sum("n")).first()[0] or 0
     by_source = parts.groupBy("source").agg(F.sum("n").alias("n"))
     named = F.col("n") * SMALLEST_SHARE >= F.lit(total)
@@ -338,28 +410,29 @@ def pack(
         weights = [int(targets.get(n, 0)) for n in names] + [0]
     mixture = Mixture(lengths, weights)
 
-    queue = F.when(F.lit(False), F.lit(0).cast("long"))
-    for i, n in enumerate(names):
-        queue = queue.when(F.col("source").eqNullSafe(F.lit(n)), F.lit(i).cast("long"))
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    starts = parts.select(
-        F.col("source").alias("of_source"), F.col("part").alias("of_part"),
-        queue.otherwise(F.lit(len(names)).cast("long")).alias("queue"),
-        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("queue_start"),
+    queues = docs.sparkSession.createDataFrame(
+        list(zip(names, range(len(names)))), "queue_source string, queue long"
     )
+    starts = parts.withColumn(
+        "queue_start", F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    ).join(queues, F.col("source").eqNullSafe(F.col("queue_source")), "left")
     if lengths[-1]:
         down = stage(ways(by_source.where(~named)))
-        starts = starts.join(
-            down, F.col("of_source").eqNullSafe(F.col("way_source")), "left"
-        ).drop("way_source")
+        starts = starts.join(down, F.col("source").eqNullSafe(F.col("way_source")), "left")
     else:
         starts = starts.withColumn("way", F.lit(None).cast("array<bigint>"))
+    # One row per part, its sources by their number there: a row of tokens finds its own by place.
+    of_part = starts.groupBy(F.col("part").alias("of_part")).agg(F.array_sort(F.collect_list(
+        F.struct("nth", F.expr(f"coalesce(queue, {len(names)}L) AS queue"), "queue_start", "way")
+    )).alias("starts"))
     placed = tokens.join(
-        starts,
-        (F.col("part") == F.col("of_part")) & F.col("source").eqNullSafe(F.col("of_source")),
-    ).selectExpr("id", "ids", "queue", "queue_start + part_start AS queue_start", "way")
+        of_part.hint("shuffle_hash"), F.col("part") == F.col("of_part")
+    ).selectExpr("id", "ids", "part_start", "get(starts, nth) AS s").selectExpr(
+        "id", "ids", "s.queue", "s.queue_start + part_start AS queue_start", "s.way"
+    )
     kind = placed.schema["id"].dataType.simpleString()
     full, tail = sequence_bounds(total, size)
     windows = full + len(tail) - 1

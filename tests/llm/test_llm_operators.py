@@ -72,7 +72,7 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_names_do_not_clash():
     assert not set(QUERIES) & set(REGISTRY)
-    assert {int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES} == set(range(1, 14))
 
 
 # ---- 1 --------------------------------------------------------------------------------
@@ -315,18 +315,62 @@ def test_targets_of_small_sources_are_honoured(spark):
             packing.pack(docs, tokenizer_path(), targets=wrong)
 
 
-def test_words_are_tokenized_as_whole_texts():
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_words_are_tokenized_as_whole_texts(name):
+    """By the plain library: strings of special tokens are those tokens, and a tokenizer whose
+    pieces hold the space before them is not taken apart at spaces."""
     import pyarrow as pa
     from tokenizers import Tokenizer
 
-    coder = Tokenizer.from_file(tokenizer_path())
-    coder.encode_special_tokens = True
+    coder = Tokenizer.from_file(tokenizer_path(name))
     texts = ["It's the ΣΣ end", "a,b c.\n", "x\u00a0y", "ﬁn ＡＢ e\u0301té E\u0301", "İstanbul I",
              "3.14, '' 's foo's. foo'.", "<|endoftext|> a", "\x1c\x85 z.", "日本語 한국어 ا ـ",
-             "don't. DON'T! a's, ", "ǅ ǆ ß ẞ", None, "", "  ", "$. a$. é, é.", "a .", "a!?,. b"]
-    got = packing.WordTokenizer(tokenizer_path()).ids(pa.array(texts))
+             "don't. DON'T! a's, ", "ǅ ǆ ß ẞ", None, "", "  ", "$. a$. é, é.", "a .", "a!?,. b",
+             "end <|endoftext|> more", "x<|startoftext|>y <|ENDOFTEXT|> Z", "<|endoftext|>" * 3,
+             "the word  the\tword"]
+    tokenizer = packing.WordTokenizer(tokenizer_path(name))
+    assert tokenizer.by_words == (name == "word_bpe_49k.json")
     want = [coder.encode(t or "", add_special_tokens=False).ids for t in texts]
-    assert [g.tolist() for g in got] == want
+    for some in (texts, texts[-4:-1]):
+        got = tokenizer.ids(pa.array(some))
+        assert [g.tolist() for g in got] == want[: len(some)] if some is texts else want[-4:-1]
+
+
+def test_ids_are_not_shuffled(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    for threshold in ("-1", "10485760"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            plan = packing.pack(docs, tokenizer_path())._jdf.queryExecution().executedPlan()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        lines = plan.toString().split("\n")
+        depth = [re.search(r"[A-Za-z*]", line).start() if line.strip() else 0 for line in lines]
+        scans = [i for i, line in enumerate(lines) if "FileScan parquet [id#" in line]
+        assert len(scans) == 1 and "Bucketed: true" in lines[scans[0]]
+        at, above = depth[scans[0]], []
+        for i in range(scans[0], -1, -1):
+            if depth[i] < at:
+                at = depth[i]
+                above.append(lines[i])
+        assert any("ShuffledHashJoin" in line for line in above)
+        assert not any(re.search("Exchange|Sort ", line) for line in above)
+
+
+def test_mixture_of_a_thousand_queues_with_targets():
+    rng = random.Random(6)
+    lengths = [rng.randint(1, 10**6) for _ in range(1000)]
+    weights = [rng.randint(1, 50) for _ in lengths]
+    mixture = packing.Mixture(lengths, weights)
+    total = sum(lengths)
+    assert mixture.total == total
+    for q in rng.sample(range(1000), 20):
+        sent = [mixture.sent(q, x)[0] for x in range(0, total + 1, total // 50)]
+        assert sent == sorted(sent) and mixture.sent(q, total)[0] == lengths[q]
+    x = total // 3
+    counts = [mixture.sent(q, x) for q in range(1000)]
+    assert sum(c for c, _ in counts) == x
+    assert [b for _, b in counts] == [sum(c for c, _ in counts[:q]) for q in range(1000)]
 
 
 # ---- 4, 5 -----------------------------------------------------------------------------
