@@ -346,7 +346,7 @@ def test_ids_are_not_shuffled(spark):
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         lines = plan.toString().split("\n")
         depth = [re.search(r"[A-Za-z*]", line).start() if line.strip() else 0 for line in lines]
-        scans = [i for i, line in enumerate(lines) if "FileScan parquet [id#" in line]
+        scans = [i for i, line in enumerate(lines) if re.search(r"FileScan parquet.*\bids#", line)]
         assert len(scans) == 1 and "Bucketed: true" in lines[scans[0]]
         at, above = depth[scans[0]], []
         for i in range(scans[0], -1, -1):
