@@ -36,7 +36,7 @@ from pyspark.sql.types import (
 from panelspark.llm.common import spread
 from panelspark.llm.urls import host_and_path
 
-MAX_PARTS = 4096
+MAX_PARTS = 1 << 16  # borders that the driver holds: some 10 MB
 PAGES_PER_PART = 64
 COPY_PERCENT = 95
 ADDED = ["text", "n_chars", "n_lines", "n_shared", "n_marked"]
@@ -65,44 +65,68 @@ BOILERPLATE = {
 }
 # Names that only mean the page's own header outside an article.
 PAGE_HEADER = {"header", "banner", "masthead"}
+# A name with one of these says what is not there, or what surrounds it.
+NEGATED = {"no", "not", "non", "without", "with", "has", "hide", "is"}
+# Words that say nothing of a block's content.
+LAYOUT = {"box", "block", "container", "wrapper", "wrap", "inner", "outer", "left", "right", "top",
+          "bottom", "row", "col", "column", "item", "list", "area", "unit", "slot", "small", "large"}
+# Elements that may hold the whole page although they are not content themselves.
+WRAPPERS = {"form", "fieldset"}
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)",
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)(?:>|\Z)",
     re.DOTALL,
 )
 _NAMES = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true", re.I)
 
 
-def _named(attributes: str) -> set[str]:
-    """The words of class, id and role."""
+def _named(attributes: str) -> tuple[set[str], bool]:
+    """(words in class, id and role that name what is not the article, whether that is all that
+    these attributes say)."""
     found: set[str] = set()
+    only = True
     for m in _NAMES.finditer(attributes):
         value = m.group(2) or m.group(3) or m.group(4) or ""
-        value = re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()
-        found.update(w for w in re.split(r"[^a-z0-9]+", value) if w)
-    return found
+        for name in re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower().split():
+            words = {w for w in re.split(r"[^a-z0-9]+", name) if w}
+            if words & NEGATED:
+                continue
+            unwanted = words & (BOILERPLATE | PAGE_HEADER)
+            found |= unwanted
+            only &= bool(unwanted) or all(w in LAYOUT or w.isdigit() for w in words)
+    return found, only
+
+
+Line = tuple[str, bool, bool, bool]
 
 
-def read_lines(page: str | None) -> tuple[list[tuple[str, bool, bool]], bool]:
-    """(text, in an article, marked as something else) of every line with text, in page order,
-    and whether the page marks an article."""
+def read_lines(page: str | None) -> tuple[list[Line], bool]:
+    """(text, in an article, marked as something else, doubtful) of every line with text, in page
+    order, and whether the page marks an article.
+
+    Doubtful are lines of an article whose block bears a name like an advert's among others: a
+    neighbour has to share them before they go. A form, or a block named like something else, may be
+    round the whole page: if all articles lie in such, that is no reason to drop them.
+    """
     page = page or ""
-    lines: list[tuple[str, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, in an article, dropped
+    lines: list[tuple[str, int, bool, bool]] = []
+    stack: list[tuple[str, int, bool, bool, bool]] = []  # element, article, dropped, firmly, doubtful
     parts: list[str] = []
+    outside, article, wrapped = 0, 1, 2
     has_article = False
 
-    def state() -> tuple[bool, bool]:
-        return (stack[-1][1], stack[-1][2]) if stack else (False, False)
+    def state() -> tuple[int, bool, bool, bool]:
+        return stack[-1][1:] if stack else (outside, False, False, False)
 
     def flush() -> None:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             parts.clear()
             if text:
-                lines.append((text, *state()))
+                inside, dropped, _, doubtful = state()
+                lines.append((text, inside, dropped, doubtful))
 
     at = 0
     while True:
@@ -138,26 +162,36 @@ def read_lines(page: str | None) -> tuple[list[tuple[str, bool, bool]], bool]:
         flush()
         if name in VOID or name in ("p", "br"):
             continue
-        inside, dropped = state()
-        names = _named(m.group(3)) if m.group(3) else set()
+        inside, dropped, firmly, doubtful = state()
+        names, only = _named(m.group(3)) if m.group(3) else (set(), True)
         if name in ("article", "main"):
-            comment = names & {"comment", "comments", "reply"}
-            dropped = dropped or bool(comment)
-            if not dropped:
-                inside = has_article = True
+            if names & {"comment", "comments", "reply"}:
+                dropped = firmly = True
+            elif not dropped:
+                inside = inside or article
+                has_article = has_article or inside == article
+            elif not firmly and not inside:
+                inside, dropped = wrapped, False
         elif name in DROPPED or (name == "header" and not inside):
-            dropped = True
+            dropped, firmly = True, firmly or name not in WRAPPERS
         elif name not in UNNAMED:
-            unwanted = names & BOILERPLATE
+            if m.group(3) and _HIDDEN.search(m.group(3)):
+                dropped = firmly = True
             if inside:
-                unwanted -= PAGE_HEADER
-            elif names & PAGE_HEADER:
-                dropped = True
-            dropped = dropped or bool(unwanted) or bool(m.group(3) and _HIDDEN.search(m.group(3)))
+                names -= PAGE_HEADER
+                dropped = dropped or bool(names) and only
+                doubtful = doubtful or bool(names) and not only
+            else:
+                dropped = dropped or bool(names)
         if not m.group(3).endswith("/"):
-            stack.append((name, inside, dropped))
+            stack.append((name, inside, dropped, firmly, doubtful))
     flush()
-    return lines, has_article
+    if not has_article and any(inside == wrapped and not dropped for _, inside, dropped, _ in lines):
+        has_article, article = True, wrapped
+    return [
+        (text, inside == article, dropped or inside not in (outside, article), doubtful)
+        for text, inside, dropped, doubtful in lines
+    ], has_article
 
 
 def common_lines(a: list[str], b: list[str]) -> set[int]:
@@ -187,10 +221,10 @@ def common_lines(a: list[str], b: list[str]) -> set[int]:
     return found
 
 
-def outline(lines: list[tuple[str, bool, bool]], has_article: bool) -> dict[int, int]:
+def outline(lines: list[Line], has_article: bool) -> dict[int, int]:
     """Hash of each different line that the markup lets stay, and its characters in the page."""
     found: dict[int, int] = {}
-    for text, inside, dropped in lines:
+    for text, inside, dropped, _ in lines:
         if not dropped and (inside or not has_article):
             key = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
             found[key] = found.get(key, 0) + len(text)
@@ -321,10 +355,11 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source
     """(page_id, url, text, n_chars, n_lines, n_shared, n_marked) of every page.
 
     `n_shared` lines were shared with a neighbour, `n_marked` named by the markup as something
-    else than the article; of both, those in the article stay. A NULL or empty page has empty
-    text; a page with NULL url, or one without `://`, belongs to the empty host; equal rows are
-    pages of their own and copies; a host of copies alone has no neighbours, so its unmarked pages
-    keep what the markup does not name; other columns are left out.
+    else than the article; of both, those in the article stay, but for shared lines of a doubtful
+    block. A NULL or empty page has empty text, a page of any length is read whole; a page with NULL
+    url, or one without `://`, belongs to the empty host; equal rows are pages of their own and
+    copies; a host of copies alone has no neighbours, so its unmarked pages keep what the markup
+    does not name; an empty table has no rows; other columns are left out, whatever their names.
     """
     host, path = host_and_path("url")
     rows = pages.select(
@@ -375,7 +410,9 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source
 
     def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def runs():
-            group, run, first, known = None, [], {}, {}
+            """(host of a part, first page, last page, pages): a run's pages are its different
+            contents, each with the ids and urls of its copies, so that a copy costs no more."""
+            group, first, pages, known, last = None, {}, {}, {}, None
             for batch in batches:
                 columns = [batch.column(batch.schema.get_field_index(c)) for c in
                            ("page_id", "url", "part", "host", "html", "context")]
@@ -383,27 +420,28 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source
                     i, u, part, site, body, context = (v.as_py() for v in values)
                     lines, has_article = read_lines(body)
                     seen = outline(lines, has_article)
-                    if run and (group != (part, site) or not are_copies(first, seen)):
-                        yield group, run
-                        run = []
-                    if not run:
-                        group, first, known = (part, site), seen, {}
-                    # Copies hold their common lines once in memory.
-                    lines = [known.setdefault(line, line) for line in lines]
-                    run.append((i, u, context, lines, has_article))
-            if run:
-                yield group, run
-            yield None, None
+                    if pages and (group != (part, site) or not are_copies(first, seen)):
+                        yield group, pages, last
+                        pages = {}
+                    if not pages:
+                        group, first, pages, known = (part, site), seen, {}, {}
+                    # Pages of a run hold their common lines once in memory.
+                    last = (tuple(known.setdefault(line, line) for line in lines), has_article)
+                    pages.setdefault(last, []).extend([] if context else [(i, u)])
+            if pages:
+                yield group, pages, last
+            yield None, None, None
 
         def texts_of(page) -> list[str]:
-            return [line[0] for line in page[3]]
+            return [line[0] for line in page[0]]
 
         done, size = [], 0
-        group, run, before = None, None, None  # `before`: texts of the last page of the run before
-        for next_group, next_run in runs():
-            after = texts_of(next_run[0]) if run and next_run and next_group == group else None
-            for i, u, context, lines, has_article in run or ():
-                if context:
+        group, run, before, last = None, None, None, None
+        for next_group, next_run, next_last in runs():
+            near = run is not None and next_run is not None and next_group == group
+            after = texts_of(next(iter(next_run))) if near else None
+            for (lines, has_article), owners in (run or {}).items():
+                if not owners:
                     continue
                 texts = [line[0] for line in lines]
                 shared: set[int] = set()
@@ -411,22 +449,23 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source
                     if other is not None:
                         shared |= common_lines(texts, other)
                 kept, marked = [], 0
-                for k, (text, inside, dropped) in enumerate(lines):
+                for k, (text, inside, dropped, doubtful) in enumerate(lines):
                     marked += dropped or (has_article and not inside)
-                    if dropped or not (inside if has_article else k not in shared):
-                        continue
-                    kept.append(text)
+                    differs = k not in shared
+                    if not dropped and (inside and (differs or not doubtful) if has_article else differs):
+                        kept.append(text)
                 text = " ".join(kept)
-                done.append({
-                    "page_id": i, "url": u, "text": text, "n_chars": len(text),
-                    "n_lines": len(lines), "n_shared": len(shared), "n_marked": marked,
-                })
-                size += len(text)
-                if size > 1 << 22:
-                    yield pa.RecordBatch.from_pylist(done, schema=arrow)
-                    done, size = [], 0
-            before = texts_of(run[-1]) if run and next_group == group else None
-            group, run = next_group, next_run
+                for i, u in owners:
+                    done.append({
+                        "page_id": i, "url": u, "text": text, "n_chars": len(text),
+                        "n_lines": len(lines), "n_shared": len(shared), "n_marked": marked,
+                    })
+                    size += len(text)
+                    if size > 1 << 22:
+                        yield pa.RecordBatch.from_pylist(done, schema=arrow)
+                        done, size = [], 0
+            before = texts_of(last) if near else None
+            group, run, last = next_group, next_run, next_last
         if done:
             yield pa.RecordBatch.from_pylist(done, schema=arrow)
 

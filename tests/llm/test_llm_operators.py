@@ -167,6 +167,57 @@ def test_extraction_returns_the_articles(spark):
         assert r["text"] == " ".join(html_module.unescape(body).split())
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<form id='page'><div><article>In a form</article></div></form>x", "In a form"),
+    ("<form><nav>n</nav><main>Main <form>f</form>text</main></form>", "Main text"),
+    ("<article><p data-x=it's>one</p> two <p title='a>b' id=c>three</p></article>", "one two three"),
+    ("<article>a <div class='share price table'>Prices of shares</div></article>",
+     "a Prices of shares"),
+    ("<article>a <div class='share'>tell</div><div class=\"ad-box left\">buy</div> b</article>", "a b"),
+    ("<div class='layout no-sidebar'><article>With a layout</article></div>", "With a layout"),
+    ("<div class='related'><article>teaser</article></div><article>real</article>", "real"),
+    ("<aside><article>teaser</article></aside><div class='sidebar-wrap'><main>real</main></div>", "real"),
+    ("<article>text<article class=comment>c</article></article>", "text"),
+    ("<article hidden>no</article><article>yes<div aria-hidden=true>no</div></article>", "no yes"),
+])
+def test_what_holds_the_article_does_not_lose_it(page, text):
+    lines, has_article = html.read_lines(page)
+    assert has_article and " ".join(t for t, inside, gone, _ in lines if inside and not gone) == text
+
+
+def test_doubtful_blocks_go_where_neighbours_share_them(spark):
+    body = ("<article><h1>T{0}</h1><div class='share price table'>Price {1}</div>"
+            "<div class='share our story'>Tell your friends</div><p>Text {0}</p></article>")
+    rows = [(i, f"http://h.org/{i}", body.format(i, i * i), 1) for i in range(5)]
+    got = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string, N_CHARS int"))
+    assert {r["page_id"]: r["text"] for r in got.collect()} == {
+        i: f"T{i} Price {i * i} Text {i}" for i in range(5)}
+
+
+def test_differencing_equals_brute_force(spark, monkeypatch):
+    """Unmarked pages of several hosts: lines that the page before or after has too go."""
+    monkeypatch.setattr(html, "PAGES_PER_PART", 5)
+    rng = random.Random(12)
+    rows = []
+    for h in range(4):
+        for i in range(25):
+            lines = [f"Site {h}", *(["Sign in"] if i % 3 else []), f"Own {h} {i} {rng.random()}",
+                     *([f"Season {i // 4}"] if i % 2 else []), f"More {rng.random()} of {i}", "Imprint"]
+            rows.append((h * 100 + i, f"http://h{h}.org/{i:03}", "".join(f"<div>{x}</div>" for x in lines)))
+    rows.append((999, "http://h0.org/010", "x" * 300_000))
+    got = {r["page_id"]: r["text"] for r in html.extract(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    sites = {}
+    for i, u, page in rows:
+        host, path = u[7:].split("/")
+        sites.setdefault(host, []).append((path, i, re.findall("<div>(.*?)</div>", page) or [page]))
+    for pages in sites.values():
+        pages.sort(key=lambda p: (p[0], str(p[1])))
+        for k, (_, i, lines) in enumerate(pages):
+            near = [pages[j][2] for j in (k - 1, k + 1) if 0 <= j < len(pages)]
+            assert got[i] == " ".join(x for x in lines if not any(x in n for n in near))
+
+
 def test_copies_and_part_borders_leave_neighbours(spark, monkeypatch):
     page = "<body><div>Site {0}</div><div>About us</div><p>Story {0} {1} with words of its own</p></body>"
 
