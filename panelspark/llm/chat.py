@@ -76,17 +76,19 @@ def format_conversations(
     """(conv_id, turns, formatted, escaped, round_trip, loss_spans) per conversation.
 
     `turns` are the rows in the order of turn, role and text, NULLs first; a NULL role or text is
-    empty. Repeated rows are turns of their own, and rows without conv_id are one
-    conversation. `loss_spans` are [start, end) in code points of the formatted text, one per
-    assistant text. Other columns are left out.
+    empty. Repeated rows are turns of their own; a row without conv_id is a conversation of its
+    own, so any number of them is spread. Texts of any length are rendered whole. `loss_spans` are
+    [start, end) in code points of the formatted text, one per assistant text. An empty table has no
+    conversations; other columns are left out, whatever their names.
     """
     grouped = (
         without(rows.selectExpr(
             f"`{conv_id}` AS conv_id",
+            f"CASE WHEN `{conv_id}` IS NULL THEN monotonically_increasing_id() END AS alone",
             f"struct(`{turn}` AS turn, coalesce(CAST(`{role}` AS STRING), '') AS role,"
             f" coalesce(CAST(`{text}` AS STRING), '') AS text) AS t",
         ))
-        .groupBy("conv_id")
+        .groupBy("conv_id", "alone")
         .agg(F.expr("transform(array_sort(collect_list(t), (a, b) -> CASE"
                     " WHEN a.turn <=> b.turn THEN CASE WHEN a.role < b.role THEN -1"
                     " WHEN a.role > b.role THEN 1 WHEN a.text < b.text THEN -1"

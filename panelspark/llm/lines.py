@@ -69,20 +69,34 @@ def templates(lines: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         .groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(f"n >= {min_docs}")
     )
     own = lines.join(stage(often.select("leaf")), "leaf", "left_semi")
-    distinct = (
-        own.groupBy("leaf", "line_key", "doc_key").agg(F.min("line").alias("line"))
-        .groupBy("leaf", "line_key")
-        .agg(F.min("line").alias("line"), F.count(F.lit(1)).alias("n_docs"))
+    # A line once per document that has it: a document counts once for a token of a leaf, however
+    # many of its lines there have that token at that place.
+    held = own.groupBy("leaf", "line_key", "doc_key").agg(F.min("line").alias("line"))
+    held = stage(held)
+    distinct = held.groupBy("leaf", "line_key").agg(
+        F.min("line").alias("line"), F.count(F.lit(1)).alias("n_docs")
     )
     tokens = distinct.selectExpr(
         "leaf", "line_key", "n_docs", "split(line, ' ') AS tokens"
     ).selectExpr("leaf", "line_key", "n_docs", f"posexplode({_MASKED}) AS (at, token)")
     tokens = stage(tokens)
-    shared = (
-        tokens.groupBy("leaf", "at", "token").agg(F.sum("n_docs").alias("support"))
-        .where(f"support >= {min_docs} AND token <> '{FIELD}'")
-        .selectExpr("leaf", "at", "token", "true AS constant")
+    counts = tokens.where(f"token <> '{FIELD}'").groupBy("leaf", "at", "token").agg(
+        F.sum("n_docs").alias("pairs"), F.count(F.lit(1)).alias("lines"),
+        F.max("n_docs").alias("most"),
     )
+    # Pairs of line and document bound the documents from above, the line that most documents have
+    # from below; documents are counted one by one only where the two leave it open.
+    counts = stage(counts.where(f"pairs >= {min_docs}"))
+    clear = counts.where(f"most >= {min_docs}").select("leaf", "at", "token")
+    doubt = counts.where(f"most < {min_docs}").select("leaf", "at", "token")
+    counted = (
+        tokens.join(doubt, ["leaf", "at", "token"]).select("leaf", "line_key", "at", "token")
+        .join(held.select("leaf", "line_key", "doc_key"), ["leaf", "line_key"])
+        .select("leaf", "at", "token", "doc_key").distinct()
+        .groupBy("leaf", "at", "token").agg(F.count(F.lit(1)).alias("support"))
+        .where(f"support >= {min_docs}").select("leaf", "at", "token")
+    )
+    shared = clear.unionByName(counted).withColumn("constant", F.lit(True))
     marked = tokens.join(shared, ["leaf", "at", "token"], "left")
     parts = marked.groupBy("leaf", "line_key").agg(
         F.expr(f"array_sort(collect_list(struct(at, CASE WHEN constant THEN token"

@@ -1,12 +1,15 @@
 """Quality rules with thresholds that follow the corpus.
 
 Each document gets a few whole-number rates. Per language and source a quantile sketch counts
-the documents by rate bucket: a bucket keeps the five leading bits after the first, so quantiles
-are within 1/32 of the true value, and sketches merge by adding counts, in any order and with the
+the documents by rate bucket: a bucket keeps the eight leading bits after the first, so quantiles
+are within 1/256 of the true value, and sketches merge by adding counts, in any order and with the
 same result. A source with few documents in a language uses the merged sketch of the language.
-The fence of a rate lies at its median plus a multiple of the distance to the lower quartile,
-and never nearer than a stated slack. Rates that pile up at 0 have no such distance: there the slack
-is a fixed cutoff (the README has the counts). Everything is DataFrame and SQL expressions.
+
+The fence of a rate lies beyond its upper quartile, by a multiple of the quartile's distance from the
+median and the width of the quartile's bucket; a rate bounded from below has the same fence on the other
+side. What less than a quarter of a group has at all is thus an outlier in that group. As a few
+occurrences in a short document are no rate, a document is beyond a fence only if it still is
+without `FREE` of its occurrences. Everything is DataFrame and SQL expressions.
 """
 
 from __future__ import annotations
@@ -21,14 +24,25 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 FEW_DOCUMENTS = 50
-SPREAD = 6
+SPREAD = 8
+FREE = 2  # occurrences of one kind in a document that tell nothing
+BUCKET_BITS = 9
+
+
+def _rate(count: str, per: str, free: int = 0) -> str:
+    over = f"greatest({count} - {free}, 0)" if free else count
+    return f"1000 * {over} DIV {per}"
 
-# rate: (definition in thousandths, slack, bounded from below as well)
+
+# rate: (definition in thousandths, what is held against its fence, bounded from below as well)
 RATES = {
-    "symbol_rate": ("1000 * n_symbols DIV n_words", 100, False),
-    "dup_line_rate": ("1000 * n_dup_lines DIV n_lines", 500, False),
-    "stutter_rate": ("1000 * n_stutters DIV n_words", 200, False),
-    "word_length": ("1000 * word_chars DIV n_words", 1500, True),
+    name: (_rate(count, per), _rate(count, per, free), low)
+    for name, count, per, free, low in [
+        ("symbol_rate", "n_symbols", "n_words", FREE, False),
+        ("dup_line_rate", "n_dup_lines", "n_lines", FREE, False),
+        ("stutter_rate", "n_stutters", "n_words", FREE, False),
+        ("word_length", "word_chars", "n_words", 0, True),
+    ]
 }
 COUNTS = [
     "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_stutters",
@@ -37,15 +51,20 @@ ADDED = [*COUNTS, *RATES, "base_failed", "kept"]
 
 
 def bucket(value: str) -> str:
-    """The smallest value of the bucket: exact below 64, then six leading bits."""
-    shift = f"greatest(length(bin({value})) - 6, 0)"
+    """The smallest value of the bucket: exact below 512, then nine leading bits."""
+    shift = f"greatest(length(bin({value})) - {BUCKET_BITS}, 0)"
     return f"shiftleft(shiftright({value}, {shift}), {shift})"
 
 
+def bucket_width(value: str) -> str:
+    return f"shiftleft(1L, greatest(length(bin({value})) - {BUCKET_BITS}, 0))"
+
+
 def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds the counts of every whole text and `base_failed`. A NULL text has no words.
 
-    Windows, and words with the word before (`n_stutters`: alike), are compared by 64-bit hash
+    Very long texts are counted whole, an empty table stays empty, and columns named as the
+    results are replaced. Windows, and words with the word before (`n_stutters`: alike), are compared by 64-bit hash
     inside one document.
     """
     docs = without(docs, *ADDED)
@@ -128,10 +147,11 @@ def fences(sketch: DataFrame) -> DataFrame:
         F.max("total").alias("total"),
         F.expr("min(bucket) FILTER (WHERE 4 * upto >= total)").alias("q25"),
         F.expr("min(bucket) FILTER (WHERE 2 * upto >= total)").alias("q50"),
+        F.expr("min(bucket) FILTER (WHERE 4 * upto >= 3 * total)").alias("q75"),
     )
-    slack = " ".join(f"WHEN '{r}' THEN {s}" for r, (_, s, _) in RATES.items())
-    reach = f"greatest({SPREAD} * (q50 - q25), CASE rate {slack} END)"
-    limits = medians.selectExpr("*", f"q50 - {reach} AS low", f"q50 + {reach} AS high")
+    low = f"q25 - {SPREAD} * (q50 - q25) - {bucket_width('q25')}"
+    high = f"q75 + {SPREAD} * (q75 - q50) + {bucket_width('q75')}"
+    limits = medians.selectExpr("*", f"{low} AS low", f"{high} AS high")
     wide = limits.groupBy("lang", "source", "whole_lang").agg(
         F.max("total").alias("total"),
         *[F.expr(f"max({side}) FILTER (WHERE rate = '{r}')").alias(f"{r}_{side}")
@@ -154,10 +174,13 @@ def fences(sketch: DataFrame) -> DataFrame:
 def judge(counted: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
     """Adds `kept`: not base_failed and inside every fence. Reads `counted` twice: stage it.
 
-    A missing language or source is a group like any other. Equal rows are judged alike.
+    A missing language or source is a group like any other. Equal rows are judged alike, a
+    document without words fails, an empty table stays empty, and the columns of `with_counts` and
+    of the fences are the operator's own: others of `counted` are kept.
     """
     limits = fences(sketches(counted, lang, source))
-    inside = [f"{r} <= {r}_high" for r in RATES]
+    inside = [f"CASE WHEN n_words > 0 THEN {held} END <= {r}_high"
+              for r, (_, held, _) in RATES.items()]
     inside += [f"{r} >= {r}_low" for r, (_, _, low) in RATES.items() if low]
     joined = counted.join(
         limits,

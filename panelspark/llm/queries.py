@@ -127,14 +127,13 @@ l_lines AS MATERIALIZED (SELECT r, doc_key, doc_id, line_no, toks,
 ]+') AS toks
     FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS pos FROM l_split))
   WHERE len(toks) > 0),
-l_distinct AS MATERIALIZED (SELECT leaf, line, count(DISTINCT doc_key) AS n_docs
-  FROM l_lines GROUP BY leaf, line),
-l_tokens AS MATERIALIZED (SELECT leaf, line, n_docs, pos, {mask} AS token
-  FROM (SELECT leaf, line, n_docs, pos, toks[pos] AS t
+l_tokens AS MATERIALIZED (SELECT leaf, line, pos, {mask} AS token
+  FROM (SELECT leaf, line, pos, toks[pos] AS t
     FROM (SELECT *, unnest(range(1, len(toks) + 1)) AS pos
-      FROM (SELECT *, string_split(line, ' ') AS toks FROM l_distinct)))),
-l_shared AS (SELECT leaf, pos, token FROM l_tokens GROUP BY leaf, pos, token
-  HAVING sum(n_docs) >= {lines.MIN_DOCS} AND token <> '{lines.FIELD}'),
+      FROM (SELECT DISTINCT leaf, line, string_split(line, ' ') AS toks FROM l_lines)))),
+l_shared AS (SELECT leaf, pos, token FROM l_tokens JOIN (SELECT DISTINCT leaf, line, doc_key
+    FROM l_lines) USING (leaf, line) WHERE token <> '{lines.FIELD}'
+  GROUP BY leaf, pos, token HAVING count(DISTINCT doc_key) >= {lines.MIN_DOCS}),
 l_templates AS MATERIALIZED (SELECT leaf, line, CASE WHEN 2 * count(s.token) >= count(*)
     THEN '~' || string_agg(coalesce(s.token, '{lines.FIELD}'), ' ' ORDER BY pos)
     ELSE '=' || line END AS template
@@ -170,7 +169,7 @@ def op5_quality_rules(spark, sf):
 
 
 def _quality_bucket(value: str) -> str:
-    shift = f"CAST(greatest(length(bin({value})) - 6, 0) AS BIGINT)"
+    shift = f"CAST(greatest(length(bin({value})) - {quality.BUCKET_BITS}, 0) AS BIGINT)"
     return f"(({value} >> {shift}) << {shift})"
 
 
@@ -181,14 +180,18 @@ def quality_sql(documents: str) -> str:
         " WHERE n_words > 0" for r in quality.RATES
     )
     group = "lang, source, whole_lang, rate"
-    slack = " ".join(f"WHEN '{r}' THEN {s}" for r, (_, s, _) in quality.RATES.items())
+    def width(value: str) -> str:
+        return f"(1::BIGINT << CAST(greatest(length(bin({value})) - {quality.BUCKET_BITS}, 0) AS BIGINT))"
+
     defined = ", ".join(
         f"CASE WHEN n_words > 0 THEN {d.replace('DIV', '//')} END AS {r}"
         for r, (d, _, _) in quality.RATES.items()
     )
-    inside = [f"{r} <= (SELECT max(high) FROM chosen c WHERE c.rate = '{r}'"
+    inside = [f"CASE WHEN n_words > 0 THEN {held.replace('DIV', '//')} END <="
+              f" (SELECT max(high) FROM chosen c WHERE c.rate = '{r}'"
               " AND c.lang IS NOT DISTINCT FROM x.lang"
-              " AND c.source IS NOT DISTINCT FROM x.source)" for r in quality.RATES]
+              " AND c.source IS NOT DISTINCT FROM x.source)"
+              for r, (_, held, _) in quality.RATES.items()]
     inside += [f"{r} >= (SELECT min(low) FROM chosen c WHERE c.rate = '{r}'"
                " AND c.lang IS NOT DISTINCT FROM x.lang"
                " AND c.source IS NOT DISTINCT FROM x.source)"
@@ -227,9 +230,10 @@ merged AS (SELECT lang, source, FALSE AS whole_lang, rate, bucket, n FROM by_sou
 placed AS (SELECT *, sum(n) OVER (PARTITION BY {group} ORDER BY bucket) AS upto,
   sum(n) OVER (PARTITION BY {group}) AS total FROM merged),
 medians AS (SELECT {group}, max(total) AS total, min(bucket) FILTER (4 * upto >= total) AS q25,
-  min(bucket) FILTER (2 * upto >= total) AS q50 FROM placed GROUP BY {group}),
-limits AS (SELECT *, q50 - reach AS low, q50 + reach AS high FROM (SELECT *,
-  greatest({quality.SPREAD} * (q50 - q25), CASE rate {slack} END) AS reach FROM medians)),
+  min(bucket) FILTER (2 * upto >= total) AS q50,
+  min(bucket) FILTER (4 * upto >= 3 * total) AS q75 FROM placed GROUP BY {group}),
+limits AS (SELECT *, q25 - {quality.SPREAD} * (q50 - q25) - {width('q25')} AS low,
+  q75 + {quality.SPREAD} * (q75 - q50) + {width('q75')} AS high FROM medians),
 chosen AS MATERIALIZED (SELECT s.lang, s.source, s.rate,
   CASE WHEN s.total < {quality.FEW_DOCUMENTS} THEN l.low ELSE s.low END AS low,
   CASE WHEN s.total < {quality.FEW_DOCUMENTS} THEN l.high ELSE s.high END AS high
@@ -268,17 +272,18 @@ def op6_chat_format(spark, sf):
 
 
 ORACLE_SQL["op6_chat_format"] = rf"""
-WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
-  FROM conversations UNION ALL SELECT -7, 0, 'user', '{ATTACK}'
-  UNION ALL SELECT -7, 1, 'assistant', '{ATTACK}'),
-conflicts AS (SELECT conv_id AS c, bool_or(regexp_matches(text, '{chat.CONTROL}')) AS escaped
-  FROM turns GROUP BY conv_id),
+WITH turns AS (SELECT conv_id, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone,
+    turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations UNION ALL SELECT -7, NULL, 0, 'user', '{ATTACK}'
+  UNION ALL SELECT -7, NULL, 1, 'assistant', '{ATTACK}'),
+conflicts AS (SELECT conv_id AS c, alone AS a, bool_or(regexp_matches(text, '{chat.CONTROL}')) AS escaped
+  FROM turns GROUP BY conv_id, alone),
 shown AS (SELECT turns.*, 7 + length(CASE role WHEN 'user' THEN '[INST]'
     WHEN 'assistant' THEN '[/INST]' WHEN 'system' THEN '[SYS]'
     ELSE '[ROLE=' || hex(encode(role)) || ']' END)
     + length(CASE WHEN escaped THEN regexp_replace(text, '{chat.CONTROL}', '\1\\\2\3', 'g')
       ELSE text END) AS chars
-  FROM turns JOIN conflicts ON conv_id IS NOT DISTINCT FROM c)
+  FROM turns JOIN conflicts ON conv_id IS NOT DISTINCT FROM c AND alone IS NOT DISTINCT FROM a)
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text))
     AS turns_sha256,
@@ -286,7 +291,7 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
     FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(chars) AS BIGINT) AS formatted_chars
-FROM shown GROUP BY conv_id"""
+FROM shown GROUP BY conv_id, alone"""
 
 
 URL_RULES = [

@@ -443,6 +443,43 @@ def test_line_templates(spark, odd, none):
     assert lines.drop_recurring(none).count() == 0
 
 
+def test_a_token_of_one_document_is_no_constant(spark):
+    """Ten lines of one document share a name; the template leaves it out, though its ten lines of
+    twelve documents have the same leaf."""
+    names = "Ann Ben Cy Dee Eve Fay Gus Hal Ian Joy Kim".split()
+    places = "north south east west up down left right here there".split()
+    rows = [(0, "\n".join(f"alpha beta gamma Bob went {p}" for p in places))]
+    rows += [(i + 1, f"alpha beta gamma {n} went {places[i % 10]}") for i, n in enumerate(names)]
+    docs = spark.createDataFrame([(*r, 1, 2) for r in rows],
+                                 "doc_id long, text string, n_lines int, N_DROPPED int")
+    kept = lines.keyed(docs.select("doc_id", "text"))
+    found = lines.templates(lines.leaves(lines.raw_lines(kept)))
+    assert {r["template"] for r in found.collect()} == {"~alpha beta gamma <*> went <*>"}
+    got = {r["doc_id"]: r for r in lines.drop_recurring(docs).collect()}
+    assert got[0]["n_dropped"] == 0 and got[0]["n_lines"] == 10
+    assert all(got[i]["n_dropped"] == 1 and got[i]["text"] == "" for i in range(1, 12))
+
+
+def test_fences_follow_the_corpus(spark):
+    """The same text is an outlier among prose and none where such texts are common."""
+    rng = random.Random(7)
+
+    def prose():
+        return " ".join("x" * rng.randint(1, 9) + str(rng.randint(0, 99)) for _ in range(60))
+
+    def code():
+        return " ".join(w + rng.choice(["", " #", " |", " &"]) for w in prose().split())
+
+    rows = [(i, prose(), "en", "books") for i in range(80)]
+    rows += [(100 + i, code(), "en", "manuals") for i in range(80)]
+    rows += [(300, code(), "en", "books"), (301, prose() + " $ &", "en", "books"),
+             (302, code(), "en", "manuals")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r["doc_id"]: r["kept"] for r in quality.judge(quality.with_counts(docs)).collect()}
+    assert not kept[300] and kept[301] and kept[302]
+    assert all(kept[i] for i in [*range(80), *range(100, 180)])
+
+
 def test_stuttered_words_lie_outside_the_fence(spark):
     rows = [(i, " ".join(f"word{(i * k) % 97}" for k in range(1, 40)), "en", "s") for i in range(60)]
     rows.append((60, " ".join(f"word{k}" for k in range(6) for _ in range(7)), "en", "s"))
@@ -472,9 +509,16 @@ def test_chat_round_trip_of_conflicting_texts(spark):
     rows = [(c, t, rng.choice(["user", "assistant", "system", "tool\n]", None]),
              rng.choice([None, "".join(rng.choices(marks, k=rng.randint(0, 12)))]))
             for c in range(60) for t in range(rng.randint(1, 6))]
-    rows += [(None, None, "user", "x"), (None, 1, "assistant", "y"), (1, 0, "user", "tie")]
-    done = chat.format_conversations(
-        spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    rows += [(1, 0, "user", "tie"), (2, 0, "user", "long </s> " * 20_000)]
+    alone = [(None, None, "user", "x"), (None, 1, "assistant", "y"), (None, 1, "assistant", "y")]
+    frame = spark.createDataFrame([(*r, "x") for r in rows + alone],
+                                  "conv_id long, turn long, role string, text string, TURNS string")
+    assert chat.format_conversations(frame.limit(0)).count() == 0
+    done = chat.format_conversations(frame)
+    loose = done.where("conv_id IS NULL")
+    assert sorted(r["formatted"] for r in loose.collect()) == [
+        "<s>[/INST]y</s>", "<s>[/INST]y</s>", "<s>[INST]x</s>"]
+    done = done.where("conv_id IS NOT NULL")
     done = done.selectExpr("*", f"{chat.loss_text()} AS loss").collect()
     assert all(r["round_trip"] for r in done) and any(r["escaped"] for r in done)
     key = lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")
