@@ -9,7 +9,7 @@ The fence of a rate lies beyond its upper quartile, by a multiple of the quartil
 median and the width of the quartile's bucket; a rate bounded from below has the same fence on the other
 side. What less than a quarter of a group has at all is thus an outlier in that group. As a few
 occurrences in a short document are no rate, a document is beyond a fence only if it still is
-without `FREE` of its occurrences. Everything is DataFrame and SQL expressions.
+without `FREE` of its occurrences, or with `FREE` words more or less. Everything is DataFrame and SQL expressions.
 """
 
 from __future__ import annotations
@@ -25,24 +25,24 @@ MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 FEW_DOCUMENTS = 50
 SPREAD = 8
-FREE = 2  # occurrences of one kind in a document that tell nothing
+FREE = 2  # occurrences in a document that tell nothing
 BUCKET_BITS = 9
 
 
-def _rate(count: str, per: str, free: int = 0) -> str:
-    over = f"greatest({count} - {free}, 0)" if free else count
-    return f"1000 * {over} DIV {per}"
+def _excess(count: str, per: str) -> tuple[str, str, str | None]:
+    return f"1000 * {count} DIV {per}", f"1000 * greatest({count} - {FREE}, 0) DIV {per}", None
 
 
-# rate: (definition in thousandths, what is held against its fence, bounded from below as well)
+# rate: (definition in thousandths, what is held against the upper fence, and against the lower one)
 RATES = {
-    name: (_rate(count, per), _rate(count, per, free), low)
-    for name, count, per, free, low in [
-        ("symbol_rate", "n_symbols", "n_words", FREE, False),
-        ("dup_line_rate", "n_dup_lines", "n_lines", FREE, False),
-        ("stutter_rate", "n_stutters", "n_words", FREE, False),
-        ("word_length", "word_chars", "n_words", 0, True),
-    ]
+    "symbol_rate": _excess("n_symbols", "n_words"),
+    "dup_line_rate": _excess("n_dup_lines", "n_lines"),
+    "stutter_rate": _excess("n_stutters", "n_words"),
+    "word_length": (
+        "1000 * word_chars DIV n_words",
+        f"1000 * word_chars DIV (n_words + {FREE})",
+        f"1000 * word_chars DIV greatest(n_words - {FREE}, 1)",
+    ),
 }
 COUNTS = [
     "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_stutters",
@@ -181,7 +181,8 @@ def judge(counted: DataFrame, lang: str = "lang", source: str = "source") -> Dat
     limits = fences(sketches(counted, lang, source))
     inside = [f"CASE WHEN n_words > 0 THEN {held} END <= {r}_high"
               for r, (_, held, _) in RATES.items()]
-    inside += [f"{r} >= {r}_low" for r, (_, _, low) in RATES.items() if low]
+    inside += [f"CASE WHEN n_words > 0 THEN {held} END >= {r}_low"
+               for r, (_, _, held) in RATES.items() if held]
     joined = counted.join(
         limits,
         F.col(f"`{lang}`").eqNullSafe(F.col("fence_lang"))

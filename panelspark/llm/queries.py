@@ -192,10 +192,11 @@ def quality_sql(documents: str) -> str:
               " AND c.lang IS NOT DISTINCT FROM x.lang"
               " AND c.source IS NOT DISTINCT FROM x.source)"
               for r, (_, held, _) in quality.RATES.items()]
-    inside += [f"{r} >= (SELECT min(low) FROM chosen c WHERE c.rate = '{r}'"
+    inside += [f"CASE WHEN n_words > 0 THEN {held.replace('DIV', '//')} END >="
+               f" (SELECT min(low) FROM chosen c WHERE c.rate = '{r}'"
                " AND c.lang IS NOT DISTINCT FROM x.lang"
                " AND c.source IS NOT DISTINCT FROM x.source)"
-               for r, (_, _, low) in quality.RATES.items() if low]
+               for r, (_, _, held) in quality.RATES.items() if held]
     return rf"""
 q_docs AS MATERIALIZED (SELECT row_number() OVER () AS r, * FROM {documents}),
 q_words AS MATERIALIZED (SELECT r,
