@@ -1,14 +1,14 @@
-"""SimHash near-duplicates by vantage-point partitioning.
-
-Fingerprints that differ in at most `max_bits` bits are linked, exactly. With the 64 bits cut
-into max_bits + 2 slices, two linked fingerprints agree on at least two slices: there the
-Hamming distance is 0, so both lie at the same distance from every vantage point of those
-slices, and the triangle bound leaves one cell to search. Each pair of slices is therefore a
-vantage-point level of its own whose cells do not overlap. A cell that still holds many
-fingerprints is split by whole-fingerprint distance to a vantage point into bands; a fingerprint
-within `max_bits` above a band's upper border is copied into that band (the overlapping
-border). Inside a cell, a task sorts by distance to a vantage point and compares only
-fingerprints whose distances differ by at most `max_bits`.
+"""SimHash near-duplicates: bit slices first, vantage points inside.
+
+Fingerprints that differ in at most `max_bits` bits are linked, exactly. A vantage-point tree over whole
+fingerprints would copy most points to both sides at each level, as distances of 64-bit
+fingerprints to any point crowd around 32. Its upper levels are therefore replaced by slices: with the
+64 bits cut into max_bits + 2 of them, two linked fingerprints agree on at least two, so cells of
+equal pairs of slices do not overlap and hold every link. Vantage points do the rest: a cell that
+still holds many fingerprints is split by whole-fingerprint distance to one into bands, a fingerprint
+within `max_bits` above a band's upper border being copied into that band (the overlapping
+border); and inside a cell, a task sorts by distance to a vantage point and compares only
+fingerprints whose distances differ by at most `max_bits`, as the triangle bound allows.
 
 A cell emits one edge per member to its smallest linked member, never all pairs. Edges are
 joined into components by alternating star contraction, staged in the shared folder.
@@ -32,6 +32,8 @@ from panelspark.sources.sinks import stage
 SEED = 42
 CELL_LIMIT = 50_000
 BAND = 8
+IDLE_ROUNDS = 4
+MOST_BITS = 30  # slices of two bits are the narrowest that still tell fingerprints apart
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
@@ -80,6 +82,8 @@ def with_fingerprint(
 
 def _masks(max_bits: int) -> list[int]:
     """Masks that keep two of max_bits + 2 slices, as signed longs."""
+    if not 0 <= max_bits <= MOST_BITS:
+        raise ValueError(f"max_bits must be between 0 and {MOST_BITS}")
     slices = max_bits + 2
     borders = [64 * i // slices for i in range(slices + 1)]
     part = [((1 << (b - a)) - 1) << a for a, b in zip(borders, borders[1:])]
@@ -87,33 +91,40 @@ def _masks(max_bits: int) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def cells(prints: DataFrame, max_bits: int, limit: int = CELL_LIMIT, rounds: int = 6) -> DataFrame:
+def cells(prints: DataFrame, max_bits: int, limit: int = CELL_LIMIT) -> DataFrame:
     """(cell, fingerprint): every linked pair meets in at least one cell.
 
-    Cells of more than `limit` members are split into overlapping distance bands until they
-    are small or `rounds` is reached; what is still large then is one dense ball, which a task
-    searches as it is, in memory proportional to its members.
+    Cells of more than `limit` members are split by distance to a vantage point, another member in
+    every round, into bands that overlap by `max_bits`. That goes on until cells are small; one
+    that no vantage point of IDLE_ROUNDS in a row splits is one dense ball, which a task
+    searches as it is, in memory proportional to its members. Each round is staged.
     """
     keys = [f"xxhash64({i}, fingerprint & {m}L)" for i, m in enumerate(_masks(max_bits))]
     rows = prints.selectExpr(f"explode(array({', '.join(keys)})) AS cell", "fingerprint")
-    for level in range(rounds):
-        large = rows.groupBy("cell").agg(
-            F.count(F.lit(1)).alias("members"), F.min("fingerprint").alias("vantage")
-        ).where(f"members > {limit}")
-        large = stage(large)
-        if large.isEmpty():
-            break
-        marked = rows.join(large, "cell", "left")
+    band = max(BAND, 2 * max_bits)
+    done, level, idle, largest = None, 0, 0, None
+    while True:
+        large = stage(rows.groupBy("cell").agg(
+            F.count(F.lit(1)).alias("members"),
+            F.max_by("fingerprint", F.xxhash64("fingerprint", F.lit(level))).alias("vantage"),
+        ).where(f"members > {limit}"))
+        total = large.agg(F.max("members"), F.sum("members")).first()
+        idle = idle + 1 if total == largest else 0
+        if total[0] is None or idle >= IDLE_ROUNDS:
+            return rows if done is None else done.unionByName(rows)
+        largest = total
+        marked = stage(rows.join(large, "cell", "left"))
+        small = marked.where("vantage IS NULL").select("cell", "fingerprint")
+        done = small if done is None else done.unionByName(small)
         apart = "bit_count(fingerprint ^ vantage)"
-        home = f"xxhash64(cell, {level}, {apart} DIV {BAND})"
-        below = f"xxhash64(cell, {level}, {apart} DIV {BAND} - 1)"
-        rows = marked.selectExpr(
-            f"explode(CASE WHEN vantage IS NULL THEN array(cell)"
-            f" WHEN {apart} % {BAND} < {max_bits} AND {apart} >= {BAND}"
+        home = f"xxhash64(cell, {level}, {apart} DIV {band})"
+        below = f"xxhash64(cell, {level}, {apart} DIV {band} - 1)"
+        rows = marked.where("vantage IS NOT NULL").selectExpr(
+            f"explode(CASE WHEN {apart} % {band} < {max_bits} AND {apart} >= {band}"
             f" THEN array({home}, {below}) ELSE array({home}) END) AS cell",
             "fingerprint",
         )
-    return rows
+        level += 1
 
 
 def link_cell(prints: np.ndarray, max_bits: int) -> np.ndarray:

@@ -708,7 +708,7 @@ def brute_print(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def brute_components(prints):
+def brute_components(prints, bits=3):
     """Position of the first member of each one's component."""
     root = list(range(len(prints)))
 
@@ -719,7 +719,7 @@ def brute_components(prints):
 
     for i in range(len(prints)):
         for j in range(i):
-            if (prints[i] ^ prints[j]).bit_count() <= 3:
+            if (prints[i] ^ prints[j]).bit_count() <= bits:
                 a, b = sorted((find(i), find(j)))
                 root[b] = a
     return [find(i) for i in range(len(prints))]
@@ -765,6 +765,35 @@ def test_chains_and_large_cells_lose_no_link(spark):
         assert groups(got) == groups(want)
 
 
+def test_a_dense_ball_and_wide_links(spark):
+    """Two balls that only another vantage point tells apart, one that none does, and links of more
+    bits than a band is wide."""
+    rng = random.Random(3)
+    a = rng.getrandbits(64)
+    prints = {a, a ^ (1 << 64) - 1}
+    for i in range(64):
+        prints |= {a ^ (1 << i), a ^ (1 << i) ^ (1 << (i + 7) % 64)}
+        prints |= {a ^ 0xFFF ^ (1 << i), rng.getrandbits(64)}
+    prints = sorted(prints)
+    df = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in prints], "fingerprint long")
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    for bits in (1, 3, 10):
+        want = brute_components(prints, bits)
+        links = simhash.edges(simhash.cells(df, bits, limit=20), bits)
+        rooted = {r["node"]: r["root"] for r in simhash.components(links).collect()}
+        got = [rooted.get(p, p) for p in signed]
+        groups = lambda labels: {
+            frozenset(i for i, x in enumerate(labels) if x == y) for y in labels}
+        assert groups(got) == groups(want)
+    with pytest.raises(ValueError, match="max_bits"):
+        simhash.cells(df, 40)
+    clash = spark.createDataFrame([(1, 5, "x", "y")],
+                                  "doc_id long, fingerprint long, COMPONENT string, component_id string")
+    assert simhash.near_duplicates(clash).first()["component_id"] == 1
+    empty = simhash.near_duplicates(clash.limit(0))
+    assert empty.count() == 0 and "component_id" in empty.columns
+
+
 # ---- pipeline -------------------------------------------------------------------------
 
 
