@@ -6,14 +6,19 @@ are found on the UTF-8 bytes of many texts at once. A window is `size` consecuti
 item; an item of fewer words (but not none) is one window. Windows are hashed; a document window
 whose hash is in the set is compared with the benchmark's words byte by byte before it counts.
 
-The set is broadcast in blocks of at most `block_words` benchmark words, one scan of the
-documents each, so its size is bounded whatever the benchmark's size. One block is the usual case.
+The set is broadcast in blocks of at most `block_words` benchmark words, one scan of the documents
+each: a block is built on the driver from its own words alone, its scan is staged, and its
+broadcast is gone before the next one is made. An item longer than a block is cut into pieces that
+overlap by a window less one word, so the driver and a task hold some 100 bytes per word of a
+block, and no more whatever the benchmark's size. One block is the usual case, and then lazy.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +31,9 @@ from panelspark.llm.common import without
 from panelspark.sources.sinks import stage
 
 WINDOW = 13
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 1_000_000
 CHUNK_BYTES = 1 << 20
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 EVIDENCE = ["n_words", "n_hit", "items", "spans"]
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -122,46 +128,62 @@ class WindowSet:
     octets: np.ndarray
     start: np.ndarray
     stop: np.ndarray
-    by_size: dict  # size -> (sorted hashes, first word of each window, its position in items)
-    items: list  # items of each window
+    by_size: dict  # size -> (sorted hashes, first word of each window, its number)
+    owner_starts: np.ndarray  # window number -> where its owners begin in `owners`
+    owners: np.ndarray  # places in `items`
+    items: list  # ids of the block's items as strings, None for an item without id
+
+    def items_of(self, window: int) -> list[str]:
+        places = self.owners[self.owner_starts[window] : self.owner_starts[window + 1]]
+        return [self.items[i] for i in places.tolist() if self.items[i] is not None]
 
 
 def window_set(items: list[tuple], size: int) -> WindowSet:
     """The set of a block of (item id, text). An item without id hits words but isn't listed."""
-    lowered = _lowered()
     raw, offsets = _buffers([t for _, t in items])
-    words = words_of(raw, offsets, lowered)
-    ids: dict[tuple, set] = {}
-    where: dict[tuple, int] = {}
-    coded = [words.octets[a:b].tobytes() for a, b in zip(words.start, words.stop)]
-    firsts = np.searchsorted(words.text, np.arange(len(items) + 1))
-    for n, (item, _) in enumerate(items):
-        a, b = int(firsts[n]), int(firsts[n + 1])
-        length = min(size, b - a)
-        for i in range(a, b - length + 1) if length else ():
-            window = tuple(coded[i : i + length])
-            where.setdefault(window, i)
-            ids.setdefault(window, set())
-            if item is not None:
-                ids[window].add(str(item))
-    by_size: dict[int, list] = {}
-    listed = []
-    for window, first in where.items():
-        value = window_hashes(words.hash[first : first + len(window)], len(window))[0]
-        by_size.setdefault(len(window), []).append((value, first, len(listed)))
-        listed.append(sorted(ids[window]))
-    packed = {}
-    for length, rows in by_size.items():
-        rows.sort(key=lambda r: int(r[0]))
-        packed[length] = (
-            np.array([r[0] for r in rows], np.uint64),
-            np.array([r[1] for r in rows], np.int64),
-            np.array([r[2] for r in rows], np.int64),
-        )
-    return WindowSet(words.octets, words.start, words.stop, packed, listed)
-
-
-def _same_words(words: Words, at: np.ndarray, known: WindowSet, first: np.ndarray, size: int):
+    words = words_of(raw, offsets, _lowered())
+    counts = np.bincount(words.text, minlength=len(items))
+    firsts = np.r_[0, np.cumsum(counts)]
+    by_size, windows, owners, n = {}, [], [], 0
+    for length in np.unique(np.minimum(counts[counts > 0], size)).tolist():
+        chosen = np.flatnonzero(counts >= size if length == size else counts == length)
+        spans = counts[chosen] - length + 1
+        at = np.repeat(firsts[chosen] - np.r_[0, np.cumsum(spans)[:-1]], spans) + np.arange(spans.sum())
+        value = window_hashes(words.hash, length)[at]
+        order = np.lexsort((at, value))
+        at, value = at[order], value[order]
+        number = _number_alike(words, at, value, length)
+        first = np.unique(number, return_index=True)[1]
+        rank = np.argsort(value[first], kind="stable")
+        by_size[length] = (value[first][rank], at[first][rank], n + rank)
+        windows.append(n + number)
+        owners.append(words.text[at])
+        n += len(first)
+    pairs = np.empty((0, 2), np.int64)
+    if windows:
+        pairs = np.unique(np.c_[np.concatenate(windows), np.concatenate(owners)], axis=0)
+    starts = np.searchsorted(pairs[:, 0], np.arange(n + 1))
+    names = [None if i is None else str(i) for i, _ in items]
+    return WindowSet(words.octets, words.start, words.stop, by_size, starts, pairs[:, 1].copy(), names)
+
+
+def _number_alike(words: Words, at: np.ndarray, value: np.ndarray, size: int) -> np.ndarray:
+    """Numbers from 0 on for windows in the order of their hashes, alike for windows of the same
+    words. Windows that only share a hash are told apart."""
+    number = np.full(len(at), -1)
+    n = 0
+    while True:
+        left = np.flatnonzero(number < 0)
+        if not len(left):
+            return number
+        new = np.r_[True, value[left][1:] != value[left][:-1]]
+        head = np.maximum.accumulate(np.where(new, np.arange(len(left)), 0))
+        same = _same_words(words, at[left], words, at[left][head], size)
+        number[left[same]] = n + (np.cumsum(new) - 1)[same]
+        n += int(new.sum())
+
+
+def _same_words(words: Words, at: np.ndarray, known, first: np.ndarray, size: int) -> np.ndarray:
     """Which document windows have the benchmark's words, byte by byte."""
     same = np.ones(len(at), bool)
     for k in range(size):
@@ -228,10 +250,11 @@ def _scan_chunk(raw: np.ndarray, offsets: np.ndarray, known: WindowSet, lowered:
     for at, position, size in find_windows(words, known):
         np.add.at(marks, at, 1)
         np.add.at(marks, at + size, -1)
-        pairs = np.unique(words.text[at] * len(known.items) + position)
+        many = len(known.owner_starts)
+        pairs = np.unique(words.text[at] * many + position)
         for pair in pairs.tolist():
-            text, item = divmod(pair, len(known.items))
-            items.setdefault(text, set()).update(known.items[item])
+            text, window = divmod(pair, many)
+            items.setdefault(text, set()).update(known.items_of(window))
     hit = np.cumsum(marks[:-1]) > 0
     hits = np.bincount(words.text[hit], minlength=n_texts)
     spans: dict[int, list] = {}
@@ -251,20 +274,34 @@ def _scan_chunk(raw: np.ndarray, offsets: np.ndarray, known: WindowSet, lowered:
         yield int(counts[t]), int(hits[t]), sorted(items.get(t, ())), spans.get(t, [])
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str, block_words: int) -> Iterator[list]:
-    """The items, a bounded block at a time. A block holds one item at least."""
+def _blocks(
+    benchmark: DataFrame, item_id: str, text: str, block_words: int, size: int
+) -> Iterator[list]:
+    """The items, a bounded block at a time."""
     block, room = [], block_words
     rows = benchmark.select(F.col(item_id).alias("i"), F.col(text).alias("t")).distinct()
     for row in rows.toLocalIterator():
-        words = len(row["t"] or "") // 2 + 1  # a word takes a letter and a separator at least
-        if block and words > room:
-            yield block
-            block, room = [], block_words
-        block.append((row["i"], row["t"]))
-        room -= words
+        for piece in _pieces(row["t"] or "", block_words, size):
+            words = len(piece) // 2 + 1  # a word takes a letter and a separator at least
+            if block and words > room:
+                yield block
+                block, room = [], block_words
+            block.append((row["i"], piece))
+            room -= words
     yield block
 
 
+def _pieces(text: str, block_words: int, size: int) -> Iterator[str]:
+    """A text whole, or its words in pieces that share every window of theirs with the text."""
+    if len(text) // 2 + 1 <= block_words:
+        yield text
+        return
+    words = _WORD.findall(text)
+    step = max(1, block_words - size + 1)
+    for first in range(0, max(1, len(words) - size + 1), step):
+        yield " ".join(words[first : first + step + size - 1])
+
+
 def find(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
     item_text: str = "text", size: int = WINDOW, block_words: int = BLOCK_WORDS,
@@ -276,15 +313,17 @@ def find(
     document counts as it stands. Documents that are too long for a chunk are a chunk alone.
     """
     docs = without(docs, *EVIDENCE)
-    blocks = list(_blocks(benchmark, item_id, item_text, block_words))
-    if len(blocks) == 1:
-        return _find_block(docs, blocks[0], text, size)
+    blocks = _blocks(benchmark, item_id, item_text, block_words, size)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        return _find_block(docs, first, text, size)[0]
     row = "row_of_the_scan"
     numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()))
     parts = None
-    for block in blocks:
-        found = _find_block(numbered.select(row, text), block, text, size).drop(text)
-        found = found.where("n_hit > 0").drop("n_words", "n_hit")
+    for block in chain([first, second], blocks):
+        found, shared = _find_block(numbered.select(row, text), block, text, size)
+        found = stage(found.drop(text).where("n_hit > 0").drop("n_words", "n_hit"))
+        shared.unpersist()
         parts = found if parts is None else parts.union(found)
     merged = parts.groupBy(row).agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
@@ -295,32 +334,44 @@ def find(
 
 def recount(found: DataFrame, text: str) -> DataFrame:
     """Joins overlapping spans of several blocks and counts their words."""
-    schema = StructType([
-        *without(found, *EVIDENCE).schema.fields, *_evidence_fields(),
-    ])
+    kept = without(found, *EVIDENCE)
+    schema = StructType([*kept.schema.fields, *_evidence_fields()])
+    names = list(kept.columns)
+    kinds = [f.type for f in to_arrow_schema(StructType(_evidence_fields()))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lowered = _lowered()
         for batch in batches:
-            rows = batch.to_pylist()
-            for r in rows:
-                raw, offsets = _buffers([r[text]])
+            column = {n: batch.column(batch.schema.get_field_index(n)) for n in batch.schema.names}
+            spans, items, counts, hits = [], [], [], []
+            for body, found_spans, found_items in zip(column[text], column["spans"], column["items"]):
+                raw, offsets = _buffers([body.as_py()])
                 words = words_of(raw, offsets, lowered)
-                points = np.zeros(len(raw) + 1, np.int64)
-                np.cumsum((raw & 0xC0) != 0x80, out=points[1:])
                 hit = np.zeros(len(words.start), bool)
-                for s in r["spans"] or ():
-                    hit |= (points[words.start] >= s["start"]) & (points[words.stop] <= s["end"])
-                edge = np.diff(np.r_[0, hit.astype(np.int8), 0])
-                r["spans"] = [
-                    {"start": int(points[words.start[a]]), "end": int(points[words.stop[b - 1]])}
-                    for a, b in zip(np.flatnonzero(edge > 0), np.flatnonzero(edge < 0))
-                ]
-                r["items"] = r["items"] or []
-                r["n_words"], r["n_hit"] = len(hit), int(hit.sum())
-            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
-
-    arrow = to_arrow_schema(schema)
+                joined = []
+                if found_spans.is_valid and len(found_spans.values):
+                    points = np.r_[0, np.cumsum((raw & 0xC0) != 0x80)]
+                    starts = points[words.start]
+                    mark = np.zeros(len(words.start) + 1, np.int64)
+                    bounds = found_spans.values
+                    # Spans begin and end with words.
+                    np.add.at(mark, np.searchsorted(starts, bounds.field("start").to_numpy()), 1)
+                    np.add.at(mark, np.searchsorted(starts, bounds.field("end").to_numpy()), -1)
+                    hit = np.cumsum(mark[:-1]) > 0
+                    edge = np.diff(np.r_[0, hit.astype(np.int8), 0])
+                    joined = [
+                        {"start": int(starts[a]), "end": int(points[words.stop[b - 1]])}
+                        for a, b in zip(np.flatnonzero(edge > 0), np.flatnonzero(edge < 0))
+                    ]
+                spans.append(joined)
+                items.append(found_items.as_py() or [])
+                counts.append(len(hit))
+                hits.append(int(hit.sum()))
+            added = [pa.array(v, k) for v, k in zip((counts, hits, items, spans), kinds)]
+            yield pa.RecordBatch.from_arrays(
+                [*[column[n] for n in names], *added], [*names, *EVIDENCE]
+            )
+
     return found.mapInArrow(run, schema)
 
 
@@ -330,10 +381,12 @@ def _evidence_fields() -> list[StructField]:
     return [StructField(n, k) for n, k in zip(EVIDENCE, kinds)]
 
 
-def _find_block(docs: DataFrame, items: list, text: str, size: int) -> DataFrame:
+def _find_block(docs: DataFrame, items: list, text: str, size: int):
+    """The documents with the evidence of a block, and the broadcast behind it."""
     known = window_set(items, size)
     shared = docs.sparkSession.sparkContext.broadcast(
-        (known.octets, known.start, known.stop, known.by_size, known.items)
+        (known.octets, known.start, known.stop, known.by_size, known.owner_starts, known.owners,
+         known.items)
     )
     names = list(docs.columns)
     fields = _evidence_fields()
@@ -348,7 +401,7 @@ def _find_block(docs: DataFrame, items: list, text: str, size: int) -> DataFrame
             added = [pa.array([r[i] for r in rows], kinds[i]) for i in range(4)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*names, *EVIDENCE])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema), shared
 
 
 def is_contaminated(percent: int = 5) -> str:

@@ -97,7 +97,32 @@ def brute_hits(text, items):
     return len(words), sum(hit), sorted(found)
 
 
-@pytest.mark.parametrize("block_words", [decontam.BLOCK_WORDS, 40])
+def test_long_items_are_cut_with_whole_windows():
+    words = [f"w{i}" for i in range(97)]
+    pieces = list(decontam._pieces(" - ".join(words), 30, 13))
+    windows = {tuple(words[i : i + 13]) for i in range(85)}
+    cut = [p.split(" ") for p in pieces]
+    assert len(pieces) > 3 and max(map(len, cut)) <= 30 and min(map(len, cut)) >= 13
+    assert {tuple(p[i : i + 13]) for p in cut for i in range(len(p) - 12)} == windows
+    assert list(decontam._pieces("a b", 30, 13)) == ["a b"]
+
+
+def test_windows_that_share_a_hash_are_told_apart(monkeypatch):
+    """With a hash of one bit every window collides; the sets stay right."""
+    plain_hashes = decontam.window_hashes
+    monkeypatch.setattr(decontam, "window_hashes",
+                        lambda h, n: plain_hashes(h, n) & np.uint64(1))
+    rng = random.Random(4)
+    items = [(i, " ".join(rng.choices("abc", k=rng.choice([1, 2, 13, 15])))) for i in range(30)]
+    texts = [" ".join(rng.choices("abc", k=30)) for _ in range(20)] + [t for _, t in items]
+    import pyarrow as pa
+
+    known = decontam.window_set(items, 13)
+    got = list(decontam.scan(pa.array(texts), known, decontam._lowered()))
+    assert [(n, h, i) for n, h, i, _ in got] == [brute_hits(t, items) for t in texts]
+
+
+@pytest.mark.parametrize("block_words", [decontam.BLOCK_WORDS, 40, 14])
 def test_decontamination_equals_brute_force(spark, odd, block_words):
     rng = random.Random(3)
     words = ["alpha", "Beta", "γάμμα", "d4", "e"]
