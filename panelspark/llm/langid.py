@@ -26,6 +26,7 @@ SEED = 20240229
 CHUNK_CHARS = 1 << 20
 BLOCK = 4096
 UNKNOWN = "und"
+MAX_LANGUAGES = 4096  # prototypes that the driver holds: 32 MB
 COMMON = 0x3000
 
 
@@ -111,7 +112,13 @@ def _chunks(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
 
 
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, np.ndarray]:
-    """The prototype of every non-null language, from all rows."""
+    """The prototype of every non-null language, from all rows. Languages without a letter in any
+    text have none; an empty table has none at all. More than MAX_LANGUAGES different values are no
+    languages: ValueError, before any text is read.
+    """
+    named = labelled.where(F.col(f"`{lang}`").isNotNull()).select(F.col(f"`{lang}`")).distinct()
+    if len(named.take(MAX_LANGUAGES + 1)) > MAX_LANGUAGES:
+        raise ValueError(f"column {lang} has more than {MAX_LANGUAGES} values")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, sums = Letters(), {}
@@ -148,7 +155,9 @@ def predict(docs: DataFrame, learned: dict[str, np.ndarray], text: str = "text")
     """Adds `lang_pred` and `score`, the cosine with that language's prototype, 0 at least.
 
     A text that is NULL or has no letter, or any text when no language was learned, is `und`
-    with score 0. Of prototypes with equal cosine the first by name wins.
+    with score 0. Of prototypes with equal cosine the first by name wins. Very long texts are
+    bundled whole, repeated rows are judged alike, columns named as the results are replaced and
+    others kept, and an empty table stays empty.
     """
     docs = without(docs, "lang_pred", "score")
     names = sorted(learned)

@@ -228,7 +228,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], url: str = "url") -> D
 
     A NULL URL has empty host and path, fits no rule and scores 0. Without any URL that a rule
     decides both models are uniform, every score is 0 and the verdict allow. Columns named as
-    the results are replaced; repeated URLs count as often as they occur.
+    the results are replaced; repeated URLs count as often as they occur and are judged alike; a
+    URL of any length is scored whole; an empty table stays empty.
     """
     pages = without(pages, *ADDED, "action")
     host, path = host_and_path(f"`{url}`")

@@ -575,6 +575,15 @@ def test_url_rules_and_models(spark):
     assert got[9000]["verdict"] == "allow" and got[9001]["verdict"] == "block"
     alone = urls.judge(spark.createDataFrame(rows[:2], "page_id long, url string"), rules)
     assert [r["verdict"] for r in alone.collect()] == ["allow", "allow"]
+    long = "http://x.net/" + "news/7" * 20_000
+    clash = spark.createDataFrame(
+        [(*r, "c", 1) for r in rows + rows[-2:] + [(9002, long)]],
+        "page_id long, url string, VERDICT string, score int")
+    again = [r for r in urls.judge(clash, rules).collect() if r["page_id"] >= 9000]
+    assert sorted((r["page_id"], r["verdict"]) for r in again) == [
+        (9000, "allow"), (9000, "allow"), (9001, "block"), (9001, "block"), (9002, "allow")]
+    assert len({r["score"] for r in again if r["page_id"] == 9000}) == 1
+    assert urls.judge(clash.limit(0), rules).count() == 0
 
 
 def test_url_scores_equal_exact_models(spark):
@@ -703,9 +712,91 @@ def _word_places(text):
     return [(at(a), at(b)) for a, b in zip(words.start, words.stop)]
 
 
+def test_columns_named_as_results_of_substring_dedup(spark):
+    docs = spark.createDataFrame([(1, "a b c", 5, "x", 2), (2, None, 6, "y", 3)],
+                                 "doc_id long, text string, N_REMOVED int, removed string, later int")
+    got = substrings.remove_repeats(docs).orderBy("doc_id").collect()
+    assert [(r["n_removed"], r["removed"]) for r in got] == [(0, []), (0, [])]
+    assert got[0]["text"] == "a b c" and got[1]["text"] is None
+
+
+def test_recall_of_unmarked_passages(spark):
+    """Passages without sentence marks of a few lengths, each in two documents: the README's share
+    of those found, and the words that stay at their ends."""
+    rng = random.Random(21)
+
+    def words(n):
+        return " ".join(f"{rng.choice('bcdfgh')}{rng.choice('aeiou')}{rng.randrange(10**6)}"
+                        for _ in range(n))
+
+    least = {51: 0.86, 60: 0.94, 80: 0.98, 150: 1.0}
+    rows, of = [], {}
+    for n in least:
+        for _ in range(400):
+            passage = words(n)
+            for _ in range(2):
+                of[len(rows)] = (n, passage)
+                rows.append((len(rows), f"{words(12)} {passage} {words(12)}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = {r["doc_id"]: r for r in substrings.remove_repeats(docs).collect()}
+    assert not any(got[i]["removed"] for i in range(0, len(rows), 2))
+    for n, share in least.items():
+        later = [i for i in of if i % 2 and of[i][0] == n]
+        found = [i for i in later if got[i]["removed"]]
+        assert len(found) >= share * len(later), (n, len(found) / len(later))
+        for i in found:
+            assert all(dict(rows)[i][s["start"] : s["end"]].strip() in of[i][1]
+                       for s in got[i]["removed"])
+
+
 # ---- 9 --------------------------------------------------------------------------------
 
 
+def brute_profile(text):
+    """Bundled n-gram vectors, one n-gram at a time."""
+    low = "".join(chr(langid.Letters._lower(ord(c))) for c in f"\0{text}\0")
+    out = np.zeros(langid.DIMENSIONS, np.int64)
+
+    def letter(c):
+        draw = np.random.Generator(np.random.PCG64([langid.SEED, ord(c)]))
+        return 2 * draw.integers(0, 2, langid.DIMENSIONS) - 1
+
+    for a, b, c in zip(low, low[1:], low[2:]):
+        if b != "\0":
+            out += np.roll(letter(a), 2) * np.roll(letter(b), 1) * letter(c)
+    return out
+
+
+def test_language_equals_brute_force(spark):
+    rng = random.Random(10)
+    kinds = {"aa": "abcÉ ", "bb": "xyzß' ", "cc": "日本語ab "}
+    rows = [(i, "".join(rng.choices(kinds[k], k=rng.randint(1, 40))), k, "old", 7)
+            for i, k in enumerate(rng.choices(list(kinds), k=60))] + [(99, "123 -", "aa", "old", 7)] * 2
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, lang_pred string, SCORE int").repartition(4)
+    learned = langid.learn(docs)
+    want = {k: sum(brute_profile(t) for _, t, lang, _, _ in rows if lang == k) for k in kinds}
+    assert set(learned) == set(want) and all((learned[k] == want[k]).all() for k in want)
+    got = langid.predict(docs, learned).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        v = brute_profile(r["text"])
+        if not v.any():
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        likeness = {k: v @ w / np.linalg.norm(v) / np.linalg.norm(w) for k, w in want.items()}
+        assert abs(r["score"] - max(0, max(likeness.values()))) < 1e-9
+        assert likeness[r["lang_pred"]] >= max(likeness.values()) - 1e-9
+    assert langid.predict(docs.limit(0), learned).count() == 0
+
+
+def test_too_many_languages_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 3)
+    docs = spark.range(4).selectExpr("CAST(id AS STRING) AS lang", "'x' AS text")
+    with pytest.raises(ValueError, match="more than 3"):
+        langid.learn(docs)
+
+
 def test_language_of_held_out_documents(spark, odd, none):
     got = QUERIES["op9_language_id"](spark, "/root/testdata/sf0.01").join(
         spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), "doc_id").collect()
@@ -850,6 +941,24 @@ def test_stages_keep_the_columns_of_documents(spark, odd, none):
             assert stage(spark, docs, SMALL).columns == docs.columns
 
 
+def test_stages_on_odd_rows(spark, odd, none):
+    """Which rows each stage keeps of NULLs, empty and long texts and repeated rows."""
+    stages = dict(corpus_pipeline.STAGES)
+
+    def ids(df):
+        return sorted(str(r["doc_id"]) for r in df.collect())
+
+    everything = ids(odd)
+    assert ids(stages["quality_rules"](spark, odd, SMALL)) == ["5"]
+    assert ids(stages["line_dedup"](spark, odd, SMALL)) == everything
+    assert ids(stages["simhash_dedup"](spark, odd, SMALL)) == ["1", "3", "5", "None"]
+    assert ids(stages["decontamination"](spark, odd, SMALL)) == everything
+    pieces = stages["packing"](spark, odd, SMALL).collect()
+    assert {str(r["doc_id"]) for r in pieces} == set(everything)
+    assert sum(r["length"] for r in pieces if r["doc_id"] in (1, 2, 6)) == 3
+    assert stages["packing"](spark, none, SMALL).count() == 0
+
+
 def test_digests_are_lowercase_hex(spark):
     row = QUERIES["op1_decontamination"](spark, SMALL).where("n_items = 0").first()
     assert row["items_sha256"] == hashlib.sha256(b"").hexdigest()
