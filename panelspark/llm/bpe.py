@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from panelspark.sources.sinks import stage
 
 PART = 1 << 16  # characters of a text, or bytes of a piece, that one task encodes at once
 LEAF = 1 << 12  # bytes of a piece that are encoded without halving
-CACHED_UNITS = 400_000
+CACHED_UNITS = 1_000_000
 CACHED_LENGTH = 256  # longer units are seldom seen again
 FIRST_WINDOW = 4
 CHUNK_CHARS = 1 << 20
@@ -100,6 +101,7 @@ class ByteTokenizer:
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
+        self.met: set[int] = set()  # hashes of units met once
         self.flat = np.empty(1 << 16, np.int32)
         self.starts = np.zeros(1 << 12, np.int64)
         self.used = 0
@@ -163,25 +165,32 @@ class ByteTokenizer:
             parts = pairs
         return parts[0]
 
-    def learn(self, units: list[str]) -> None:
-        known = self.known
-        if len(known) + len(units) > CACHED_UNITS:
-            self.forget()
-            known = self.known
-        coded, lengths = [], []
-        for u in units:
-            ids = self.unit(u)
-            coded += ids
-            lengths.append(len(ids))
-        total, first = self.used + len(coded), len(known)
-        if total > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * total)
-        if first + len(units) + 1 > len(self.starts):
-            self.starts = np.resize(self.starts, 2 * (first + len(units) + 1))
-        self.flat[self.used : total] = coded
-        self.starts[first + 1 : first + 1 + len(units)] = self.used + np.cumsum(lengths)
-        known.update(zip(units, range(first, first + len(units))))
-        self.used = total
+    def learn(self, units: list[str]) -> list[list[int]]:
+        """Ids of units that are not known. Those met before are kept from now on: most units
+        of a text are either common or never seen again."""
+        coded = [self.unit(u) for u in units]
+        met, kept = self.met, []
+        for i, u in enumerate(units):
+            h = hash(u)
+            if h not in met:
+                met.add(h)
+            elif len(u) <= CACHED_LENGTH:
+                kept.append(i)
+        if len(met) > CACHED_UNITS:
+            met.clear()
+        if kept:
+            ids = [x for i in kept for x in coded[i]]
+            lengths = [len(coded[i]) for i in kept]
+            total, first = self.used + len(ids), len(self.known)
+            if total > len(self.flat):
+                self.flat = np.resize(self.flat, 2 * total)
+            if first + len(kept) + 1 > len(self.starts):
+                self.starts = np.resize(self.starts, 2 * (first + len(kept) + 1))
+            self.flat[self.used : total] = ids
+            self.starts[first + 1 : first + 1 + len(kept)] = self.used + np.cumsum(lengths)
+            self.known.update(zip([units[i] for i in kept], range(first, first + len(kept))))
+            self.used = total
+        return coded
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts one after the other, and where each text's ids start, with the end."""
@@ -189,22 +198,19 @@ class ByteTokenizer:
         for text in texts:
             units += _UNIT.findall(text)
             counts.append(len(units))
-        distinct = dict.fromkeys(units)
-        long = {u: np.array(self.unit(u), np.int32) for u in distinct if len(u) > CACHED_LENGTH}
-        new = [u for u in distinct if u not in self.known and u not in long]
-        if len(self.known) + len(new) > CACHED_UNITS:
-            new = [u for u in distinct if u not in long]
+        if len(self.known) > CACHED_UNITS:
             self.forget()
-        self.learn(new)
-        known, starts = self.known, self.starts
-        if long:  # they join this batch's table only
-            used, sizes = self.used, [len(i) for i in long.values()]
-            flat = np.concatenate([self.flat[:used], *long.values()])
-            starts = np.r_[starts[: len(known) + 1], used + np.cumsum(sizes)]
-            known = {**known, **dict(zip(long, range(len(known), len(known) + len(long))))}
-        else:
-            flat = self.flat
-        at = np.fromiter(map(known.__getitem__, units), np.int64, len(units))
+        size, used = len(self.known), self.used
+        at = np.array(list(map(self.known.get, units, repeat(-1))), np.int64)
+        flat, starts = self.flat, self.starts
+        missing = np.flatnonzero(at < 0)
+        if len(missing):  # they follow the known ones in this batch's table
+            new: dict[str, int] = {}
+            at[missing] = [new.setdefault(units[i], size + len(new)) for i in missing.tolist()]
+            coded = self.learn(list(new))
+            lengths = np.cumsum([len(c) for c in coded])
+            flat = np.concatenate([flat[:used], np.array([x for c in coded for x in c], np.int32)])
+            starts = np.concatenate([starts[: size + 1], used + lengths])
         lengths = starts[at + 1] - starts[at]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
