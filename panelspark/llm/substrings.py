@@ -1,8 +1,10 @@
 """Substring dedup by hashing lines and their parts.
 
 A unit is a part of a line: lines are cut after words that end a sentence or repeat the word
-before, and after one of about `PHRASE` words, chosen by its hash and that of the word before. So a passage falls into the
-same units wherever it stands, but for the words at its ends. Normalised (lower-cased A-Z,
+before, and after the word whose hash with the word before is the least of any `WINDOW` neighbours. So a
+passage falls into the same units wherever it stands, but for the words at its ends: at most `WINDOW` + 1 at
+the front and `WINDOW` - 1 at the back, whatever its words are. A passage of `MIN_WORDS` + 2 * `WINDOW` words (50)
+or more therefore always has a run long enough. Normalised (lower-cased A-Z,
 words joined by one space), a unit's 128-bit digest is grouped over all documents. In scripts that
 are written without spaces (Han, kana, Thai, Lao, Burmese, Khmer) each code point is a word, with the
 marks after it, and their own full stops end a sentence.
@@ -31,7 +33,7 @@ from panelspark.llm.decontam import chunks, words_of
 from panelspark.sources.sinks import stage
 
 MIN_WORDS = 20
-PHRASE = 8
+WINDOW = 15
 FILTER_BITS = 26
 ADDED = ["n_units", "n_removed", "removed"]
 
@@ -66,6 +68,29 @@ def _breaks(raw: np.ndarray) -> np.ndarray | None:
     return start[unspaced | (after & ~mark)]
 
 
+def _extreme(values: np.ndarray, pick: np.ufunc) -> np.ndarray:
+    """Least or greatest of each `WINDOW` neighbouring values, by doubling."""
+    width, out = 1, values
+    while width < WINDOW:
+        step = min(width, WINDOW - width)
+        out = pick(out[:-step], out[step:])
+        width += step
+    return out
+
+
+def _least(pair: np.ndarray, together: np.ndarray) -> np.ndarray:
+    """Where a value is the least of some `WINDOW` neighbours that lie in one text. Whether a place
+    is chosen depends on its own text alone."""
+    if len(pair) < WINDOW:
+        return np.zeros(len(pair), bool)
+    value = pair | np.uint64(1)
+    # A pair across two texts is zero, so it is the least of all windows over it and is not chosen.
+    value[~together] = 0
+    least = _extreme(value, np.minimum)
+    edge = np.zeros(WINDOW - 1, np.uint64)
+    return (_extreme(np.r_[edge, least, edge], np.maximum) == value) & together
+
+
 def units(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[list, list, list, bytes]]:
     """Per text: first byte and words of each unit, their ends, and the lower-cased bytes. A unit
     reaches to the next one, so that removing units leaves no gap."""
@@ -84,8 +109,7 @@ def units(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[list, list, li
         with np.errstate(over="ignore"):
             pair = words.hash[1:] * np.uint64(0x9E3779B97F4A7C15) + words.hash[:-1]
         together = words.text[1:] == words.text[:-1]
-        chosen = (pair ^ (pair >> np.uint64(32))) % np.uint64(PHRASE) == 0
-        cut[1:] |= (chosen | (words.hash[1:] == words.hash[:-1])) & together
+        cut[1:] |= (_least(pair, together) | (words.hash[1:] == words.hash[:-1])) & together
         cut[:-1] |= ~together
         cut[-1] = True
     last = np.flatnonzero(cut)
