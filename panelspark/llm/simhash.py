@@ -272,7 +272,8 @@ def one_per_component(
 
     Of rows with that id the one with the smallest fingerprint stays, then the smallest hash of
     the whole row, then any of rows that are alike. Rows without an id give way to rows with one;
-    of a component without any id one row stays.
+    of a component without any id one row stays. Columns named `fingerprint`, `row_number` or
+    `row_hash` are left out, others are kept. An empty table gives an empty table.
     """
     kept = without(docs, "fingerprint", "row_number", "row_hash")
     numbered = with_fingerprint(kept, text, shingle).withColumns({

@@ -183,6 +183,22 @@ def test_extraction_of_marked_and_unmarked_pages(spark):
                         ).count() == 0
 
 
+def test_long_repeated_and_clashing_pages(spark):
+    words = [f"word {i}" for i in range(30_000)]
+    body = "<p>" + "</p><p>".join(words) + "</p>"
+    marked, bare = f"<nav>m</nav><article>{body}</article>", f"<div>{body}</div>"
+    rows = [(1, "http://h/1", marked), (1, "http://h/1", marked), (2, "http://h/2", bare),
+            (None, None, "<p>x")]
+    pages = spark.createDataFrame(
+        [(*r, "t", 1, "h", 2, "k") for r in rows],
+        "page_id long, url string, html string, TEXT string, n_chars int, host string, path int,"
+        " page_key string")
+    got = html.extract(pages)
+    assert got.columns == ["page_id", "url", *html.ADDED]
+    assert sorted((str(r["page_id"]), r["text"]) for r in got.collect()) == sorted(
+        [("1", " ".join(words))] * 2 + [("2", " ".join(words)), ("None", "x")])
+
+
 def test_extraction_returns_the_articles(spark):
     for r in QUERIES["op2_html_extraction"](spark, SMALL).join(
         spark.read.parquet(f"{SMALL}/pages.parquet").select("page_id", "html"), "page_id"
@@ -890,6 +906,23 @@ def test_simhash_equals_brute_force(spark, odd):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "3", "5", "None"]
 
 
+def test_simhash_of_no_rows_and_clashing_columns(spark, none):
+    schema = "doc_id long, text string, FINGERPRINT string, component_id int, Row_Number int, x int"
+    rows = [(1, "a b c d", "f", 7, 8, 9), (2, "A b c d", "f", 7, 8, 9), (3, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, schema)
+    prints = simhash.with_fingerprint(docs)
+    assert [c for c in prints.columns if c.lower() == "fingerprint"] == ["fingerprint"]
+    found = simhash.near_duplicates(prints)
+    assert {(r["doc_id"], r["component_id"], r["x"]) for r in found.collect()} == {
+        (1, 1, 9), (2, 1, 9), (3, 3, None)}
+    kept = simhash.one_per_component(docs)
+    assert kept.columns == ["doc_id", "text", "component_id", "x"]
+    assert sorted(tuple(r) for r in kept.collect()) == [(1, "a b c d", 7, 9), (3, None, None, None)]
+    for empty in (none, docs.limit(0)):
+        assert simhash.near_duplicates(simhash.with_fingerprint(empty)).count() == 0
+        assert simhash.one_per_component(empty).count() == 0
+
+
 def test_chains_and_large_cells_lose_no_link(spark):
     rng = random.Random(2)
     base = rng.getrandbits(64)
