@@ -1,11 +1,12 @@
 """Substring dedup by hashing lines and their parts.
 
 A unit is a part of a line: lines are cut after words that end a sentence or repeat the word
-before, and after the word whose hash with the word before is the least of any `WINDOW` neighbours. So a
-passage falls into the same units wherever it stands, but for the words at its ends: at most `WINDOW` + 1 at
-the front and `WINDOW` - 1 at the back, whatever its words are, where its lines are the same. Such a passage of `MIN_WORDS` + 2 * `WINDOW` words
-(50) or more therefore always has a run long enough. Normalised (lower-cased A-Z,
-words joined by one space), a unit's 128-bit digest is grouped over all documents. In scripts that
+before, and after the word whose hash with the word before is the least of any `WINDOW`
+neighbours. So a passage falls into the same units wherever it stands, but for the words at its
+ends: at most `WINDOW` + 1 at the front and `WINDOW` - 1 at the back, whatever its words are, where
+its lines are the same. Such a passage of `MIN_WORDS` + 2 * `WINDOW` words (50) or more therefore
+always has a run that is long enough. Normalised (lower-cased A-Z, words joined by one space), a
+unit's 128-bit digest is grouped over all documents. In scripts that
 are written without spaces (Han, kana, Thai, Lao, Burmese, Khmer) each code point is a word, with the
 marks after it, and their own full stops end a sentence.
 
