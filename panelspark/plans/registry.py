@@ -62,6 +62,15 @@ def yearly_union(spark, sf):
     return tables.read_yearly_sales(spark, folder + "/report_year={year}", bind.YEARS)
 
 
+def booked(spark, sf) -> str:
+    """The folder of the sales rows as workbooks, cut from one order by year and ordinal."""
+    spark.dataSource.register(WorkbookFormat)
+    folder = sinks.stage_path(spark)
+    rows = bind.sales(spark, sf).orderBy("report_year", "row_ordinal")
+    rows.write.format(FORMAT).mode("append").save(folder)
+    return folder
+
+
 @query
 def workbook_sales(spark, sf):
     """Sales rows written as a workbook per year and read back from the workbooks."""
@@ -76,14 +85,9 @@ def workbook_sales(spark, sf):
 @query
 def workbook_rollup(spark, sf):
     """One row per sales entity and year from the workbooks: their order of rows decides on text."""
-    spark.dataSource.register(WorkbookFormat)
-    folder = sinks.stage_path(spark)
-    rows = bind.sales(spark, sf)
-    by_year = rows.repartition(len(bind.YEARS), "report_year").sortWithinPartitions("row_ordinal")
-    by_year.write.format(FORMAT).mode("append").save(folder)
     names = ["report_year", "utility_id_eia", "ownership", "customers_total", "row_ordinal"]
     wanted = [f"{f.name} {f.dataType.simpleString()}" for f in SALES if f.name in names]
-    read = spark.read.format(FORMAT).schema(", ".join(wanted)).load(folder)
+    read = spark.read.format(FORMAT).schema(", ".join(wanted)).load(booked(spark, sf))
     return panel.roll_up_duplicates(read)
 
 

@@ -5,8 +5,9 @@
     sales.write.format("sales_workbook").mode("append").save("/landing/sales")
 
 Every file is a partition. A schema given to the reader prunes the columns: cells of others are not
-converted. The writer makes a workbook per year and task, under a name that readers pass over
-until all tasks are done. Files are reached through Arrow's file systems (local and the usual
+converted. The writer makes workbooks of one year and at most `ROWS_PER_WORKBOOK` rows each, under
+names that readers pass over until all tasks are done; the names of a job sort by year, then in the
+order of the rows written. Files are reached through Arrow's file systems (local and the usual
 stores); `workbook.read_workbooks` reads from anything that Spark reads.
 """
 
@@ -19,26 +20,28 @@ import uuid
 import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass
-from xml.sax.saxutils import escape
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
-from pyspark.sql import Row
+from pyspark import TaskContext
 from pyspark.sql import types as T
 from pyspark.sql.datasource import (
     DataSource,
+    DataSourceArrowWriter,
     DataSourceReader,
-    DataSourceWriter,
     InputPartition,
     WriterCommitMessage,
 )
 
 from panelspark.config import SALES_HEADERS
 from panelspark.schemas import SALES
-from panelspark.sources.workbook import HEADER_ROWS_SKIPPED, workbook_rows
+from panelspark.sources.workbook import HEADER_ROWS_SKIPPED, number_repeats, workbook_batches
 
 FORMAT = "sales_workbook"
 PREFIX = "Sales_Ult_Cust_"
 HIDDEN = "_"
+ROWS_PER_WORKBOOK = 100_000  # a reader's task; spreadsheet programs take ten times as many
 
 
 def _system(path: str) -> tuple[fs.FileSystem, str]:
@@ -71,7 +74,7 @@ class WorkbookFormat(DataSource):
     def reader(self, schema: T.StructType) -> DataSourceReader:
         return WorkbookReader(self.options["path"], schema)
 
-    def writer(self, schema: T.StructType, overwrite: bool) -> DataSourceWriter:
+    def writer(self, schema: T.StructType, overwrite: bool) -> DataSourceArrowWriter:
         if overwrite:
             raise ValueError(f"{FORMAT} only appends")
         return WorkbookWriter(self.options["path"], schema)
@@ -96,10 +99,10 @@ class WorkbookReader(DataSourceReader):
             raise FileNotFoundError(f"no workbook at {self.path}")
         return [File(path, i) for i, path in enumerate(files)]
 
-    def read(self, partition: File) -> Iterator[tuple]:
+    def read(self, partition: File) -> Iterator[pa.RecordBatch]:
         system, _ = _system(self.path)
         with system.open_input_file(partition.path) as f:
-            yield from workbook_rows(io.BufferedReader(f), partition.index, self.wanted)
+            yield from workbook_batches(io.BufferedReader(f), partition.index, self.wanted)
 
 
 @dataclass
@@ -145,16 +148,25 @@ def header_cells() -> list[str]:
     return plain + bases * (max(groups) + 1)
 
 
-def _cell(value) -> str:
-    if value is None:
+def _cells(column: pa.Array | None):
+    """The cells of a column as text, or of one that is not there."""
+    if column is None:
         return "<c/>"
-    if isinstance(value, str):
-        return f'<c t="inlineStr"><is><t xml:space="preserve">{escape(value)}</t></is></c>'
-    return f"<c><v>{value!r}</v></c>"
+    texts, start, end = column.cast(pa.string()), "<c><v>", "</v></c>"
+    if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+        for mark, escaped in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            texts = pc.replace_substring(texts, mark, escaped)
+        start, end = '<c t="inlineStr"><is><t xml:space="preserve">', "</t></is></c>"
+    return pc.coalesce(pc.binary_join_element_wise(start, texts, end, ""), "<c/>")
+
+
+def sheet_lines(columns: list[pa.Array | None]) -> list[str]:
+    """The columns of a sheet as the text of its rows."""
+    return pc.binary_join_element_wise("<row>", *map(_cells, columns), "</row>", "").to_pylist()
 
 
 class WorkbookSheet:
-    """A workbook that is written row by row, to a stream that cannot go back."""
+    """A workbook that is written some rows at a time, to a stream that cannot go back."""
 
     def __init__(self, stream):
         self.stream = stream
@@ -163,12 +175,16 @@ class WorkbookSheet:
             self.book.writestr(name, content)
         self.sheet = self.book.open("xl/worksheets/sheet1.xml", "w", force_zip64=True)
         self.sheet.write(f'<worksheet xmlns="{_NS}/spreadsheetml/2006/main"><sheetData>'.encode())
-        for _ in range(HEADER_ROWS_SKIPPED):
-            self.row(["Sales to ultimate customers"])
-        self.row(header_cells())
+        self._put(sheet_lines([pa.array(["Sales to ultimate customers"] * HEADER_ROWS_SKIPPED)]))
+        self._put(sheet_lines([pa.array([name]) for name in header_cells()]))
+        self.rows = 0
+
+    def _put(self, lines: list[str]) -> None:
+        self.sheet.write("".join(lines).encode())
 
-    def row(self, values) -> None:
-        self.sheet.write(f"<row>{''.join(map(_cell, values))}</row>".encode())
+    def write(self, lines: list[str]) -> None:
+        self._put(lines)
+        self.rows += len(lines)
 
     def close(self) -> None:
         self.sheet.write(b"</sheetData></worksheet>")
@@ -177,37 +193,49 @@ class WorkbookSheet:
         self.stream.close()
 
 
-class WorkbookWriter(DataSourceWriter):
+def _by_year(batch: pa.RecordBatch) -> Iterator[tuple]:
+    years = batch["report_year"]
+    for year in years.unique():
+        same = pc.equal(years, year) if year.is_valid else pc.is_null(years)
+        yield year.as_py(), batch.filter(same)
+
+
+class WorkbookWriter(DataSourceArrowWriter):
     def __init__(self, path: str, schema: T.StructType):
         self.path, self.names = path, schema.names
         if "report_year" not in self.names:
             raise ValueError("a workbook row needs its report_year")
         self.job = uuid.uuid4().hex
 
-    def write(self, iterator: Iterator[Row]) -> Written:
-        """The task's rows, a workbook for every year among them. At most one workbook is open per
-        year, and none holds its rows in memory."""
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        """The task's rows, in workbooks of one year. At most one workbook is open per year, and none
+        holds its rows in memory."""
         system, folder = _system(self.path)
         system.create_dir(folder, recursive=True)
-        task = uuid.uuid4().hex
-        columns = self._columns()
+        place, task = f"{TaskContext.get().partitionId():06}", uuid.uuid4().hex
         sheets, files = {}, []
-        for row in iterator:
-            year = row["report_year"]
-            if year not in sheets:
-                final = f"{folder}/{PREFIX}{year}_{self.job[:8]}_{task}.xlsx"
-                hidden = f"{folder}/{HIDDEN}{self.job}_{task}_{year}.xlsx"
-                sheets[year] = WorkbookSheet(system.open_output_stream(hidden, compression=None))
-                files.append((hidden, final))
-            sheets[year].row([None if c is None else row[c] for c in columns])
+        for batch in iterator:
+            for year, rows in _by_year(batch):
+                lines = sheet_lines([None if c is None else rows[c] for c in self._columns()])
+                while lines:
+                    if year not in sheets:
+                        number = f"{len(files):06}"
+                        final = f"{folder}/{PREFIX}{year}_{self.job}_{place}_{number}.xlsx"
+                        hidden = f"{folder}/{HIDDEN}{self.job}_{task}_{number}.xlsx"
+                        stream = system.open_output_stream(hidden, compression=None)
+                        sheets[year] = WorkbookSheet(stream)
+                        files.append((hidden, final))
+                    room = ROWS_PER_WORKBOOK - sheets[year].rows
+                    sheets[year].write(lines[:room])
+                    lines = lines[room:]
+                    if sheets[year].rows == ROWS_PER_WORKBOOK:
+                        sheets.pop(year).close()
         for sheet in sheets.values():
             sheet.close()
         return Written(files)
 
     def _columns(self) -> list[str | None]:
         """The schema's column under each header cell."""
-        from panelspark.sources.workbook import number_repeats
-
         of = {h: SALES_HEADERS.get(h) for h in number_repeats(header_cells())}
         return [c if c in self.names else None for c in of.values()]
 

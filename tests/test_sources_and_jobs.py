@@ -1,15 +1,16 @@
 """Workbook source, sinks and the jobs from landed files to chart datasets."""
 
+import io
 import zipfile
 
 import pytest
 
 from panelspark import config, schemas
 from panelspark.operators import findings
-from panelspark.plans import jobs
-from panelspark.sources import sinks, tables
-from panelspark.sources.workbook import number_repeats, read_workbooks
-from panelspark.sources.workbook_format import WorkbookFormat
+from panelspark.plans import jobs, registry
+from panelspark.sources import sinks, tables, workbook
+from panelspark.sources.workbook import number_repeats, read_workbooks, sheet_rows
+from panelspark.sources.workbook_format import ROWS_PER_WORKBOOK, WorkbookFormat
 
 HEADER = ["Data Year", "Utility Number", "Utility Name", "State", "Ownership",
           *["Thousand Dollars", "Megawatthours", "Count"] * 5]
@@ -120,6 +121,96 @@ def test_workbook_format_reads_writes_and_prunes(spark, landing, tmp_path):
         spark.read.format("sales_workbook").load(str(tmp_path / "books" / "x*.xlsx")).count()
 
 
+def test_a_long_year_is_cut_into_workbooks_in_row_order(spark, tmp_path):
+    spark.dataSource.register(WorkbookFormat)
+    n, out = 2 * ROWS_PER_WORKBOOK + 5, str(tmp_path / "books")
+    rows = spark.range(0, n, 1, 1).selectExpr(
+        f"CASE WHEN id < {n - 3} THEN 2020 END AS report_year", "id AS utility_id_eia",
+        "CASE WHEN id % 2 = 0 THEN 'a & <b>' END AS state")
+    rows.write.format("sales_workbook").mode("append").save(out)
+    files = sorted(p.name for p in (tmp_path / "books").iterdir())
+    assert [f.split("_")[3] for f in files] == ["2020"] * 3 + ["None"]
+    back = spark.read.format("sales_workbook").load(out)
+    assert back.rdd.getNumPartitions() == 4
+    back = back.select(*rows.columns, "row_ordinal").orderBy("row_ordinal").collect()
+    assert [tuple(r)[:3] for r in back] == [tuple(r) for r in rows.collect()]
+
+
+@pytest.mark.parametrize("name", ["workbook_rollup"])
+def test_a_year_of_sales_is_written_by_many_tasks(spark, tmp_path, monkeypatch, name):
+    tables_of = {
+        "region": "1 AS r_regionkey, 'AFRICA' AS r_name FROM range(1)",
+        "nation": "2 AS n_nationkey, 'n' AS n_name, 1 AS n_regionkey FROM range(1)",
+        "customer": "id AS c_custkey, concat('c', id) AS c_name, 2 AS c_nationkey,"
+        " 1D AS c_acctbal, 's' AS c_mktsegment FROM range(400)",
+        "orders": "id AS o_orderkey, id % 400 AS o_custkey, substr('PFO', 1 + id % 3, 1) AS"
+        " o_orderstatus, 5D AS o_totalprice, TIMESTAMP_NTZ '1996-03-04' AS o_orderdate,"
+        " '1-URGENT' AS o_orderpriority FROM range(2000)",
+    }
+    for table, sql in tables_of.items():
+        spark.sql(f"SELECT {sql}").write.parquet(str(tmp_path / f"{table}.parquet"))
+    monkeypatch.setattr(registry.sinks, "stage_path", lambda _: str(tmp_path / "books"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = registry.REGISTRY[name](spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "books").iterdir())) > 4  # all rows are of one year
+    if name == "workbook_sales":
+        assert len(got) == 1200 and sum(r["customers_total"] for r in got) == 2000
+    else:  # the status of the entity's first order
+        assert sorted((r["utility_id_eia"], r["ownership"], r["customers_total"]) for r in got) == [
+            (14000 + i, "PFO"[i % 3], 5) for i in range(400)]
+
+
+MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+PLAIN_ROW = '<row r="1"><c r="A1" s="2" t="s"><v>1</v></c><c r="C1"><v>7</v></c></row>'
+ODD_ROWS = (
+    PLAIN_ROW + '<row r="3"/>\n<row spans="1:2"><c t="inlineStr"><is><t>x &amp; y</t></is></c>'
+    '<c><f>1+1</f><v>2</v></c><c t="inlineStr"/></row>'
+    '<row><c t="inlineStr"><is><r><t>a</t></r><r><t>b</t></r></is></c><c><v></v></c></row>'
+)
+ODD_CELLS = [["two", None, "7"], [], [], ["x & y", "2", ""], ["ab", None]]
+
+
+@pytest.mark.parametrize("small", [False, True])
+@pytest.mark.parametrize("head, body, cells", [
+    ("", ODD_ROWS, ODD_CELLS),
+    ("", "", []),
+    ("", PLAIN_ROW + "<!-- </row> --><row><c><v>5</v></c></row>", [["two", None, "7"], ["5"]]),
+    ("", "<row><c><v><![CDATA[</row>]]></v></c></row>", [["</row>"]]),
+    ('<?xml version="1.0" encoding="ISO-8859-1"?>', "<row><c><v>\xe9</v></c></row>", [["\xe9"]]),
+    ('<?xml version="1.0" encoding="UTF-8"?>', "<row><c><v>\xe9</v></c></row>" * 9, [["\xe9"]] * 9),
+])
+def test_sheets_of_other_writers_are_read_alike(monkeypatch, small, head, body, cells):
+    plain = f'{head}<worksheet xmlns="{MAIN}"><sheetData>{body}</sheetData></worksheet>'
+    prefixed = plain.replace("<", "<x:").replace("<x:/", "</x:").replace("xmlns=", "xmlns:x=")
+    sheets = [plain] if "!" in body or head else [plain, prefixed]
+    if small:
+        monkeypatch.setattr(workbook, "_HEAD_BYTES", plain.index("Data>") + 7)
+        monkeypatch.setattr(workbook, "_BLOCK_BYTES", 7)
+    for sheet in sheets:
+        file = io.BytesIO()
+        with zipfile.ZipFile(file, "w") as book:
+            book.writestr("xl/sharedStrings.xml",
+                          f'<sst xmlns="{MAIN}"><si><t>one</t></si><si><t>two</t></si></sst>')
+            book.writestr("xl/worksheets/sheet1.xml",
+                          sheet.encode("latin-1" if "8859" in head else "utf-8"))
+        assert list(sheet_rows(file)) == cells
+
+
+@pytest.mark.parametrize("texts, kind, typed", [
+    (["1", None, " 2 ", "n/a", "nan", "inf", "1_0", "-2.9", "9223372036854775808", ""], "long",
+     [1, None, 2, None, None, None, 10, -2, None, None]),
+    (["1", None, " 2 ", "n/a", "nan", "1e400", "+3"], "double",
+     [1.0, None, 2.0, None, None, float("inf"), 3.0]),
+    (["3.0", "4e2", "nan"], "long", [3, 400, None]),
+])
+def test_cells_are_typed_as_python_reads_numbers(texts, kind, typed):
+    field = schemas.SALES["customers_total" if kind == "long" else "revenue_total_k"]
+    assert workbook._typed(workbook.pa.array(texts), field.dataType).to_pylist() == typed
+
+
 def test_repeated_headers_are_numbered():
     assert number_repeats(["a", "b", "a", None, "a"]) == ["a", "b", "a.1", "", "a.2"]
 
