@@ -73,13 +73,8 @@ def booked(spark, sf) -> str:
 
 @query
 def workbook_sales(spark, sf):
-    """Sales rows written as a workbook per year and read back from the workbooks."""
-    spark.dataSource.register(WorkbookFormat)
-    folder = sinks.stage_path(spark)
-    rows = bind.sales(spark, sf)
-    by_year = rows.repartition(len(bind.YEARS), "report_year").sortWithinPartitions("row_ordinal")
-    by_year.write.format(FORMAT).mode("append").save(folder)
-    return spark.read.format(FORMAT).load(folder).drop("row_ordinal")
+    """Sales rows written as workbooks of a year each and read back from the workbooks."""
+    return spark.read.format(FORMAT).load(booked(spark, sf)).drop("row_ordinal")
 
 
 @query

@@ -136,7 +136,7 @@ def test_a_long_year_is_cut_into_workbooks_in_row_order(spark, tmp_path):
     assert [tuple(r)[:3] for r in back] == [tuple(r) for r in rows.collect()]
 
 
-@pytest.mark.parametrize("name", ["workbook_rollup"])
+@pytest.mark.parametrize("name", ["workbook_sales", "workbook_rollup"])
 def test_a_year_of_sales_is_written_by_many_tasks(spark, tmp_path, monkeypatch, name):
     tables_of = {
         "region": "1 AS r_regionkey, 'AFRICA' AS r_name FROM range(1)",
